@@ -70,7 +70,7 @@ def log_feature(col: Column) -> Column:
 
 
 def series_time(minutes: Column) -> Column:
-    return F.timestamp_add("MINUTE", minutes.cast("int"), F.lit(SERIES_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MINUTE", minutes, F.lit(SERIES_EPOCH).cast("timestamp_ntz"))
 
 
 def cents(value: Column) -> Column:

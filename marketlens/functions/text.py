@@ -69,7 +69,7 @@ def literal_to_json(col: Column) -> Column:
     Single quotes are left to the reader. Only bare words in value position change, so the same
     word inside a quoted value stays.
     """
-    text = col.cast("string")
+    text = col
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
         text = F.regexp_replace(text, _PY_LITERAL.format(word=word), f"$1{json_word}")
     return F.regexp_replace(text, r"([{,]\s*)(\d+)(\s*:)", r'$1"$2"$3')
@@ -78,28 +78,20 @@ def literal_to_json(col: Column) -> Column:
 _JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
 
-def _number_map(col: Column) -> Column:
+def number_map(col: Column) -> Column:
+    """Text of a mapping to ``map<string,double>``; null when it is not a mapping of numbers."""
     return F.from_json(literal_to_json(col), "map<string,double>", _JSON_OPTIONS)
 
 
-def parse_distribution(col: Column, keys: Sequence[str] = STAR_KEYS) -> Column:
-    """Text of counts per key to a struct of shares ``pct_<key>stars``.
-
-    Text that is not a mapping of numbers, or sums to zero, gives 0 for every key; so does a key
-    that is absent.
-    """
-    counts = _number_map(col)
-    values = F.map_values(counts)
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    share = F.when(total != 0, F.transform_values(counts, lambda _, v: v / total))
-    return F.struct(
-        *[F.coalesce(F.try_element_at(share, F.lit(k)), F.lit(0.0)).alias(f"pct_{k}stars") for k in keys]
-    )
+def map_total(counts: Column) -> Column:
+    """Sum of a map's values, null when one of them is null or the sum is zero."""
+    total = F.aggregate(F.map_values(counts), F.lit(0.0), lambda acc, v: acc + v)
+    return F.nullif(total, F.lit(0.0))
 
 
-def distribution_keys(col: Column) -> Column:
-    """Array of the keys named by one distribution text (for key discovery)."""
-    return F.map_keys(_number_map(col))
+def share(counts: Column, total: Column, key: str) -> Column:
+    """One key's share of the total; 0 when either is missing."""
+    return F.coalesce(F.try_element_at(counts, F.lit(key)) / total, F.lit(0.0))
 
 
 def dict_text_field(col: Column, name: str) -> Column:

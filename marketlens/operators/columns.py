@@ -53,9 +53,17 @@ def to_flags(df: DataFrame, columns: Sequence[str] = BADGE_FLAGS) -> DataFrame:
 
 
 def expand_distribution(df: DataFrame, col: str = "rating_distribution", keys: Sequence[str] = T.STAR_KEYS) -> DataFrame:
-    """Add one share column per key."""
-    shares = T.parse_distribution(F.col(col), keys)
-    return df.withColumns({f"pct_{k}stars": shares[f"pct_{k}stars"] for k in keys})
+    """Add one share column ``pct_<key>stars`` per key of the counts written as text.
+
+    Text that is not a mapping of numbers, or sums to zero, gives 0 for every key; so does a key
+    that is absent. The text is parsed once per row, in its own projection.
+    """
+    return (
+        df.withColumn("_counts", T.number_map(F.col(col)))
+        .withColumn("_total", T.map_total(F.col("_counts")))
+        .withColumns({f"pct_{k}stars": T.share(F.col("_counts"), F.col("_total"), k) for k in keys})
+        .drop("_counts", "_total")
+    )
 
 
 def discover_keys(df: DataFrame, col: str = "rating_distribution", limit: int = 1000) -> list[str]:
@@ -63,7 +71,7 @@ def discover_keys(df: DataFrame, col: str = "rating_distribution", limit: int =
 
     The keys become columns, so more than ``limit`` of them is an error, not a cut.
     """
-    keys = df.select(F.explode(T.distribution_keys(F.col(col))).alias("k")).distinct()
+    keys = df.select(F.explode(F.map_keys(T.number_map(F.col(col)))).alias("k")).distinct()
     found = [r.k for r in keys.limit(limit + 1).collect()]
     if len(found) > limit:
         raise ValueError(f"{col} holds more than {limit} keys")

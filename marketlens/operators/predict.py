@@ -13,7 +13,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .segments import assemble, standardize
+from .segments import assemble
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -63,24 +63,33 @@ def _last_test_key(df: DataFrame, key: str, share: float, seed: int, digest: str
     return inside.withColumn("_rn", rn).where(F.col("_rn") == F.col("_t.r")).select(F.struct("d", "k"))
 
 
-def usable_features(train: DataFrame, features: Sequence[str]) -> list[str]:
-    """Features with at least one value; a column of nulls has no mean to fill with."""
-    counts = train.agg(*[F.count(c).alias(c) for c in features]).first()
-    return [c for c in features if counts[c] > 0]
+def fit_scaling(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation of each mean-filled feature, from one aggregation.
 
+    Filling with the mean leaves the mean as it is and spreads the same squared error over all
+    rows. A feature without any value has no mean to fill with and is left out.
+    """
+    x = {c: F.col(c).cast("double") for c in features}
+    row = train.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.avg(x[c]).alias(f"m_{c}") for c in features],
+        *[F.sqrt(F.try_divide(F.var_pop(x[c]) * F.count(x[c]), F.count(F.lit(1)))).alias(f"s_{c}") for c in features],
+    ).first()
+    return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in features if row[f"m_{c}"] is not None}
+
+
+def impute_standardize(df: DataFrame, scaling: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Nulls to the training mean, then standardise by training statistics (constant features to 0)."""
+    def scaled(c: str, mean: float, deviation: float) -> Column:
+        if deviation == 0:
+            return F.lit(0.0)
+        return (F.coalesce(F.col(c).cast("double"), F.lit(mean)) - F.lit(mean)) / F.lit(deviation)
 
-def impute_standardize(df: DataFrame, features: Sequence[str], train: DataFrame | None = None) -> DataFrame:
-    """Nulls to the training mean, then standardise by training statistics."""
-    source = df if train is None else train
-    means = source.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features]).select(F.struct(*features)).scalar()
-    fill = lambda frame: frame.withColumn("_m", means).withColumns(
-        {c: F.coalesce(F.col(c).cast("double"), F.col("_m")[c]) for c in features}
-    ).drop("_m")
-    return standardize(fill(df), features, None if train is None else fill(train))
+    return df.withColumns({c: scaled(c, mean, deviation) for c, (mean, deviation) in scaling.items()})
 
 
-def prepare(df: DataFrame, features: Sequence[str], train: DataFrame) -> DataFrame:
-    return assemble(impute_standardize(df, features, train), features)
+def prepare(df: DataFrame, scaling: Mapping[str, tuple[float, float]]) -> DataFrame:
+    return assemble(impute_standardize(df, scaling), list(scaling))
 
 
 def fit_linear(train: DataFrame, target: str) -> LinearRegressionModel:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .merge import join_small
@@ -90,22 +90,19 @@ def exact_quantiles(
     )
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Exact medians of several columns as one scalar struct column, all in one pair of passes."""
-    if len(columns) == 1:
-        mid = exact_quantiles(df, columns[0], [0.5]).select(F.struct(F.get("quantiles", F.lit(0)).alias(columns[0])))
-        return mid.scalar()
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact medians of several columns from one pair of passes; one number per column comes back."""
     tall = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "_column", "_value"
     )
-    found = exact_quantiles(tall, "_value", [0.5], ["_column"])
-    row = found.agg(
-        *[F.max(F.when(F.col("_column") == c, F.get("quantiles", F.lit(0)))).alias(c) for c in columns]
-    )
-    return row.select(F.struct(*columns)).scalar()
+    found = exact_quantiles(tall, "_value", [0.5], ["_column"]).collect()  # a row per column
+    known = {r["_column"]: r["quantiles"][0] for r in found}
+    return {c: known.get(c) for c in columns}
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace nulls by the column's exact median (a column of nulls stays null)."""
     mid = medians(df, columns)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), mid[c]) for c in columns})
+    return df.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(mid[c]).cast("double")) for c in columns}
+    )

@@ -220,8 +220,9 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 def kde_grid(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid over the value range.
 
-    Bandwidth is ``n^(-1/5)`` times the sample deviation. Every grid point is one running sum of a
-    single aggregation: each row is read once and no row is multiplied.
+    Bandwidth is ``n^(-1/5)`` times the sample deviation. Equal values are counted first (prices
+    repeat), so the kernel is evaluated once per distinct value and grid point, and summed per grid
+    point inside the task.
     """
     x = F.col("_x")
     values = df.select(F.col(col).cast("double").alias("_x")).where(x.isNotNull())
@@ -236,20 +237,20 @@ def kde_grid(df: DataFrame, col: str, points: int = 200) -> DataFrame:
             F.col("n"),
         )
     ).scalar()
-    z = lambda i: (x - (F.col("_s.lo") + F.col("_s.step") * i)) / F.col("_s.h")
-    sums = values.withColumn("_s", shape).agg(*[F.sum(F.exp(z(i) * z(i) * -0.5)).alias(f"_{i}") for i in range(points)])
+    grid_x = F.col("_s.lo") + F.col("_s.step") * F.col("point")
+    z = (x - grid_x) / F.col("_s.h")
+    summed = (
+        values.groupBy("_x")
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_s", shape)
+        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .groupBy("point")
+        .agg(F.sum(F.col("_c") * F.exp(z * z * -0.5)).alias("_total"))
+    )
     scale = F.col("_s.n") * F.col("_s.h") * F.sqrt(F.lit(2.0) * F.pi())
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("point"),
-                (F.col("_s.lo") + F.col("_s.step") * i).alias("x"),
-                (F.col(f"_{i}") / scale).alias("density"),
-            )
-            for i in range(points)
-        ]
+    return summed.withColumn("_s", shape).select(
+        "point", grid_x.alias("x"), (F.col("_total") / scale).alias("density")
     )
-    return sums.withColumn("_s", shape).select(F.inline(cells))
 
 
 def bar_means(df: DataFrame, by: str, value: str) -> DataFrame:

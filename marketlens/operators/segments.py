@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -17,7 +19,7 @@ from ..functions.prices import log_feature
 from ..functions.text import to_number
 from ..schemas import CLUSTER_BASE, CLUSTER_LOG
 from ..session import keep, release
-from .quantiles import fill_median
+from .quantiles import medians
 
 SEED = 42
 RESTARTS = 10
@@ -29,7 +31,7 @@ def cluster_features(
 ) -> tuple[DataFrame, list[str]]:
     """Median-filled base columns and log columns, next to the input's columns.
 
-    Feature columns are named ``f_<name>``; columns the input lacks are left out. Base columns that
+    The input is read several times; keep it first when it is costly. Feature columns are named ``f_<name>``; columns the input lacks are left out. Base columns that
     are null throughout have no median and are left out as well.
     """
     types = dict(df.dtypes)
@@ -39,27 +41,32 @@ def cluster_features(
     wide = df.withColumns(
         {f"f_{c}": number(c) for c in base} | {f"f_{c}_log": log_feature(number(c)) for c in log}
     )
-    filled = fill_median(wide, [f"f_{c}" for c in base]) if base else wide
-    return filled, [f"f_{c}" for c in base] + [f"f_{c}_log" for c in log]
+    mid = medians(wide, [f"f_{c}" for c in base]) if base else {}
+    usable = [c for c, m in mid.items() if m is not None]
+    filled = wide.drop(*[c for c in mid if c not in usable]).withColumns(
+        {c: F.coalesce(F.col(c), F.lit(mid[c])) for c in usable}
+    )
+    return filled, usable + [f"f_{c}_log" for c in log]
 
 
 def standardize(df: DataFrame, columns: Sequence[str], stats_from: DataFrame | None = None) -> DataFrame:
     """Mean 0 and **population** deviation 1; a constant column becomes 0.
 
-    The statistics are one aggregate row, read by a scalar subquery; ``stats_from`` takes them from
-    another frame (fit on training rows, apply to test rows).
+    The statistics are fitted in one aggregation and enter the plan as constants; ``stats_from``
+    takes them from another frame (fit on training rows, apply to test rows).
     """
     source = df if stats_from is None else stats_from
-    parts = [F.avg(c).alias(f"m_{c}") for c in columns] + [F.stddev_pop(c).alias(f"s_{c}") for c in columns]
-    names = [f"m_{c}" for c in columns] + [f"s_{c}" for c in columns]
-    stats = source.agg(*parts).select(F.struct(*names)).scalar()
-    scaled = {
-        c: F.when(F.col("_s")[f"s_{c}"] == 0, F.lit(0.0)).otherwise(
-            (F.col(c) - F.col("_s")[f"m_{c}"]) / F.col("_s")[f"s_{c}"]
-        )
-        for c in columns
-    }
-    return df.withColumn("_s", stats).withColumns(scaled).drop("_s")
+    stats = source.agg(
+        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
+    ).first()
+
+    def scaled(c: str) -> Column:
+        mean, deviation = stats[f"m_{c}"], stats[f"s_{c}"]
+        if not deviation:
+            return F.when(F.col(c).isNotNull(), F.lit(0.0))
+        return (F.col(c) - F.lit(mean)) / F.lit(deviation)
+
+    return df.withColumns({c: scaled(c) for c in columns})
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = FEATURES) -> DataFrame:
@@ -118,12 +125,34 @@ def kmeans_fit(
     df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, features: str = FEATURES
 ) -> KMeansModel:
     """Best of ``restarts`` fits by training cost. ``df`` should be kept by the caller."""
-    best = None
-    for start in range(restarts):
-        model = KMeans(k=k, seed=seed + start, maxIter=300, tol=1e-4, featuresCol=features, predictionCol="cluster").fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    return kmeans_fits(df, [k], restarts, seed, features)[k]
+
+
+def kmeans_fits(
+    df: DataFrame,
+    ks: Sequence[int],
+    restarts: int = RESTARTS,
+    seed: int = SEED,
+    features: str = FEATURES,
+    parallelism: int = 8,
+) -> dict[int, KMeansModel]:
+    """Best model per k. The fits are independent Spark jobs, a few of which run side by side."""
+    narrow = df.select(features)
+
+    def fit(k: int, start: int) -> tuple[float, int, KMeansModel]:
+        kmeans = KMeans(k=k, seed=seed + start, maxIter=300, tol=1e-4, featuresCol=features, predictionCol="cluster")
+        model = kmeans.fit(narrow)
+        return float(model.summary.trainingCost), start, model
+
+    jobs = [(k, start) for k in ks for start in range(restarts)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        runs = [pool.submit(inheritable_thread_target(df.sparkSession)(fit), *job) for job in jobs]
+        done = [run.result() for run in runs]
+    best: dict[int, tuple[float, int, KMeansModel]] = {}
+    for (k, _), run in zip(jobs, done):
+        if k not in best or run[:2] < best[k][:2]:
+            best[k] = run
+    return {k: run[2] for k, run in best.items()}
 
 
 def k_sweep(
@@ -144,8 +173,7 @@ def k_sweep(
     kept = keep(df.select(id_col, features))
     costs = {}
     labelled = kept
-    for k in ks:
-        model = kmeans_fit(kept, k, restarts, seed, features)
+    for k, model in kmeans_fits(kept, ks, restarts, seed, features).items():
         costs[k] = float(model.summary.trainingCost)
         labelled = model.transform(labelled).withColumnRenamed("cluster", f"k{k}")
     names = [f"k{k}" for k in ks]
@@ -207,7 +235,7 @@ def silhouette_rows(
     right = points.withColumnRenamed("tile", "b").withColumn("a", every)
     id_type = dict(points.dtypes)["id"]
     sums = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(
-        _tile_sums, f"id {id_type}, labelling int, cluster int, own boolean, n bigint, total double"
+        _tile_function(), f"id {id_type}, labelling int, cluster int, own boolean, n bigint, total double"
     )
     per_cluster = sums.groupBy("id", "labelling", "cluster", "own").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total")
@@ -228,33 +256,37 @@ def _as_array(features: str) -> Column:
     return vector_to_array(F.col(features))
 
 
-def _tile_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    """Distance sums of the rows of one tile to each cluster of another tile."""
-    columns = ["id", "labelling", "cluster", "own", "n", "total"]
-    if a.empty or b.empty:
-        return pd.DataFrame({c: [] for c in columns})
-    xa, xb = np.stack(a["x"].to_numpy()).astype(float), np.stack(b["x"].to_numpy()).astype(float)
-    squared = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * xa @ xb.T
-    distance = np.sqrt(np.maximum(squared, 0.0))
-    distance[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = 0.0
-    ya, yb = np.stack(a["y"].to_numpy()), np.stack(b["y"].to_numpy())
-    parts = []
-    for j in range(ya.shape[1]):
-        for cluster in np.unique(yb[:, j]):
-            members = yb[:, j] == cluster
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "id": a["id"],
-                        "labelling": j,
-                        "cluster": int(cluster),
-                        "own": ya[:, j] == cluster,
-                        "n": int(members.sum()),
-                        "total": distance[:, members].sum(1),
-                    }
+def _tile_function():
+    # A nested function travels to the workers by value, so they need not have this package.
+    def tile_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        """Distance sums of the rows of one tile to each cluster of another tile."""
+        columns = ["id", "labelling", "cluster", "own", "n", "total"]
+        if a.empty or b.empty:
+            return pd.DataFrame({c: [] for c in columns})
+        xa, xb = np.stack(a["x"].to_numpy()).astype(float), np.stack(b["x"].to_numpy()).astype(float)
+        squared = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * xa @ xb.T
+        distance = np.sqrt(np.maximum(squared, 0.0))
+        distance[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = 0.0
+        ya, yb = np.stack(a["y"].to_numpy()), np.stack(b["y"].to_numpy())
+        parts = []
+        for j in range(ya.shape[1]):
+            for cluster in np.unique(yb[:, j]):
+                members = yb[:, j] == cluster
+                parts.append(
+                    pd.DataFrame(
+                        {
+                            "id": a["id"],
+                            "labelling": j,
+                            "cluster": int(cluster),
+                            "own": ya[:, j] == cluster,
+                            "n": int(members.sum()),
+                            "total": distance[:, members].sum(1),
+                        }
+                    )
                 )
-            )
-    return pd.concat(parts, ignore_index=True)[columns]
+        return pd.concat(parts, ignore_index=True)[columns]
+
+    return tile_sums
 
 
 # --- order and names -------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from ..operators import predict as M
 from ..operators.quality import drop_nulls
 from ..schemas import MODEL_FEATURES, MODEL_TARGET
-from ..session import keep
+from ..session import keep, spread
 
 
 class SalesModel(NamedTuple):
@@ -27,18 +27,22 @@ def predict_sales(
     features: Sequence[str] = MODEL_FEATURES,
     trees: int = 100,
 ) -> SalesModel:
-    """Split by product, fit both models on the training rows, compare on the test rows."""
+    """Split by product, fit both models on the training rows, compare on the test rows.
+
+    ``enriched`` is read three times: pass a written stage, or keep it first.
+    """
     rows = drop_nulls(enriched.select(key, target, *features), [target])
     train, test = M.group_split(rows, key)
-    features = M.usable_features(train, features)
-    ready_train = keep(M.prepare(train, features, train).select(key, target, "features"))
-    ready_test = M.prepare(test, features, train).select(key, target, "features")
+    scaling = M.fit_scaling(train, features)
+    used = list(scaling)
+    ready_train = keep(spread(M.prepare(train, scaling).select(key, target, "features")))
+    ready_test = M.prepare(test, scaling).select(key, target, "features")
     linear = M.fit_linear(ready_train, target)
     forest = M.fit_forest(ready_train, target, trees=trees)
     by_linear, by_forest = linear.transform(ready_test), forest.transform(ready_test)
     return SalesModel(
         M.model_comparison({"linear regression": by_linear, "random forest": by_forest}, target),
-        M.feature_importance(forest, features, enriched),
+        M.feature_importance(forest, used, enriched),
         by_linear,
         by_forest,
     )

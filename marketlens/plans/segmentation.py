@@ -28,7 +28,7 @@ def segment_products(
 
     With ``k`` given no sweep is run; otherwise the k with the best silhouette is taken.
     """
-    wide, columns = S.cluster_features(latest, base, log)
+    wide, columns = S.cluster_features(keep(latest), base, log)
     ready = keep(S.assemble(S.standardize(wide, columns), columns))
     sweep = None
     if k is None:

@@ -43,6 +43,16 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions for work that is heavy per row (model fitting), whatever the row bytes.
+
+    The count follows the session's shuffle setting and is at least the number of cores.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts)
+
+
 def release(df: DataFrame) -> None:
     """Undo ``keep`` for a cached frame (a checkpoint is cleaned by Spark)."""
     df.unpersist()

@@ -7,11 +7,12 @@ Every parser keeps one output row (or more) per readable response and leaves the
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prices import NO_PRICE, cents, series_time
+from ..functions.prices import NO_PRICE, SERIES_EPOCH, cents, series_time
 
 # Texts written for values a response leaves out.
 INVENTORY_DEFAULTS = {
@@ -78,50 +79,45 @@ def explode_pages(df: DataFrame, product_schema: str, key: str | None = None) ->
 
 def unwrap_details(df: DataFrame, detail_schema: str) -> DataFrame:
     """Detail responses to one row each with a ``bucket``: ``ok``, ``no_data`` or ``error``."""
-    data_text = F.get_json_object("body", "$.data")
-    fields = F.from_json(data_text, "map<string,string>")
-    unreadable = F.try_parse_json("body").isNull()
+    data = F.try_variant_get("_body", "$.data", "variant")
+    fields = F.try_variant_get("_body", "$.data", "map<string,variant>")
     bucket = (
-        F.when(request_failed(df) | unreadable, "error")
-        .when(F.coalesce(F.size(F.map_keys(fields)), F.lit(0)) > 0, "ok")
+        F.when(request_failed(df) | F.col("_body").isNull(), "error")
+        .when(F.coalesce(F.size(fields), F.lit(0)) > 0, "ok")
         .otherwise("no_data")
     )
     http_text = F.format_string("HTTP %d", F.col("status_code")) if "status_code" in df.columns else F.lit(None)
     given = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     reason = F.when(F.col("bucket") == "error", F.coalesce(given, http_text, F.lit("unreadable response")))
-    detail = F.when(F.col("bucket") == "ok", F.from_json(F.get_json_object("body", "$.data"), detail_schema))
+    detail = F.when(F.col("bucket") == "ok", F.from_json(F.to_json(data), detail_schema))
     return (
-        df.withColumn("bucket", bucket)
+        df.withColumn("_body", F.try_parse_json("body"))
+        .withColumn("bucket", bucket)
         .withColumn("error", reason)
         .withColumn("_d", detail)
         .select("asin", "bucket", "error", "_d.*")
     )
 
 
-_PRICE_SCHEMA = "products array<struct<csv: array<array<bigint>>>>"
-
-
 def validate_series(df: DataFrame) -> DataFrame:
     """Price responses to ``(asin, series, error)``; exactly one of the last two is null.
 
     The reasons are tried in order: failed request, unreadable text, no ``products``, empty
-    ``products``, no ``csv``, series missing or of odd length.
+    ``products``, no ``csv``, series missing or of odd length. The text is parsed once.
     """
-    top = F.from_json("body", "map<string,string>")
-    first = F.from_json(F.get_json_object("body", "$.products[0]"), "map<string,string>")
-    series = F.try_element_at(F.try_element_at(F.from_json("body", _PRICE_SCHEMA)["products"], F.lit(1))["csv"], F.lit(1))
-    has_key = lambda m, k: F.coalesce(F.map_contains_key(m, k), F.lit(False))
+    at = lambda path, kind="variant": F.try_variant_get("_body", path, kind)
     given = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     reason = (
         F.when(request_failed(df), F.coalesce(given, F.lit("request failed")))
-        .when(top.isNull(), "unreadable response")
-        .when(~has_key(top, "products"), NO_PRODUCTS_KEY)
-        .when(F.coalesce(F.json_array_length(F.get_json_object("body", "$.products")), F.lit(0)) == 0, NO_PRODUCTS)
-        .when(~has_key(first, "csv"), NO_SERIES)
-        .when(F.col("_series").isNull() | (F.size("_series") % 2 != 0), BROKEN_SERIES)
+        .when(F.col("_body").isNull(), "unreadable response")
+        .when(at("$.products").isNull(), NO_PRODUCTS_KEY)
+        .when(F.coalesce(F.size(at("$.products", "array<variant>")), F.lit(0)) <= 0, NO_PRODUCTS)
+        .when(at("$.products[0].csv").isNull(), NO_SERIES)
+        .when(F.coalesce(F.size("_series") % 2 != 0, F.lit(True)), BROKEN_SERIES)
     )
     return (
-        df.withColumn("_series", series)
+        df.withColumn("_body", F.try_parse_json("body"))
+        .withColumn("_series", F.try_variant_get("_body", "$.products[0].csv[0]", "array<bigint>"))
         .withColumn("_reason", reason)
         .select(
             "asin",
@@ -131,27 +127,24 @@ def validate_series(df: DataFrame) -> DataFrame:
     )
 
 
-def decode_price_series(df: DataFrame, as_of: str, days: int = 365) -> DataFrame:
-    """``series`` arrays ``[t, p, t, p, ...]`` to rows ``(asin, date, price)``.
+def decode_price_series(df: DataFrame, as_of: str | datetime, days: int = 365) -> DataFrame:
+    """``series`` arrays ``[t, p, t, p, ...]`` to rows ``(asin, date, price)``; a null array gives none.
 
     Pairs without a price and pairs older than ``days`` before ``as_of`` are dropped inside the
-    array, before rows are made.
+    array, on the stored whole minutes, before rows are made.
     """
+    moment = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    since = moment - timedelta(days=days) - datetime.fromisoformat(SERIES_EPOCH)
+    first_minute = -(-since // timedelta(minutes=1))  # rounded up
     series = F.col("series")
     starts = F.when(F.size(series) >= 2, F.sequence(F.lit(0), F.floor(F.size(series) / 2).cast("int") - 1))
     pairs = F.transform(
-        starts,
-        lambda i: F.struct(
-            F.get(series, i * 2).alias("t"),
-            F.get(series, i * 2 + 1).alias("p"),
-        ),
+        starts, lambda i: F.struct(F.get(series, i * 2).alias("t"), F.get(series, i * 2 + 1).alias("p"))
     )
-    since = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
-    wanted = F.filter(pairs, lambda x: (x["p"] != NO_PRICE) & (series_time(x["t"]) >= since))
-    points = F.transform(
-        wanted, lambda x: F.struct(series_time(x["t"]).alias("date"), cents(x["p"]).alias("price"))
+    wanted = F.filter(pairs, lambda x: (x["p"] != NO_PRICE) & (x["t"] >= first_minute))
+    return df.select("asin", F.inline(wanted)).select(
+        "asin", series_time(F.col("t")).alias("date"), cents(F.col("p")).alias("price")
     )
-    return df.select("asin", F.inline(points))
 
 
 def flatten_reviews(df: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
@@ -161,7 +154,7 @@ def flatten_reviews(df: DataFrame, fields: Mapping[str, str] | None = None) -> D
     go to ``review``. When ``data`` itself is an object, each of its keys is a review.
     """
     spark = df.sparkSession
-    data = F.try_parse_json(F.get_json_object("body", "$.data"))
+    data = F.try_variant_get(F.try_parse_json("body"), "$.data", "variant")
     rows = df.withColumn("_data", data).lateralJoin(spark.tvf.variant_explode(F.col("_data").outer()))
     kind = F.schema_of_variant(F.col("value"))
     from_object = F.col("key").isNotNull()
@@ -182,19 +175,20 @@ def project_inventory(df: DataFrame) -> DataFrame:
     A field that is absent gets its default text, one that is present but null stays null; a missing
     id falls back to the id that was asked for. An empty or malformed list gives an ``error`` row.
     """
-    top = F.from_json("body", "map<string,string>")
-    products = F.try_element_at(top, F.lit("products"))
-    absent = top.isNotNull() & ~F.coalesce(F.map_contains_key(top, "products"), F.lit(False))
-    first = F.from_json(F.get_json_object(products, "$[0]"), "map<string,string>")
-    broken = request_failed(df) | top.isNull() | (~absent & first.isNull())
+    products = F.try_variant_get("_body", "$.products", "variant")
+    first = F.try_variant_get("_body", "$.products[0]", "map<string,variant>")
+    absent = F.col("_body").isNotNull() & products.isNull()
+    broken = request_failed(df) | F.col("_body").isNull() | (~absent & F.col("_p").isNull())
 
     def field(name: str, default: Column) -> Column:
         present = F.coalesce(F.map_contains_key(F.col("_p"), name), F.lit(False))
-        value = F.when(present, F.try_element_at(F.col("_p"), F.lit(name))).otherwise(default)
+        found = F.try_variant_get(F.try_element_at(F.col("_p"), F.lit(name)), "$", "string")
+        value = F.when(present, found).otherwise(default)
         return F.when(F.col("error").isNull(), value)
 
     return (
-        df.withColumn("_p", first)
+        df.withColumn("_body", F.try_parse_json("body"))
+        .withColumn("_p", first)
         .withColumn("error", F.when(broken, F.lit("no inventory in response")))
         .select(
             F.coalesce(field("asin", F.col("asin")), F.col("asin")).alias("asin"),

@@ -276,13 +276,13 @@ def latest_row_events(t):
     "merge_history",
     """SELECT h.k AS asin, h.l_shipdate AS date, h.note AS note_x, p.note AS note_y, p.p_name AS product_title,
         h.k AS asin_group
-      FROM (SELECT nullif(l_partkey, 7) AS k, l_shipdate, l_returnflag AS note FROM lineitem) h
-      LEFT JOIN (SELECT nullif(p_partkey, 11) AS k, p_name, p_brand AS note FROM part WHERE p_size > 5) p
+      FROM (SELECT CAST(nullif(l_partkey, 7) AS VARCHAR) AS k, l_shipdate, l_returnflag AS note FROM lineitem) h
+      LEFT JOIN (SELECT CAST(nullif(p_partkey, 11) AS VARCHAR) AS k, p_name, p_brand AS note FROM part WHERE p_size > 5) p
         ON h.k IS NOT DISTINCT FROM p.k""",
 )
 def merge_history_query(t):
-    history = t.lineitem.selectExpr("nullif(l_partkey, 7) AS asin", "l_shipdate AS date", "l_returnflag AS note")
-    details = t.part.where("p_size > 5").selectExpr("nullif(p_partkey, 11) AS asin", "p_name AS product_title", "p_brand AS note")
+    history = t.lineitem.selectExpr("CAST(nullif(l_partkey, 7) AS STRING) AS asin", "l_shipdate AS date", "l_returnflag AS note")
+    details = t.part.where("p_size > 5").selectExpr("CAST(nullif(p_partkey, 11) AS STRING) AS asin", "p_name AS product_title", "p_brand AS note")
     return merge_history(history, details)
 
 

@@ -100,11 +100,11 @@ _CENTS_SQL = "CAST(round(l_extendedprice * 100 / l_quantity) AS BIGINT)"
 @query(
     "validate_series",
     f"""SELECT CAST(l_partkey AS VARCHAR) AS asin, {_REASON_SQL} AS error,
-      CASE WHEN {_REASON_SQL} IS NULL THEN 6 END AS n_values FROM lineitem""",
+      CASE WHEN {_REASON_SQL} IS NULL THEN 6 ELSE 0 END AS n_values FROM lineitem""",
 )
 def validate_series(t):
     checked = E.validate_series(landed_series(t))
-    return checked.select("asin", "error", F.when(F.col("series").isNotNull(), F.size("series")).alias("n_values"))
+    return checked.select("asin", "error", F.coalesce(F.size("series"), F.lit(0)).alias("n_values"))
 
 
 @query(
@@ -117,7 +117,7 @@ def validate_series(t):
 )
 def decode_price_series(t):
     checked = E.validate_series(landed_series(t))
-    return E.decode_price_series(checked.where(F.col("error").isNull()), as_of="2001-11-04")
+    return E.decode_price_series(checked, as_of="2001-11-04")
 
 
 @query(
@@ -301,11 +301,11 @@ _STATUS = (
 
 @query(
     "error_profile",
-    f"""SELECT TRY_CAST(regexp_extract(error, '^\\s*(\\d{{3}})\\b', 1) AS INTEGER) AS status, count(*) AS n
+    f"""SELECT coalesce(TRY_CAST(regexp_extract(error, '^\\s*(\\d{{3}})\\b', 1) AS INTEGER), 0) AS status, count(*) AS n
       FROM (SELECT concat({_STATUS}, url) AS error FROM pages) GROUP BY 1""",
 )
 def error_profile(t):
-    return Q.error_profile(t.pages.selectExpr(f"concat({_STATUS}, url) AS error"))
+    return Q.error_profile(t.pages.selectExpr(f"concat({_STATUS}, url) AS error")).na.fill(0, ["status"])
 
 
 @query(

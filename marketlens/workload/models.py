@@ -9,6 +9,8 @@ from ..operators import segments as S
 from ..plans.enrichment import build_enriched
 from ..plans.sales_model import predict_sales
 from ..plans.segmentation import segment_products
+from ..schemas import MODEL_FEATURES, MODEL_TARGET
+from ..session import keep
 from .registry import query, rounded
 from .tables import HISTORY_SQL, PRODUCTS_SQL, SNAPSHOT_SQL, enriched_sql
 
@@ -26,7 +28,7 @@ _SCALED_SQL = f"""{_MATRIX_SQL},
 
 
 def matrix(t):
-    wide, columns = S.cluster_features(t.snapshot)
+    wide, columns = S.cluster_features(keep(t.snapshot.select("asin", *_BASE, *_LOG)))
     return wide.select("asin", "price", *columns)
 
 
@@ -74,7 +76,7 @@ def _lloyd_sql() -> str:
     + f" FROM a{_STEPS} GROUP BY cluster",
 )
 def kmeans_lloyd(t):
-    assigned, _ = S.lloyd(S.keep(scaled(t)), _F, _START, _STEPS)
+    assigned, _ = S.lloyd(keep(scaled(t)), _F, _START, _STEPS)
     profile = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in _F])
     return rounded(profile, 5, *_F)
 
@@ -129,7 +131,7 @@ def kmeans_segments(t):
 @query("k_sweep")
 def k_sweep(t):
     """Inertia and silhouette for each k over the whole latest snapshot."""
-    wide = S.assemble(scaled(t), _F)
+    wide = keep(S.assemble(scaled(t), _F))
     return S.k_sweep(wide, S.k_range(wide), "asin")
 
 
@@ -165,7 +167,8 @@ _M = ["product_price", "discount", "discount_pct", "product_star_rating", "premi
 def impute_standardize(t):
     from ..operators.columns import enrich
 
-    rows = M.impute_standardize(enrich(t.products).select("asin", *_M), _M)
+    rows = enrich(t.products).select("asin", *_M)
+    rows = M.impute_standardize(rows, M.fit_scaling(rows, _M))
     return rounded(rows, 7, *_M)
 
 
@@ -192,7 +195,8 @@ def regression_metrics(t):
 
 
 def _sales(t):
-    return predict_sales(build_enriched(t.history.select("asin", "date", "price"), t.products))
+    rows = build_enriched(t.history.select("asin", "date", "price"), t.products)
+    return predict_sales(keep(rows.select("asin", MODEL_TARGET, *MODEL_FEATURES)))
 
 
 @query("model_comparison")

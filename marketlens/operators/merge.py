@@ -28,7 +28,8 @@ def merge_history(history: DataFrame, details: DataFrame, key: str = "asin", sal
         # the input partition takes part, so that exact copies spread too
         row_hash = F.xxhash64(F.spark_partition_id(), *left.columns)
         left = left.withColumn("_salt", F.pmod(row_hash, F.lit(salts)))
-        right = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        right = right.withColumn("_salt_r", F.explode(every))
         match = match & (F.col("_salt") == F.col("_salt_r"))
     joined = left.join(right, match, "left").drop("_key", "_salt", "_salt_r")
     return joined.withColumn(f"{key}_group", F.col(key))

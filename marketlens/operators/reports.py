@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prices import BAND_LABELS  # noqa: F401  (re-exported for callers)
 from .merge import join_small
 from .quantiles import exact_quantiles
 
@@ -15,9 +14,14 @@ from .quantiles import exact_quantiles
 # --- row picks -------------------------------------------------------------------------------
 
 
-def high_sellers(df: DataFrame, sales: str = "sales_volume_num", min_sales: float = 5000) -> DataFrame:
-    """Rows at or above the threshold, highest first."""
-    return df.where(F.col(sales) >= min_sales).orderBy(F.col(sales).desc())
+def high_sellers(
+    df: DataFrame, sales: str = "sales_volume_num", min_sales: float = 5000, tie: Sequence[str] = ("asin",)
+) -> DataFrame:
+    """Rows at or above the threshold, highest first.
+
+    Sales repeat a lot; the ``tie`` columns also let the sort split a value that many rows share.
+    """
+    return df.where(F.col(sales) >= min_sales).orderBy(F.col(sales).desc(), *tie)
 
 
 def key_series(history: DataFrame, keys: Sequence[str] | DataFrame, key: str = "asin", ts: str = "date") -> DataFrame:
@@ -80,13 +84,13 @@ def share_of_total(totals: DataFrame, value: str, name: str = "share_pct") -> Da
 
 
 def price_trend(df: DataFrame, ts: str = "date", value: str = "price", grain: str | None = None) -> DataFrame:
-    """Mean per exact timestamp, or per ``grain`` (``month``, ``day``, ...)."""
+    """Mean per exact timestamp, or per ``grain`` (``month``, ``day``, ...), in time order."""
     known = df.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
     if grain is None:
         moment = F.col(ts)
     else:
         moment = F.date_trunc(grain, F.col(ts)).cast(dict(df.dtypes)[ts])
-    return known.groupBy(moment.alias(ts)).agg(F.avg(value).alias(value))
+    return known.groupBy(moment.alias(ts)).agg(F.avg(value).alias(value)).orderBy(ts)
 
 
 def cluster_profile(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:

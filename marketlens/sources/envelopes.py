@@ -86,7 +86,9 @@ def unwrap_details(df: DataFrame, detail_schema: str) -> DataFrame:
         .when(F.coalesce(F.size(fields), F.lit(0)) > 0, "ok")
         .otherwise("no_data")
     )
-    http_text = F.format_string("HTTP %d", F.col("status_code")) if "status_code" in df.columns else F.lit(None)
+    http_text = F.lit(None).cast("string")
+    if "status_code" in df.columns:
+        http_text = F.when(F.col("status_code") >= 400, F.format_string("HTTP %d", F.col("status_code")))
     given = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     reason = F.when(F.col("bucket") == "error", F.coalesce(given, http_text, F.lit("unreadable response")))
     detail = F.when(F.col("bucket") == "ok", F.from_json(F.to_json(data), detail_schema))

@@ -55,6 +55,12 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.col("_rows").alias("n_rows"), F.inline(entries))
 
 
+def key_counts(df: DataFrame, key: str, approximate: bool = False) -> DataFrame:
+    """Number of rows and of distinct keys."""
+    distinct = F.approx_count_distinct(key) if approximate else F.count_distinct(key)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), distinct.alias("n_keys"))
+
+
 def quarantine(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
     """Split into rows without and with an error; secrets inside error texts are masked."""
     ok = df.where(F.col(error).isNull()).drop(error)

@@ -172,7 +172,10 @@ def _boxes(df: DataFrame, by: str, value: str, whisker: float) -> DataFrame:
 
 
 def box_stats(df: DataFrame, by: str, value: str, whisker: float = 1.5) -> DataFrame:
-    """Quartiles, whisker ends, outlier count, mean and size per group."""
+    """Quartiles, whisker ends, outlier count, mean and size per group.
+
+    The input is read three times (sketch, exact ranks, whiskers); keep it first when it is costly.
+    """
     x = F.col(value)
     known = df.where(F.col(by).isNotNull() & x.isNotNull()).select(by, value)
     fenced = join_small(known, _boxes(known, by, value, whisker), [by])

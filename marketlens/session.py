@@ -17,6 +17,7 @@ def build_session(app: str = "marketlens", master: str | None = None, **conf: st
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)

@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.prices import NO_PRICE, SERIES_EPOCH, cents, series_time
 
@@ -78,7 +79,12 @@ def explode_pages(df: DataFrame, product_schema: str, key: str | None = None) ->
 
 
 def unwrap_details(df: DataFrame, detail_schema: str) -> DataFrame:
-    """Detail responses to one row each with a ``bucket``: ``ok``, ``no_data`` or ``error``."""
+    """Detail responses to one row each with a ``bucket``: ``ok``, ``no_data`` or ``error``.
+
+    The id is the one in the response, or else the one that was asked for.
+    """
+    names = StructType.fromDDL(detail_schema).fieldNames()
+    asin = F.coalesce(F.col("_d.asin"), F.col("asin")) if "asin" in names else F.col("asin")
     data = F.try_variant_get("_body", "$.data", "variant")
     fields = F.try_variant_get("_body", "$.data", "map<string,variant>")
     bucket = (
@@ -97,7 +103,7 @@ def unwrap_details(df: DataFrame, detail_schema: str) -> DataFrame:
         .withColumn("bucket", bucket)
         .withColumn("error", reason)
         .withColumn("_d", detail)
-        .select("asin", "bucket", "error", "_d.*")
+        .select(asin.alias("asin"), "bucket", "error", *[F.col(f"_d.{n}") for n in names if n != "asin"])
     )
 
 

@@ -19,7 +19,11 @@ def request_manifest(keys: DataFrame, pages: int = 3) -> DataFrame:
 
 
 def retry_list(manifest: DataFrame, ok: DataFrame, errors: DataFrame, on: Sequence[str] = ("asin",)) -> DataFrame:
-    """Requests that failed and have not succeeded."""
+    """Requests that failed and have not succeeded.
+
+    Both logs are reduced to distinct keys first, so a key with very many log rows weighs one row
+    in the joins.
+    """
     keys = list(on)
-    failed = manifest.join(errors.select(*keys), keys, "left_semi")
-    return failed.join(ok.select(*keys), keys, "left_anti")
+    failed = manifest.join(errors.select(*keys).distinct(), keys, "left_semi")
+    return failed.join(ok.select(*keys).distinct(), keys, "left_anti")

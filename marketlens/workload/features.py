@@ -22,6 +22,27 @@ def select_existing_query(t):
     return select_existing(t.part, _WANTED)
 
 
+@query(
+    "ensure_columns",
+    "SELECT p_partkey, p_name, 'Unknown' AS product_byline, CAST(0 AS DOUBLE) AS price FROM part",
+)
+def ensure_columns(t):
+    defaults = {"product_byline": ("string", "Unknown"), "price": ("double", 0), "p_name": ("string", "unused")}
+    return C.ensure_columns(t.part.select("p_partkey", "p_name"), defaults)
+
+
+@query("normalize_columns", "SELECT p_partkey AS asin, p_name AS product_title, p_retailprice AS price FROM part")
+def normalize_columns(t):
+    raw = t.part.select("p_partkey", "p_name", "p_retailprice").toDF(" ASIN", "Product_Title ", "PRICE")
+    return C.normalize_columns(raw)
+
+
+@query("pick_column", "SELECT p_partkey, p_retailprice AS price FROM part")
+def pick_column(t):
+    name = C.pick_column(t.part, ["product_price", "p_retailprice"])
+    return t.part.select("p_partkey", F.col(name).alias("price"))
+
+
 _MONEY = (
     "CASE WHEN p_size % 9 = 0 THEN 'None' WHEN p_size % 4 = 0 "
     "THEN concat('$', CAST(p_size AS STRING), ',', CAST(100 + p_partkey % 900 AS STRING), '.50') "

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.merge import merge_history
+from ..plans.ingestion import build_catalog
 from ..sources import envelopes as E
 from ..sources import files, requests
 from .registry import query
@@ -53,6 +54,16 @@ def explode_pages(t):
     return rows.select("q", "page", "asin", "product_title", clean_money(F.col("product_price")).alias("product_price"))
 
 
+@query(
+    "build_catalog",
+    f"WITH {_PAGES_SQL} SELECT CAST(p_partkey AS VARCHAR) AS asin, p_name AS product_title, "
+    "p_retailprice AS product_price, NULL::DOUBLE AS product_original_price, 0e0 AS discount, "
+    "NULL::DOUBLE AS product_star_rating, NULL::DOUBLE AS product_num_ratings FROM kept",
+)
+def build_catalog_query(t):
+    return build_catalog(landed_search(t), "asin string, product_title string, product_price string", key="q")
+
+
 @query(
     "unwrap_details",
     """SELECT CAST(p_partkey AS VARCHAR) AS asin,
@@ -74,10 +85,11 @@ def unwrap_details(t):
 
 def landed_series(t):
     """One price response per line item: its price, a gap 30 days on, a lower price 60 days on."""
-    minutes = F.timestamp_diff("MINUTE", F.lit("2011-01-01").cast("timestamp_ntz"), F.col("l_shipdate"))
+    minutes = F.date_diff(F.col("l_shipdate").cast("date"), F.lit("2011-01-01").cast("date")) * 1440
     cents = F.round(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
-    series = F.array(minutes, cents, minutes + 43200, F.lit(-1).cast("bigint"), minutes + 86400, cents - 100)
-    body = F.to_json(F.struct(F.array(F.struct(F.array(series).alias("csv"))).alias("products")))
+    points = [minutes, cents, minutes + 43200, F.lit(-1), minutes + 86400, cents - 100]
+    series = F.concat_ws(",", *[p.cast("string") for p in points])
+    body = F.concat(F.lit('{"products": [{"csv": [['), series, F.lit("]]}]}"))
     number = F.col("l_linenumber")
     damaged = (
         F.when(number == 1, F.when(F.col("l_returnflag") == "R", '{"message": "none"}').otherwise(body))
@@ -249,6 +261,11 @@ def dup_count(t):
     return Q.count_duplicates(t.lineitem.select("l_partkey", "l_shipdate"))
 
 
+@query("key_counts", "SELECT count(*) AS n_rows, count(DISTINCT l_partkey) AS n_keys FROM lineitem")
+def key_counts(t):
+    return Q.key_counts(t.lineitem, "l_partkey")
+
+
 _NULLABLE = (
     "asin", "product_price", "product_original_price", "sales_volume", "is_prime", "is_amazon_choice", "deal_badge",
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..operators import predict as M
@@ -96,6 +97,30 @@ def silhouette_exact(t):
     return rounded(S.silhouette_rows(points, "vec_id", ["label"]), 6, "silhouette")
 
 
+@query(
+    "silhouette_squared",
+    """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+      g AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(pow(list_distance(a.x, b.x), 2)) AS total, count(*) AS n
+        FROM e a, e b WHERE a.vec_id <> b.vec_id GROUP BY ALL),
+      s AS (SELECT vec_id, max(total / n) FILTER (WHERE own = other) AS a, min(total / n) FILTER (WHERE own <> other) AS b
+        FROM g GROUP BY vec_id)
+      SELECT 'label' AS labels, round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette FROM s""",
+)
+def silhouette_squared(t):
+    points = t.embeddings.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    return rounded(S.silhouette(points, "vec_id", ["label"], metric="squared"), 6, "silhouette")
+
+
+@query(
+    "best_k",
+    """SELECT k FROM (SELECT p_size AS k, round(avg(p_retailprice), 4) AS silhouette FROM part GROUP BY p_size)
+      ORDER BY silhouette DESC, k LIMIT 1""",
+)
+def best_k(t):
+    sweep = t.part.groupBy(F.col("p_size").alias("k")).agg(F.round(F.avg("p_retailprice"), 4).alias("silhouette"))
+    return S.best_k(sweep)
+
+
 @query(
     "relabel_clusters",
     """WITH e AS (SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS price FROM embeddings),
@@ -194,6 +219,39 @@ def regression_metrics(t):
     return rounded(rounded(M.regression_metrics(rows, "y"), 4, "mae", "rmse"), 8, "r2")
 
 
+@query(
+    "linear_fit",
+    """WITH m AS (SELECT covar_pop(l_extendedprice, l_quantity) AS c1, covar_pop(l_extendedprice, l_discount) AS c2,
+        var_pop(l_quantity) AS v1, var_pop(l_discount) AS v2, covar_pop(l_quantity, l_discount) AS c12,
+        avg(l_extendedprice) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2 FROM lineitem),
+      b AS (SELECT (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2, * FROM m)
+      SELECT round(b1, 4) AS b_quantity, round(b2, 3) AS b_discount, round(my - b1 * m1 - b2 * m2, 3) AS intercept FROM b""",
+)
+def linear_fit(t):
+    """Least squares on two features; the coefficients come back as one row."""
+    rows = S.assemble(t.lineitem.select("l_quantity", "l_discount", "l_extendedprice"), ["l_quantity", "l_discount"])
+    model = M.fit_linear(rows, "l_extendedprice")
+    b1, b2 = map(float, model.coefficients)
+    fit = t.spark.createDataFrame([(b1, b2, float(model.intercept))], "b_quantity double, b_discount double, intercept double")
+    return rounded(rounded(fit, 4, "b_quantity"), 3, "b_discount", "intercept")
+
+
+_METRICS_SQL = """round(avg(abs(y - q)), 4) AS mae, round(sqrt(avg((y - q) * (y - q))), 4) AS rmse,
+  round(1 - avg((y - q) * (y - q)) / var_pop(y), 4) AS r2"""
+
+
+@query(
+    "comparison_table",
+    f"""SELECT 'by quantity' AS model, {_METRICS_SQL} FROM (SELECT l_extendedprice AS y, l_quantity * 1500 AS q FROM lineitem)
+      UNION ALL SELECT 'flat', {_METRICS_SQL} FROM (SELECT l_extendedprice AS y, 38000e0 AS q FROM lineitem)""",
+)
+def comparison_table(t):
+    y = F.col("l_extendedprice").alias("y")
+    by_quantity = t.lineitem.select(y, (F.col("l_quantity") * 1500).alias("prediction"))
+    flat = t.lineitem.select(y, F.lit(38000.0).alias("prediction"))
+    return M.model_comparison({"by quantity": by_quantity, "flat": flat}, "y")
+
+
 def _sales(t):
     rows = build_enriched(t.history.select("asin", "date", "price"), t.products)
     return predict_sales(keep(rows.select("asin", MODEL_TARGET, *MODEL_FEATURES)))

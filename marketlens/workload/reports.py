@@ -9,6 +9,7 @@ from ..functions.text import brand_short
 from ..operators import findings as N
 from ..operators import reports as R
 from ..operators.merge import merge_history
+from ..session import keep
 from .registry import query, rounded
 from .tables import BAND_SQL, BOUNDS, HISTORY_SQL, PRODUCTS_SQL, SNAPSHOT_SQL
 
@@ -227,10 +228,35 @@ def column_stats(t):
       FROM snapshot s JOIN b ON s.product_byline = b.product_byline GROUP BY s.product_byline""",
 )
 def box_stats(t):
-    boxes = R.box_stats(t.snapshot, "product_byline", "price")
+    boxes = R.box_stats(keep(t.snapshot.select("product_byline", "price")), "product_byline", "price")
     return rounded(rounded(boxes, 6, "mean"), 8, "q1", "median", "q3")
 
 
+@query(
+    "box_outliers",
+    """WITH b AS (SELECT l_returnflag AS f, quantile_cont(l_extendedprice, 0.25) AS q1,
+        quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem WHERE l_quantity < 10 GROUP BY 1)
+      SELECT l_returnflag, l_extendedprice FROM lineitem JOIN b ON l_returnflag = f
+      WHERE l_quantity < 10 AND l_extendedprice NOT BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)""",
+)
+def box_outliers(t):
+    """Unusually dear small orders by return flag."""
+    return R.box_outliers(t.lineitem.where("l_quantity < 10").select("l_returnflag", "l_extendedprice"), "l_returnflag", "l_extendedprice")
+
+
+@query(
+    "corr_table",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS \"column\", "
+        + ", ".join(f"round(corr({a}, {b}), 3) AS {b}" for b in ("l_quantity", "l_extendedprice", "l_tax"))
+        + " FROM lineitem"
+        for a in ("l_quantity", "l_extendedprice", "l_tax")
+    ),
+)
+def corr_table(t):
+    return R.corr_table(t.lineitem, ["l_quantity", "l_extendedprice", "l_tax"])
+
+
 @query(
     "histogram",
     """WITH s AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS step FROM lineitem),

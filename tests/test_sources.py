@@ -183,3 +183,52 @@ def test_quarantine_masks_keys(spark):
     assert [r.asin for r in ok.collect()] == ["a"]
     assert "SECRET" not in errors.first().error
     assert tuple(Q.error_profile(errors).first()) == (400, 1)
+
+
+def test_review_job_splits_limits_from_errors(spark):
+    from marketlens.plans.ingestion import build_reviews
+
+    good = {"data": [{"text": "t"}]}
+    df = landed(
+        spark,
+        [
+            ("p", 1, 200, None, good), ("p", 2, 429, None, None), ("p", 3, 200, None, good),
+            ("q", 1, 500, None, None), ("q", 2, 200, None, good), ("q", 3, None, "timeout token=abc", None),
+        ],
+    )
+    reviews, errors = build_reviews(df, {"text": "string"})
+    assert sorted((r.asin, r.page) for r in reviews.collect()) == [("p", 1), ("q", 2)]
+    assert sorted(map(tuple, errors.collect())) == [("q", 1, "HTTP 500"), ("q", 3, "timeout token=***")]
+
+
+def test_detail_and_history_jobs(spark):
+    from marketlens.plans.ingestion import build_details, build_history
+
+    df = landed(
+        spark,
+        [("a", 1, 200, None, {"data": {"product_title": "T"}}), ("b", 1, 200, None, {"data": {}}), ("c", 1, 429, None, None)],
+    )
+    details, no_data, errors = build_details(df)
+    assert [r.product_title for r in details.collect()] == ["T"]
+    assert [r.asin for r in no_data.collect()] == ["b"]
+    assert [tuple(r) for r in errors.collect()] == [("c", "HTTP 429")]
+    series = landed(spark, [("a", 1, 200, None, {"products": [{"csv": [[7200000, 150]]}]}), ("b", 1, 200, None, {"products": []})])
+    history, errors = build_history(series, "2024-09-09")
+    assert [(r.asin, r.price) for r in history.collect()] == [("a", 1.5)]
+    assert [r.asin for r in errors.collect()] == ["b"]
+
+
+def test_keep_writes_to_the_shared_folder_when_there_is_one(spark, tmp_path, monkeypatch):
+    from marketlens import session
+
+    monkeypatch.setattr(session, "CHECKPOINT_KEY", "marketlens.tests.folder")
+    cached = session.keep(spark.range(5))
+    assert cached.is_cached
+    session.release(cached)
+    spark.conf.set("marketlens.tests.folder", str(tmp_path))
+    kept = session.keep(spark.range(7).where("id > 1"))
+    spark.conf.unset("marketlens.tests.folder")
+    assert not kept.is_cached and kept.count() == 5
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and "Range" not in plan
+    assert spark.sparkContext.getCheckpointDir() is not None

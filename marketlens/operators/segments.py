@@ -212,27 +212,28 @@ def silhouette(
 
 
 def silhouette_rows(
-    df: DataFrame, id_col: str, labels: Sequence[str], features: str = FEATURES, tile_rows: int = 2048
+    df: DataFrame, id_col: str, labels: Sequence[str], features: str = FEATURES, tile_rows: int = 8192
 ) -> DataFrame:
     """Exact Euclidean silhouette of every row, for several labellings at once.
 
-    Rows are hashed into tiles of about ``tile_rows``; each pair of tiles is one bounded task that
-    turns its distances into sums per row and cluster at once, so no row pair leaves a task. ``id_col`` must
-    be unique. Tiles depend on the id only: a cluster that holds most rows is spread like any other.
+    Rows are hashed into row tiles and, eight times larger, into column tiles. Each pair of a row
+    tile and a column tile is one bounded task that turns its distances into sums per row and
+    cluster at once, so no row pair leaves a task. ``id_col`` must be unique. Tiles depend on the id
+    only: a cluster that holds most rows is spread like any other.
     """
     labels = list(labels)
     types = dict(df.dtypes)
     vector = F.col(features) if types[features].startswith("array") else _as_array(features)
-    tiles = max(1, math.ceil(df.count() / tile_rows))
+    rows = df.count()
+    row_tiles = max(1, math.ceil(rows / tile_rows))
+    column_tiles = max(1, math.ceil(rows / (8 * tile_rows)))
     points = df.select(
-        F.col(id_col).alias("id"),
-        vector.alias("x"),
-        F.array(*[F.col(c).cast("int") for c in labels]).alias("y"),
-        F.pmod(F.xxhash64(id_col), F.lit(tiles)).cast("int").alias("tile"),
+        F.col(id_col).alias("id"), vector.alias("x"), F.array(*[F.col(c).cast("int") for c in labels]).alias("y")
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
-    left = points.withColumnRenamed("tile", "a").withColumn("b", every)
-    right = points.withColumnRenamed("tile", "b").withColumn("a", every)
+    tile = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = points.withColumn("a", tile(row_tiles, 1)).withColumn("b", every(column_tiles))
+    right = points.withColumn("b", tile(column_tiles, 2)).withColumn("a", every(row_tiles))
     id_type = dict(points.dtypes)["id"]
     sums = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(
         _tile_function(), f"id {id_type}, labelling int, cluster int, own boolean, n bigint, total double"
@@ -264,27 +265,26 @@ def _tile_function():
         if a.empty or b.empty:
             return pd.DataFrame({c: [] for c in columns})
         xa, xb = np.stack(a["x"].to_numpy()).astype(float), np.stack(b["x"].to_numpy()).astype(float)
-        squared = (xa**2).sum(1)[:, None] + (xb**2).sum(1)[None, :] - 2 * xa @ xb.T
-        distance = np.sqrt(np.maximum(squared, 0.0))
-        distance[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = 0.0
         ya, yb = np.stack(a["y"].to_numpy()), np.stack(b["y"].to_numpy())
-        parts = []
-        for j in range(ya.shape[1]):
-            for cluster in np.unique(yb[:, j]):
-                members = yb[:, j] == cluster
-                parts.append(
-                    pd.DataFrame(
-                        {
-                            "id": a["id"],
-                            "labelling": j,
-                            "cluster": int(cluster),
-                            "own": ya[:, j] == cluster,
-                            "n": int(members.sum()),
-                            "total": distance[:, members].sum(1),
-                        }
-                    )
-                )
-        return pd.concat(parts, ignore_index=True)[columns]
+        ida, idb = a["id"].to_numpy(), b["id"].to_numpy()
+        clusters = [(j, c) for j in range(yb.shape[1]) for c in np.unique(yb[:, j])]
+        member = np.stack([yb[:, j] == c for j, c in clusters], axis=1)
+        weights, sizes, norms = member.astype(float), member.sum(0), (xb**2).sum(1)
+        totals = np.empty((len(xa), len(clusters)))
+        chunk = max(1, (1 << 23) // len(xb))  # at most 64 MB of distances at a time
+        for start in range(0, len(xa), chunk):
+            part = slice(start, start + chunk)
+            squared = (xa[part] ** 2).sum(1)[:, None] + norms[None, :] - 2 * xa[part] @ xb.T
+            distance = np.sqrt(np.maximum(squared, 0.0))
+            distance[ida[part][:, None] == idb[None, :]] = 0.0
+            totals[part] = distance @ weights
+        out = [
+            pd.DataFrame(
+                {"id": a["id"], "labelling": j, "cluster": int(c), "own": ya[:, j] == c, "n": int(sizes[i]), "total": totals[:, i]}
+            )
+            for i, (j, c) in enumerate(clusters)
+        ]
+        return pd.concat(out, ignore_index=True)[columns]
 
     return tile_sums
 

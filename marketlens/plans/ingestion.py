@@ -48,6 +48,9 @@ def build_reviews(
     limited = F.coalesce(F.col("status_code") == rate_limit, F.lit(False))
     kept = E.cut_after_first(landed, "asin", "page", limited)
     failed = E.request_failed(kept)
-    reason = F.coalesce(F.col("error"), F.format_string("HTTP %d", F.col("status_code")))
-    errors = quarantine(kept.where(failed).select("asin", "page", reason.alias("error")))[1]
+    unreadable = ~failed & ~E.holds_reviews(F.col("body"))
+    reason = F.when(unreadable, "unreadable response").otherwise(
+        F.coalesce(F.col("error"), F.format_string("HTTP %d", F.col("status_code")))
+    )
+    errors = quarantine(kept.where(failed | unreadable).select("asin", "page", reason.alias("error")))[1]
     return E.flatten_reviews(kept.where(~failed), fields), errors

@@ -155,11 +155,19 @@ def decode_price_series(df: DataFrame, as_of: str | datetime, days: int = 365) -
     )
 
 
+def holds_reviews(body: Column) -> Column:
+    """True for a readable response whose ``data`` is a list, an object, or left out."""
+    parsed = F.try_parse_json(body)
+    kind = F.schema_of_variant(F.try_variant_get(parsed, "$.data", "variant"))
+    return parsed.isNotNull() & F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(True))
+
+
 def flatten_reviews(df: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
     """Review responses, whose ``data`` mixes objects and plain values, to one row per review.
 
     Objects keep their JSON in ``record`` (and the named ``fields`` as typed columns); plain values
-    go to ``review``. When ``data`` itself is an object, each of its keys is a review.
+    go to ``review``. When ``data`` itself is an object, each of its keys is a review. Other
+    ``data`` gives no rows (see ``holds_reviews``).
     """
     spark = df.sparkSession
     data = F.try_variant_get(F.try_parse_json("body"), "$.data", "variant")

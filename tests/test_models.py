@@ -33,7 +33,7 @@ def brute_silhouette(x, y):
     return np.array(out)
 
 
-@pytest.mark.parametrize("tile_rows", [7, 1000])
+@pytest.mark.parametrize("tile_rows", [2, 7, 1000])
 def test_silhouette_of_several_labellings(spark, tile_rows):
     x, y = blobs()
     other = (np.arange(len(x)) % 4 == 0).astype(int)

@@ -194,11 +194,14 @@ def test_review_job_splits_limits_from_errors(spark):
         [
             ("p", 1, 200, None, good), ("p", 2, 429, None, None), ("p", 3, 200, None, good),
             ("q", 1, 500, None, None), ("q", 2, 200, None, good), ("q", 3, None, "timeout token=abc", None),
+            ("r", 1, 200, None, "<html>"), ("r", 2, 200, None, {"data": None}), ("r", 3, 200, None, {}),
         ],
     )
     reviews, errors = build_reviews(df, {"text": "string"})
     assert sorted((r.asin, r.page) for r in reviews.collect()) == [("p", 1), ("q", 2)]
-    assert sorted(map(tuple, errors.collect())) == [("q", 1, "HTTP 500"), ("q", 3, "timeout token=***")]
+    assert sorted(map(tuple, errors.collect())) == [
+        ("q", 1, "HTTP 500"), ("q", 3, "timeout token=***"), ("r", 1, "unreadable response"), ("r", 2, "unreadable response"),
+    ]
 
 
 def test_detail_and_history_jobs(spark):

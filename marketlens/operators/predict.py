@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.ml.regression import (
     LinearRegression,
@@ -10,7 +12,7 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .segments import assemble
@@ -34,33 +36,39 @@ def group_split(
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` with every row of a key on one side and ``ceil(share * keys)`` test keys.
 
-    The test keys are those with the smallest digests. Only the digest of the last one is needed:
-    it is found exactly from counts per digest prefix and a sort inside a single prefix, so neither
-    the keys nor the rows pass through one task. The split itself is a filter on the rows.
+    The test keys are those with the smallest digests. Only the last of them has to be known: it is
+    found exactly from counts per digest prefix and a sort inside a single prefix, so neither the
+    keys nor the rows pass through one task. The split itself is a filter on the rows. Rows without
+    a key are left out.
     """
-    last = _last_test_key(df, key, test_share, seed, digest).scalar()
-    at = F.struct(key_digest(key, seed, digest).alias("d"), F.col(key).cast("string").alias("k"))
     known = df.where(F.col(key).isNotNull())
-    return known.where(at > last), known.where(at <= last)
+    last = _last_test_key(known, key, test_share, seed, digest)
+    if last is None:
+        return known, known.where(F.lit(False))
+    at = F.struct(key_digest(key, seed, digest).alias("d"), F.col(key).cast("string").alias("k"))
+    bound = F.struct(F.lit(last[0]).alias("d"), F.lit(last[1]).alias("k"))
+    return known.where(at > bound), known.where(at <= bound)
 
 
 _PREFIX = 4  # hexadecimal digits: at most 65,536 counters
 
 
-def _last_test_key(df: DataFrame, key: str, share: float, seed: int, digest: str) -> DataFrame:
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    keys = keys.select(
+def _last_test_key(known: DataFrame, key: str, share: float, seed: int, digest: str) -> tuple[str, str] | None:
+    keys = known.select(key).distinct().select(
         key_digest(key, seed, digest).alias("d"), F.col(key).cast("string").alias("k")
-    ).withColumn("p", F.substring("d", 1, _PREFIX))
-    counts = keys.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
+    )
+    prefix = F.substring("d", 1, _PREFIX)
+    counts = sorted(keys.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
     # exact arithmetic: 0.2 * 10 must give 2, not the next whole number
-    wanted = F.ceil(F.sum("c").over(Window.partitionBy()) * F.lit(str(share)).cast("decimal(9,8)"))
-    ranked = counts.select("p", "c", F.sum("c").over(Window.orderBy("p")).alias("cum"), wanted.alias("m"))
-    holds_last = (F.col("cum") >= F.col("m")) & (F.col("cum") - F.col("c") < F.col("m"))
-    target = ranked.where(holds_last).select(F.struct("p", (F.col("m") - F.col("cum") + F.col("c")).alias("r")))
-    inside = keys.withColumn("_t", target.scalar()).where(F.col("p") == F.col("_t.p"))
-    rn = F.row_number().over(Window.partitionBy("p").orderBy("d", "k"))
-    return inside.withColumn("_rn", rn).where(F.col("_rn") == F.col("_t.r")).select(F.struct("d", "k"))
+    left = math.ceil(sum(n for _, n in counts) * Decimal(str(share)))
+    for p, n in counts:
+        if left <= n:
+            break
+        left -= n
+    if left == 0 or not counts:
+        return None
+    inside = keys.where(prefix == p).orderBy("d", "k").limit(left)
+    return tuple(inside.agg(F.max(F.struct("d", "k")).alias("last")).first()["last"])
 
 
 def fit_scaling(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:

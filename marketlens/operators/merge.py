@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import keep
 
 SMALL_ROWS = 100_000
+SMALL_BYTES = 64 * 1024 * 1024
 
 
 def merge_history(history: DataFrame, details: DataFrame, key: str = "asin", salts: int = 1) -> DataFrame:
@@ -38,13 +39,16 @@ def merge_history(history: DataFrame, details: DataFrame, key: str = "asin", sal
 def join_small(
     df: DataFrame, side: DataFrame, on: Sequence[str], how: str = "inner", max_rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """Join a side that is expected to be small: counted first, broadcast only when it is.
+    """Join a side that is expected to be small: measured first, broadcast only when it is.
 
-    A side above ``max_rows`` is joined by shuffle, where Spark splits skewed partitions. Null keys
+    A side above ``max_rows`` rows or 64 MB of text is joined by shuffle, where Spark splits skewed partitions. Null keys
     match null keys.
     """
     side = keep(side.withColumnsRenamed({c: f"_side_{c}" for c in on}))
-    small = side.count() <= max_rows
+    size = side.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*side.columns)))).alias("b")
+    ).first()
+    small = size["n"] <= max_rows and (size["b"] or 0) <= SMALL_BYTES
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"_side_{c}"))

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import http_status, redact
+from .latest import first_row
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per key in ``order``; rows with a null key form one group.
 
-    Spark cuts each input partition to one row per key before the shuffle, so a key that holds a
-    third of the rows sends one row per task. A hash leads the partition keys: long text keys are
-    then compared in full only when their hashes agree.
+    Each task keeps one row per key before the shuffle, so a key that holds a third of the rows
+    sends one row per task. A hash leads the grouping: long text keys are then compared in full
+    only when their hashes agree.
     """
-    by_key = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(by_key)).where("_rn = 1").drop("_rn")
+    grouping = [F.xxhash64(*keys).alias("_h"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]]
+    return first_row(df, grouping, F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)]))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

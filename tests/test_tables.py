@@ -96,6 +96,24 @@ def test_latest_row_takes_first_of_equal_dates(spark):
     assert [(r.k, r.i) for r in latest_row(df, "k", "t", ["i"]).collect()] == [("a", 4)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint", "double", "decimal(12,2)", "string"])
+def test_latest_row_by_every_kind_of_order(spark, kind):
+    df = spark.range(60).select(
+        (F.col("id") % 3).alias("k"), (F.col("id") * 7 % 20).alias("n"), "id", F.when(F.col("id") % 5 == 0, "x").alias("note")
+    )
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        moment = F.lit("1969-12-25").cast("date") + F.col("n").cast("int")
+        df = df.withColumn("t", moment.cast(kind))
+    else:
+        df = df.withColumn("t", F.lpad(F.col("n").cast("string"), 2, "0").cast(kind))
+    got = {r.k: (r.n, r.id, r.note) for r in latest_row(df, "k", "t", ["id"]).collect()}
+    want = {}
+    for r in df.orderBy(F.col("n").desc(), "id").collect():
+        want.setdefault(r.k, (r.n, r.id, r.note))
+    assert got == want
+    assert latest_row(df, "k", "t", ["id"]).columns == df.columns
+
+
 def test_both_modes_agree_without_nulls(spark):
     rows = [(k, t, i, x, y) for k, t, i, x, y in random_history(5) if None not in (k, t, x, y)]
     rows = [(k, t * 1000 + i, i, x, y) for k, t, i, x, y in rows]
@@ -114,7 +132,9 @@ def plan_of(df):
 def test_latest_and_dedup_cut_rows_before_the_shuffle(spark):
     df = spark.createDataFrame(random_history(1), "k string, t bigint, tie int, x double, y int")
     for frame in (latest_row(df, "k", "t", ["tie"]), Q.drop_duplicates(df, ["k"], ["tie"])):
-        assert "WindowGroupLimit" in plan_of(frame) and "Partial" in plan_of(frame)
+        assert "partial_min_by" in plan_of(frame)
+    by_text = latest_row(df.withColumn("t", F.col("t").cast("string")), "k", "t", ["tie"])
+    assert "WindowGroupLimit" in plan_of(by_text) and "Partial" in plan_of(by_text)
     assert "partial_max_by" in plan_of(latest_columns(df, "k", "t", ["tie"]))
 
 

@@ -233,7 +233,10 @@ def silhouette_rows(
     tile = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = points.withColumn("a", tile(row_tiles, 1)).withColumn("b", every(column_tiles))
-    right = points.withColumn("b", tile(column_tiles, 2)).withColumn("a", every(row_tiles))
+    # own names keep the two sides apart in the plan, which otherwise prunes one by the other's needs
+    right = points.withColumn("b", tile(column_tiles, 2)).select(
+        F.col("id").alias("id_b"), F.col("x").alias("x_b"), F.col("y").alias("y_b"), F.col("b"), every(row_tiles).alias("a")
+    )
     id_type = dict(points.dtypes)["id"]
     sums = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(
         _tile_function(), f"id {id_type}, labelling int, cluster int, own boolean, n bigint, total double"
@@ -264,9 +267,9 @@ def _tile_function():
         columns = ["id", "labelling", "cluster", "own", "n", "total"]
         if a.empty or b.empty:
             return pd.DataFrame({c: [] for c in columns})
-        xa, xb = np.stack(a["x"].to_numpy()).astype(float), np.stack(b["x"].to_numpy()).astype(float)
-        ya, yb = np.stack(a["y"].to_numpy()), np.stack(b["y"].to_numpy())
-        ida, idb = a["id"].to_numpy(), b["id"].to_numpy()
+        xa, xb = np.stack(a["x"].to_numpy()).astype(float), np.stack(b["x_b"].to_numpy()).astype(float)
+        ya, yb = np.stack(a["y"].to_numpy()), np.stack(b["y_b"].to_numpy())
+        ida, idb = a["id"].to_numpy(), b["id_b"].to_numpy()
         clusters = [(j, c) for j in range(yb.shape[1]) for c in np.unique(yb[:, j])]
         member = np.stack([yb[:, j] == c for j, c in clusters], axis=1)
         weights, sizes, norms = member.astype(float), member.sum(0), (xb**2).sum(1)

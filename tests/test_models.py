@@ -48,6 +48,12 @@ def test_silhouette_of_several_labellings(spark, tile_rows):
         assert [got[(name, i)] for i in range(len(x))] == pytest.approx(want.tolist())
 
 
+def test_silhouette_rows_can_be_counted(spark):
+    x, y = blobs()
+    df = spark.createDataFrame([(i, x[i].tolist(), int(y[i])) for i in range(len(x))], "id int, features array<double>, y int")
+    assert S.silhouette_rows(df, "id", ["y"]).count() == len(x)
+
+
 def test_silhouette_metrics(spark):
     x, y = blobs()
     df = spark.createDataFrame([(i, Vectors.dense(x[i]), int(y[i])) for i in range(len(x))], ["id", "features", "y"])

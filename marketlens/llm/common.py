@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.session import keep
 
-__all__ = ["buckets_for", "keep", "private", "table", "text_bytes", "token_ids", "WordHash"]
+__all__ = ["arrow_map", "buckets_for", "keep", "mix", "private", "table", "text_bytes", "token_ids", "WordHash"]
+
+_ARROW = {
+    "int": pa.int32(), "long": pa.int64(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
+    "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +30,20 @@ def private(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(own) for own, source in columns.items()))
 
 
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
+    """``mapInArrow`` with batches as dicts of lists: nulls stay None and whole numbers stay whole.
+
+    ``fn`` turns an iterator of batches into one of batches, for a whole partition."""
+    fields = [c.split(" ", 1) for c in schema.split(", ")]
+    out = pa.schema([(name, _ARROW[kind]) for name, kind in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in fn(b.to_pydict() for b in batches):
+            yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in out], schema=out)
+
+    return df.mapInArrow(run, schema)
+
+
 def text_bytes(docs: DataFrame) -> int:
     """UTF-8 bytes of all texts: what bucket counts are derived from."""
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

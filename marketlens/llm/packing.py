@@ -14,12 +14,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import private, table, token_ids
+from .common import arrow_map, private, table, token_ids
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -141,31 +140,29 @@ def pack_documents(
     than the named ones are ignored. An empty table gives no pieces.
     """
     limits = (max_tokens, max_segments, max_loss or max_tokens, pool)
-    loss_from = F.col(f"`{loss_from_col}`") if loss_from_col else F.lit(0)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
         packer, first = Packer(*limits), TaskContext.get().partitionId() << 40
 
-        def frame(rows: list[tuple]) -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
-            out["sequence_id"] += first
-            return out
+        def frame(rows: list[tuple]) -> dict:
+            out = dict(zip((c.split()[0] for c in schema.split(", ")), zip(*rows)))
+            return out | {"sequence_id": [first + s for s in out["sequence_id"]]}
 
+        rows: list[tuple] = []
         for batch in batches:
-            rows: list[tuple] = []
             for doc_id, text, skip in zip(batch["doc_id"], batch["text"], batch["loss_from"]):
                 rows.extend(packer.add(doc_id, token_ids(text, vocabulary, end_id), skip))
                 if len(rows) >= 20_000:
                     yield frame(rows)
                     rows = []
-            if rows:
-                yield frame(rows)
-        if rows := list(packer.finish()):
+        rows.extend(packer.finish())
+        if rows:
             yield frame(rows)
 
     own = private(docs, doc_id=id_col, text=text_col) if not loss_from_col else private(docs, doc_id=id_col, text=text_col, loss_from=loss_from_col)
-    own = own.withColumn("loss_from", F.coalesce("loss_from", F.lit(0)) if loss_from_col else loss_from)
-    return own.mapInPandas(run, PIECES)
+    own = own.withColumn("loss_from", F.coalesce("loss_from", F.lit(0)) if loss_from_col else F.lit(0))
+    schema = PIECES.replace("doc_id long", f"doc_id {dict(own.dtypes)['doc_id']}")
+    return arrow_map(own, run, schema)
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:

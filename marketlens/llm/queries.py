@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import packing, sharding
+from . import decontamination, langid, packing, sharding
 
 QUERIES = {
     "op2_lpt_sharding": sharding.op2_lpt_sharding,
     "op5_vector_packing": packing.op5_vector_packing,
+    "op6_winnowing_decontamination": decontamination.op6_winnowing_decontamination,
+    "op8_rank_order_langid": langid.op8_rank_order_langid,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_winnowing_decontamination": decontamination.ORACLE,
+}

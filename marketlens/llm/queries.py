@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontamination, langid, packing, sharding
+from . import decontamination, fingerprints, langid, packing, pii, sharding
 
 QUERIES = {
     "op2_lpt_sharding": sharding.op2_lpt_sharding,
     "op5_vector_packing": packing.op5_vector_packing,
     "op6_winnowing_decontamination": decontamination.op6_winnowing_decontamination,
     "op8_rank_order_langid": langid.op8_rank_order_langid,
+    "op9_skipchain_crf_pii": pii.op9_skipchain_crf_pii,
+    "op10_multiset_fingerprint": fingerprints.op10_multiset_fingerprint,
 }
 
 ORACLES: dict[str, str] = {

@@ -5,8 +5,8 @@ A text is the multiset of its paragraphs, long ones cut after sentences. Each pa
 21-bit counters, each number modulo 2^62, and the number of paragraphs. Order does not matter, adding or
 taking away a paragraph adds or subtracts its vector, and equal texts have equal fingerprints.
 
-Read as votes (a 1 bit is +1, a 0 bit is -1) the difference of two sums has, in each of the 126 places,
-an expected square equal to the number of paragraphs that only one side has; that gives the likeness.
+Read as votes (a 1 bit is +1, a 0 bit is -1) the product of two sums has, in each of the 126 places, an
+expected value equal to the number of paragraphs that both sides have; that gives the likeness.
 """
 
 from __future__ import annotations
@@ -57,16 +57,20 @@ def delete(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: (x - y).bitwiseAND(F.lit(_MASK)))
 
 
+def votes(a: Column) -> Column:
+    """The 126 signed sums of a fingerprint: ones minus zeros in each place."""
+    n = F.get(a, F.lit(2 * SHIFTS))
+    ones = lambda x, at: F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << 21) - 1))
+    return F.flatten(F.transform(F.slice(a, 1, 2 * SHIFTS), lambda x: F.array(*((2 * ones(x, at) - n).cast("double") for at in (0, 21, 42)))))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """1 minus the estimated share of paragraphs that only one side has; 1 for equal fingerprints, and
-    for two empty texts."""
-    apart = lambda x, y, at: F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << 21) - 1)) - F.shiftrightunsigned(y, at).bitwiseAND(F.lit((1 << 21) - 1))
-    more = F.get(a, F.lit(2 * SHIFTS)) - F.get(b, F.lit(2 * SHIFTS))
-    square = lambda d: F.pow(2 * d - more, F.lit(2))
-    each = F.zip_with(F.slice(a, 1, 2 * SHIFTS), F.slice(b, 1, 2 * SHIFTS), lambda x, y: sum((square(apart(x, y, at)) for at in (21, 42)), square(apart(x, y, 0))))
-    total = F.aggregate(each, F.lit(0.0), lambda t, v: t + v) / (6 * SHIFTS)
-    size = F.get(a, F.lit(2 * SHIFTS)) + F.get(b, F.lit(2 * SHIFTS))
-    return F.when((a == b) | (size == 0), 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - total / size)))
+    """``2 a.b / (a.a + b.b)`` of the votes, which estimates the share of paragraphs in common (repeated
+    ones weigh by the square of their number); 0 at least, 1 for equal fingerprints and two empty texts."""
+    a_sum, b_sum, both = (
+        F.aggregate(F.zip_with(votes(x), votes(y), lambda p, q: p * q), F.lit(0.0), lambda t, v: t + v) for x, y in ((a, a), (b, b), (a, b))
+    )
+    return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.coalesce(F.try_divide(2 * both, a_sum + b_sum), F.lit(1.0))))
 
 
 def as_text(a: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, langid, packing, pii, sharding
+from . import decontamination, fingerprints, langid, packing, pii, sharding, threads
 
 QUERIES = {
     "op2_lpt_sharding": sharding.op2_lpt_sharding,
+    "op3_quote_threads": threads.op3_quote_threads,
     "op5_vector_packing": packing.op5_vector_packing,
     "op6_winnowing_decontamination": decontamination.op6_winnowing_decontamination,
     "op8_rank_order_langid": langid.op8_rank_order_langid,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_quote_threads": threads.ORACLE,
     "op6_winnowing_decontamination": decontamination.ORACLE,
 }

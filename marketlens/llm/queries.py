@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, langid, packing, pii, sharding, threads
+from . import decontamination, fingerprints, langid, packing, pii, quality, sharding, threads
 
 QUERIES = {
     "op2_lpt_sharding": sharding.op2_lpt_sharding,
     "op3_quote_threads": threads.op3_quote_threads,
+    "op4_kneser_ney_quality": quality.op4_kneser_ney_quality,
     "op5_vector_packing": packing.op5_vector_packing,
     "op6_winnowing_decontamination": decontamination.op6_winnowing_decontamination,
     "op8_rank_order_langid": langid.op8_rank_order_langid,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, langid, packing, pii, quality, sharding, threads
+from . import decontamination, fingerprints, jaccard, langid, packing, pii, quality, sharding, threads
 
 QUERIES = {
+    "op1_ngram_jaccard_join": jaccard.op1_ngram_jaccard_join,
     "op2_lpt_sharding": sharding.op2_lpt_sharding,
     "op3_quote_threads": threads.op3_quote_threads,
     "op4_kneser_ney_quality": quality.op4_kneser_ney_quality,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": jaccard.ORACLE,
     "op3_quote_threads": threads.ORACLE,
     "op6_winnowing_decontamination": decontamination.ORACLE,
 }

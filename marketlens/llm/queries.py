@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, jaccard, langid, packing, pii, quality, sharding, threads
+from . import decontamination, fingerprints, jaccard, langid, maxent, packing, pii, quality, sharding, threads
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard.op1_ngram_jaccard_join,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_kneser_ney_quality": quality.op4_kneser_ney_quality,
     "op5_vector_packing": packing.op5_vector_packing,
     "op6_winnowing_decontamination": decontamination.op6_winnowing_decontamination,
+    "op7_maxent_lm": maxent.op7_maxent_lm,
     "op8_rank_order_langid": langid.op8_rank_order_langid,
     "op9_skipchain_crf_pii": pii.op9_skipchain_crf_pii,
     "op10_multiset_fingerprint": fingerprints.op10_multiset_fingerprint,

@@ -77,33 +77,32 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds ``next_<column>`` of the following row by descending ``doc_id`` (ties: by text; nulls last),
-    the first row's for the last row.
-
-    Ids are dealt into ranges by their quantiles, so that each range is one ordered window. The first
-    row of each range is also put at the end of the range before it, one row for each range.
-    """
+def ring(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``range`` and ``extra``: ids are dealt into ranges by their quantiles,
+    and the first row of each range (of the largest id) comes once more, marked extra, as the end of the
+    range before it, that of the first range as the end of the last. One extra row for each range."""
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 100 * ranges)).first()[0] if ranges > 1 else None
     docs = docs.withColumn("range", _range(F.col("doc_id"), sorted(set(cuts or []), reverse=True)))
     heads = docs.groupBy("range").agg(F.max("doc_id").alias("doc_id")).orderBy("range").collect()  # a row for each range
+    whole = docs.withColumn("extra", F.lit(0))
     if not heads:
-        return docs.drop("range").select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
-    ring = [(heads[(k + 1) % len(heads)].doc_id, h.range) for k, h in enumerate(heads)]
-    ring_df = F.broadcast(spark.createDataFrame(ring, f"head {dict(docs.dtypes)['doc_id']}, before int"))
+        return whole
+    after = [(heads[(k + 1) % len(heads)].doc_id, h.range) for k, h in enumerate(heads)]
+    links = F.broadcast(spark.createDataFrame(after, f"head {dict(docs.dtypes)['doc_id']}, before int"))
     extra = (
-        docs.join(ring_df, F.col("doc_id").eqNullSafe(F.col("head")))
-        .groupBy("before").agg(F.min_by(F.struct("doc_id", *columns), F.struct("text")).alias("row"))
-        .select("row.*", F.col("before").alias("range"), F.lit(1).alias("extra"))
+        docs.join(links, F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("before").agg(F.max("doc_id").alias("doc_id"), F.min("text").alias("text"))
+        .select("doc_id", "text", F.col("before").alias("range"), F.lit(1).alias("extra"))
     )
+    return whole.unionByName(extra)
+
+
+def following(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``ring`` that are not extra, with ``next_<column>`` of the following row by descending
+    ``doc_id`` (ties: by text; nulls last); each range is one ordered window."""
     order = Window.partitionBy("range").orderBy("extra", F.col("doc_id").desc_nulls_last(), "text")
-    both = docs.withColumn("extra", F.lit(0)).unionByName(extra)
-    return (
-        both.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
-        .where("extra = 0").drop("extra", "range")
-    )
+    return rows.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).where("extra = 0").drop("extra", "range")
 
 
 def _range(doc_id: Column, cuts: list) -> Column:
@@ -125,7 +124,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document. One document alone is its own next. Repeated rows stay. Other columns are ignored.
     """
     docs = private(docs, doc_id="doc_id", text="text").withColumn("text", F.coalesce("text", F.lit("")))
-    docs = with_next(fingerprint(docs, "text", "own"), ["text", "own"])
+    docs = following(fingerprint(ring(docs), "text", "own"), ["text", "own"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     docs = fingerprint(docs.withColumn("edited", edited), "edited", "changed")

@@ -119,7 +119,7 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2): set size and 128-bit digest of each row's set."""
+    """(doc_id, text_key, n_shingles, s1, s2): set size and 128-bit digest of each row's set."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
@@ -129,9 +129,9 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
             flat = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield {"doc_id": b["doc_id"], "n_shingles": sizes, "s1": flat[:, 0], "s2": flat[:, 1]}
+            yield {"doc_id": b["doc_id"], "text_key": b["text_key"], "n_shingles": sizes, "s1": flat[:, 0], "s2": flat[:, 1]}
 
-    return arrow_map(docs, run, "doc_id long, n_shingles long, s1 long, s2 long")
+    return arrow_map(docs, run, "doc_id long, text_key long, n_shingles long, s1 long, s2 long")
 
 
 def _keys(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -245,7 +245,8 @@ def classes(links: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int = 100, block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one per row of ``docs``; ids are whole numbers.
+    """Rows (doc_id, n_shingles, component_id, text_key), one per row of ``docs``; ids are whole numbers,
+    ``text_key`` is a hash of the text.
 
     Words are runs of other than ASCII white space, A-Z lower-cased; two sets link when their
     intersection is at least ``num / den`` of their union. ``component_id`` is the smallest id reachable
@@ -255,11 +256,12 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     """
     bands = Bands(num, den)
     docs = private(docs, doc_id=id_col, text=text_col)
-    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    own_id = F.col("doc_id").cast("long").alias("doc_id")
+    raw = docs.select(own_id, F.col("text").cast("binary").alias("text"))
     spark = docs.sparkSession
-    sets = keep(_sets(raw, width))
+    sets = keep(_sets(docs.select(own_id, F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text")), width))
     reps = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    named = keep(sets.join(reps, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
+    named = keep(sets.join(reps, ["s1", "s2"], "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     rep_of = lambda doc, rep: named.where("n_shingles > 0").select(F.col("doc_id").alias(doc), F.col("rep").alias(rep)).distinct()
 
     parts = buckets_for(spark, text_bytes(docs), 16_000_000)
@@ -287,7 +289,7 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     links = keep(links.union(verify.links(_open_pairs(members, labels, stars))))
     labels = classes(links)
     out = named.join(labels, F.col("rep") == F.col("node"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"), "text_key")
 
 
 def _open_pairs(members: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
@@ -307,7 +309,7 @@ def _open_pairs(members: DataFrame, labels: DataFrame, done: DataFrame) -> DataF
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(table(spark, sf_dir, "documents"))
+    return jaccard_classes(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 _WORDS_SQL = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"

@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -288,6 +289,28 @@ def redact(text: str | None, spans: list[Span]) -> str | None:
     return "".join(out) + text[done:]
 
 
+def redact_documents(docs: DataFrame, potentials: Potentials) -> DataFrame:
+    """``docs`` with all spans of ``text`` replaced, and ``n_chars`` set to the new length where the column
+    is there. All other columns are passed through as they are; null texts stay null."""
+    model = docs.sparkSession.sparkContext.broadcast(potentials)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, old = batch.schema.get_field_index("text"), batch.column("text").to_pylist()
+            new = []
+            for text in old:
+                base = base_spans(text) if text else []
+                new.append(redact(text, base + (model.value.added(text, base) if text and _MARK.search(text) else [])))
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
+            if (size := batch.schema.get_field_index("n_chars")) >= 0:
+                kind, was = batch.schema.field(size), batch.column(size).to_pylist()
+                sizes = [n if a == b else len(b) for a, b, n in zip(old, new, was)]
+                batch = batch.set_column(size, kind, pa.array(sizes, kind.type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_skipchain_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     spans = find(docs, fit(docs))

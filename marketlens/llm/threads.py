@@ -93,15 +93,21 @@ def link_quotes(
 
 def _roots(nodes: DataFrame) -> DataFrame:
     """(scope, msg, parent, n_linked) with ``thread`` and ``depth``, by doubling the steps taken. A parent
-    is earlier than its child, so there are no rings."""
-    at = keep(nodes.select("*", F.coalesce("parent", "msg").alias("thread"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth")))
+    is earlier than its child, so there are no rings. A row is done when it has reached a message without
+    a parent; only the others are joined again."""
+    columns = [*KEY, "parent", "n_linked", "thread", "depth"]
+    done, at = None, keep(nodes.select("*", F.coalesce("parent", "msg").alias("thread"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth"), F.col("parent").isNotNull().alias("open")))
     while True:
-        above = at.select(F.col("scope").alias("s"), F.col("msg").alias("m"), F.col("thread").alias("t"), F.col("depth").alias("d"))
-        doubled = at.join(above, (F.col("scope") == F.col("s")) & (F.col("thread") == F.col("m")))
-        doubled = keep(doubled.select(*KEY, "parent", "n_linked", F.col("t").alias("thread"), (F.col("depth") + F.col("d")).alias("depth"), F.col("d").alias("went")))
-        if not doubled.where("went > 0").limit(1).count():
-            return doubled.drop("went")
-        at = doubled.drop("went")
+        closed = at.where("NOT open").select(*columns)
+        done = closed if done is None else done.unionByName(closed)
+        open_ = at.where("open")
+        if not open_.limit(1).count():
+            return done
+        # Where the open rows have come to: another open row, or one that is done.
+        above = done.select(*KEY, "thread", "depth", F.lit(False).alias("open")).unionByName(open_.select(*KEY, "thread", "depth", "open"))
+        above = above.select(F.col("scope").alias("s"), F.col("msg").alias("m"), F.col("thread").alias("t"), F.col("depth").alias("d"), F.col("open").alias("o"))
+        went = open_.drop("open").join(above, (F.col("scope") == F.col("s")) & (F.col("thread") == F.col("m")))
+        at = keep(went.select(*KEY, "parent", "n_linked", F.col("t").alias("thread"), (F.col("depth") + F.col("d")).alias("depth"), F.col("o").alias("open")))
 
 
 def _positions(rows: DataFrame, span: int = 4096) -> DataFrame:

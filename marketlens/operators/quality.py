@@ -14,12 +14,9 @@ from .latest import first_row
 def drop_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row per key in ``order``; rows with a null key form one group.
 
-    Each task keeps one row per key before the shuffle, so a key that holds a third of the rows
-    sends one row per task. A hash leads the grouping: long text keys are then compared in full
-    only when their hashes agree.
+    A key that holds a third of the rows sends one short record per task; see ``first_row``.
     """
-    grouping = [F.xxhash64(*keys).alias("_h"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]]
-    return first_row(df, grouping, F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)]))
+    return first_row(df, keys, order)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -134,7 +134,7 @@ def test_latest_and_dedup_cut_rows_before_the_shuffle(spark):
     for frame in (latest_row(df, "k", "t", ["tie"]), Q.drop_duplicates(df, ["k"], ["tie"])):
         assert "partial_min_by" in plan_of(frame)
     by_text = latest_row(df.withColumn("t", F.col("t").cast("string")), "k", "t", ["tie"])
-    assert "WindowGroupLimit" in plan_of(by_text) and "Partial" in plan_of(by_text)
+    assert "Window" not in plan_of(by_text) and "partial_max" in plan_of(by_text)
     assert "partial_max_by" in plan_of(latest_columns(df, "k", "t", ["tie"]))
 
 
@@ -203,3 +203,27 @@ def test_enrich_columns(spark):
     assert (got.discount, got.sales_volume_num, got.premium_badge_count) == (10.0, 1000, 2)
     assert (got.rating_balance, got.category_name, got.deal_badge) == (0.5, "C", True)
     assert got.sales_per_price == pytest.approx(1000 / 12)
+
+
+def test_latest_plans_do_not_sort_before_the_first_shuffle(spark):
+    df = spark.range(0, 1000).selectExpr("id % 50 as k", "id as t", "id % 7 as tie", "cast(id as double) as x", "cast(id as string) as s")
+    for frame in (latest_row(df, "k", "t", ["tie"]), latest_columns(df, "k", "t", ["tie"]), Q.drop_duplicates(df, ["s"], ["t"])):
+        first_steps = plan_of(frame).split("functions=[partial_max(")[1].split("\n")
+        assert not any("Sort" in line for line in first_steps)
+
+
+def test_latest_at_the_ends_of_the_number_range(spark):
+    low = -(2**63)
+    df = spark.createDataFrame([("a", low, 1), ("a", low + 1, 2), ("b", low, 3)], "k string, t bigint, x int")
+    assert {r.k: r.x for r in latest_row(df, "k", "t").collect()} == {"a": 2, "b": 3}
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("a", nan, 2.0), ("a", 2.0, nan), ("c", nan, 5.0)], "k string, t double, x double")
+    assert {r.k: r.t for r in latest_row(df, "k", "t").collect()} == {"a": 2.0}
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, nan), ("b", 1, nan)], "k string, t bigint, x double")
+    assert {r.k: (r.t, r.x) for r in latest_columns(df, "k", "t").collect()} == {"a": (2, 1.0), "b": (1, None)}
+
+
+def test_first_row_with_null_order_and_ties(spark):
+    df = spark.createDataFrame([(None, "x", 2), (1, "x", 1), (None, "x", 1), (5, None, 9), (4, None, 8)], "i int, k string, j int")
+    got = {r.k: (r.i, r.j) for r in Q.drop_duplicates(df, ["k"], ["i", "j"]).collect()}
+    assert got == {"x": (None, 1), None: (4, 8)}

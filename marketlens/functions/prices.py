@@ -17,7 +17,8 @@ NO_PRICE = -1
 
 
 def nan_to_null(col: Column) -> Column:
-    return F.nanvl(col, F.lit(None).cast("double"))
+    """NaN to null; the column keeps its type (float or double)."""
+    return F.when(~F.isnan(col), col)
 
 
 def discount_pct_catalog(price: Column, original: Column) -> Column:

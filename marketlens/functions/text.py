@@ -17,6 +17,8 @@ STAR_KEYS = ("1", "2", "3", "4", "5")
 
 _EDGE_BLANKS = r"^\s+|\s+$"
 _PY_LITERAL = r"([\[{{,:]\s*){word}(?=\s*[,\]}}])"
+# A quoted text with its escapes, what lies between quoted texts, or a quote mark that is never closed.
+_PIECES = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""
 _SECRET_PARAM = r"(?i)\b((?:api[_-]?)?key|token|access_token|secret|password)=[^&\s\"']+"
 
 
@@ -66,13 +68,18 @@ def parse_volume(col: Column, null_as: int | None = 0) -> Column:
 def literal_to_json(col: Column) -> Column:
     """Rewrite a Python-style literal so that the JSON reader takes it.
 
-    Single quotes are left to the reader. Only bare words in value position change, so the same
-    word inside a quoted value stays.
+    Quoted texts are cut out first and put back unchanged; only what lies between them is rewritten:
+    bare words in value position, and numbers as keys. Single quotes are left to the reader.
     """
-    text = col
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, _PY_LITERAL.format(word=word), f"$1{json_word}")
-    return F.regexp_replace(text, r"([{,]\s*)(\d+)(\s*:)", r'$1"$2"$3')
+
+    def rewrite(piece: Column) -> Column:
+        text = piece
+        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+            text = F.regexp_replace(text, _PY_LITERAL.format(word=word), f"$1{json_word}")
+        text = F.regexp_replace(text, r"([{,]\s*)(\d+)(\s*:)", r'$1"$2"$3')
+        return F.when(piece.startswith("'") | piece.startswith('"'), piece).otherwise(text)
+
+    return F.array_join(F.transform(F.regexp_extract_all(col, F.lit(_PIECES), F.lit(0)), rewrite), "")
 
 
 _JSON_OPTIONS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}

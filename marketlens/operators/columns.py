@@ -52,30 +52,32 @@ def to_flags(df: DataFrame, columns: Sequence[str] = BADGE_FLAGS) -> DataFrame:
     return df.withColumns({c: T.flag(F.col(c), types[c]) for c in columns if c in types})
 
 
-def expand_distribution(df: DataFrame, col: str = "rating_distribution", keys: Sequence[str] = T.STAR_KEYS) -> DataFrame:
+def expand_distribution(
+    df: DataFrame, col: str = "rating_distribution", keys: Sequence[str] | None = None, limit: int = 1000
+) -> DataFrame:
     """Add one share column ``pct_<key>stars`` per key of the counts written as text.
 
+    Without ``keys`` they are found in the data, and the usual five are there in any case. Above
+    ``limit`` keys the shares of all come as one map column ``pct_stars`` beside the usual five.
     Text that is not a mapping of numbers, or sums to zero, gives 0 for every key; so does a key
     that is absent. The text is parsed once per row, in its own projection.
     """
-    return (
-        df.withColumn("_counts", T.number_map(F.col(col)))
-        .withColumn("_total", T.map_total(F.col("_counts")))
-        .withColumns({f"pct_{k}stars": T.share(F.col("_counts"), F.col("_total"), k) for k in keys})
-        .drop("_counts", "_total")
-    )
-
-
-def discover_keys(df: DataFrame, col: str = "rating_distribution", limit: int = 1000) -> list[str]:
-    """Keys that occur in the texts, for data-dependent share columns.
-
-    The keys become columns, so more than ``limit`` of them is an error, not a cut.
-    """
+    parsed = df.withColumn("_counts", T.number_map(F.col(col))).withColumn("_total", T.map_total(F.col("_counts")))
+    if keys is None:
+        keys = discover_keys(df, col, limit)
+        if keys is None:
+            every = F.transform_values("_counts", lambda k, n: F.coalesce(n / F.col("_total"), F.lit(0.0)))
+            parsed, keys = parsed.withColumn("pct_stars", every), T.STAR_KEYS
+        keys = sorted({*keys, *T.STAR_KEYS})
+    shares = {f"pct_{k}stars": T.share(F.col("_counts"), F.col("_total"), k) for k in keys}
+    return parsed.withColumns(shares).drop("_counts", "_total")
+
+
+def discover_keys(df: DataFrame, col: str = "rating_distribution", limit: int = 1000) -> list[str] | None:
+    """Keys that occur in the texts, for data-dependent share columns; None above ``limit`` of them."""
     keys = df.select(F.explode(F.map_keys(T.number_map(F.col(col)))).alias("k")).distinct()
     found = [r.k for r in keys.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{col} holds more than {limit} keys")
-    return sorted(found)
+    return sorted(found) if len(found) <= limit else None
 
 
 def clean_catalog(df: DataFrame) -> DataFrame:
@@ -124,15 +126,25 @@ def price_features(df: DataFrame, flags: Sequence[str] = BADGE_FLAGS) -> DataFra
     )
 
 
-def enrich(df: DataFrame, null_sales: int | None = 0, keys: Sequence[str] = T.STAR_KEYS) -> DataFrame:
-    """All derived columns, one projection, no shuffle."""
+_ENRICH_NEEDS = ("product_price", "product_original_price", "product_star_rating", "product_num_ratings", "deal_badge", *BADGE_FLAGS)
+
+
+def enrich(df: DataFrame, null_sales: int | None = 0, keys: Sequence[str] | None = None) -> DataFrame:
+    """All derived columns in one projection, no shuffle; NaN counts as missing.
+
+    Star keys other than ``keys`` get no column; without ``keys`` they are found in the data, which
+    reads the distribution column once more.
+    """
+    require_columns(df, _ENRICH_NEEDS)
     types = dict(df.dtypes)
     df = df.withColumns(
         {c: T.to_number(F.col(c)) if types[c] == "string" else F.col(c).cast("double")
-         for c in ("product_price", "product_original_price") if c in types}
+         for c in ("product_price", "product_original_price")}
     )
+    df = df.withColumns({c: P.nan_to_null(F.col(c)) for c, kind in df.dtypes if kind in ("float", "double")})
     if "sales_volume" in types:
         df = df.withColumn("sales_volume_num", T.parse_volume(F.col("sales_volume"), null_sales))
+    df = require_columns(df, ["sales_volume_num"])
     if "rating_distribution" in types:
         df = expand_distribution(df, keys=keys)
     df = to_flags(df).withColumn("deal_badge", T.has_text(F.col("deal_badge")))

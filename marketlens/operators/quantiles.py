@@ -1,23 +1,29 @@
 """Exact quantiles at scale.
 
-The built-in exact percentile keeps every distinct value of a group in one task. Here a mergeable
-sketch first brackets each wanted rank; a second pass counts the values inside the bracket (with a
-map-side step) and everything below it as one number. Only the bracket, a tiny share of the group,
-is sorted, so the result is exact at any size and for any skew.
+The built-in exact percentile keeps every distinct value of a group in one task. Here a mergeable sketch
+first brackets each wanted rank. A pass over the rows then counts what lies below and inside each
+bracket, and takes the nearest values outside it; no row is copied. A bracket that still holds many values is
+narrowed by a sketch of its inside, one that missed its rank is opened, until each holds its rank and a
+bounded number of values. Only those values are put in order, so the result is exact at any size and
+for any skew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .merge import join_small
 
 SKETCH_ACCURACY = 10_000
 # Rank slack around each bracket, as a multiple of the sketch's error bound (1 / accuracy).
 SLACK = 4
+# Values inside a bracket that are put in order in one task.
+MOST_INSIDE = 200_000
+_STEPS = 64  # a bracket's inside is cut into so many parts
 
 
 def exact_quantiles(
@@ -26,78 +32,111 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = SKETCH_ACCURACY,
+    most_inside: int = MOST_INSIDE,
 ) -> DataFrame:
     """Linearly interpolated quantiles: ``by`` columns, ``n`` and ``quantiles`` (array, as ``probs``).
 
-    Nulls and NaN do not count. Groups of up to ``10 * accuracy`` rows skip the bracket.
+    Nulls and NaN do not count. The input is read three times or more; keep it first when it is costly.
     """
-    by = list(by)
+    by, wanted = list(by), range(len(probs))
     x = F.col("_x")
     known = df.select(*by, F.col(value).cast("double").alias("_x")).where(x.isNotNull() & ~F.isnan(x))
     slack = SLACK / accuracy
     edges = [e for p in probs for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    bounds = known.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"), F.percentile_approx(x, edges, accuracy).alias("_edges")
+    brackets = known.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(x, edges, accuracy).alias("_edges"))
+    brackets = brackets.select(
+        *by, "_n", *[F.get("_edges", F.lit(2 * i + k)).alias(f"_{name}{i}") for i in wanted for k, name in enumerate(("lo", "hi"))]
     )
-    large = F.col("_n") > 10 * accuracy
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.when(large, F.get("_edges", F.lit(2 * i))).alias("lo"),
-                F.when(large, F.get("_edges", F.lit(2 * i + 1))).alias("hi"),
-            )
-            for i in range(len(probs))
-        ]
-    )
-    brackets = bounds.select(*by, F.col("_n"), targets.alias("_targets"))
-    if by:
-        located = join_small(known, brackets, by)
-    else:
-        one = brackets.select(F.struct("_n", "_targets")).scalar()
-        located = known.withColumn("_b", one).select("_x", "_b._n", "_b._targets")
-
-    below = F.coalesce(x < F.col("_t.lo"), F.lit(False))
-    above = F.coalesce(x > F.col("_t.hi"), F.lit(False))
+    while True:
+        rows = _beside(known, brackets, by)
+        measured = keep(rows.groupBy(*by).agg(F.first("_n").alias("_n"), *[m for i in wanted for m in _measures(x, i)]))
+        lost = [_missed(i, p) for i, p in enumerate(probs)]
+        wide = [F.col(f"_in{i}") > most_inside for i in wanted]
+        if not measured.where(_any([*lost, *[w & (F.col(f"_lo{i}") < F.col(f"_hi{i}")) for i, w in enumerate(wide)]])).limit(1).count():
+            break
+        grid = [k / _STEPS for k in range(_STEPS + 1)]
+        inside = [F.percentile_approx(F.when(_is_inside(x, i), x), grid, accuracy).alias(f"_grid{i}") for i in wanted]
+        sketched = keep(rows.groupBy(*by).agg(*inside))
+        brackets = _beside(measured, sketched, by).select(*by, "_n", *[c for i, p in enumerate(probs) for c in _narrower(i, p, lost[i], wide[i])])
+    ends = [F.struct(F.lit(i).alias("i"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in wanted]
+    near = _beside(known, measured, by).where(_any([_is_inside(x, i) for i in wanted]))
     counted = (
-        located.withColumn("_t", F.explode("_targets"))
-        .where(~above)
-        .groupBy(*by, F.col("_n"), F.col("_t.i").alias("_i"), F.when(~below, x).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    running = Window.partitionBy(*by, "_n", "_i").orderBy(F.col("_v").asc_nulls_first())
-    ranked = counted.withColumn("_cum", F.sum("_c").over(running))
-
-    prob_of = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
-    rank = (F.col("_n") - 1) * prob_of
-    lower, upper = F.floor(rank), F.ceil(rank)
-    at = lambda r: F.min(F.when(F.col("_cum") > r, F.col("_v")))
-    lost = F.min(F.when(F.col("_v").isNull(), F.col("_cum"))) > F.min(lower)
-    picked = ranked.groupBy(*by, "_n", "_i").agg(
-        at(lower).alias("_lo"), at(upper).alias("_hi"), lost.alias("_lost"), F.max("_cum").alias("_max"),
-        F.min(rank).alias("_rank"),
-    )
-    outside = F.coalesce(F.col("_lost"), F.lit(False)) | (F.col("_max") <= F.ceil("_rank"))
-    exact = F.col("_lo") + (F.col("_rank") - F.floor("_rank")) * (F.col("_hi") - F.col("_lo"))
-    checked = F.when(outside, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")).otherwise(exact)
+        near.withColumn("_t", F.explode(F.array(*ends))).where(x.between(F.col("_t.lo"), F.col("_t.hi")))
+        .groupBy(*by, F.col("_t.i").alias("_i"), x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    )
+    running = Window.partitionBy(*by, "_i").orderBy("_v")  # most_inside values at most, or one value many times
+    ranked = _beside(counted.withColumn("_to", F.sum("_c").over(running)), measured, by)
+    pick = lambda name: F.element_at(F.array(*[F.col(f"_{name}{i}") for i in wanted]), F.col("_i") + 1)
+    rank = (F.col("_n") - 1) * F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
+    ranked = ranked.select(*by, "_i", "_v", "_n", (F.col("_to") + pick("below")).alias("_to"), pick("before").alias("_before"),
+                           pick("after").alias("_after"), pick("below").alias("_below"), rank.alias("_rank"))
+
+    def at(r: Column) -> Column:
+        inside = F.min(F.when(F.col("_to") > r, F.col("_v")))
+        return F.when(F.min(r) < F.min("_below"), F.min("_before")).otherwise(F.coalesce(inside, F.min("_after")))
+
+    low, high = at(F.floor("_rank")), at(F.ceil("_rank"))
+    exact = ranked.groupBy(*by, "_i").agg(F.first("_n").alias("_n"), low.alias("_low"), high.alias("_high"), F.min("_rank").alias("_rank"))
+    value_of = F.col("_low") + (F.col("_rank") - F.floor("_rank")) * (F.col("_high") - F.col("_low"))
     return (
-        picked.withColumn("_q", checked)
-        .groupBy(*by)
-        .agg(
-            F.max("_n").alias("n"),
-            F.array(*[F.max(F.when(F.col("_i") == i, F.col("_q"))) for i in range(len(probs))]).alias("quantiles"),
-        )
-    )
+        exact.withColumn("_q", value_of).groupBy(*by)
+        .agg(F.max("_n").alias("n"), F.array(*[F.max(F.when(F.col("_i") == i, F.col("_q"))) for i in wanted]).alias("quantiles"))
+        .where(F.col("n").isNotNull())
+    )
+
+
+def _beside(rows: DataFrame, side: DataFrame, by: list[str]) -> DataFrame:
+    """Each row with its group's columns of ``side`` (one row in all when there are no groups)."""
+    own = [c for c in side.columns if c not in rows.columns or c in by]
+    if by:
+        return join_small(rows, side.select(*own), by)
+    return rows.withColumn("_all", side.select(F.struct(*own)).scalar()).select(*rows.columns, "_all.*")
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return F.exists(F.array(*[F.coalesce(c, F.lit(False)) for c in conditions]), lambda c: c)
+
+
+def _is_inside(x: Column, i: int) -> Column:
+    return x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+
+
+def _measures(x: Column, i: int) -> list[Column]:
+    below, above = x < F.col(f"_lo{i}"), x > F.col(f"_hi{i}")
+    return [
+        F.first(f"_lo{i}").alias(f"_lo{i}"),
+        F.first(f"_hi{i}").alias(f"_hi{i}"),
+        F.count_if(below).alias(f"_below{i}"),
+        F.count_if(~below & ~above).alias(f"_in{i}"),
+        F.max(F.when(below, x)).alias(f"_before{i}"),
+        F.min(F.when(above, x)).alias(f"_after{i}"),
+    ]
+
+
+def _missed(i: int, p: float) -> Column:
+    """The rank, or its upper neighbour, lies more than one value outside the bracket."""
+    rank = (F.col("_n") - 1) * float(p)
+    return (F.floor(rank) < F.col(f"_below{i}") - 1) | (F.ceil(rank) > F.col(f"_below{i}") + F.col(f"_in{i}"))
+
+
+def _narrower(i: int, p: float, missed: Column, wide: Column) -> list[Column]:
+    """The bracket for the next round: open when it missed, cut to the parts around the rank when wide."""
+    lo, hi, n = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_in{i}")
+    part = ((F.col("_n") - 1) * float(p) - F.col(f"_below{i}")) / n * _STEPS
+    edge = lambda k: F.element_at(f"_grid{i}", (F.greatest(F.lit(0), F.least(F.lit(_STEPS), k)) + 1).cast("int"))
+    return [
+        F.when(missed, F.lit(float("-inf"))).when(wide, F.when(F.floor(part) < 2, lo).otherwise(edge(F.floor(part) - 1))).otherwise(lo).alias(f"_lo{i}"),
+        F.when(missed, F.lit(float("inf"))).when(wide, F.when(F.ceil(part) > _STEPS - 2, hi).otherwise(edge(F.ceil(part) + 1))).otherwise(hi).alias(f"_hi{i}"),
+    ]
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of several columns from one pair of passes; one number per column comes back."""
-    tall = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "_column", "_value"
-    )
-    found = exact_quantiles(tall, "_value", [0.5], ["_column"]).collect()  # a row per column
-    known = {r["_column"]: r["quantiles"][0] for r in found}
-    return {c: known.get(c) for c in columns}
+    """Exact medians of several columns; one number per column comes back."""
+    found = {}
+    for c in columns:
+        row = exact_quantiles(df.select(c), c, [0.5]).first()
+        found[c] = row["quantiles"][0] if row else None
+    return found
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.prices import nan_to_null
 from .merge import join_small
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, medians
 
 
 # --- row picks -------------------------------------------------------------------------------
@@ -57,9 +58,9 @@ def series_change(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
 
 
 def segment_summary(df: DataFrame, by: str, value: str, digits: int | None = None) -> DataFrame:
-    """Count of non-null values, mean, minimum and maximum per segment."""
+    """Count of non-null values, mean, minimum and maximum per segment; rows without one are left out."""
     shown = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    return df.groupBy(by).agg(
+    return df.where(F.col(by).isNotNull()).groupBy(by).agg(
         F.count(value).alias("n"),
         shown(F.avg(value)).alias("mean_price"),
         shown(F.min(value)).alias("min_price"),
@@ -94,26 +95,35 @@ def price_trend(df: DataFrame, ts: str = "date", value: str = "price", grain: st
 
 
 def cluster_profile(df: DataFrame, by: str, columns: Sequence[str]) -> DataFrame:
-    """Group size and the mean of each column."""
-    return df.groupBy(by).agg(
+    """Group size and the mean of each column; rows without a group are left out."""
+    return df.where(F.col(by).isNotNull()).groupBy(by).agg(
         F.count(F.lit(1)).alias("n_products"), *[F.avg(c).alias(c) for c in columns]
     )
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Counts of ``rows`` against the given values of ``columns``; an absent pair is 0.
+def crosstab_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Counts of all pairs that occur, in long form; rows in which either value is null do not count."""
+    known = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    return known.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
 
-    Rows in which either value is null do not count.
+
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence = ()) -> DataFrame:
+    """Counts of ``rows`` against **all** values of ``columns``, one column each; an absent pair is 0.
+
+    ``values`` come first and are there even when they do not occur; the others are found in the data.
+    For a column of very many values use ``crosstab_counts``.
     """
-    known = df.where(F.col(rows).isNotNull() & F.col(columns).isin(*values))
-    counts = known.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1)))
-    return counts.na.fill(0, list(values))
+    counts = crosstab_counts(df, rows, columns)
+    found = [r[0] for r in counts.select(columns).distinct().collect()]
+    names = [*values, *sorted(v for v in found if v not in set(values))]
+    wide = counts.groupBy(rows).pivot(columns, names).agg(F.sum("n"))
+    return wide.na.fill(0, [c for c in wide.columns if c != rows])
 
 
 def pair_corr(a: Column, b: Column) -> Column:
-    """Pearson correlation over the rows where both are present; null for a constant column."""
-    x = F.when(b.isNotNull(), a.cast("double"))
-    y = F.when(a.isNotNull(), b.cast("double"))
+    """Pearson correlation over the rows where both are present; null for a constant column. NaN counts as null."""
+    a, b = nan_to_null(a.cast("double")), nan_to_null(b.cast("double"))
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -143,15 +153,15 @@ def corr_table(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFr
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact median, mean and population deviation, one row per column."""
-    tall = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    moments = tall.groupBy("column").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("stddev_pop")
-    )
-    mid = exact_quantiles(tall, "value", [0.5], ["column"]).select(
-        "column", F.get("quantiles", F.lit(0)).alias("median")
-    )
-    return moments.join(mid, "column", "left")
+    """Exact median, mean and population deviation, one row per column; NaN counts as null."""
+    columns = list(columns)
+    wide = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
+    mid = medians(wide, columns)
+    stats = wide.agg(
+        *[F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("stddev_pop"),
+                   F.lit(mid[c]).cast("double").alias("median")).alias(f"_{i}") for i, c in enumerate(columns)]
+    )
+    return stats.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
 
 
 # --- chart data ------------------------------------------------------------------------------
@@ -203,10 +213,10 @@ def box_outliers(df: DataFrame, by: str, value: str, whisker: float = 1.5) -> Da
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins over the value range; the last bin includes its upper edge, empty bins stay.
 
-    A column of one value gets a range of width 1 around it.
+    A column of one value gets a range of width 1 around it; NaN counts as null.
     """
     x = F.col("_x")
-    values = df.select(F.col(col).cast("double").alias("_x")).where(x.isNotNull())
+    values = df.select(nan_to_null(F.col(col).cast("double")).alias("_x")).where(x.isNotNull())
     span = values.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
     flat = F.col("lo") == F.col("hi")
     span = span.select(
@@ -225,38 +235,37 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
 
 def kde_grid(df: DataFrame, col: str, points: int = 200) -> DataFrame:
-    """Gaussian kernel density on an even grid over the value range.
+    """Gaussian kernel density on an even grid over the value range; NaN counts as null.
 
-    Bandwidth is ``n^(-1/5)`` times the sample deviation. Equal values are counted first (prices
-    repeat), so the kernel is evaluated once per distinct value and grid point, and summed per grid
-    point inside the task.
+    Bandwidth is ``n^(-1/5)`` times the sample deviation; a column of one value has no density (null).
+    Equal values are counted first (prices repeat); one aggregation then sums the kernels of all grid
+    points, without a row for each of them.
     """
     x = F.col("_x")
-    values = df.select(F.col(col).cast("double").alias("_x")).where(x.isNotNull())
+    values = df.select(nan_to_null(F.col(col).cast("double")).alias("_x")).where(x.isNotNull())
     stats = values.agg(
         F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(F.lit(1)).alias("n")
     )
     shape = stats.select(
         F.struct(
             F.col("lo"),
-            ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"),
+            F.coalesce(F.try_divide(F.col("hi") - F.col("lo"), F.lit(points - 1)), F.lit(0.0)).alias("step"),
             (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
             F.col("n"),
         )
     ).scalar()
-    grid_x = F.col("_s.lo") + F.col("_s.step") * F.col("point")
-    z = (x - grid_x) / F.col("_s.h")
-    summed = (
-        values.groupBy("_x")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_s", shape)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("point")
-        .agg(F.sum(F.col("_c") * F.exp(z * z * -0.5)).alias("_total"))
-    )
+    at = lambda i: F.col("_s.lo") + F.col("_s.step") * i
+
+    def kernel(i: int) -> Column:
+        z = F.try_divide(x - at(i), F.col("_s.h"))
+        return F.sum(F.col("_c") * F.exp(z * z * -0.5))
+
+    counted = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_s", shape)
+    totals = counted.agg(F.array(*[kernel(i) for i in range(points)]).alias("_totals"))
+    grid = totals.select(F.posexplode("_totals").alias("point", "_total")).withColumn("_s", shape)
     scale = F.col("_s.n") * F.col("_s.h") * F.sqrt(F.lit(2.0) * F.pi())
-    return summed.withColumn("_s", shape).select(
-        "point", grid_x.alias("x"), (F.col("_total") / scale).alias("density")
+    return grid.where("_s.lo IS NOT NULL").select(
+        "point", at(F.col("point")).alias("x"), F.try_divide(F.col("_total"), scale).alias("density")
     )
 
 

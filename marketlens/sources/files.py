@@ -7,16 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.prices import nan_to_null
+
 BOM = "﻿"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header row, quoted fields that may hold newlines, and an optional byte-order mark.
 
-    Quoted newlines keep a file from being split, so large inputs should land as many files; pass
-    ``multi_line=False`` for files known to hold one record per line.
+    The text ``NaN`` in a number column is read as null. Quoted newlines keep a file from being split,
+    so large inputs should land as many files; pass ``multi_line=False`` for files known to hold one
+    record per line.
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("multiLine", multi_line)
@@ -24,6 +27,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Tru
         .option("enforceSchema", True)
         .csv(path)
     )
+    return rows.withColumns({c: nan_to_null(F.col(c)) for c, kind in rows.dtypes if kind in ("float", "double")})
 
 
 def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -41,23 +45,14 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
 def write_stage(df: DataFrame, path: str, by_month_of: str | None = None) -> None:
     """Parquet stage; ``by_month_of`` names the timestamp whose month partitions the files.
 
-    Rows are spread by month and a hash of the row, so that one busy month is written by several
-    tasks.
+    Rows are dealt by month, and Spark cuts a busy month into as many tasks as its size asks for
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and joins small ones.
     """
     if by_month_of is None:
         df.write.mode("overwrite").parquet(path)
         return
-    month = F.date_format(by_month_of, "yyyy-MM")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    (
-        df.withColumn("month", month)
-        .withColumn("_spread", spread)
-        .repartition("month", "_spread")
-        .drop("_spread")
-        .write.mode("overwrite")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    by_month = df.withColumn("month", F.date_format(by_month_of, "yyyy-MM")).hint("rebalance", "month")
+    by_month.write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def load_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None) -> None:

@@ -39,8 +39,28 @@ def test_distribution(spark):
     for i in (1, 2, 3, 4, 5, 7):
         assert got[i] == (0, 0, 0, 0, 0)
     assert discover_keys(df) == ["1", "2", "3", "4", "5"]
-    with pytest.raises(ValueError):
-        discover_keys(df, limit=2)
+    assert discover_keys(df, limit=2) is None
+
+
+def test_star_keys_come_from_the_data(spark):
+    df = spark.createDataFrame([("{'0': 1, '5': 3}",), ("{'half': 2}",), (None,)], "rating_distribution string")
+    got = expand_distribution(df)
+    assert got.columns[1:] == [f"pct_{k}stars" for k in ("0", "1", "2", "3", "4", "5", "half")]
+    assert [(r.pct_0stars, r.pct_5stars, r.pct_halfstars) for r in got.collect()] == [(0.25, 0.75, 0), (0, 0, 1), (0, 0, 0)]
+    many = expand_distribution(df, limit=2).collect()
+    assert many[0].pct_stars == {"0": 0.25, "5": 0.75} and many[0].pct_5stars == 0.75
+
+
+def test_words_inside_quoted_values_stay(column):
+    name = lambda c: T.dict_text_field(c, "name")
+    texts = [
+        "{'name': 'Shoes, None, Hats', 'id': None}",
+        """{'name': "Men's, True, Fit", 'x': [True, None, {1: False}]}""",
+        "{'name': 'Ratio, 3: 4', 5: 'x'}",
+        r"{'name': 'it\'s, None, x'}",
+        '{"name": "a, False, b"}',
+    ]
+    assert column(name, texts) == ["Shoes, None, Hats", "Men's, True, Fit", "Ratio, 3: 4", "it's, None, x", "a, False, b"]
 
 
 def test_dict_field(column):

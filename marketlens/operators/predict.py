@@ -15,6 +15,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .segments import assemble
 
 SEED = 42
@@ -31,44 +32,61 @@ def key_digest(key: str, seed: int, digest: str = "xxhash64") -> Column:
     raise ValueError(f"unknown digest {digest!r}")
 
 
-def group_split(
-    df: DataFrame, key: str, test_share: float = TEST_SHARE, seed: int = SEED, digest: str = "xxhash64"
-) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)`` with every row of a key on one side and ``ceil(share * keys)`` test keys.
+def split_sides(
+    df: DataFrame, key: str, test_share: float = TEST_SHARE, seed: int = SEED, digest: str = "xxhash64", side: str = "side"
+) -> DataFrame:
+    """Rows with a key, tagged ``train`` or ``test``: every row of a key on one side, and
+    ``ceil(share * keys)`` test keys.
 
     The test keys are those with the smallest digests. Only the last of them has to be known: it is
-    found exactly from counts per digest prefix and a sort inside a single prefix, so neither the
-    keys nor the rows pass through one task. The split itself is a filter on the rows. Rows without
-    a key are left out.
+    found from counts per digest prefix, so neither the keys nor the rows pass through one task. The
+    digest of a row is taken once.
     """
     known = df.where(F.col(key).isNotNull())
     last = _last_test_key(known, key, test_share, seed, digest)
     if last is None:
-        return known, known.where(F.lit(False))
+        return known.withColumn(side, F.lit("train"))
     at = F.struct(key_digest(key, seed, digest).alias("d"), F.col(key).cast("string").alias("k"))
     bound = F.struct(F.lit(last[0]).alias("d"), F.lit(last[1]).alias("k"))
-    return known.where(at > bound), known.where(at <= bound)
+    return known.withColumn(side, F.when(at <= bound, "test").otherwise("train"))
+
+
+def group_split(
+    df: DataFrame, key: str, test_share: float = TEST_SHARE, seed: int = SEED, digest: str = "xxhash64"
+) -> tuple[DataFrame, DataFrame]:
+    """``(train, test)`` of ``split_sides``. Rows without a key are left out."""
+    tagged = split_sides(df, key, test_share, seed, digest, "_side")
+    return tuple(tagged.where(F.col("_side") == name).drop("_side") for name in ("train", "test"))
 
 
-_PREFIX = 4  # hexadecimal digits: at most 65,536 counters
+_DIGITS = 4  # hexadecimal digits more per round: at most 65,536 counters
+_FEW_KEYS = 65_536
 
 
-def _last_test_key(known: DataFrame, key: str, share: float, seed: int, digest: str) -> tuple[str, str] | None:
-    keys = known.select(key).distinct().select(
-        key_digest(key, seed, digest).alias("d"), F.col(key).cast("string").alias("k")
+def _last_test_key(known: DataFrame, key: str, share: float, seed: int, digest: str, few: int = _FEW_KEYS) -> tuple[str, str] | None:
+    """The test key with the largest digest: prefixes grow until the one that holds it has ``few`` keys."""
+    keys = keep(
+        known.select(key).distinct().select(key_digest(key, seed, digest).alias("d"), F.col(key).cast("string").alias("k"))
     )
-    prefix = F.substring("d", 1, _PREFIX)
-    counts = sorted(keys.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    # exact arithmetic: 0.2 * 10 must give 2, not the next whole number
-    left = math.ceil(sum(n for _, n in counts) * Decimal(str(share)))
-    for p, n in counts:
-        if left <= n:
+    prefix, left = "", None
+    while True:
+        inside = keys.where(F.col("d").startswith(prefix)) if prefix else keys
+        longer = F.substring("d", 1, len(prefix) + _DIGITS)
+        counts = sorted(inside.groupBy(longer.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if left is None:
+            # exact arithmetic: 0.2 * 10 must give 2, not the next whole number
+            left = math.ceil(sum(n for _, n in counts) * Decimal(str(share)))
+        if left == 0 or not counts:
+            return None
+        for p, n in counts:
+            if left <= n:
+                break
+            left -= n
+        if n <= few or p == prefix:
             break
-        left -= n
-    if left == 0 or not counts:
-        return None
-    inside = keys.where(prefix == p).orderBy("d", "k").limit(left)
-    return tuple(inside.agg(F.max(F.struct("d", "k")).alias("last")).first()["last"])
+        prefix = p
+    first = sorted((r.d, r.k) for r in inside.where(longer == p).collect())  # ``few`` keys
+    return first[left - 1]
 
 
 def fit_scaling(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -105,9 +123,13 @@ def fit_linear(train: DataFrame, target: str) -> LinearRegressionModel:
     return LinearRegression(labelCol=target, solver="normal", regParam=0.0, standardization=False).fit(train)
 
 
-def fit_forest(train: DataFrame, target: str, seed: int = SEED, trees: int = 100) -> RandomForestRegressionModel:
+def fit_forest(
+    train: DataFrame, target: str, seed: int = SEED, trees: int = 100, bootstrap: bool = True
+) -> RandomForestRegressionModel:
+    """Random forest; one tree without ``bootstrap`` is a plain regression tree."""
     return RandomForestRegressor(
-        labelCol=target, numTrees=trees, maxDepth=8, minInstancesPerNode=5, featureSubsetStrategy="all", seed=seed
+        labelCol=target, numTrees=trees, maxDepth=8, minInstancesPerNode=5, featureSubsetStrategy="all", seed=seed,
+        bootstrap=bootstrap,
     ).fit(train)
 
 

@@ -10,6 +10,7 @@ for any skew.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,7 @@ SLACK = 4
 # Values inside a bracket that are put in order in one task.
 MOST_INSIDE = 200_000
 _STEPS = 64  # a bracket's inside is cut into so many parts
+_ROUNDS = 40  # each cuts a bracket to a twentieth or less, so this many are never needed
 
 
 def exact_quantiles(
@@ -47,7 +49,7 @@ def exact_quantiles(
     brackets = brackets.select(
         *by, "_n", *[F.get("_edges", F.lit(2 * i + k)).alias(f"_{name}{i}") for i in wanted for k, name in enumerate(("lo", "hi"))]
     )
-    while True:
+    for _ in range(_ROUNDS):
         rows = _beside(known, brackets, by)
         measured = keep(rows.groupBy(*by).agg(F.first("_n").alias("_n"), *[m for i in wanted for m in _measures(x, i)]))
         lost = [_missed(i, p) for i, p in enumerate(probs)]
@@ -55,9 +57,13 @@ def exact_quantiles(
         if not measured.where(_any([*lost, *[w & (F.col(f"_lo{i}") < F.col(f"_hi{i}")) for i, w in enumerate(wide)]])).limit(1).count():
             break
         grid = [k / _STEPS for k in range(_STEPS + 1)]
-        inside = [F.percentile_approx(F.when(_is_inside(x, i), x), grid, accuracy).alias(f"_grid{i}") for i in wanted]
+        inside = [F.percentile_approx(F.when(_is_inside(x, i), x), grid, SKETCH_ACCURACY).alias(f"_grid{i}") for i in wanted]
         sketched = keep(rows.groupBy(*by).agg(*inside))
-        brackets = _beside(measured, sketched, by).select(*by, "_n", *[c for i, p in enumerate(probs) for c in _narrower(i, p, lost[i], wide[i])])
+        new = _beside(measured, sketched, by)
+        new = keep(new.select(*by, "_n", *[c for i, p in enumerate(probs) for c in _narrower(i, p, lost[i], wide[i])], *[F.struct(f"_lo{i}", f"_hi{i}").alias(f"_was{i}") for i in wanted]))
+        if not new.where(_any([F.col(f"_was{i}") != F.struct(f"_lo{i}", f"_hi{i}") for i in wanted])).limit(1).count():
+            break  # brackets of a few values that are there many times
+        brackets = new.drop(*[f"_was{i}" for i in wanted])
     ends = [F.struct(F.lit(i).alias("i"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in wanted]
     near = _beside(known, measured, by).where(_any([_is_inside(x, i) for i in wanted]))
     counted = (
@@ -130,13 +136,71 @@ def _narrower(i: int, p: float, missed: Column, wide: Column) -> list[Column]:
     ]
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of several columns; one number per column comes back."""
-    found = {}
-    for c in columns:
-        row = exact_quantiles(df.select(c), c, [0.5]).first()
-        found[c] = row["quantiles"][0] if row else None
-    return found
+def medians(df: DataFrame, columns: Sequence[str], accuracy: int = SKETCH_ACCURACY, most_inside: int = 2_000) -> dict[str, float | None]:
+    """Exact medians of several columns, all from the same passes: a sketch, a count around each bracket
+    (more of them, with narrower brackets, for very large tables), and the values inside. The driver
+    gets a few numbers per column and at most ``most_inside`` values inside its bracket."""
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    wide = wide.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in wide.columns])
+    slack = SLACK / accuracy
+    row = wide.agg(
+        *[F.count(c).alias(f"n_{c}") for c in wide.columns],
+        *[F.percentile_approx(c, [0.5 - slack, 0.5 + slack], accuracy).alias(f"e_{c}") for c in wide.columns],
+    ).first()
+    size = {c: row[f"n_{c}"] for c in wide.columns}
+    bracket = {c: tuple(row[f"e_{c}"]) for c in wide.columns if size[c]}
+    for _ in range(_ROUNDS if bracket else 0):
+        stats = [m.alias(f"{k}_{c}") for c in bracket for k, m in enumerate(_around(F.col(c), *bracket[c]))]
+        grid = [k / (8 * _STEPS) for k in range(8 * _STEPS + 1)]
+        inside = [F.percentile_approx(F.when(F.col(c).between(*bracket[c]), F.col(c)), grid, SKETCH_ACCURACY).alias(f"g_{c}") for c in bracket]
+        measured = wide.agg(*stats, *inside).first()
+        narrower = dict(bracket)
+        for c, (lo, hi) in bracket.items():
+            below, held, parts = measured[f"0_{c}"], measured[f"1_{c}"], measured[f"g_{c}"]
+            rank = (size[c] - 1) / 2
+            if math.floor(rank) < below - 1 or math.ceil(rank) > below + held:
+                narrower[c] = (-math.inf, math.inf)
+            elif held > most_inside and lo < hi:
+                at = (rank - below) / held * (len(parts) - 1)
+                low, high = math.floor(at) - 1, math.ceil(at) + 1
+                narrower[c] = (parts[low] if low > 0 else lo, parts[high] if high < len(parts) - 1 else hi)
+        if narrower == bracket:
+            break
+        bracket = narrower
+    if not bracket:
+        return dict.fromkeys(columns)
+    entries = F.array(*[F.when(F.col(c).between(*bracket[c]), F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c in bracket])
+    near = wide.where(_any([F.col(c).between(*bracket[c]) for c in bracket]))
+    near = near.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).groupBy("e.c", "e.v").count()
+    held = {c: [] for c in bracket}
+    for r in near.collect():  # most_inside values for each column, unless one value fills a bracket
+        held[r["c"]].append((r["v"], r["count"]))
+    out = {}
+    for i, c in enumerate(columns):
+        name = f"c{i}"
+        out[c] = _middle(size[name], measured[f"0_{name}"], measured[f"2_{name}"], measured[f"3_{name}"], sorted(held[name])) if size[name] else None
+    return out
+
+
+def _around(x: Column, lo: float, hi: float) -> list[Column]:
+    """Number of values below and inside, the nearest below and the nearest above."""
+    return [F.count_if(x < lo), F.count_if(x.between(lo, hi)), F.max(F.when(x < lo, x)), F.min(F.when(x > hi, x))]
+
+
+def _middle(n: int, below: int, before: float | None, after: float | None, inside: list[tuple[float, int]]) -> float:
+    def at(rank: int) -> float:
+        left = rank - below
+        if left < 0:
+            return before
+        for v, count in inside:
+            if left < count:
+                return v
+            left -= count
+        return after
+
+    rank = (n - 1) / 2
+    low, high = at(math.floor(rank)), at(math.ceil(rank))
+    return low + (rank - math.floor(rank)) * (high - low)
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:

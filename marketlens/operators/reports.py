@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,13 +17,14 @@ from .quantiles import exact_quantiles, medians
 
 
 def high_sellers(
-    df: DataFrame, sales: str = "sales_volume_num", min_sales: float = 5000, tie: Sequence[str] = ("asin",)
+    df: DataFrame, sales: str = "sales_volume_num", min_sales: float = 5000, tie: Sequence[str] = ("asin",), ordered: bool = True
 ) -> DataFrame:
-    """Rows at or above the threshold, highest first.
+    """Rows at or above the threshold, highest first; in no order with ``ordered=False``.
 
     Sales repeat a lot; the ``tie`` columns also let the sort split a value that many rows share.
     """
-    return df.where(F.col(sales) >= min_sales).orderBy(F.col(sales).desc(), *tie)
+    chosen = df.where(F.col(sales) >= min_sales)
+    return chosen.orderBy(F.col(sales).desc(), *tie) if ordered else chosen
 
 
 def key_series(history: DataFrame, keys: Sequence[str] | DataFrame, key: str = "asin", ts: str = "date") -> DataFrame:
@@ -238,35 +240,41 @@ def kde_grid(df: DataFrame, col: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid over the value range; NaN counts as null.
 
     Bandwidth is ``n^(-1/5)`` times the sample deviation; a column of one value has no density (null).
-    Equal values are counted first (prices repeat); one aggregation then sums the kernels of all grid
-    points, without a row for each of them.
+    Equal values are counted first (prices repeat). Each batch of values is then turned into one sum per
+    grid point inside its task, so no row is made for a pair of value and point.
     """
     x = F.col("_x")
     values = df.select(nan_to_null(F.col(col).cast("double")).alias("_x")).where(x.isNotNull())
-    stats = values.agg(
+    row = values.agg(
         F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(F.lit(1)).alias("n")
-    )
-    shape = stats.select(
-        F.struct(
-            F.col("lo"),
-            F.coalesce(F.try_divide(F.col("hi") - F.col("lo"), F.lit(points - 1)), F.lit(0.0)).alias("step"),
-            (F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("h"),
-            F.col("n"),
-        )
-    ).scalar()
-    at = lambda i: F.col("_s.lo") + F.col("_s.step") * i
-
-    def kernel(i: int) -> Column:
-        z = F.try_divide(x - at(i), F.col("_s.h"))
-        return F.sum(F.col("_c") * F.exp(z * z * -0.5))
-
-    counted = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_s", shape)
-    totals = counted.agg(F.array(*[kernel(i) for i in range(points)]).alias("_totals"))
-    grid = totals.select(F.posexplode("_totals").alias("point", "_total")).withColumn("_s", shape)
-    scale = F.col("_s.n") * F.col("_s.h") * F.sqrt(F.lit(2.0) * F.pi())
-    return grid.where("_s.lo IS NOT NULL").select(
-        "point", at(F.col("point")).alias("x"), F.try_divide(F.col("_total"), scale).alias("density")
-    )
+    ).first()
+    n, width = row["n"], (row["sd"] or 0.0) * row["n"] ** -0.2 if row["n"] else 0.0
+    spark = df.sparkSession
+    if not n:
+        return spark.createDataFrame([], "point int, x double, density double")
+    step = (row["hi"] - row["lo"]) / (points - 1) if points > 1 else 0.0
+    grid = [row["lo"] + step * i for i in range(points)]
+    axis = spark.createDataFrame([(i, x) for i, x in enumerate(grid)], "point int, x double")
+    if not width > 0:
+        return axis.withColumn("density", F.lit(None).cast("double"))
+
+    def kernels(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at = np.array(grid)
+        for batch in batches:
+            v, c = batch.column("_x").to_numpy(), batch.column("_c").to_numpy()
+            total = np.zeros(len(at))
+            for k in range(0, len(v), 4096):
+                z = (v[k : k + 4096, None] - at) / width
+                total += c[k : k + 4096] @ np.exp(-0.5 * z * z)
+            yield pa.RecordBatch.from_pydict({"point": pa.array(range(len(at)), pa.int32()), "total": total})
+
+    sums = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_c")).mapInArrow(kernels, "point int, total double")
+    summed = sums.groupBy("point").agg(F.sum("total").alias("total"))
+    scale = n * width * math.sqrt(2 * math.pi)
+    return summed.join(axis, "point").select("point", "x", (F.col("total") / scale).alias("density"))
 
 
 def bar_means(df: DataFrame, by: str, value: str) -> DataFrame:

@@ -161,26 +161,40 @@ def k_sweep(
     id_col: str,
     restarts: int = RESTARTS,
     seed: int = SEED,
-    metric: str = "euclidean",
+    metric: str = "squared",
     features: str = FEATURES,
 ) -> DataFrame:
-    """``(k, inertia, silhouette)`` for each k.
+    """``(k, inertia, silhouette)`` for each k; see ``sweep_fits``."""
+    return sweep_fits(df, ks, id_col, restarts, seed, metric, features)[0]
 
-    ``df`` is kept once for all fits. The Euclidean silhouette of every k comes from one pass over
-    the distances, which do not depend on k; it costs the square of the row count. The ``squared``
-    metric is linear and suits large tables.
+
+def sweep_fits(
+    df: DataFrame,
+    ks: Sequence[int],
+    id_col: str,
+    restarts: int = RESTARTS,
+    seed: int = SEED,
+    metric: str = "squared",
+    features: str = FEATURES,
+) -> tuple[DataFrame, dict[int, KMeansModel]]:
+    """``(k, inertia, silhouette)`` for each k, and the fitted models.
+
+    ``df`` is kept once for all fits. The ``squared`` silhouette is linear in the rows. The ``euclidean``
+    one is the published method's; the values of every k come from one pass over the distances, which
+    do not depend on k, but that pass costs the square of the row count.
     """
     kept = keep(df.select(id_col, features))
     costs = {}
     labelled = kept
-    for k, model in kmeans_fits(kept, ks, restarts, seed, features).items():
+    models = kmeans_fits(kept, ks, restarts, seed, features)
+    for k, model in models.items():
         costs[k] = float(model.summary.trainingCost)
         labelled = model.transform(labelled).withColumnRenamed("cluster", f"k{k}")
     names = [f"k{k}" for k in ks]
     scores = {r["labels"]: r["silhouette"] for r in silhouette(labelled, id_col, names, features, metric).collect()}
     release(kept)
     rows = [(k, costs[k], scores[f"k{k}"]) for k in ks]
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), models
 
 
 def k_range(df: DataFrame, low: int = 2, high: int = 7) -> list[int]:
@@ -272,6 +286,8 @@ def _tile_function():
         ida, idb = a["id"].to_numpy(), b["id_b"].to_numpy()
         clusters = [(j, c) for j in range(yb.shape[1]) for c in np.unique(yb[:, j])]
         member = np.stack([yb[:, j] == c for j, c in clusters], axis=1)
+        middle = xb.mean(0)  # norms minus products lose their digits far from the origin
+        xa, xb = xa - middle, xb - middle
         weights, sizes, norms = member.astype(float), member.sum(0), (xb**2).sum(1)
         totals = np.empty((len(xa), len(clusters)))
         chunk = max(1, (1 << 23) // len(xb))  # at most 64 MB of distances at a time

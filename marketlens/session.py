@@ -28,12 +28,15 @@ def build_session(app: str = "marketlens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_CACHED: list[DataFrame] = []
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Hold a result that several jobs read.
 
     With a shared checkpoint folder the rows are written there and the lineage is cut, so a lost
-    executor costs a re-read. Without one the rows are cached with spill to disk and are recomputed
-    from lineage when lost.
+    executor costs a re-read; Spark removes the files when the frame is gone. Without one the rows are
+    cached with spill to disk and are recomputed from lineage when lost; ``release_all`` frees them.
     """
     spark = df.sparkSession
     folder = spark.conf.get(CHECKPOINT_KEY, None)
@@ -41,7 +44,15 @@ def keep(df: DataFrame) -> DataFrame:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(folder)
         return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(cached)
+    return cached
+
+
+def release_all() -> None:
+    """Free what ``keep`` has cached so far: call it when the results that read it are written."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
 
 
 def spread(df: DataFrame) -> DataFrame:

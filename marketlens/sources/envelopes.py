@@ -63,15 +63,15 @@ def explode_pages(df: DataFrame, product_schema: str, key: str | None = None) ->
     A failed request, a status other than ``OK`` or an empty list ends the scan of that query, so
     later pages are dropped. ``key`` names the query column when pages of several queries are mixed.
     """
-    schema = f"status string, message string, data struct<products: array<struct<{product_schema}>>>"
-    parsed = df.withColumn("_page", F.from_json("body", schema))
-    products = F.col("_page.data.products")
+    schema = f"data struct<products: array<struct<{product_schema}>>>"
+    # The cut needs the status and the number of products only; the products of the pages that stay are
+    # parsed after it.
     bad = (
         request_failed(df)
-        | ~F.coalesce(F.col("_page.status") == "OK", F.lit(False))
-        | F.coalesce(F.size(products) <= 0, F.lit(True))
+        | ~F.coalesce(F.get_json_object("body", "$.status") == "OK", F.lit(False))
+        | F.coalesce(F.json_array_length(F.get_json_object("body", "$.data.products")) <= 0, F.lit(True))
     )
-    kept = cut_after_first(parsed, key, "page", bad)
+    kept = cut_after_first(df, key, "page", bad).withColumn("_page", F.from_json("body", schema))
     carried = [c for c in (key, "page") if c]
     return kept.select(*carried, F.posexplode("_page.data.products").alias("position", "product")).select(
         *carried, "position", "product.*"
@@ -155,11 +155,22 @@ def decode_price_series(df: DataFrame, as_of: str | datetime, days: int = 365) -
     )
 
 
-def holds_reviews(body: Column) -> Column:
-    """True for a readable response whose ``data`` is a list, an object, or left out."""
-    parsed = F.try_parse_json(body)
-    kind = F.schema_of_variant(F.try_variant_get(parsed, "$.data", "variant"))
-    return parsed.isNotNull() & F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(True))
+def tag_reviews(df: DataFrame) -> DataFrame:
+    """Review responses with ``_data``, the reviews of a readable response, and ``error``, the reason why
+    there are none: a failed request, or ``data`` that is neither a list, nor an object, nor left out.
+    The text is parsed once; ``body`` is dropped.
+    """
+    failed = request_failed(df)
+    given = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    http_text = F.format_string("HTTP %d", F.col("status_code")) if "status_code" in df.columns else F.lit("request failed")
+    kind = F.schema_of_variant(F.try_variant_get("_body", "$.data", "variant"))
+    readable = F.col("_body").isNotNull() & F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(True))
+    reason = F.when(failed, F.coalesce(given, http_text)).when(~readable, "unreadable response")
+    return (
+        df.withColumn("_body", F.try_parse_json("body")).withColumn("_reason", reason)
+        .withColumn("_data", F.when(F.col("_reason").isNull(), F.try_variant_get("_body", "$.data", "variant")))
+        .drop("body", "_body", "error").withColumnRenamed("_reason", "error")
+    )
 
 
 def flatten_reviews(df: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
@@ -167,11 +178,12 @@ def flatten_reviews(df: DataFrame, fields: Mapping[str, str] | None = None) -> D
 
     Objects keep their JSON in ``record`` (and the named ``fields`` as typed columns); plain values
     go to ``review``. When ``data`` itself is an object, each of its keys is a review. Other
-    ``data`` gives no rows (see ``holds_reviews``).
+    ``data`` gives no rows (see ``tag_reviews``, whose result is taken as well).
     """
     spark = df.sparkSession
-    data = F.try_variant_get(F.try_parse_json("body"), "$.data", "variant")
-    rows = df.withColumn("_data", data).lateralJoin(spark.tvf.variant_explode(F.col("_data").outer()))
+    if "_data" not in df.columns:
+        df = df.withColumn("_data", F.try_variant_get(F.try_parse_json("body"), "$.data", "variant"))
+    rows = df.lateralJoin(spark.tvf.variant_explode(F.col("_data").outer()))
     kind = F.schema_of_variant(F.col("value"))
     from_object = F.col("key").isNotNull()
     is_record = ~from_object & kind.startswith("OBJECT")

@@ -137,6 +137,41 @@ def dict_text_field(t):
     return t.products.select("asin", T.dict_text_field(F.col("category"), "name").alias("category_name"))
 
 
+_QUOTED = """CASE p_partkey % 3
+  WHEN 0 THEN concat("{'name': 'Shoes, None, ", p_type, "', 'id': None, 'x': True}")
+  WHEN 1 THEN concat('{"name": "Men''s, True, ', p_type, '", 7: False}')
+  ELSE concat("{'name': 'Ratio, 3: ", p_type, "', 'y': [None, False]}") END AS category"""
+
+
+@query(
+    "dict_text_quoted",
+    """SELECT CAST(p_partkey AS VARCHAR) AS asin, CASE p_partkey % 3 WHEN 0 THEN 'Shoes, None, ' || p_type
+      WHEN 1 THEN 'Men''s, True, ' || p_type ELSE 'Ratio, 3: ' || p_type END AS category_name FROM part""",
+)
+def dict_text_quoted(t):
+    """Words and numbers inside quoted values stay as they are."""
+    rows = t.part.selectExpr("CAST(p_partkey AS STRING) AS asin", _QUOTED)
+    return rows.select("asin", T.dict_text_field(F.col("category"), "name").alias("category_name"))
+
+
+@query(
+    "star_keys",
+    """SELECT CAST(p_partkey AS VARCHAR) AS asin,
+      CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS DOUBLE) / (p_size + 3) ELSE 0e0 END AS pct_0stars,
+      CASE WHEN p_size % 2 = 0 THEN 0e0 ELSE CAST(1 AS DOUBLE) / (1 + p_size) END AS pct_45stars,
+      CASE WHEN p_size % 2 = 0 THEN 3e0 / (p_size + 3) ELSE CAST(p_size AS DOUBLE) / (1 + p_size) END AS pct_5stars,
+      0e0 AS pct_1stars, 0e0 AS pct_2stars, 0e0 AS pct_3stars, 0e0 AS pct_4stars FROM part""",
+)
+def star_keys(t):
+    """Unusual star keys get their columns too: 0 and 45 beside the usual five."""
+    even = F.concat(F.lit("{'0': "), F.col("p_size").cast("string"), F.lit(", '5': 3}"))
+    odd = F.concat(F.lit("{45: 1, 5: "), F.col("p_size").cast("string"), F.lit("}"))
+    text = F.when(F.col("p_size") % 2 == 0, even).otherwise(odd)
+    rows = t.part.select(F.col("p_partkey").cast("string").alias("asin"), text.alias("rating_distribution"))
+    return C.expand_distribution(rows).drop("rating_distribution")
+
+
+
 @query("event_props", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def event_props(t):
     return t.events.select("event_id", T.dict_text_field(F.col("props"), "k").alias("k"))
@@ -179,7 +214,7 @@ _FEATURES = (
 
 @query("price_features", f"WITH {PRODUCTS_SQL}, {enriched_sql('0')} SELECT {', '.join(_FEATURES)} FROM enriched")
 def price_features(t):
-    return C.enrich(t.products).select(*_FEATURES)
+    return C.enrich(t.products, keys=T.STAR_KEYS).select(*_FEATURES)
 
 
 @query(
@@ -213,7 +248,7 @@ def price_band(t):
         round(ln(1 + greatest(coalesce(sales_volume_num, 0), 0)), 9) AS sales_log FROM enriched""",
 )
 def log_features(t):
-    rows = C.enrich(t.products, null_sales=None).select(
+    rows = C.enrich(t.products, null_sales=None, keys=T.STAR_KEYS).select(
         "asin",
         P.log_feature(F.col("product_num_ratings")).alias("ratings_log"),
         P.log_feature(F.col("sales_volume_num")).alias("sales_log"),
@@ -259,6 +294,18 @@ def latest_columns_query(t):
     return latest_columns(rows, "l_partkey", "date", [*TIE, "t5"]).select("l_partkey", "date", "price", "qty")
 
 
+@query(
+    "latest_columns_nan",
+    """SELECT l_partkey, max(l_shipdate) AS date, arg_max(l_discount, row(l_shipdate, l_orderkey, l_linenumber))
+        FILTER (WHERE l_returnflag <> 'A') AS discount FROM lineitem GROUP BY l_partkey""",
+)
+def latest_columns_nan(t):
+    """NaN never hides an earlier value."""
+    discount = F.when(F.col("l_returnflag") == "A", float("nan")).otherwise(F.col("l_discount"))
+    rows = t.lineitem.select("l_partkey", F.col("l_shipdate").alias("date"), discount.alias("discount"), "l_orderkey", "l_linenumber")
+    return latest_columns(rows, "l_partkey", "date", ["l_orderkey", "l_linenumber"]).drop("l_orderkey", "l_linenumber")
+
+
 @query(
     "latest_columns_events",
     """SELECT user_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type,
@@ -298,12 +345,13 @@ def latest_row_events(t):
     """SELECT h.k AS asin, h.l_shipdate AS date, h.note AS note_x, p.note AS note_y, p.p_name AS product_title,
         h.k AS asin_group
       FROM (SELECT CAST(nullif(l_partkey, 7) AS VARCHAR) AS k, l_shipdate, l_returnflag AS note FROM lineitem) h
-      LEFT JOIN (SELECT CAST(nullif(p_partkey, 11) AS VARCHAR) AS k, p_name, p_brand AS note FROM part WHERE p_size > 5) p
+      LEFT JOIN (SELECT CAST(CASE WHEN p_size <= 5 THEN -p_partkey ELSE nullif(p_partkey, 11) END AS VARCHAR) AS k, p_name, p_brand AS note FROM part) p
         ON h.k IS NOT DISTINCT FROM p.k""",
 )
 def merge_history_query(t):
     history = t.lineitem.selectExpr("CAST(nullif(l_partkey, 7) AS STRING) AS asin", "l_shipdate AS date", "l_returnflag AS note")
-    details = t.part.where("p_size > 5").selectExpr("CAST(nullif(p_partkey, 11) AS STRING) AS asin", "p_name AS product_title", "p_brand AS note")
+    key = "CAST(CASE WHEN p_size <= 5 THEN -p_partkey ELSE nullif(p_partkey, 11) END AS STRING) AS asin"
+    details = t.part.selectExpr(key, "p_name AS product_title", "p_brand AS note")
     return merge_history(history, details)
 
 
@@ -316,5 +364,27 @@ def merge_history_query(t):
 def enriched_rows(t):
     from ..plans.enrichment import build_enriched
 
-    rows = build_enriched(t.history.select("asin", "date", "price"), t.products)
+    rows = build_enriched(t.history.select("asin", "date", "price"), t.products, keys=T.STAR_KEYS)
     return rows.select("asin", "date", "price", "discount_pct", "sales_volume_num", "premium_badge_count", "asin_group")
+
+
+@query(
+    "full_chain",
+    f"""WITH {PRODUCTS_SQL}, {HISTORY_SQL}, {enriched_sql('0')}
+      SELECT h.asin, h.date, h.price, e.product_title, e.product_price, e.discount_pct, e.sales_volume_num,
+        e.rating_balance, h.asin AS asin_group
+      FROM (SELECT DISTINCT asin, date, price FROM history) h JOIN enriched e ON h.asin = e.asin
+      WHERE e.product_price IS NOT NULL""",
+)
+def full_chain(t):
+    """Clean details, merge, validate, enrich: each detail row and each history row comes twice."""
+    from ..plans.enrichment import build_enriched, validate
+
+    details = t.products.withColumn("loaded_at", F.lit(1))
+    later = details.withColumns({"loaded_at": F.lit(2), "product_title": F.lit("later"), "product_price": F.lit(1.0)})
+    history = t.history.select("asin", "date", "price")
+    rows = build_enriched(history.unionAll(history), later.unionAll(details), order=["loaded_at"])
+    rows, _ = validate(rows, ["asin", "price", "product_price"])
+    return rows.select(
+        "asin", "date", "price", "product_title", "product_price", "discount_pct", "sales_volume_num", "rating_balance", "asin_group"
+    )

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.merge import merge_history
-from ..plans.ingestion import build_catalog
+from ..plans.ingestion import build_catalog, build_details, build_history, build_reviews
+from ..session import spread
 from ..sources import envelopes as E
 from ..sources import files, requests
 from .registry import query
@@ -73,6 +74,11 @@ def build_catalog_query(t):
       CASE WHEN p_size % 11 <> 0 AND p_size % 7 <> 0 THEN p_retailprice END AS product_price FROM part""",
 )
 def unwrap_details(t):
+    return E.unwrap_details(landed_details(t), "product_title string, product_price double")
+
+
+def landed_details(t):
+    """Detail responses of all products; some are empty, some failed."""
     data = F.struct(F.col("p_name").alias("product_title"), F.col("p_retailprice").alias("product_price"))
     body = F.when(F.col("p_size") % 7 == 0, F.lit('{"data": {}}')).otherwise(F.to_json(F.struct(data.alias("data"))))
     landed = t.part.select(
@@ -80,7 +86,21 @@ def unwrap_details(t):
         F.when(F.col("p_size") % 11 == 0, 429).otherwise(200).alias("status_code"),
         body.alias("body"),
     )
-    return E.unwrap_details(landed, "product_title string, product_price double")
+    return landed
+
+
+@query(
+    "details_job",
+    """SELECT CASE WHEN p_size % 11 = 0 THEN 'error' WHEN p_size % 7 = 0 THEN 'no_data' ELSE 'ok' END AS kind,
+      CAST(p_partkey AS VARCHAR) AS asin, CASE WHEN p_size % 11 = 0 THEN 'HTTP 429' END AS error,
+      CASE WHEN p_size % 11 <> 0 AND p_size % 7 <> 0 THEN p_name END AS product_title FROM part""",
+)
+def details_job(t):
+    """All outputs of the job, tagged."""
+    ok, no_data, errors = build_details(landed_details(t), "product_title string, product_price double")
+    kind = lambda df, name: df.withColumn("kind", F.lit(name))
+    rows = E.union_pages(kind(ok.select("asin", "product_title"), "ok"), kind(no_data, "no_data"), kind(errors, "error"))
+    return rows.select("kind", "asin", "error", "product_title")
 
 
 def landed_series(t):
@@ -99,7 +119,7 @@ def landed_series(t):
         .when((number == 5) & (F.col("l_linestatus") == "O"), '{"products": [{"csv": [[1, 2, 3]]}]}')
         .otherwise(body)
     )
-    return t.lineitem.select(F.col("l_partkey").cast("string").alias("asin"), damaged.alias("body"))
+    return spread(t.lineitem).select(F.col("l_partkey").cast("string").alias("asin"), damaged.alias("body"))
 
 
 _REASON_SQL = """CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN 'no products in response'
@@ -132,6 +152,42 @@ def decode_price_series(t):
     return E.decode_price_series(checked, as_of="2001-11-04")
 
 
+@query(
+    "history_job",
+    f"""WITH good AS (SELECT * FROM lineitem WHERE {_REASON_SQL} IS NULL),
+      points AS (SELECT l_partkey, l_shipdate AS d, {_CENTS_SQL} AS c FROM good
+        UNION ALL SELECT l_partkey, l_shipdate + INTERVAL 60 DAY, {_CENTS_SQL} - 100 FROM good)
+      SELECT CAST(l_partkey AS VARCHAR) AS asin, d AS date, c / 1e2 AS price, NULL AS error FROM points
+      WHERE d >= TIMESTAMP '2001-11-04' - INTERVAL 365 DAY AND c <> -1
+      UNION ALL SELECT CAST(l_partkey AS VARCHAR), NULL, NULL, {_REASON_SQL} FROM lineitem WHERE {_REASON_SQL} IS NOT NULL""",
+)
+def history_job(t):
+    """Price rows and error rows of the job, tagged by ``error``."""
+    rows, errors = build_history(landed_series(t), as_of="2001-11-04")
+    return E.union_pages(rows, errors).select("asin", "date", "price", "error")
+
+
+@query(
+    "reviews_job",
+    """WITH l AS (SELECT *, CASE WHEN turn = 5 AND conv_id % 2 = 0 THEN 429 WHEN turn = 1 THEN 500 ELSE 200 END AS code,
+        turn = 3 AS broken FROM conversations),
+      k AS (SELECT * FROM l WHERE NOT (conv_id % 2 = 0 AND turn >= 5))
+      SELECT CAST(conv_id AS VARCHAR) AS asin, turn AS page, text, NULL AS error FROM k WHERE code = 200 AND NOT broken
+      UNION ALL SELECT CAST(conv_id AS VARCHAR), turn, NULL, CASE WHEN code = 500 THEN 'HTTP 500' ELSE 'unreadable response' END
+      FROM k WHERE code = 500 OR broken""",
+)
+def reviews_job(t):
+    """Reviews and error rows of the job, tagged by ``error``; a rate limit ends a product's pages."""
+    code = F.when((F.col("turn") == 5) & (F.col("conv_id") % 2 == 0), 429).when(F.col("turn") == 1, 500).otherwise(200)
+    body = F.when(F.col("turn") == 3, '{"data": 7}').otherwise(F.to_json(F.struct(F.array(F.struct("text")).alias("data"))))
+    landed = t.conversations.select(
+        F.col("conv_id").cast("string").alias("asin"), F.col("turn").alias("page"), code.alias("status_code"),
+        F.lit(None).cast("string").alias("error"), body.alias("body"),
+    )
+    reviews, errors = build_reviews(landed, {"text": "string"})
+    return E.union_pages(reviews.select("asin", "page", "text"), errors).select("asin", "page", "text", "error")
+
+
 @query(
     "flatten_reviews",
     """SELECT CAST(conv_id AS VARCHAR) AS asin, turn AS page, i AS position,
@@ -302,12 +358,13 @@ _LOG_TEXT = (
 
 @query(
     "quarantine",
-    f"""SELECT event_id, user_id, regexp_replace({_LOG_TEXT}, 'key=[^&]+', 'key=***') AS error
-      FROM events WHERE event_type = 'error'""",
+    f"""SELECT event_id, user_id, CASE WHEN event_type = 'error' THEN regexp_replace({_LOG_TEXT}, 'key=[^&]+', 'key=***') END AS error
+      FROM events""",
 )
 def quarantine(t):
     rows = t.events.selectExpr("event_id", "user_id", f"CASE WHEN event_type = 'error' THEN {_LOG_TEXT} END AS error")
-    return Q.quarantine(rows)[1]
+    good, errors = Q.quarantine(rows)
+    return E.union_pages(good, errors)
 
 
 _STATUS = (

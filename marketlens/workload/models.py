@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from ..functions.prices import price_band
+from ..functions.text import STAR_KEYS
 from ..operators import predict as M
+from ..operators import reports as R
 from ..operators import segments as S
 from ..plans.enrichment import build_enriched
 from ..plans.sales_model import predict_sales
@@ -13,7 +16,7 @@ from ..plans.segmentation import segment_products
 from ..schemas import MODEL_FEATURES, MODEL_TARGET
 from ..session import keep
 from .registry import query, rounded
-from .tables import HISTORY_SQL, PRODUCTS_SQL, SNAPSHOT_SQL, enriched_sql
+from .tables import BOUNDS, HISTORY_SQL, PRODUCTS_SQL, SNAPSHOT_SQL, enriched_sql
 
 _BASE = ["price", "product_star_rating", "discount_pct", "rating_balance"]
 _LOG = ["product_num_ratings", "sales_volume_num"]
@@ -82,6 +85,21 @@ def kmeans_lloyd(t):
     return rounded(profile, 5, *_F)
 
 
+_BAND_OF = f"CASE WHEN price <= {BOUNDS[0]} THEN 'economy' WHEN price <= {BOUNDS[1]} THEN 'mid' ELSE 'premium' END"
+
+
+@query(
+    "crosstab_clusters",
+    f"WITH {_SCALED_SQL}, {_lloyd_sql()} SELECT {_BAND_OF} AS segment, "
+    + ", ".join(f'count(*) FILTER (WHERE cluster = {i}) AS "{i}"' for i in range(3))
+    + f" FROM a{_STEPS} GROUP BY 1",
+)
+def crosstab_clusters(t):
+    """Price band against k-means cluster."""
+    assigned, _ = S.lloyd(keep(scaled(t)), _F, _START, _STEPS)
+    return R.crosstab(assigned.withColumn("segment", price_band(F.col("price"), BOUNDS)), "segment", "cluster", [0, 1, 2])
+
+
 @query(
     "silhouette_exact",
     """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
@@ -145,6 +163,38 @@ def inertia(t):
     return rounded(S.inertia(wide, names, "label"), 6, "inertia")
 
 
+_PLANTED = "SELECT p_partkey, p_partkey % 3 AS g, (p_partkey % 3) * 1e4 + p_size AS price, (2 - p_partkey % 3) * 5e3 + p_size % 7 AS x FROM part"
+
+
+def planted(t):
+    """Three groups of products far apart, so that one grouping is the best."""
+    group = F.col("p_partkey") % 3
+    return t.part.select(
+        "p_partkey", (group * 1e4 + F.col("p_size")).alias("price"), ((2 - group) * 5e3 + F.col("p_size") % 7).alias("x")
+    )
+
+
+@query(
+    "kmeans_planted",
+    f"SELECT p_partkey, CAST(g AS INTEGER) AS cluster_rank, 'Cluster ' || g AS segment FROM ({_PLANTED})",
+)
+def kmeans_planted(t):
+    rows, _ = segment_products(planted(t), "p_partkey", k=3, base=["price", "x"], log=[], restarts=3)
+    return rows.select("p_partkey", "cluster_rank", "segment")
+
+
+@query(
+    "k_sweep_planted",
+    f"""WITH p AS ({_PLANTED}), m AS (SELECT g, avg(price) AS a, avg(x) AS b FROM p GROUP BY g)
+      SELECT 3 AS k, round(sum((price - a) * (price - a) + (x - b) * (x - b)), 3) AS inertia FROM p JOIN m ON p.g = m.g""",
+)
+def k_sweep_planted(t):
+    """The best of several k and its inertia."""
+    sweep = S.k_sweep(S.assemble(planted(t), ["price", "x"]), [2, 3, 4], "p_partkey", restarts=3)
+    best = sweep.join(S.best_k(sweep), "k")
+    return rounded(best.select("k", "inertia"), 3, "inertia")
+
+
 @query("kmeans_segments")
 def kmeans_segments(t):
     """Products of the latest snapshot in three k-means segments, ordered by price."""
@@ -173,9 +223,7 @@ _HASH_SQL = "md5(concat(CAST(l_partkey AS VARCHAR), '#42'))"
         count(*) AS n FROM lineitem l JOIN k ON l.l_partkey = k.l_partkey GROUP BY ALL""",
 )
 def group_split_by_md5(t):
-    train, test = M.group_split(t.lineitem, "l_partkey", digest="md5")
-    named = lambda df, side: df.withColumn("side", F.lit(side))
-    both = named(train, "train").unionByName(named(test, "test"))
+    both = M.split_sides(t.lineitem.select("l_partkey", "l_linenumber"), "l_partkey", digest="md5")
     return both.groupBy("l_partkey", "l_linenumber", "side").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -192,7 +240,7 @@ _M = ["product_price", "discount", "discount_pct", "product_star_rating", "premi
 def impute_standardize(t):
     from ..operators.columns import enrich
 
-    rows = enrich(t.products).select("asin", *_M)
+    rows = enrich(t.products, keys=STAR_KEYS).select("asin", *_M)
     rows = M.impute_standardize(rows, M.fit_scaling(rows, _M))
     return rounded(rows, 7, *_M)
 
@@ -253,7 +301,7 @@ def comparison_table(t):
 
 
 def _sales(t):
-    rows = build_enriched(t.history.select("asin", "date", "price"), t.products)
+    rows = build_enriched(t.history.select("asin", "date", "price"), t.products, keys=STAR_KEYS)
     return predict_sales(keep(rows.select("asin", MODEL_TARGET, *MODEL_FEATURES)))
 
 
@@ -266,3 +314,34 @@ def model_comparison(t):
 @query("feature_importance")
 def feature_importance(t):
     return _sales(t).importance
+
+
+_FLAGS_SQL = "CAST(l_returnflag = 'R' AS DOUBLE) AS returned, CAST(l_linestatus = 'O' AS DOUBLE) AS open"
+
+
+def _flagged(t):
+    flag = lambda c, v: (F.col(c) == v).cast("double")
+    return t.lineitem.select(
+        flag("l_returnflag", "R").alias("returned"), flag("l_linestatus", "O").alias("open"),
+        (F.col("l_quantity") + 100 * flag("l_linestatus", "O") + 30 * flag("l_returnflag", "R")).alias("y"), F.lit(1.0).alias("same"),
+    )
+
+
+@query(
+    "forest_group_means",
+    f"""SELECT returned, open, round(avg(l_quantity + 100 * open + 30 * returned), 6) AS prediction
+      FROM (SELECT l_quantity, {_FLAGS_SQL} FROM lineitem) GROUP BY ALL""",
+)
+def forest_group_means(t):
+    """One tree without bootstrap on two flags predicts the mean of each group."""
+    rows = S.assemble(_flagged(t), ["returned", "open"])
+    model = M.fit_forest(rows, "y", trees=1, bootstrap=False)
+    found = model.transform(rows).groupBy("returned", "open").agg(F.max("prediction").alias("prediction"))
+    return rounded(found, 6, "prediction")
+
+
+@query("forest_importance", "SELECT 'open' AS feature, 1e0 AS importance UNION ALL SELECT 'same', 0e0")
+def forest_importance(t):
+    """A feature that is the same in all rows has no importance; the other has all of it."""
+    rows = S.assemble(_flagged(t), ["open", "same"])
+    return M.feature_importance(M.fit_forest(rows, "y", trees=5), ["open", "same"], rows)

@@ -26,8 +26,9 @@ def banded(t):
       min(price) AS min_price, max(price) AS max_price FROM banded GROUP BY segment""",
 )
 def price_by_band(t):
-    """Flagship: what do products cost now, by band?"""
-    return rounded(R.segment_summary(banded(t), "segment", "price"), 4, "mean_price")
+    """Flagship: what do products cost now, by band? The latest history has all that is asked."""
+    rows = t.latest.withColumn("segment", price_band(F.col("price"), BOUNDS))
+    return rounded(R.segment_summary(rows, "segment", "price"), 4, "mean_price")
 
 
 @query(
@@ -189,7 +190,12 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     + " FROM orders GROUP BY o_orderstatus",
 )
 def crosstab_bands(t):
-    return R.crosstab(t.orders, "o_orderstatus", "o_orderpriority", _PRIORITIES)
+    return R.crosstab(t.orders, "o_orderstatus", "o_orderpriority", _PRIORITIES[:2])
+
+
+@query("crosstab_counts", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL")
+def crosstab_counts(t):
+    return R.crosstab_counts(t.orders, "o_orderstatus", "o_orderpriority")
 
 
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "price"]
@@ -217,6 +223,17 @@ def column_stats(t):
     return rounded(R.column_stats(t.part, ["p_size", "p_retailprice"]), 6, "mean", "stddev_pop")
 
 
+@query(
+    "column_stats_nan",
+    """SELECT 'price' AS "column", count(p) AS n, round(avg(p), 6) AS mean, round(stddev_pop(p), 6) AS stddev_pop,
+      quantile_cont(p, 0.5) AS median FROM (SELECT CASE WHEN p_size % 3 <> 0 THEN p_retailprice END AS p FROM part)""",
+)
+def column_stats_nan(t):
+    """NaN in the data counts as missing."""
+    price = F.when(F.col("p_size") % 3 == 0, float("nan")).otherwise(F.col("p_retailprice"))
+    return rounded(R.column_stats(t.part.select(price.alias("price")), ["price"]), 6, "mean", "stddev_pop")
+
+
 @query(
     "box_stats",
     f"""WITH {SNAPSHOT_SQL}, b AS (SELECT product_byline, quantile_cont(price, 0.25) AS q1,
@@ -233,16 +250,19 @@ def box_stats(t):
     return rounded(rounded(boxes, 6, "mean"), 8, "q1", "median", "q3")
 
 
+_STEEP = "l_quantity * l_quantity * l_quantity * l_quantity * l_quantity"
+
+
 @query(
     "box_outliers",
-    """WITH b AS (SELECT l_returnflag AS f, quantile_cont(l_extendedprice, 0.25) AS q1,
-        quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem WHERE l_quantity < 10 GROUP BY 1)
-      SELECT l_returnflag, l_extendedprice FROM lineitem JOIN b ON l_returnflag = f
-      WHERE l_quantity < 10 AND l_extendedprice NOT BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)""",
+    f"""WITH l AS (SELECT l_returnflag, {_STEEP} AS v FROM lineitem),
+      b AS (SELECT l_returnflag AS f, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM l GROUP BY 1)
+      SELECT l_returnflag, v FROM l JOIN b ON l_returnflag = f
+      WHERE v NOT BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1)""",
 )
 def box_outliers(t):
-    """Unusually dear small orders by return flag."""
-    return R.box_outliers(t.lineitem.where("l_quantity < 10").select("l_returnflag", "l_extendedprice"), "l_returnflag", "l_extendedprice")
+    """Outliers by return flag of a value with a long upper tail."""
+    return R.box_outliers(t.lineitem.selectExpr("l_returnflag", f"{_STEEP} AS v"), "l_returnflag", "v")
 
 
 @query(
@@ -292,7 +312,7 @@ def kde_grid(t):
         round(avg(v) + 1.96e0 * stddev_samp(v) / sqrt(count(*)), 6) AS high FROM h GROUP BY brand""",
 )
 def bar_means(t):
-    top = R.high_sellers(t.snapshot.withColumn("brand", brand_short(F.col("product_byline"))))
+    top = R.high_sellers(t.snapshot.withColumn("brand", brand_short(F.col("product_byline"))), ordered=False)
     return rounded(R.bar_means(top, "brand", "sales_volume_num"), 6, "mean", "low", "high")
 
 
@@ -304,7 +324,8 @@ def bar_means(t):
         product_star_rating >= 4.4e0 AS above_mark FROM snapshot, s""",
 )
 def scatter_points(t):
-    return R.scatter_points(t.snapshot, hue="is_prime")
+    columns = ("asin", "price", "product_star_rating", "sales_volume_num", "is_prime")
+    return R.scatter_points(keep(t.snapshot.select(*columns)), hue="is_prime")
 
 
 # --- findings --------------------------------------------------------------------------------
@@ -319,7 +340,7 @@ def scatter_points(t):
           (SELECT count(*) FROM snapshot), round(m, 2)) AS finding FROM s""",
 )
 def finding_segment(t):
-    rows = banded(t)
+    rows = keep(t.latest.select("price").withColumn("segment", price_band(F.col("price"), BOUNDS)))
     return N.finding_segment(R.segment_summary(rows, "segment", "price", digits=2), "segment", rows)
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.text import STAR_KEYS
+
 PRODUCT_COLUMNS = {
     "asin": "CAST(p_partkey AS STRING)",
     "product_title": "p_name",
@@ -81,7 +83,15 @@ class Tables:
         """Latest observation per product with derived columns."""
         from ..plans.enrichment import latest_snapshot
 
-        return latest_snapshot(self.history, self.products, tie=TIE, null_sales=None).drop(*TIE)
+        latest = latest_snapshot(self.history, self.products, tie=TIE, null_sales=None, order=[], keys=STAR_KEYS)
+        return latest.drop(*TIE)
+
+    @property
+    def latest(self) -> DataFrame:
+        """Latest observation per product, without details."""
+        from ..operators.latest import latest_columns
+
+        return latest_columns(self.history, "asin", "date", TIE).drop(*TIE)
 
 
 # --- SQL twins -------------------------------------------------------------------------------

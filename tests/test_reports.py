@@ -205,3 +205,43 @@ def test_column_stats(spark):
 def test_price_features_need_all_flags(spark):
     with pytest.raises(ValueError):
         C.price_features(spark.createDataFrame([(1.0,)], "product_price double"))
+
+
+def test_reports_take_nan_as_missing_and_stand_constant_columns(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (nan, 5.0), (3.0, 4.0), (None, nan)], "a double, b double")
+    stats = {r.column: (r.n, r["mean"], r.median) for r in R.column_stats(df, ["a", "b"]).collect()}
+    assert stats == {"a": (2, 2.0, 2.0), "b": (3, pytest.approx(11 / 3), 4.0)}
+    corr = {(r.a, r.b): r["corr"] for r in R.corr_matrix(df, ["a", "b"]).collect()}
+    assert corr["a", "b"] == pytest.approx(1.0)
+    assert sum(r.n for r in R.histogram(df, "a", 4).collect()) == 2
+    assert all(r.density > 0 for r in R.kde_grid(df, "a", 5).collect())
+    flat = spark.createDataFrame([(7.0,), (7.0,), (nan,)], "a double")
+    got = R.kde_grid(flat, "a", 3).collect()
+    assert [(r.x, r.density) for r in got] == [(7.0, None)] * 3
+    assert R.kde_grid(df, "a", 1).count() == 1
+    assert R.kde_grid(flat.limit(0), "a").count() == 0
+    assert [r["corr"] for r in R.corr_matrix(flat, ["a"]).collect()] == [None]
+    assert R.histogram(flat, "a", 2).agg({"n": "sum"}).first()[0] == 2
+
+
+def test_crosstab_counts_every_value(spark):
+    df = spark.createDataFrame([("x", "a"), ("x", "c"), ("y", "c"), ("y", None), (None, "a")], "r string, c string")
+    got = {r.r: r.asDict() for r in R.crosstab(df, "r", "c", ["b"]).collect()}
+    assert got == {"x": {"r": "x", "b": 0, "a": 1, "c": 1}, "y": {"r": "y", "b": 0, "a": 0, "c": 1}}
+
+
+@pytest.mark.parametrize("most_inside", [3, 1000])
+def test_medians_and_quantiles_with_narrow_brackets_and_a_hot_group(spark, most_inside):
+    import numpy as np
+
+    from marketlens.operators.quantiles import exact_quantiles, medians
+
+    rng = np.random.default_rng(most_inside)
+    rows = [("hot" if i % 10 else f"g{i % 3}", float(rng.integers(0, 400)) if i % 3 else float(rng.normal()), i) for i in range(900)]
+    df = spark.createDataFrame([(g, x, None if i % 7 == 0 else x * 2) for g, x, i in rows], "g string, x double, y double").cache()
+    pdf = df.toPandas()
+    assert medians(df, ["x", "y"], accuracy=200, most_inside=most_inside) == {c: pytest.approx(pdf[c].median()) for c in ("x", "y")}
+    got = {r.g: r.quantiles for r in exact_quantiles(df, "x", [0.0, 0.25, 0.5, 1.0], ["g"], 200, most_inside).collect()}
+    for g, part in pdf.groupby("g"):
+        assert got[g] == pytest.approx(part.x.quantile([0.0, 0.25, 0.5, 1.0]).tolist())

@@ -21,7 +21,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n in oracle_sql() if not n.startswith("op") and n != "pipeline"))
 def test_query_equals_sql(spark, duck, name):
     got = queries()[name](spark, SF_DIR).toPandas()
     verdict = compare(got, duck.sql(oracle_sql()[name]).df())
@@ -29,10 +29,19 @@ def test_query_equals_sql(spark, duck, name):
     assert verdict == "ok" or verdict.startswith("last bits")
 
 
+def test_compare_reads_all_rows():
+    import pandas as pd
+
+    left = pd.DataFrame({"x": [1.0, 2.0, 3.0]})
+    assert compare(left, pd.DataFrame({"x": [1.0 + 1e-15, 2.0, 3.0]})).startswith("last bits")
+    assert compare(left, pd.DataFrame({"x": [1.0 + 1e-15, 2.0, 4.0]})).startswith("values")
+
+
 def test_entry(spark):
     rows = entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"segment", "n", "mean_price", "min_price", "max_price"}
 
 
 def test_queries_without_sql_twin_are_the_iterative_ones():
-    assert set(queries()) - set(oracle_sql()) == {"kmeans_segments", "k_sweep", "model_comparison", "feature_importance"}
+    own = {n for n in queries() if not n.startswith("op") and n != "pipeline"}
+    assert own - set(oracle_sql()) == {"kmeans_segments", "k_sweep", "model_comparison", "feature_importance"}

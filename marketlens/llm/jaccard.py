@@ -7,9 +7,11 @@ link agree on at least one part, so the tile of a band, a part and that part's c
 linking pair together, while sets that only share a passage rarely agree on a whole part.
 
 Members of a tile are first held against one of them, the hub. Only where classes remain apart in a tile
-are the other pairs of different classes compared, since pairs of one class add nothing. A pair passes
-the bitmaps first: bits that one side has and the other lacks stand for at least as many shingles that
-are not shared. What passes is intersected exactly.
+are other pairs compared, since pairs of one class add nothing. A tile is put in order of class and size
+and cut into blocks of bounded bytes; blocks of different classes meet pairwise, first with bitmaps only:
+bits that one side has and the other lacks stand for at least as many shingles that are not shared, which
+bounds the overlap from above. Sets with a possible partner then meet again with their sorted arrays,
+which are intersected exactly.
 """
 
 from __future__ import annotations
@@ -20,27 +22,40 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, arrow_map, buckets_for, keep, mix, private, table, text_bytes
+from .common import arrow_map, buckets_for, keep, mix, pieces, private, table, text_bytes, word_codes
 
 _A = np.uint64(0x9E3779B97F4A7C15)
-_WORDS = WordHash()
+
+def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
+    """For each text, the sorted distinct hashes of its word ``width``-grams; of the whole, when there are
+    fewer words; none without words."""
+    for a, z in pieces(texts):
+        h, _, counts = word_codes(texts[a:z])
+        with np.errstate(over="ignore"):
+            code = h[: max(0, len(h) - width + 1)].copy()
+            for j in range(1, width):
+                code = code * _A + h[j : j + len(code)]
+            code = mix(code + np.uint64(width))
+            first = 0
+            for n in counts.tolist():
+                if n >= width:
+                    yield np.unique(code[first : first + n - width + 1])
+                elif n:
+                    whole = np.uint64(0)
+                    for x in h[first : first + n]:
+                        whole = whole * _A + x
+                    yield mix(np.array([whole + np.uint64(n)]))
+                else:
+                    yield np.zeros(0, np.uint64)
+                first += n
 
 
 def shingles(text: bytes | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the word ``width``-grams; of the whole, when there are fewer words."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = _WORDS.of(words)
-    width = min(width, len(words))
-    with np.errstate(over="ignore"):
-        code = h[: len(h) - width + 1].copy()
-        for j in range(1, width):
-            code = code * _A + h[j : len(h) - width + 1 + j]
-        return np.unique(mix(code + np.uint64(width)))
+    return next(shingle_sets([text], width))
 
 
 class Bands:
@@ -66,11 +81,11 @@ class Bands:
     def split(self, band: int) -> tuple[int, int]:
         """Number of parts, and how many of them may be empty in a set without its empty parts mattering."""
         if band not in self.parts:
-            differ, least, slack = self._differ(band), self.edges[band] * self.num / self.den, 1
+            differ, least, slack = self._differ(band), self.edges[band] * self.num / self.den, 0
             for _ in range(20):
                 parts = differ + 1 + slack
                 empty = parts * (1 - 1 / parts) ** least
-                slack = max(1, math.ceil(empty + 3 * math.sqrt(empty)))
+                slack = math.ceil(empty + 3 * math.sqrt(empty)) if empty > 0.05 else 0
             self.parts[band] = (differ + 1 + slack, slack)
         return self.parts[band]
 
@@ -95,8 +110,8 @@ class Bands:
 
 
 def bitmap(found: np.ndarray) -> bytes:
-    """One bit for each shingle in 2 to 4 times as many places."""
-    places = 1 << max(6, (2 * len(found) - 1).bit_length())
+    """One bit for each shingle in 4 to 8 times as many places."""
+    places = 1 << max(6, (4 * len(found) - 1).bit_length())
     bits = np.zeros(places, np.uint8)
     bits[(found & np.uint64(places - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
@@ -124,8 +139,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             sizes, digests = [], []
-            for text in b["text"]:
-                found = shingles(text, width)
+            for found in shingle_sets(b["text"], width):
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
             flat = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
@@ -141,8 +155,7 @@ def _keys(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
         seen: set[bytes] = set()
         for b in batches:
             keys, ids, held = [], [], 0
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                found = shingles(text, width)
+            for doc_id, found in zip(b["doc_id"], shingle_sets(b["text"], width)):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 if doc_id is None or digest in seen:
                     continue
@@ -271,41 +284,129 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     stars = keep(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     # Tiles of one block and two members are settled by their star.
     wide = tiles.where("size(members) > 2 OR block > 0").select("tile").distinct()
-    members = tiles.join(wide, "tile", "left_semi").select("tile", "block", F.explode("members").alias("doc"))
-    members = keep(members.join(rep_of("doc", "rep"), "doc").select("tile", "block", "rep").distinct())
-
-    wanted = stars.select(F.col("a").alias("rep")).union(stars.select("b")).union(members.select("rep")).distinct()
+    members = tiles.join(wide, "tile", "left_semi").select("tile", F.explode("members").alias("doc"))
+    members = members.join(rep_of("doc", "rep"), "doc").select("tile", "rep").distinct()
+    wanted = stars.select(F.col("a").alias("rep")).union(stars.select("b")).distinct()
 
     def arrays(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                found = shingles(text, width)
-                yield {"rep": [doc_id], "n": [len(found)], "bits": [bitmap(found)], "shingles": [found.tobytes()]}
+            out, held = {c: [] for c in ("rep", "n", "bits", "shingles")}, 0
+            for doc_id, found in zip(b["doc_id"], shingle_sets(b["text"], width)):
+                for c, v in zip(out, (doc_id, len(found), bitmap(found), found.tobytes())):
+                    out[c].append(v)
+                held += len(found)
+                if held > 1_000_000:
+                    yield out
+                    out, held = {c: [] for c in out}, 0
+            if held:
+                yield out
 
     held = arrow_map(raw.join(wanted, raw.doc_id == wanted.rep, "left_semi"), arrays, "rep long, n long, bits binary, shingles binary")
     verify = _Verifier(keep(held), bands)
     links = keep(verify.links(stars))
     labels = classes(links)
-    links = keep(links.union(verify.links(_open_pairs(members, labels, stars))))
-    labels = classes(links)
+    more = keep(_between(members, labels, verify))
+    if more.limit(1).count():  # links between classes: classes of classes
+        class_of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"{name}_class"))
+        between = more.join(class_of("a"), "a", "left").join(class_of("b"), "b", "left")
+        between = between.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b")).where("a <> b")
+        joined = classes(between).withColumnRenamed("label", "least")
+        known = labels.join(joined.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+        new = joined.join(labels, "node", "left_anti").select("node", F.col("least").alias("label"))
+        labels = known.unionByName(new)
     out = named.join(labels, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"), "text_key")
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in one tile that no star has compared."""
-    marked = members.join(labels, F.col("rep") == F.col("node"), "left").select("tile", "block", "rep", F.coalesce("label", "rep").alias("label"))
-    open_ = marked.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("tile")
-    blocks = keep(
-        marked.join(open_, "tile", "left_semi").groupBy("tile", "block")
-        .agg(F.array_sort(F.collect_list(F.struct("rep", "label"))).alias("own"))  # a block's members at most
-        .groupBy(F.col("own")).agg(F.min(F.struct("tile", "block")).alias("at")).select("at.tile", "at.block", "own")
-    )
-    other = blocks.select("tile", F.col("block").alias("other_block"), F.col("own").alias("other"))
-    both = blocks.join(other, "tile").where("block <= other_block")
-    pairs = both.select(F.explode("own").alias("x"), "other").select("x", F.explode("other").alias("y")).where("x.label <> y.label")
-    pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+def _between(members: DataFrame, labels: DataFrame, verify: _Verifier) -> DataFrame:
+    """Links (a, b) between different classes of one tile: enough of them to join what links."""
+    bands = verify.bands
+    classed = members.join(labels.withColumnRenamed("label", "class"), F.col("rep") == F.col("node"), "left")
+    classed = keep(classed.select("tile", "rep", F.coalesce("class", "rep").alias("class")))
+    # Tiles in which classes remain apart; of tiles with the same members, one.
+    alike = ("count", "first", "last", "mixed")
+    open_ = classed.groupBy("tile").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"),
+        F.count("*").alias("count"), F.min("rep").alias("first"), F.max("rep").alias("last"), F.bit_xor(F.xxhash64("rep")).alias("mixed"),
+    ).where("low <> high").groupBy(*alike).agg(F.min("tile").alias("tile"))
+    apart = classed.join(open_, "tile", "left_semi").join(verify.sets.select("rep", "n"), "rep")
+
+    def possible(group: pa.Table) -> pa.Table:
+        rows = group.sort_by([("class", "ascending"), ("rep", "ascending")])
+        reps, of, sizes = (rows[c].to_numpy() for c in ("rep", "class", "n"))
+        found = may_link(of, sizes, [np.frombuffer(x, np.uint8) for x in rows["bits"].to_pylist()], bands)
+        return pa.table({"tile": rows["tile"].take(pa.array(np.flatnonzero(found))), "rep": pa.array(reps[found], pa.int64())})
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows = group.sort_by([("class", "ascending"), ("rep", "ascending")])
+        found = join_classes(rows["rep"].to_pylist(), rows["class"].to_pylist(), [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()], bands)
+        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
+
+    near = _meet(apart, verify, "bits", 8_000_000).applyInArrow(possible, "tile long, rep long").distinct()
+    near = keep(apart.join(near, ["tile", "rep"], "left_semi"))
+    return _meet(near, verify, "shingles", 500_000).applyInArrow(compare, "a long, b long")
+
+
+def _meet(members: DataFrame, verify: _Verifier, column: str, shingles_per_block: int):
+    """Groups of blocks that may hold linking sets of different classes: the members (tile, rep, class, n)
+    of one or two blocks of a tile with their ``column``."""
+    num, den = verify.bands.num, verify.bands.den
+    order = Window.partitionBy("tile").orderBy("class", "n", "rep")  # narrow rows
+    members = members.withColumn("block", F.floor(F.sum("n").over(order) / shingles_per_block))
+    blocks = members.groupBy("tile", "block").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
+    left, right = (blocks.select("tile", *(F.col(c).alias(f"{c}{k}") for c in blocks.columns[1:])) for k in (1, 2))
+    pairs = left.join(right, "tile").where("block1 <= block2 AND NOT (low1 = high1 AND low2 = high2 AND low1 = low2)")
+    pairs = pairs.where((F.col("most1") * den >= F.col("least2") * num) & (F.col("most2") * den >= F.col("least1") * num))
+    sides = pairs.select("tile", "block1", "block2", F.explode(F.array_distinct(F.array("block1", "block2"))).alias("block"))
+    shipped = sides.join(members, ["tile", "block"]).join(verify.sets.select("rep", column), "rep")
+    return shipped.groupBy("tile", "block1", "block2")
+
+
+def may_link(of: np.ndarray, sizes: np.ndarray, maps: list[np.ndarray], bands: Bands) -> np.ndarray:
+    """Which sets have, by size and bitmap, a possible partner in another class."""
+    places = min(len(x) for x in maps)
+    bits = np.stack([np.bitwise_or.reduce(x.reshape(-1, places)) for x in maps]).view(np.uint64)
+    found = np.zeros(len(of), bool)
+    for i in range(len(of) - 1):
+        rest = np.arange(i + 1, len(of))
+        rest = rest[(of[rest] != of[i]) & (sizes[rest] * bands.den >= sizes[i] * bands.num) & (sizes[i] * bands.den >= sizes[rest] * bands.num)]
+        if len(rest):
+            most = _bound(bits, sizes, i, rest)
+            ok = rest[bands.den * most >= bands.num * (sizes[i] + sizes[rest] - most)]
+            if len(ok):
+                found[ok] = found[i] = True
+    return found
+
+
+def _bound(bits: np.ndarray, sizes: np.ndarray, i: int, rest: np.ndarray) -> np.ndarray:
+    mine = sizes[i] - np.bitwise_count(bits[i] & ~bits[rest]).sum(axis=1, dtype=np.int64)
+    theirs = sizes[rest] - np.bitwise_count(bits[rest] & ~bits[i]).sum(axis=1, dtype=np.int64)
+    return np.minimum(mine, theirs)
+
+
+def join_classes(reps: list[int], classes_: list[int], sets: list[np.ndarray], bands: Bands) -> list[tuple[int, int]]:
+    """Links that join classes of the given sets: each set against those of other classes; a class that
+    has been joined is not looked at again."""
+    sizes = np.array([len(x) for x in sets])
+    places = 1 << max(6, min(15, (2 * int(sizes.max()) - 1).bit_length()))
+    bits = np.zeros((len(sets), places), np.uint8)
+    for i, x in enumerate(sets):
+        bits[i, (x & np.uint64(places - 1)).astype(np.int64)] = 1
+    bits = np.packbits(bits, axis=1).view(np.uint64)
+    of = np.array(classes_, np.int64)
+    found = []
+    for i in range(len(sets) - 1):
+        rest = np.arange(i + 1, len(sets))
+        near = (sizes[rest] * bands.den >= sizes[i] * bands.num) & (sizes[i] * bands.den >= sizes[rest] * bands.num)
+        rest = rest[near & (of[rest] != of[i])]
+        if not len(rest):
+            continue
+        most = _bound(bits, sizes, i, rest)
+        for j in rest[bands.den * most >= bands.num * (sizes[i] + sizes[rest] - most)].tolist():
+            if of[j] != of[i] and bands.links(shared(sets[i], sets[j]), len(sets[i]), len(sets[j])):
+                found.append((reps[i], reps[j]))
+                of[of == of[j]] = of[i]
+    return found
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marketlens.session import keep
 
-__all__ = ["arrow_map", "buckets_for", "keep", "mix", "private", "table", "text_bytes", "token_ids", "WordHash"]
+__all__ = ["arrow_map", "buckets_for", "keep", "mix", "pieces", "private", "table", "text_bytes", "token_ids", "word_codes"]
 
 _ARROW = {
     "int": pa.int32(), "long": pa.int64(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
@@ -54,23 +53,6 @@ def buckets_for(spark: SparkSession, amount: float, per_bucket: float) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-amount // per_bucket)))
 
 
-class WordHash(dict):
-    """Word (bytes) -> 64-bit hash. Forgets everything when full, which costs time, not results."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser: neighbouring inputs give unrelated outputs."""
     x = x ^ (x >> np.uint64(33))
@@ -80,6 +62,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of ``_P`` and of its inverse, modulo 2^64, from 0 to at least ``n - 1``."""
+    if len(_POWERS[0]) < n:
+        for k, base in enumerate((_P, pow(_P, -1, 1 << 64))):
+            steps = np.full(max(n, 1 << 20), base, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+def word_codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit codes of the words of all texts, one text after the other; the code of each word's last three
+    bytes; and the number of words of each text.
+
+    Words are runs of other than blank, tab and the ASCII line breaks, A-Z lower-cased. A word's code comes
+    from the difference of running sums of its bytes times powers of an odd number, so the texts are worked
+    on as whole arrays.
+    """
+    counts = np.zeros(len(texts), np.int64)
+    data = b"\n".join(t or b"" for t in texts)
+    raw = _LOWER[np.frombuffer(data, np.uint8)]
+    word = np.concatenate([[False], ~_BLANK[raw], [False]])
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    first, last = edges[0::2], edges[1::2]
+    if not len(first):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), counts
+    power, inverse = _powers(len(raw))
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)])])
+        length = (last - first).astype(np.uint64)
+        codes = mix((sums[last] - sums[first]) * inverse[first] + length * np.uint64(0xC2B2AE3D27D4EB4F))
+        ends = np.zeros(len(first), np.uint64)
+        for k in (1, 2, 3):
+            at = last - k
+            ends = ends * np.uint64(257) + np.where(at >= first, raw[np.maximum(at, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+    starts = np.cumsum([0] + [len(t or b"") + 1 for t in texts])
+    at = np.searchsorted(first, starts)
+    return codes, ends, at[1:] - at[:-1]
+
+
+def pieces(texts: list[bytes | None], most: int = 250_000) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``most`` bytes (a longer text is a run of its own)."""
+    a, held = 0, 0
+    for z, text in enumerate(texts):
+        if held and held + len(text or b"") > most:
+            yield a, z
+            a, held = z, 0
+        held += len(text or b"")
+    if a < len(texts):
+        yield a, len(texts)
+
+
 _ENCODERS: dict[str, object] = {}
 
 

@@ -214,6 +214,25 @@ def _tiles(keys: DataFrame, partitions: int, block: int) -> DataFrame:
     return arrow_map(ordered, run, "tile long, block long, hub long, members array<long>")
 
 
+FILTER_BITS = 1 << 25
+
+
+def _filter(ids: DataFrame):
+    """Broadcast of a bitmap of 4 MB, whatever the number of ids: the ids modulo its length. It spares most
+    texts the way to a join, which still decides; full, it would spare none."""
+    at = ids.select((F.pmod("rep", F.lit(FILTER_BITS)) + 1).alias("at"))  # the functions count from 1
+    rows = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    packed = bytearray(FILTER_BITS // 8)
+    for r in rows:  # 4096 bytes each
+        packed[(r.part - 1) * 4096 : r.part * 4096] = r.bits
+    return ids.sparkSession.sparkContext.broadcast(bytes(packed))
+
+
+def _passes(packed: bytes, doc_id: int) -> bool:
+    at = doc_id % FILTER_BITS
+    return packed[at >> 3] >> (at & 7) & 1 == 1
+
+
 class _Verifier:
     """Compares pairs of representatives: sizes, bitmaps, then the sets themselves."""
 
@@ -288,8 +307,12 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     members = members.join(rep_of("doc", "rep"), "doc").select("tile", "rep").distinct()
     wanted = stars.select(F.col("a").alias("rep")).union(stars.select("b")).distinct()
 
+    filter_ = _filter(wanted)
+
     def arrays(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
+            mine = [i for i, d in enumerate(b["doc_id"]) if d is not None and _passes(filter_.value, d)]
+            b = {c: [v[i] for i in mine] for c, v in b.items()}
             out, held = {c: [] for c in ("rep", "n", "bits", "shingles")}, 0
             for doc_id, found in zip(b["doc_id"], shingle_sets(b["text"], width)):
                 for c, v in zip(out, (doc_id, len(found), bitmap(found), found.tobytes())):
@@ -301,7 +324,8 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
             if held:
                 yield out
 
-    held = arrow_map(raw.join(wanted, raw.doc_id == wanted.rep, "left_semi"), arrays, "rep long, n long, bits binary, shingles binary")
+    held = arrow_map(raw, arrays, "rep long, n long, bits binary, shingles binary")
+    held = held.join(wanted, "rep", "left_semi")
     verify = _Verifier(keep(held), bands)
     links = keep(verify.links(stars))
     labels = classes(links)

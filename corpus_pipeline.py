@@ -23,9 +23,8 @@ from marketlens.session import CHECKPOINT_KEY
 
 def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, text_key) is in ``verdicts``; null ids match null ids."""
-    marked = docs.withColumn("_key", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("d._key") == F.col("v.text_key"))
-    return marked.join(verdicts.select("doc_id", "text_key").alias("v"), same, "left_semi").drop("_key")
+    same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("v.text_key"))
+    return docs.alias("d").join(verdicts.select("doc_id", "text_key").alias("v"), same, "left_semi")
 
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept = _only(docs, classes.where("component_id IS NULL OR doc_id = component_id"))
     repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id", "text_key").count().where("count > 1")
     if repeated.limit(1).count():  # rows that are the same in id and text
-        rows = kept.withColumn("_key", F.xxhash64("text"))
-        kept = rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "_key"]).unionByName(rows.where("doc_id IS NULL")).drop("_key")
+        kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id IS NULL"))
     return kept
 
 

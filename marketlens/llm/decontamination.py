@@ -2,10 +2,10 @@
 
 A fingerprint is the smallest of ``window - k + 1`` neighbouring hashed word k-grams. Two texts that
 share ``window`` words in a row share all the k-grams of that span, hence its fingerprint, so joining
-fingerprints misses no such span. Hits are then extended: each match of a fingerprint gives a diagonal
-(word place in the document minus place in the item), and along it the words themselves are compared.
-Items shorter than a window are one window of their own length; those are found by joining the
-documents' word runs of that length.
+fingerprints misses no such span. Hits are then extended in the documents that have one: all their
+k-grams are joined to the items', matches are put on diagonals (word place in the document minus place in
+the item), and a window occurs where all its k-grams match on one diagonal. Items shorter than a window
+are one window of their own length; those are found by joining the documents' word runs of that length.
 """
 
 from __future__ import annotations
@@ -57,22 +57,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, k:
     key = ["doc_id", "text_key"]
     over = window - k + 1
 
-    items = keep(runs(hashed(items), "grams", k).select("item_id", "words", "hashes", "grams").where(F.size("words") > 0))
-    long_items = winnow(items.where(F.size("words") >= window), "prints", over)
-    # Every place of an item where the gram is one of the item's fingerprints.
-    anchors = (
-        long_items.select("item_id", "words", "prints", F.posexplode("grams").alias("item_at", "gram"))
-        .where(F.array_contains("prints", F.col("gram")))
-        .select("item_id", "words", "item_at", "gram").distinct()
-    )
-    prints = anchors.select(F.col("gram").alias("print")).distinct()
+    items = keep(runs(hashed(items), "grams", k).select("item_id", "hashes", "grams").where(F.size("hashes") > 0))
+    long_items = items.where(F.size("hashes") >= window)
+    places = long_items.select("item_id", F.posexplode_outer("grams").alias("item_at", "gram")).distinct()
+    prints = winnow(long_items, "prints", over).select(F.explode_outer("prints").alias("print")).distinct()
 
     marked = keep(
         winnow(runs(hashed(docs), "grams", k), "prints", over).select(*key, F.size("words").alias("n_words"), "prints")
     )
     suspects = marked.select(*key, F.explode("prints").alias("print")).join(prints, "print", "left_semi").select(*key).distinct()
-    spans = _extend(_pick(docs, suspects), anchors, window, k)
-    lengths = [r[0] for r in items.where(F.size("words") < window).select(F.size("words")).distinct().collect()]  # under ``window`` values
+    spans = _extend(_pick(docs, suspects), places, window, k)
+    lengths = [r[0] for r in items.where(F.size("hashes") < window).select(F.size("hashes")).distinct().collect()]  # under ``window`` values
     for n in sorted(lengths):
         spans = spans.unionByName(_short(docs, items, n))
 
@@ -105,32 +100,37 @@ def _pick(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return hashed(picked)
 
 
-def _extend(suspects: DataFrame, anchors: DataFrame, window: int, k: int) -> DataFrame:
+def _extend(suspects: DataFrame, places: DataFrame, window: int, k: int) -> DataFrame:
     """Rows (doc_id, text_key, item_id, first, last): word spans of matching windows."""
-    # The words ride along with the places only here, after all but the suspects are gone.
-    grams = keep(runs(suspects, "grams", k).select("doc_id", "text_key", "words", "grams"))
+    over = window - k + 1
+    # The outer forms: the others make Spark test the size of the array first, which works out the words
+    # again for each place.
+    grams = runs(suspects, "grams", k).select("doc_id", "text_key", F.posexplode_outer("grams").alias("doc_at", "gram"))
     diagonals = (
-        grams.select("doc_id", "text_key", F.posexplode("grams").alias("doc_at", "gram"))
-        .join(anchors.drop("words"), "gram")
-        .select("doc_id", "text_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct()
+        grams.join(places, "gram")
+        .groupBy("doc_id", "text_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"))
+        .agg(F.array_sort(F.collect_set("item_at")).alias("at"))  # an item's places at most
+        .where(F.size("at") >= over)
     )
-    texts = anchors.select("item_id", F.col("words").alias("item_words")).distinct()
-    lined = diagonals.alias("x").join(grams.drop("grams").alias("g"), _same(["doc_id", "text_key"], "x", "g")).join(texts.alias("t"), "item_id")
-    places = F.sequence(F.lit(0), F.size("item_words") - window)
-    fits = lambda j: (F.col("shift") + j >= 0) & (F.col("shift") + j + window <= F.size("words"))
-    equal = lambda j: F.slice("words", F.greatest(F.col("shift") + j, F.lit(0)) + 1, window) == F.slice("item_words", j + 1, window)
-    starts = F.filter(places, lambda j: F.when(fits(j), equal(j)).otherwise(False))
-    found = lined.select("x.doc_id", "x.text_key", "item_id", "shift", F.explode(starts).alias("j"))
+    whole = lambda i: F.when(F.get("at", i + over - 1) == F.get("at", i) + over - 1, F.get("at", i))
+    starts = F.filter(F.transform(F.sequence(F.lit(0), F.size("at") - over), whole), lambda j: j.isNotNull())
+    found = diagonals.select("doc_id", "text_key", "item_id", "shift", F.explode(starts).alias("j"))
     return found.select("doc_id", "text_key", "item_id", (F.col("shift") + F.col("j")).alias("first"), (F.col("shift") + F.col("j") + window - 1).alias("last"))
 
 
 def _short(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """The same rows for items of ``n`` words, found by all the documents' runs of ``n`` words."""
-    whole = runs(items.where(F.size("words") == n).select("item_id", "words", "hashes"), "run", n)
-    whole = whole.select("item_id", F.col("words").alias("item_words"), F.col("run")[0].alias("gram"))
-    placed = runs(hashed(docs), "run", n).select("doc_id", "text_key", "words", F.posexplode("run").alias("at", "gram"))
-    placed = placed.select("doc_id", "text_key", "at", "gram", F.slice("words", F.col("at") + 1, n).alias("own"))
-    hit = placed.join(whole, "gram").where(F.col("own") == F.col("item_words"))
+    """The same rows for items of ``n`` words, found by all the documents' runs of ``n`` words. Runs are
+    compared by two hashes of their words."""
+
+    def places(df: DataFrame) -> DataFrame:
+        last = F.size("hashes") - n
+        at = lambda i, seed: F.xxhash64(F.lit(seed), *(F.get("hashes", i + j) for j in range(n)))
+        both = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(at(i, 1).alias("a"), at(i, 2).alias("b")))
+        return df.withColumn("run", F.when(last >= 0, both))
+
+    whole = places(items.where(F.size("hashes") == n)).select("item_id", F.col("run")[0].alias("run"))
+    placed = places(hashed(docs).select("doc_id", "text_key", "hashes")).select("doc_id", "text_key", F.posexplode_outer("run").alias("at", "run"))
+    hit = placed.join(whole, "run")
     return hit.select("doc_id", "text_key", "item_id", F.col("at").alias("first"), (F.col("at") + n - 1).alias("last"))
 
 

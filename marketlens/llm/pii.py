@@ -7,7 +7,8 @@ with the next token of the same text, the same digits or the same mailbox name,
 Loopy message passing gives marginals; a node that is surely of a kind becomes an added span, and
 neighbours of one kind become one span. Base spans always stay.
 
-All potentials are fitted on the base labels of the whole table. The forms are coarse, so what reaches
+All potentials are fitted on the base labels of the whole table; nodes outside base spans that are tied to
+one inside teach nothing. The forms are coarse, so what reaches
 the driver is a table of counts whose size is bounded by the number of forms, not by the documents.
 """
 
@@ -147,12 +148,20 @@ class Graph:
                 last[key] = i
         self.skip = sorted(set(self.skip))
 
+    def unlabelled(self) -> set[int]:
+        """Nodes outside base spans that skip edges tie to one inside: whether they are personal data is what
+        is asked, so they teach nothing."""
+        tied = {i for e in self.skip for i in e if self.seen[i] == NONE and (self.seen[e[0]] != NONE or self.seen[e[1]] != NONE)}
+        while more := {i for e in self.skip if tied & set(e) for i in e if self.seen[i] == NONE} - tied:
+            tied |= more
+        return tied
+
 
 class Potentials:
     """Fitted on counts: forms by label, and label pairs over chain and skip edges."""
 
     def __init__(self, forms: dict[tuple[tuple[int, ...], int], int], chain: dict, skip: dict, steps: int = 400):
-        self.chain, self.skip = self._pairs(chain), self._pairs(skip)
+        self.chain, self.skip = self._pairs(chain, 0.1, 0.1), self._pairs(skip, 5.0, 0.05)
         fields = sorted({(k, v) for f, _ in forms for k, v in enumerate(f)})
         self.index = {x: i for i, x in enumerate(fields)}
         kinds = sorted({f for f, _ in forms})
@@ -174,8 +183,10 @@ class Potentials:
             self.weights += 0.5 * gradient / np.sqrt(squares)
 
     @staticmethod
-    def _pairs(counts: dict) -> np.ndarray:
-        n = np.ones((LABELS, LABELS)) * 0.1
+    def _pairs(counts: dict, same: float, other: float) -> np.ndarray:
+        """How much more often two labels meet than by chance. ``same`` and ``other`` are counted for each
+        pair beforehand: a repeated token has the same label unless the data say otherwise."""
+        n = np.full((LABELS, LABELS), other) + np.eye(LABELS) * (same - other)
         for (a, b), v in counts.items():
             n[a, b] += v
         n = (n + n.T) / 2
@@ -246,9 +257,10 @@ def fit(docs: DataFrame) -> Potentials:
                 if text and _MARK.search(text):
                     graph = Graph(text, base_spans(text))
                     labels = graph.seen.tolist()
-                    n.update(("form", " ".join(map(str, f)), y) for f, y in zip(graph.forms, labels))
-                    n.update(("chain", str(labels[a]), labels[b]) for a, b in graph.chain)
-                    n.update(("skip", str(labels[a]), labels[b]) for a, b in graph.skip)
+                    open_ = graph.unlabelled()
+                    n.update(("form", " ".join(map(str, f)), y) for i, (f, y) in enumerate(zip(graph.forms, labels)) if i not in open_)
+                    n.update(("chain", str(labels[a]), labels[b]) for a, b in graph.chain if not {a, b} & open_)
+                    n.update(("skip", str(labels[a]), labels[b]) for a, b in graph.skip if not {a, b} & open_)
             yield {"part": [k[0] for k in n], "form": [k[1] for k in n], "label": [k[2] for k in n], "n": list(n.values())}
 
     rows = arrow_map(private(docs, text="text"), count, "part string, form string, label int, n long")

@@ -67,7 +67,7 @@ def link_quotes(
             F.trim(F.array_join(F.transform(own, lambda p: p.line), "\n"), F.lit("\n")).alias("body"),
         )
     )
-    placed = rows.where("scope IS NOT NULL AND msg IS NOT NULL")
+    placed = rows.where("scope IS NOT NULL AND msg IS NOT NULL").select(*KEY, "quotes", "passages").distinct()
     originals = placed.select("scope", "msg", F.explode("passages").alias("hash")).groupBy("scope", "hash").agg(F.min("msg").alias("original"))
     links = (
         placed.select("scope", "msg", F.explode("quotes").alias("q"))
@@ -151,7 +151,7 @@ def as_mail(conversations: DataFrame) -> DataFrame:
 def op3_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = link_quotes(as_mail(table(spark, sf_dir, "conversations")))
     return linked.select(
-        F.col("scope").alias("conv_id"), F.col("msg").alias("turn"), "role", "parent", "thread", F.col("depth").cast("long").alias("depth"),
+        F.col("scope").alias("conv_id"), F.col("msg").alias("turn"), "role", F.coalesce("parent", F.lit(-1)).alias("parent"), "thread", F.col("depth").cast("long").alias("depth"),
         "position", "n_quoted", "n_linked", "body",
     )
 
@@ -178,7 +178,7 @@ p AS (SELECT conv_id, turn, original AS parent FROM k WHERE f > 0
 t AS (SELECT m.conv_id, m.turn, m.turn AS thread, 0 AS depth FROM m LEFT JOIN p ON m.conv_id = p.conv_id AND m.turn = p.turn WHERE parent IS NULL
   UNION ALL SELECT p.conv_id, p.turn, t.thread, t.depth + 1 FROM p JOIN t ON p.conv_id = t.conv_id AND p.parent = t.turn),
 b AS (SELECT conv_id, turn, trim(string_agg(line, chr(10) ORDER BY i), chr(10)) AS body FROM l WHERE level = 0 GROUP BY ALL)
-SELECT m.conv_id, m.turn, m.role, p.parent, t.thread, CAST(t.depth AS BIGINT) AS depth,
+SELECT m.conv_id, m.turn, m.role, coalesce(p.parent, -1) AS parent, t.thread, CAST(t.depth AS BIGINT) AS depth,
   row_number() OVER (PARTITION BY m.conv_id, t.thread ORDER BY t.depth, m.turn) - 1 AS position,
   (SELECT count(*) FROM q WHERE q.conv_id = m.conv_id AND q.turn = m.turn) AS n_quoted,
   CAST(coalesce((SELECT sum(n) FROM k WHERE k.conv_id = m.conv_id AND k.turn = m.turn), 0) AS BIGINT) AS n_linked,

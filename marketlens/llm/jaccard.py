@@ -234,15 +234,44 @@ def _passes(packed: bytes, doc_id: int) -> bool:
 
 
 class _Verifier:
-    """Compares pairs of representatives: sizes, bitmaps, then the sets themselves."""
+    """Compares pairs of representatives: sizes and bitmaps, then the sets of those that are left. Sets are
+    made anew from the texts for the few that are wanted, rather than stored for all."""
+
+    def __init__(self, raw: DataFrame, reps: DataFrame, wanted: DataFrame, width: int, bands: Bands):
+        self.raw, self.reps, self.width, self.bands = raw, reps, width, bands
+        self.bits = keep(self._made(wanted, "bits", bitmap))
+
+    def shingles(self, wanted: DataFrame) -> DataFrame:
+        """(rep, n, shingles) of the wanted."""
+        return keep(self._made(wanted, "shingles", np.ndarray.tobytes))
+
+    def _made(self, wanted: DataFrame, name: str, made) -> DataFrame:
+        filter_, width = _filter(wanted), self.width
+
+        def run(batches: Iterator[dict]) -> Iterator[dict]:
+            for b in batches:
+                mine = [i for i, d in enumerate(b["doc_id"]) if d is not None and _passes(filter_.value, d)]
+                out, held = {c: [] for c in ("rep", "s1", "s2", "n", name)}, 0
+                for i, found in zip(mine, shingle_sets([b["text"][i] for i in mine], width)):
+                    s1, s2 = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64).tolist()
+                    for c, v in zip(out, (b["doc_id"][i], s1, s2, len(found), made(found))):
+                        out[c].append(v)
+                    held += len(found)
+                    if held > 1_000_000:
+                        yield out
+                        out, held = {c: [] for c in out}, 0
+                if out["rep"]:
+                    yield out
 
-    def __init__(self, sets: DataFrame, bands: Bands):
-        self.sets, self.bands = sets, bands
+        rows = arrow_map(self.raw, run, f"rep long, s1 long, s2 long, n long, {name} binary")
+        # The digest tells a representative from other rows under its id.
+        named = self.reps.join(wanted, "rep", "left_semi")
+        return rows.join(named, ["rep", "s1", "s2"], "left_semi").drop("s1", "s2").dropDuplicates(["rep"])
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that link."""
         bands = self.bands
-        side = lambda name, value: self.sets.select(F.col("rep").alias(name), F.col("n").alias(f"{name}_n"), F.col(value).alias(f"{name}_x"))
+        side = lambda df, name, value: df.select(F.col("rep").alias(name), F.col("n").alias(f"{name}_n"), F.col(value).alias(f"{name}_x"))
 
         def bound(batches: Iterator[dict]) -> Iterator[dict]:
             for x in batches:
@@ -255,9 +284,10 @@ class _Verifier:
                 yield {c: list(itertools.compress(x[c], ok)) for c in ("a", "b")}
 
         near = (F.col("a_n") * bands.den >= F.col("b_n") * bands.num) & (F.col("b_n") * bands.den >= F.col("a_n") * bands.num)
-        likely = pairs.join(side("a", "bits"), "a").join(side("b", "bits"), "b").where(near)
-        likely = arrow_map(likely, bound, "a long, b long")
-        return arrow_map(likely.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b"), exact, "a long, b long")
+        likely = pairs.join(side(self.bits, "a", "bits"), "a").join(side(self.bits, "b", "bits"), "b").where(near)
+        likely = keep(arrow_map(likely, bound, "a long, b long"))
+        sets = self.shingles(likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct())
+        return arrow_map(likely.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b"), exact, "a long, b long")
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -292,7 +322,7 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     raw = docs.select(own_id, F.col("text").cast("binary").alias("text"))
     spark = docs.sparkSession
     sets = keep(_sets(docs.select(own_id, F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text")), width))
-    reps = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
+    reps = keep(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
     named = keep(sets.join(reps, ["s1", "s2"], "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     rep_of = lambda doc, rep: named.where("n_shingles > 0").select(F.col("doc_id").alias(doc), F.col("rep").alias(rep)).distinct()
 
@@ -307,26 +337,7 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     members = members.join(rep_of("doc", "rep"), "doc").select("tile", "rep").distinct()
     wanted = stars.select(F.col("a").alias("rep")).union(stars.select("b")).distinct()
 
-    filter_ = _filter(wanted)
-
-    def arrays(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            mine = [i for i, d in enumerate(b["doc_id"]) if d is not None and _passes(filter_.value, d)]
-            b = {c: [v[i] for i in mine] for c, v in b.items()}
-            out, held = {c: [] for c in ("rep", "n", "bits", "shingles")}, 0
-            for doc_id, found in zip(b["doc_id"], shingle_sets(b["text"], width)):
-                for c, v in zip(out, (doc_id, len(found), bitmap(found), found.tobytes())):
-                    out[c].append(v)
-                held += len(found)
-                if held > 1_000_000:
-                    yield out
-                    out, held = {c: [] for c in out}, 0
-            if held:
-                yield out
-
-    held = arrow_map(raw, arrays, "rep long, n long, bits binary, shingles binary")
-    held = held.join(wanted, "rep", "left_semi")
-    verify = _Verifier(keep(held), bands)
+    verify = _Verifier(raw, reps, wanted, width, bands)
     links = keep(verify.links(stars))
     labels = classes(links)
     more = keep(_between(members, labels, verify))
@@ -353,7 +364,7 @@ def _between(members: DataFrame, labels: DataFrame, verify: _Verifier) -> DataFr
         F.min("class").alias("low"), F.max("class").alias("high"),
         F.count("*").alias("count"), F.min("rep").alias("first"), F.max("rep").alias("last"), F.bit_xor(F.xxhash64("rep")).alias("mixed"),
     ).where("low <> high").groupBy(*alike).agg(F.min("tile").alias("tile"))
-    apart = classed.join(open_, "tile", "left_semi").join(verify.sets.select("rep", "n"), "rep")
+    apart = classed.join(open_, "tile", "left_semi").join(verify.bits.select("rep", "n"), "rep")
 
     def possible(group: pa.Table) -> pa.Table:
         rows = group.sort_by([("class", "ascending"), ("rep", "ascending")])
@@ -366,15 +377,16 @@ def _between(members: DataFrame, labels: DataFrame, verify: _Verifier) -> DataFr
         found = join_classes(rows["rep"].to_pylist(), rows["class"].to_pylist(), [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()], bands)
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
-    near = _meet(apart, verify, "bits", 8_000_000).applyInArrow(possible, "tile long, rep long").distinct()
+    near = _meet(apart, verify.bits, "bits", bands, 8_000_000).applyInArrow(possible, "tile long, rep long").distinct()
     near = keep(apart.join(near, ["tile", "rep"], "left_semi"))
-    return _meet(near, verify, "shingles", 500_000).applyInArrow(compare, "a long, b long")
+    sets = verify.shingles(near.select("rep").distinct())
+    return _meet(near, sets, "shingles", bands, 500_000).applyInArrow(compare, "a long, b long")
 
 
-def _meet(members: DataFrame, verify: _Verifier, column: str, shingles_per_block: int):
+def _meet(members: DataFrame, sets: DataFrame, column: str, bands: Bands, shingles_per_block: int):
     """Groups of blocks that may hold linking sets of different classes: the members (tile, rep, class, n)
     of one or two blocks of a tile with their ``column``."""
-    num, den = verify.bands.num, verify.bands.den
+    num, den = bands.num, bands.den
     order = Window.partitionBy("tile").orderBy("class", "n", "rep")  # narrow rows
     members = members.withColumn("block", F.floor(F.sum("n").over(order) / shingles_per_block))
     blocks = members.groupBy("tile", "block").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
@@ -382,7 +394,7 @@ def _meet(members: DataFrame, verify: _Verifier, column: str, shingles_per_block
     pairs = left.join(right, "tile").where("block1 <= block2 AND NOT (low1 = high1 AND low2 = high2 AND low1 = low2)")
     pairs = pairs.where((F.col("most1") * den >= F.col("least2") * num) & (F.col("most2") * den >= F.col("least1") * num))
     sides = pairs.select("tile", "block1", "block2", F.explode(F.array_distinct(F.array("block1", "block2"))).alias("block"))
-    shipped = sides.join(members, ["tile", "block"]).join(verify.sets.select("rep", column), "rep")
+    shipped = sides.join(members, ["tile", "block"]).join(sets.select("rep", column), "rep")
     return shipped.groupBy("tile", "block1", "block2")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .reports import pair_corr, row_at_extreme, series_change, share_of_total
+from .reports import pair_corr, row_at_extreme, share_of_total
 
 # Strength words and their upper limits on the absolute correlation.
 STRENGTH_LIMITS = (0.2, 0.5)

@@ -16,7 +16,7 @@ from ..plans.segmentation import segment_products
 from ..schemas import MODEL_FEATURES, MODEL_TARGET
 from ..session import keep
 from .registry import query, rounded
-from .tables import BOUNDS, HISTORY_SQL, PRODUCTS_SQL, SNAPSHOT_SQL, enriched_sql
+from .tables import BOUNDS, PRODUCTS_SQL, SNAPSHOT_SQL, enriched_sql
 
 _BASE = ["price", "product_star_rating", "discount_pct", "rating_balance"]
 _LOG = ["product_num_ratings", "sales_volume_num"]

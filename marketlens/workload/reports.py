@@ -11,7 +11,7 @@ from ..operators import reports as R
 from ..operators.merge import merge_history
 from ..session import keep
 from .registry import query, rounded
-from .tables import BAND_SQL, BOUNDS, HISTORY_SQL, PRODUCTS_SQL, SNAPSHOT_SQL
+from .tables import BAND_SQL, BOUNDS, HISTORY_SQL, SNAPSHOT_SQL
 
 _BANDS_SQL = f"banded AS (SELECT *, {BAND_SQL} AS segment FROM snapshot)"
 

@@ -249,8 +249,10 @@ class _Verifier:
         filter_, width = _filter(wanted), self.width
 
         def run(batches: Iterator[dict]) -> Iterator[dict]:
+            seen: set = set()  # a repeated row comes once from each partition
             for b in batches:
                 mine = [i for i, d in enumerate(b["doc_id"]) if d is not None and _passes(filter_.value, d)]
+                mine = [i for i in mine if (row := (b["doc_id"][i], hash(b["text"][i]))) not in seen and not seen.add(row)]
                 out, held = {c: [] for c in ("rep", "s1", "s2", "n", name)}, 0
                 for i, found in zip(mine, shingle_sets([b["text"][i] for i in mine], width)):
                     s1, s2 = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64).tolist()
@@ -264,9 +266,9 @@ class _Verifier:
                     yield out
 
         rows = arrow_map(self.raw, run, f"rep long, s1 long, s2 long, n long, {name} binary")
-        # The digest tells a representative from other rows under its id.
-        named = self.reps.join(wanted, "rep", "left_semi")
-        return rows.join(named, ["rep", "s1", "s2"], "left_semi").drop("s1", "s2").dropDuplicates(["rep"])
+        # The digest tells a representative from other rows under its id. The few that pass the filter
+        # unwanted meet nothing later, and a row that is there twice only repeats a link.
+        return rows.join(self.reps, ["rep", "s1", "s2"], "left_semi").drop("s1", "s2")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that link."""
@@ -324,7 +326,8 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     sets = keep(_sets(docs.select(own_id, F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text")), width))
     reps = keep(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
     named = keep(sets.join(reps, ["s1", "s2"], "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
-    rep_of = lambda doc, rep: named.where("n_shingles > 0").select(F.col("doc_id").alias(doc), F.col("rep").alias(rep)).distinct()
+    ids = keep(named.where("n_shingles > 0").select("doc_id", "rep").distinct())
+    rep_of = lambda doc, rep: ids.select(F.col("doc_id").alias(doc), F.col("rep").alias(rep))
 
     parts = buckets_for(spark, text_bytes(docs), 16_000_000)
     tiles = keep(_tiles(_keys(raw, width, bands), parts, block))

@@ -34,8 +34,9 @@ def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of linked documents: the one with the smallest id."""
-    classes = keep(jaccard.jaccard_classes(docs))
+    """One document of each class of linked documents: the one with the smallest id. Documents link when
+    they share at least 0.8 of their shingles of five words."""
+    classes = keep(jaccard.jaccard_classes(docs, width=5, num=80, den=100))
     kept = _only(docs, classes.where("component_id IS NULL OR doc_id = component_id"))
     repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id", "text_key").count().where("count > 1")
     if repeated.limit(1).count():  # rows that are the same in id and text

@@ -59,6 +59,15 @@ def test_run_equals_a_plain_version(spark):
     assert np.mean([n == 2048 for n in lengths.values()]) > 0.5
 
 
+def test_copies_with_a_fifth_of_new_text_are_dropped(spark):
+    words = [f"w{i}" for i in range(400)]
+    base, other = words[:80], words[200:280]
+    rows = [(1, base), (2, base + words[100:118]), (3, other), (4, other + words[300:322])]  # 76/94 and 76/98 of five words
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+
+
 _CACHE = {}
 
 

@@ -12,6 +12,9 @@ and cut into blocks of bounded bytes; blocks of different classes meet pairwise,
 bits that one side has and the other lacks stand for at least as many shingles that are not shared, which
 bounds the overlap from above. Sets with a possible partner then meet again with their sorted arrays,
 which are intersected exactly.
+
+All links are counted from the classes: sets that link are in one class, so the blocks of a class, in order
+of size, meet pairwise and each pair of sets is compared once.
 """
 
 from __future__ import annotations
@@ -268,7 +271,7 @@ class _Verifier:
         rows = arrow_map(self.raw, run, f"rep long, s1 long, s2 long, n long, {name} binary")
         # The digest tells a representative from other rows under its id. The few that pass the filter
         # unwanted meet nothing later, and a row that is there twice only repeats a link.
-        return rows.join(self.reps, ["rep", "s1", "s2"], "left_semi").drop("s1", "s2")
+        return rows.join(self.reps, ["rep", "s1", "s2"], "left_semi").drop("s2")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that link."""
@@ -318,14 +321,78 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
     an id link nothing and have no component. Equal sets are one node, so copies cost no pairs. Rows with
     the same id but different texts are different documents that share an id. Other columns are ignored.
     """
+    named, labels, _ = _joined(docs, width, Bands(num, den), block, id_col, text_col)
+    out = named.join(labels, F.col("rep") == F.col("node"), "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"), "text_key")
+
+
+def jaccard_links(docs: DataFrame, *, width: int = 4, num: int = 85, den: int = 100, block: int = 256, id_col: str = "doc_id", text_col: str = "text", shingles_per_block: int = 500_000) -> DataFrame:
+    """The rows of ``jaccard_classes`` with ``n_links``: with how many other documents each one links, copies
+    counted each. Repeated rows are one document; texts under one id do not link to each other. Rows
+    without shingles or id have 0.
+    """
     bands = Bands(num, den)
+    named, labels, verify = _joined(docs, width, bands, block, id_col, text_col)
+    copies = keep(named.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("rep", "s1", "n_shingles").agg(F.count_distinct("doc_id").alias("copies")))
+    members = labels.select(F.col("label").alias("tile"), F.col("node").alias("rep")).join(copies.withColumnRenamed("n_shingles", "n"), "rep")
+    order = Window.partitionBy("tile").orderBy("n", "rep", "s1")  # narrow rows
+    members = keep(members.withColumn("block", F.floor(F.sum("n").over(order) / shingles_per_block)))
+    blocks = members.groupBy("tile", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("sets"))
+    left, right = (blocks.select("tile", *(F.col(c).alias(f"{c}{k}") for c in blocks.columns[1:])) for k in (1, 2))
+    pairs = left.join(right, "tile").where(f"(block1 < block2 OR block1 = block2 AND sets1 > 1) AND most1 * {den} >= least2 * {num}")
+    sides = pairs.select("tile", "block1", "block2", F.explode(F.array_distinct(F.array("block1", "block2"))).alias("block"))
+    sets = verify.shingles(members.select("rep").distinct()).select("rep", "s1", "shingles")
+    shipped = sides.join(members, ["tile", "block"]).join(sets, ["rep", "s1"])
+
+    def count(group: pa.Table) -> pa.Table:
+        rows = group.sort_by([("n", "ascending"), ("rep", "ascending"), ("s1", "ascending")])
+        reps, half, copies_, blocks_ = (rows[c].to_numpy() for c in ("rep", "s1", "copies", "block"))
+        first = np.concatenate([[True], (reps[1:] != reps[:-1]) | (half[1:] != half[:-1])])  # repeated rows
+        reps, half, copies_, blocks_ = reps[first], half[first], copies_[first], blocks_[first]
+        found = [np.frombuffer(x, np.uint64) for x in rows["shingles"].filter(pa.array(first)).to_pylist()]
+        n = count_links(found, reps, blocks_, rows["block1"][0].as_py() != rows["block2"][0].as_py(), copies_, bands)
+        some = n > 0
+        return pa.table({"rep": reps[some], "s1": half[some], "links": n[some]})
+
+    counted = shipped.groupBy("tile", "block1", "block2").applyInArrow(count, "rep long, s1 long, links long")
+    counted = counted.groupBy("rep", "s1").agg(F.sum("links").alias("links"))
+    known = keep(copies.drop("n_shingles").join(counted, ["rep", "s1"], "left").select("rep", "s1", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    out = named.join(known, ["rep", "s1"], "left").join(labels, F.col("rep") == F.col("node"), "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_key")
+
+
+def count_links(sets: list[np.ndarray], reps: np.ndarray, blocks: np.ndarray, across: bool, copies: np.ndarray, bands: Bands) -> np.ndarray:
+    """For each of the sets, in order of size, the copies of those it links with; ``across``: only of the
+    other block. The intersections of a set with all larger ones are sums of its marks at their places."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    words, place = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, out = np.zeros(len(words), bool), np.zeros(len(sets), np.int64)
+    last = np.searchsorted(sizes * bands.num, sizes * bands.den, "right")  # larger sets that may link
+    for i in range(len(sets) - 1):
+        a = max(i + 1, int(np.searchsorted(blocks, blocks[i], "right"))) if across else i + 1
+        z = int(last[i])
+        if a >= z:
+            continue
+        own = place[starts[i] : starts[i + 1]]
+        mark[own] = True
+        both = np.add.reduceat(mark[place[starts[a] : starts[z]]], starts[a:z] - starts[a], dtype=np.int64)
+        mark[own] = False
+        link = (bands.den * both >= bands.num * (sizes[i] + sizes[a:z] - both)) & (reps[a:z] != reps[i])
+        out[i] += copies[a:z][link].sum()
+        out[a:z] += np.where(link, copies[i], 0)
+    return out
+
+
+def _joined(docs: DataFrame, width: int, bands: Bands, block: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, _Verifier]:
+    """(doc_id, text_key, n_shingles, rep, s1) of each row; (node, label) of the representatives that link."""
     docs = private(docs, doc_id=id_col, text=text_col)
     own_id = F.col("doc_id").cast("long").alias("doc_id")
     raw = docs.select(own_id, F.col("text").cast("binary").alias("text"))
     spark = docs.sparkSession
     sets = keep(_sets(docs.select(own_id, F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text")), width))
     reps = keep(sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
-    named = keep(sets.join(reps, ["s1", "s2"], "left").select("doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
+    named = keep(sets.join(reps, ["s1", "s2"], "left").select("doc_id", "text_key", "n_shingles", "s1", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     ids = keep(named.where("n_shingles > 0").select("doc_id", "rep").distinct())
     rep_of = lambda doc, rep: ids.select(F.col("doc_id").alias(doc), F.col("rep").alias(rep))
 
@@ -352,8 +419,7 @@ def jaccard_classes(docs: DataFrame, *, width: int = 4, num: int = 85, den: int
         known = labels.join(joined.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("least", "label").alias("label"))
         new = joined.join(labels, "node", "left_anti").select("node", F.col("least").alias("label"))
         labels = known.unionByName(new)
-    out = named.join(labels, F.col("rep") == F.col("node"), "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"), "text_key")
+    return named, labels, verify
 
 
 def _between(members: DataFrame, labels: DataFrame, verify: _Verifier) -> DataFrame:
@@ -452,6 +518,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op1_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 _WORDS_SQL = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE = f"""
@@ -465,3 +535,8 @@ r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.y) AS component_id
 FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN r ON d.doc_id = r.x GROUP BY ALL
 """
+
+#: The same with the number of links of each document.
+LINKS_ORACLE = ORACLE.replace("AS component_id", "AS component_id, coalesce(k.k, 0) AS n_links").replace(
+    "JOIN r ON d.doc_id = r.x", "JOIN r ON d.doc_id = r.x LEFT JOIN (SELECT x, count(*) AS k FROM l GROUP BY x) k ON d.doc_id = k.x"
+)

@@ -6,6 +6,7 @@ from . import decontamination, fingerprints, jaccard, langid, maxent, packing, p
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard.op1_ngram_jaccard_join,
+    "op1_ngram_jaccard_links": jaccard.op1_ngram_jaccard_links,
     "op2_lpt_sharding": sharding.op2_lpt_sharding,
     "op3_quote_threads": threads.op3_quote_threads,
     "op4_kneser_ney_quality": quality.op4_kneser_ney_quality,
@@ -19,6 +20,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": jaccard.ORACLE,
+    "op1_ngram_jaccard_links": jaccard.LINKS_ORACLE,
     "op3_quote_threads": threads.ORACLE,
     "op6_winnowing_decontamination": decontamination.ORACLE,
 }

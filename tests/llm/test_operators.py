@@ -75,6 +75,35 @@ def test_jaccard_classes_against_all_pairs(spark, block):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+@pytest.mark.parametrize("per_block", [60, 500_000])
+def test_links_are_all_counted(spark, per_block):
+    rng = random.Random(per_block)
+    words = [f"v{i}" for i in range(60)]
+    texts = []
+    for size in (3, 12, 30, 60, 120):
+        base = rng.choices(words, k=size)
+        for edits in range(8):
+            own = list(base)
+            for _ in range(edits % 5):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            texts.append(" ".join(own))
+    texts += ["a b c d e f g h i j k l m n o p"] * 5 + ["", "a b c d e f g h i j k l m n o p q"]
+    sets = [{tuple(t.split()[i : i + 4]) for i in range(max(1, len(t.split()) - 3))} if t else set() for t in texts]
+    want = [sum(i != j and bool(a) and 100 * len(a & b) >= 85 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    rows = [*enumerate(texts), (3, texts[3]), (None, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = jaccard.jaccard_links(df, shingles_per_block=per_block).collect()
+    assert len(got) == len(rows) and max(want) > 4
+    assert all(r.n_links == (0 if r.doc_id is None else want[r.doc_id]) for r in got)
+
+
+def test_links_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    name = "op1_ngram_jaccard_links"
+    assert compare(queries()[name](spark, SF).toPandas(), con.sql(oracle_sql()[name]).df()) == "ok"
+
+
 def test_linking_sets_share_a_tile_key_and_bitmaps_bound_from_above():
     rng = np.random.default_rng(1)
     bands = jaccard.Bands(85, 100)

@@ -3,8 +3,9 @@
 Nodes are the white-space tokens that hold a digit or ``@``. Labels are the four kinds and none. A node
 covered by a base span is observed. The others have a unary potential (multinomial logistic regression
 over the token's form and its neighbours'), chain potentials with the next token, and skip potentials
-with the next token of the same text, the same digits or the same mailbox name, however far away.
-Loopy message passing gives marginals; a node that is surely of a kind becomes an added span, and
+with the next token of the same text, the same digits or the same mailbox name, however far away. Each such
+token is also tied to one in a base span of each kind, or where none is in one, to the first, so a label needs
+no more hops in a longer text. Loopy message passing, until settled, gives marginals; a node that is surely of a kind becomes an added span, and
 neighbours of one kind become one span. Base spans always stay.
 
 All potentials are fitted on the base labels of the whole table; nodes outside base spans that are tied to
@@ -136,7 +137,7 @@ class Graph:
             for i, f in enumerate(forms)
         ]
         self.chain = [(i, i + 1) for i in range(n) if follows[i]]
-        self.skip, last = [], {}
+        self.skip, last, places = [], {}, {}
         for i, w in enumerate(words):
             digits = re.sub("[^0-9]", "", w)
             keys = {("text", w.lower())} | ({("digits", digits)} if len(digits) >= 6 else set()) | ({("name", w.lower().split("@")[0])} if "@" in w else set())
@@ -146,7 +147,13 @@ class Graph:
                 if last.get(key, i) != i:
                     self.skip.append((last[key], i))
                 last[key] = i
+                places.setdefault(key, []).append(i)
         self.skip = sorted(set(self.skip))
+        star = set()
+        for at in places.values():
+            hubs = {int(self.seen[i]): i for i in reversed(at) if self.seen[i] != NONE}.values() or at[:1]
+            star |= {(min(h, i), max(h, i)) for h in hubs for i in at if h != i and self.seen[i] == NONE}
+        self.star = sorted(star - set(self.skip))
 
     def unlabelled(self) -> set[int]:
         """Nodes outside base spans that skip edges tie to one inside: whether they are personal data is what
@@ -201,15 +208,17 @@ class Potentials:
         z = np.array([self.weights[[self.index[k, v] for k, v in enumerate(f) if (k, v) in self.index] + [-1]].sum(0) for f in graph.forms])
         z = np.log(self._softmax(z) + 1e-9)
         observed = graph.seen != NONE
-        z[observed] = -30.0
+        z[observed] = -1e9  # however many repeats say otherwise
         z[observed, graph.seen[observed]] = 0.0
         return z
 
-    def marginals(self, graph: Graph, rounds: int = 20) -> np.ndarray:
-        """Loopy sum-product with damping."""
+    def marginals(self, graph: Graph, rounds: int | None = None) -> np.ndarray:
+        """Loopy sum-product with damping, until settled or for ``rounds``; by default 100 and four for each node."""
         unary = self.unary(graph)
-        pairs = np.array(graph.chain + graph.skip, int).reshape(-1, 2)
-        theta = np.concatenate([np.broadcast_to(self.chain, (len(graph.chain), LABELS, LABELS)), np.broadcast_to(self.skip, (len(graph.skip), LABELS, LABELS))])
+        rounds = 100 + 4 * len(unary) if rounds is None else rounds
+        far = graph.skip + graph.star
+        pairs = np.array(graph.chain + far, int).reshape(-1, 2)
+        theta = np.concatenate([np.broadcast_to(self.chain, (len(graph.chain), LABELS, LABELS)), np.broadcast_to(self.skip, (len(far), LABELS, LABELS))])
         source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
         theta = np.concatenate([theta, theta.transpose(0, 2, 1)])
         back = (np.arange(len(source)) + len(pairs)) % max(len(source), 1)
@@ -221,7 +230,7 @@ class Potentials:
             top = out.max(1, keepdims=True)
             new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
             new = 0.5 * messages + 0.5 * (new - new.max(1, keepdims=True))
-            settled = np.abs(new - messages).max() < 1e-3
+            settled = np.abs(new - messages).max() < 1e-6
             messages = new
             if settled:
                 break

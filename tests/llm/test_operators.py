@@ -330,6 +330,18 @@ def test_labels_reach_distant_tokens(spark):
     assert len(hit) >= 0.9 * len(again)
 
 
+def test_labels_reach_all_of_many_repeats(spark):
+    def line(i):
+        return f"call +1 (2{i:02d}) 555-{1000 + i} or mail user{i}@mail.example today, box 77 on page {i} of 300"
+
+    rows = [(i, line(i) + (" and again 555-" + str(1000 + i) if i % 2 else "")) for i in range(60)]
+    potentials = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    for n in (1, 50, 1000):
+        text = "call +1 (207) 555-1007 now " + "then word 555-1007 more " * n + "order 123456 from 2020 " * 50
+        added = potentials.added(text, pii.base_spans(text))
+        assert len(added) == n and all(text[a:z] == "555-1007" for a, _, z in added)
+
+
 def test_redaction_leaves_no_base_span(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = pii.redact_documents(docs, pii.fit(docs)).collect()

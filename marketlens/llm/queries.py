@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprints, jaccard, langid, maxent, packing, pii, quality, sharding, threads
+from . import (
+    archive,
+    decontamination,
+    divergence,
+    fingerprints,
+    importance,
+    jaccard,
+    langid,
+    maxent,
+    packing,
+    pii,
+    quality,
+    sharding,
+    threads,
+)
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard.op1_ngram_jaccard_join,
@@ -16,6 +30,9 @@ QUERIES = {
     "op8_rank_order_langid": langid.op8_rank_order_langid,
     "op9_skipchain_crf_pii": pii.op9_skipchain_crf_pii,
     "op10_multiset_fingerprint": fingerprints.op10_multiset_fingerprint,
+    "op11_importance_resampling": importance.op11_importance_resampling,
+    "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_warc_archive": archive.op13_warc_archive,
 }
 
 ORACLES: dict[str, str] = {
@@ -23,4 +40,7 @@ ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_links": jaccard.LINKS_ORACLE,
     "op3_quote_threads": threads.ORACLE,
     "op6_winnowing_decontamination": decontamination.ORACLE,
+    "op11_importance_resampling": importance.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_warc_archive": archive.ORACLE,
 }

@@ -6,8 +6,8 @@ its perfect hash: every key has a slot of its own and no slot is empty. The keys
 a term that was not kept is known by comparing bytes.
 
 Second pass: the shards are broadcast, at most about ``broadcast_bytes`` at a time (more vocabulary takes more
-rounds over the texts), and each task adds its terms up in one dense array of slots per (language, source).
-The arrays are summed per shard, and each shard compares the sources of its language.
+rounds over the texts), and each task adds its terms up in one dense array of slots per (language, source),
+one after the other. The arrays are summed per shard, and each shard compares the sources of its language.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, buckets_for, keep, mix, private, table
+from .common import arrow_map, keep, mix, private, table
 from .importance import byte_table, runs_of_words
 
 _LETTERS = byte_table({*range(0x61, 0x7B), *range(0x80, 0x100)})
 UNIT = 1_000_000_000
-SHARD_TERMS = 1024
 BROADCAST_BYTES = 128_000_000
-HELD_TERMS = 200_000  # distinct terms that a task holds before it passes them on
-HELD_SLOTS = 16_000_000  # dense slots that a task holds before it passes them on
+HELD_TERMS = 400_000  # distinct terms that a task holds before it passes them on
+HELD_NUMBERS = 2_000_000  # counts of a shard, over all sources of its language, that a task compares
+SMALL_ROWS = 100_000
 
 
 # --- perfect hash ----------------------------------------------------------------------------
@@ -92,8 +93,8 @@ class Vocabulary:
             self.sizes[r.shard], self.buckets[r.shard] = r.n, len(r.seeds) // 4
         self.first, self.first_bucket = np.cumsum(self.sizes) - self.sizes, np.cumsum(self.buckets) - self.buckets
         self.seeds = np.concatenate([np.frombuffer(r.seeds, np.int32) for r in rows])
-        self.lengths = np.concatenate([np.frombuffer(r.lengths, np.int32) for r in rows]).astype(np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.lengths = np.concatenate([_unpack(r.lengths, r.n) for r in rows])
+        self.starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
         self.keys = np.frombuffer(b"".join(r.keys for r in rows), np.uint8)
         self.slots = int(self.sizes.sum())
 
@@ -150,11 +151,17 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return arrow_map(docs.select("lang", "text"), run, "lang string, term binary, n long")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Kept, and broadcast in joins if it has few rows."""
+    df = keep(df)
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def build_shards(docs: DataFrame, min_docs: int, shard_terms: int) -> DataFrame:
     """(lang, shard, shards, n, seeds, lengths, keys): the perfect hashes of the kept terms."""
     kept = keep(document_counts(docs).groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("lang", "term"))
     sizes = kept.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / shard_terms).cast("int").alias("shards"))
-    dealt = kept.join(sizes, "lang").withColumn("shard", (F.crc32("term") % F.col("shards")).cast("int"))
+    dealt = kept.join(_small(sizes), "lang").withColumn("shard", (F.crc32("term") % F.col("shards")).cast("int"))
 
     def run(group: pa.Table) -> pa.Table:
         terms, seeds = build_hash(group["term"].to_pylist())
@@ -163,7 +170,7 @@ def build_shards(docs: DataFrame, min_docs: int, shard_terms: int) -> DataFrame:
             {
                 "lang": group["lang"].slice(0, 1), "shard": group["shard"].slice(0, 1), "shards": group["shards"].slice(0, 1),
                 "n": pa.array([len(terms)], pa.int32()), "seeds": pa.array([seeds.tobytes()], pa.binary()),
-                "lengths": pa.array([lengths.tobytes()], pa.binary()), "keys": pa.array([b"".join(terms)], pa.binary()),
+                "lengths": pa.array([_pack(lengths)], pa.binary()), "keys": pa.array([b"".join(terms)], pa.binary()),
             }
         )
 
@@ -173,63 +180,57 @@ def build_shards(docs: DataFrame, min_docs: int, shard_terms: int) -> DataFrame:
 # --- second pass -----------------------------------------------------------------------------
 
 
-def _pack(counts: np.ndarray) -> bytes:
+def _pack(numbers: np.ndarray) -> bytes:
     """Whole numbers in as few bytes each as the largest needs; their number tells the width."""
-    most = int(counts.max(initial=0))
-    return counts.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if most < 1 << 8 * w)).tobytes()
+    most = int(numbers.max(initial=0))
+    return numbers.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if most < 1 << 8 * w)).tobytes()
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64)
+    return np.frombuffer(data, f"<u{len(data) // n}") if n else np.zeros(0, np.uint8)
 
 
 def slot_counts(docs: DataFrame, shards: list) -> DataFrame:
-    """(lang, source, shard, n, counts): partial dense counts of the terms of these shards."""
-    from zlib import crc32
-
+    """(lang, source, shard, size, n, steps, counts): partial counts of the terms of these shards, as steps from
+    one filled slot to the next and their numbers. A task reads its texts by (lang, source), so it holds one dense
+    array at a time."""
     shared = docs.sparkSession.sparkContext.broadcast(shards)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         rows = sorted(shared.value, key=lambda r: r.lang)
         vocabulary = {lang: Vocabulary(same[0].shards, same) for lang, group in groupby(rows, key=lambda r: r.lang) for same in [list(group)]}
-        words: dict[tuple, Counter] = {}
-        dense: dict[tuple, np.ndarray] = {}
-
-        def add() -> None:
-            for key, counter in words.items():
-                v, terms = vocabulary[key[0]], list(counter)
-                slots = v.lookup(terms, np.fromiter(map(crc32, terms), np.int64, len(terms)))
-                hit = slots >= 0
-                if hit.any():
-                    own = dense.setdefault(key, np.zeros(v.slots, np.int64))
-                    own[slots[hit]] += np.fromiter(counter.values(), np.int64, len(terms))[hit]
-            words.clear()
-
-        def out() -> Iterator[dict]:
-            for (lang, source), own in dense.items():
-                v = vocabulary[lang]
-                parts = [(s, own[v.first[s] : v.first[s] + v.sizes[s]]) for s in v.held]
-                parts = [(s, c) for s, c in parts if c.any()]
-                yield {
-                    "lang": [lang] * len(parts), "source": [source] * len(parts), "shard": [s for s, _ in parts],
-                    "n": [len(c) for _, c in parts], "counts": [_pack(c) for _, c in parts],
-                }
-            dense.clear()
 
-        for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-                if lang in vocabulary:
-                    counter = words.setdefault((lang, source), Counter())
-                    for run_of in runs_of_words(text, _LETTERS):
-                        counter.update(run_of)
-                    if sum(map(len, words.values())) > HELD_TERMS:
-                        add()
-                        if sum(map(len, dense.values())) > HELD_SLOTS:
-                            yield from out()
-        add()
-        yield from out()
-
-    return arrow_map(docs, run, "lang string, source string, shard int, n int, counts binary")
+        def add(v: Vocabulary, dense: np.ndarray, counter: Counter) -> None:
+            terms = list(counter)
+            slots = v.lookup(terms, np.fromiter(map(crc32, terms), np.int64, len(terms)))
+            hit = slots >= 0
+            dense[slots[hit]] += np.fromiter(counter.values(), np.int64, len(terms))[hit]
+            counter.clear()
+
+        texts = (r for b in batches for r in zip(b["lang"], b["source"], b["text"]))
+        for (lang, source), same in groupby(texts, key=lambda r: r[:2]):
+            v = vocabulary.get(lang)
+            if v is None:
+                continue
+            dense, counter = np.zeros(v.slots, np.int64), Counter()
+            for *_, text in same:
+                for words in runs_of_words(text, _LETTERS):
+                    counter.update(words)
+                    if len(counter) > HELD_TERMS:
+                        add(v, dense, counter)
+            add(v, dense, counter)
+            out: dict[str, list] = {c: [] for c in ("lang", "source", "shard", "size", "n", "steps", "counts")}
+            for shard in v.held:
+                own = dense[v.first[shard] : v.first[shard] + v.sizes[shard]]
+                at = np.flatnonzero(own)
+                if len(at):
+                    row = (lang, source, shard, len(own), len(at), _pack(np.diff(at, prepend=0)), _pack(own[at]))
+                    for c, x in zip(out, row):
+                        out[c].append(x)
+            yield out
+
+    ordered = docs.sortWithinPartitions("lang", "source")
+    return arrow_map(ordered, run, "lang string, source string, shard int, size int, n int, steps binary, counts binary")
 
 
 def sum_slots(parts: DataFrame) -> DataFrame:
@@ -237,10 +238,12 @@ def sum_slots(parts: DataFrame) -> DataFrame:
     key = ["lang", "source", "shard"]
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        rows = (r for b in batches for r in zip(b["lang"], b["source"], b["shard"], b["n"], b["counts"]))
-        for (lang, source, shard), same in groupby(rows, key=lambda r: r[:3]):
-            total = sum(_unpack(counts, n) for *_, n, counts in same)
-            yield {"lang": [lang], "source": [source], "shard": [shard], "counts": [_pack(total)], "total": [int(total.sum())]}
+        rows = (r for b in batches for r in zip(b["lang"], b["source"], b["shard"], b["size"], b["n"], b["steps"], b["counts"]))
+        for (lang, source, shard, size), same in groupby(rows, key=lambda r: r[:4]):
+            dense = np.zeros(size, np.int64)
+            for *_, n, steps, counts in same:
+                dense[np.cumsum(_unpack(steps, n), dtype=np.int64)] += _unpack(counts, n).astype(np.int64)
+            yield {"lang": [lang], "source": [source], "shard": [shard], "counts": [_pack(dense)], "total": [int(dense.sum())]}
 
     return arrow_map(parts.repartition(*key).sortWithinPartitions(*key), run, "lang string, source string, shard int, counts binary, total long")
 
@@ -264,13 +267,13 @@ def compare_shards(groups: DataFrame, shards: DataFrame, top: int) -> DataFrame:
 
     def run(sources: pa.Table, shard: pa.Table) -> pa.Table:
         n, v = shard["n"][0].as_py(), sources["v"][0].as_py()
-        lengths = np.frombuffer(shard["lengths"][0].as_py(), np.int32)
+        lengths = _unpack(shard["lengths"][0].as_py(), n).astype(np.int64)
         ends, keys = np.cumsum(lengths), shard["keys"][0].as_py()
         terms = [keys[e - size : e] for e, size in zip(ends.tolist(), lengths.tolist())]
         in_order = np.empty(n, np.int64)
         in_order[sorted(range(n), key=terms.__getitem__)] = np.arange(n)
         names = sources["source"].to_pylist()
-        counts = np.stack([_unpack(c, n) if c else np.zeros(n, np.int64) for c in sources["counts"].to_pylist()])
+        counts = np.stack([_unpack(c, n).astype(np.int64) if c else np.zeros(n, np.int64) for c in sources["counts"].to_pylist()])
         p = np.stack([shares(c, total + v) for c, total in zip(counts, sources["total"].to_pylist())])
         q = shares(counts.sum(axis=0), sources["lang_total"][0].as_py() + v)
         out: dict[str, list] = {"source": [], "part": [], "item": [], "value": []}
@@ -303,7 +306,7 @@ def audit(
     text_col: str = "text",
     min_docs: int = 3,
     top: int = 200,
-    shard_terms: int = SHARD_TERMS,
+    shard_terms: int = 16_384,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows (lang, source, part, item, value, rank) of how each source differs within its language.
@@ -312,14 +315,16 @@ def audit(
     the language. Part ``term`` has the ``top`` terms that the source uses more than its language does. Nulls in
     any of the three columns count as empty text. A group without terms still has its pairs; a language without
     kept terms has pairs of value 0. Ties go by the item's UTF-8 bytes. Repeated rows are documents of their own.
-    An empty table gives an empty result. Other columns are ignored. A task of the comparison holds
-    ``shard_terms`` numbers for each source of a language, and its result has a row for each pair of them.
+    An empty table gives an empty result. Other columns are ignored. A task of the comparison holds a
+    shard's counts for all sources of a language; shards have at most ``shard_terms`` terms or so, fewer where a
+    language has many sources.
     """
     spark = docs.sparkSession
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     docs = private(docs, lang=lang_col, source=source_col, text=text_col).select(blank("lang"), blank("source"), blank("text").cast("binary").alias("text"))
-    shards = keep(build_shards(docs, min_docs, shard_terms))
     groups = keep(docs.select("lang", "source").distinct())
+    sources = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
+    shards = keep(build_shards(docs, min_docs, min(shard_terms, max(64, HELD_NUMBERS // sources))))
     held = shards.agg(F.sum(F.octet_length("keys") + F.octet_length("lengths") + F.octet_length("seeds")), F.count(F.lit(1))).first()
     vocabulary = shards.groupBy("lang").agg(F.sum("n").alias("v"))
     bare = groups.join(vocabulary, "lang", "left_anti")
@@ -335,10 +340,8 @@ def audit(
         sums = keep(sum_slots(whole))
         totals = groups.join(sums.groupBy("lang", "source").agg(F.sum("total").alias("total")), ["lang", "source"], "left").na.fill(0, ["total"])
         by_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total")).join(vocabulary, "lang")
-        rows = (
-            totals.join(by_lang, "lang").join(shards.select("lang", "shard"), "lang")
-            .join(sums.select("lang", "source", "shard", "counts"), ["lang", "source", "shard"], "left")
-        )
+        every = shards.select("lang", "shard").join(_small(totals.join(by_lang, "lang")), "lang")
+        rows = every.join(sums.select("lang", "source", "shard", "counts"), ["lang", "source", "shard"], "left")
         compared = compare_shards(rows, shards, top)
         pairs = compared.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
         found = keep(compared.where("part = 'term'")).unionByName(pairs).unionByName(found)

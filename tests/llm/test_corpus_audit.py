@@ -174,8 +174,9 @@ def test_many_shards_rounds_and_flushes_change_nothing(spark, monkeypatch):
     assert found_items(divergence.audit(docs, shard_terms=16)) == want
     assert found_items(divergence.audit(docs, shard_terms=16, broadcast_bytes=700)) == want
     monkeypatch.setattr(divergence, "HELD_TERMS", 20)
-    monkeypatch.setattr(divergence, "HELD_SLOTS", 50)
-    assert found_items(divergence.audit(docs, shard_terms=16)) == want
+    monkeypatch.setattr(divergence, "HELD_NUMBERS", 50)
+    monkeypatch.setattr(divergence, "SMALL_ROWS", 1)
+    assert found_items(divergence.audit(docs)) == want
 
 
 def test_perfect_hash_is_minimal_and_knows_its_keys():
@@ -193,7 +194,7 @@ def test_perfect_hash_is_minimal_and_knows_its_keys():
                 ordered, seeds = divergence.build_hash(mine)
                 assert sorted(ordered) == sorted(mine)
                 lengths = np.array([len(t) for t in ordered], np.int32)
-                rows.append(SimpleNamespace(shard=shard, n=len(mine), seeds=seeds.tobytes(), lengths=lengths.tobytes(), keys=b"".join(ordered)))
+                rows.append(SimpleNamespace(shard=shard, n=len(mine), seeds=seeds.tobytes(), lengths=divergence._pack(lengths), keys=b"".join(ordered)))
         if not rows:
             continue
         v = divergence.Vocabulary(3, rows)

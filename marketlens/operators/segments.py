@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +16,7 @@ from ..functions.prices import log_feature
 from ..functions.text import to_number
 from ..schemas import CLUSTER_BASE, CLUSTER_LOG
 from ..session import keep, release
+from .kmeans import Fit, as_array, fit_many, points_of, squared_silhouettes
 from .quantiles import medians
 
 SEED = 42
@@ -122,37 +120,10 @@ def inertia(df: DataFrame, columns: Sequence[str], cluster: str = "cluster") ->
 
 
 def kmeans_fit(
-    df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, features: str = FEATURES
-) -> KMeansModel:
-    """Best of ``restarts`` fits by training cost. ``df`` should be kept by the caller."""
-    return kmeans_fits(df, [k], restarts, seed, features)[k]
-
-
-def kmeans_fits(
-    df: DataFrame,
-    ks: Sequence[int],
-    restarts: int = RESTARTS,
-    seed: int = SEED,
-    features: str = FEATURES,
-    parallelism: int = 8,
-) -> dict[int, KMeansModel]:
-    """Best model per k. The fits are independent Spark jobs, a few of which run side by side."""
-    narrow = df.select(features)
-
-    def fit(k: int, start: int) -> tuple[float, int, KMeansModel]:
-        kmeans = KMeans(k=k, seed=seed + start, maxIter=300, tol=1e-4, featuresCol=features, predictionCol="cluster")
-        model = kmeans.fit(narrow)
-        return float(model.summary.trainingCost), start, model
-
-    jobs = [(k, start) for k in ks for start in range(restarts)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        runs = [pool.submit(inheritable_thread_target(df.sparkSession)(fit), *job) for job in jobs]
-        done = [run.result() for run in runs]
-    best: dict[int, tuple[float, int, KMeansModel]] = {}
-    for (k, _), run in zip(jobs, done):
-        if k not in best or run[:2] < best[k][:2]:
-            best[k] = run
-    return {k: run[2] for k, run in best.items()}
+    df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, features: str = FEATURES, id_col: str | None = None
+) -> Fit:
+    """Best of ``restarts`` fits by cost; all of them share their scans."""
+    return fit_many(df, [k], restarts, seed, features, id_col)[k]
 
 
 def k_sweep(
@@ -176,25 +147,27 @@ def sweep_fits(
     seed: int = SEED,
     metric: str = "squared",
     features: str = FEATURES,
-) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """``(k, inertia, silhouette)`` for each k, and the fitted models.
+) -> tuple[DataFrame, dict[int, Fit]]:
+    """``(k, inertia, silhouette)`` for each k, and the fits.
 
-    ``df`` is kept once for all fits. The ``squared`` silhouette is linear in the rows. The ``euclidean``
-    one is the published method's; the values of every k come from one pass over the distances, which
-    do not depend on k, but that pass costs the square of the row count.
+    All (k, restart) pairs share each scan of the rows. The ``squared`` silhouette of every k comes from one
+    more scan. The ``euclidean`` one is the published method's; its values come from one pass over the
+    distances, which do not depend on k, but that pass costs the square of the row count.
     """
-    kept = keep(df.select(id_col, features))
-    costs = {}
-    labelled = kept
-    models = kmeans_fits(kept, ks, restarts, seed, features)
-    for k, model in models.items():
-        costs[k] = float(model.summary.trainingCost)
-        labelled = model.transform(labelled).withColumnRenamed("cluster", f"k{k}")
-    names = [f"k{k}" for k in ks]
-    scores = {r["labels"]: r["silhouette"] for r in silhouette(labelled, id_col, names, features, metric).collect()}
+    kept = keep(df.select(id_col, as_array(df, features).alias(features)))
+    fits = fit_many(kept, ks, restarts, seed, features, id_col)
+    if metric == "squared":
+        scores = squared_silhouettes(points_of(kept, features, id_col), fits)
+    else:
+        labelled = kept
+        for k, fit in fits.items():
+            labelled = fit.transform(labelled, features, f"k{k}")
+        names = [f"k{k}" for k in ks]
+        found = silhouette(labelled, id_col, names, features, metric).collect()  # one row a k
+        scores = {int(r["labels"][1:]): r["silhouette"] for r in found}
     release(kept)
-    rows = [(k, costs[k], scores[f"k{k}"]) for k in ks]
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), models
+    rows = [(k, fits[k].cost, scores[k]) for k in ks]
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), fits
 
 
 def k_range(df: DataFrame, low: int = 2, high: int = 7) -> list[int]:
@@ -236,13 +209,11 @@ def silhouette_rows(
     only: a cluster that holds most rows is spread like any other.
     """
     labels = list(labels)
-    types = dict(df.dtypes)
-    vector = F.col(features) if types[features].startswith("array") else _as_array(features)
     rows = df.count()
     row_tiles = max(1, math.ceil(rows / tile_rows))
     column_tiles = max(1, math.ceil(rows / (8 * tile_rows)))
     points = df.select(
-        F.col(id_col).alias("id"), vector.alias("x"), F.array(*[F.col(c).cast("int") for c in labels]).alias("y")
+        F.col(id_col).alias("id"), as_array(df, features).alias("x"), F.array(*[F.col(c).cast("int") for c in labels]).alias("y")
     )
     tile = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -268,12 +239,6 @@ def silhouette_rows(
     return scored.select(F.col("id").alias(id_col), name.alias("labels"), value.alias("silhouette"))
 
 
-def _as_array(features: str) -> Column:
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(F.col(features))
-
-
 def _tile_function():
     # A nested function travels to the workers by value, so they need not have this package.
     def tile_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:

@@ -37,6 +37,6 @@ def segment_products(
         sweep, models = S.sweep_fits(ready, ks or S.k_range(ready), id_col, restarts, metric=metric)
         model = models[S.best_k(sweep).first()["k"]]
     else:
-        model = S.kmeans_fit(ready, k, restarts)
+        model = S.kmeans_fit(ready, k, restarts, id_col=id_col)
     labelled = model.transform(ready).drop(S.FEATURES, *columns)
     return S.relabel_clusters(labelled, "cluster", price, start, names), sweep

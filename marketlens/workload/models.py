@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions.prices import price_band
 from ..functions.text import STAR_KEYS
+from ..operators import kmeans as K
 from ..operators import predict as M
 from ..operators import reports as R
 from ..operators import segments as S
@@ -85,6 +87,45 @@ def kmeans_lloyd(t):
     return rounded(profile, 5, *_F)
 
 
+# by rating
+_TWO_STARTS = [[[0.0, v, 0.0, 0.0, 0.0, 0.0] for v in values] for values in ((-1.0, 0.0, 1.0), (0.9, -0.6))]
+
+
+def _two_models_sql() -> str:
+    gap = " + ".join(f"(s.{c} - k.{c}) * (s.{c} - k.{c})" for c in _F)
+    parts = []
+    for m, start in enumerate(_TWO_STARTS):
+        rows = [f"SELECT {i} AS c, " + ", ".join(f"CAST({v} AS DOUBLE) AS {f}" for v, f in zip(center, _F)) for i, center in enumerate(start)]
+        parts.append(f"m{m}c0 AS ({' UNION ALL '.join(rows)})")
+        for step in range(2):
+            near = f"SELECT s.*, k.c, row_number() OVER (PARTITION BY s.asin ORDER BY {gap}, k.c) AS rn FROM scaled s, m{m}c{step} k"
+            parts.append(f"m{m}c{step + 1} AS (SELECT c, {', '.join(f'avg({f}) AS {f}' for f in _F)} FROM ({near}) WHERE rn = 1 GROUP BY c)")
+        parts.append(
+            f"m{m}n AS (SELECT c, count(*) AS n, sum(gap) AS squares FROM (SELECT c, gap, row_number() OVER (PARTITION BY asin ORDER BY gap, c) AS rn "
+            f"FROM (SELECT s.asin, k.c, {gap} AS gap FROM scaled s, m{m}c2 k)) WHERE rn = 1 GROUP BY c)"
+        )
+    return ", ".join(parts)
+
+
+@query(
+    "kmeans_two_models",
+    f"WITH {_SCALED_SQL}, {_two_models_sql()} "
+    + " UNION ALL ".join(
+        f"SELECT {m} AS model, k.c AS cluster, n, round(squares, 4) AS squares, {', '.join(f'round({f}, 5) AS {f}' for f in _F)} FROM m{m}c2 k JOIN m{m}n n ON k.c = n.c"
+        for m in range(len(_TWO_STARTS))
+    ),
+)
+def kmeans_two_models(t):
+    """Two steps of two models that share their scans: centres, and the rows nearest to them."""
+    points = K.points_of(S.assemble(keep(scaled(t)), _F), id_col="asin")
+    fits = K.lloyd_many(keep(points), [np.array(start) for start in _TWO_STARTS], max_steps=2)
+    rows = [
+        (m, c, int(fit.rows[c]), float(fit.squares[c]), *map(float, center)) for m, fit in enumerate(fits) for c, center in enumerate(fit.centers)
+    ]
+    found = t.spark.createDataFrame(rows, "model int, cluster int, n long, squares double, " + ", ".join(f"{f} double" for f in _F))
+    return rounded(rounded(found, 4, "squares"), 5, *_F)
+
+
 _BAND_OF = f"CASE WHEN price <= {BOUNDS[0]} THEN 'economy' WHEN price <= {BOUNDS[1]} THEN 'mid' ELSE 'premium' END"
 
 

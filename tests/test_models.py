@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from marketlens import schemas
+from marketlens.operators import kmeans as K
 from marketlens.operators import predict as M
 from marketlens.operators import segments as S
 from marketlens.plans.sales_model import predict_sales
@@ -99,6 +100,53 @@ def test_lloyd_agrees_with_numpy(spark):
     assert S.inertia(rows, ["a", "b"]).first().inertia == pytest.approx(sse)
 
 
+def test_many_models_share_scans_and_agree_with_numpy(spark, monkeypatch):
+    x, _ = blobs(400, seed=4)
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id int, features array<double>").repartition(5)
+    points = K.points_of(df, "features", "id").cache()
+    starts = [x[:2], x[10:13], np.vstack([x[20:23], [[99.0, 99.0]]]), x[:1]]  # the last centre of the third stays empty
+    scans = []
+    whole = K.assigned_sums
+    monkeypatch.setattr(K, "assigned_sums", lambda *a: scans.append(len(a[1])) or whole(*a))
+    for tasks in (5, K.PARTIAL_ROWS):  # summed on the driver, and by Spark
+        fits = K.lloyd_many(points, starts, tasks=tasks)
+        for start, fit in zip(starts, fits):
+            near, centers = numpy_lloyd(x, start, 300)
+            assert np.allclose(fit.centers, centers) and fit.rows.tolist() == np.bincount(near, minlength=len(start)).tolist()
+            assert fit.cost == pytest.approx(((x - centers[near]) ** 2).sum())
+        assert len(scans) == max(f.steps for f in fits) + 1 and scans[0] == scans[-1] == len(starts)
+        scans.clear()
+    two = K.lloyd_many(points, starts, max_steps=2)
+    for start, fit in zip(starts, two):
+        assert np.allclose(fit.centers, numpy_lloyd(x, start, 2)[1])
+
+
+def test_starts_do_not_depend_on_the_partitions(spark):
+    x, _ = blobs(300, seed=9)
+    rows = [(i, x[i].tolist()) for i in range(len(x))]
+    frames = [spark.createDataFrame(r, "id int, features array<double>").repartition(n) for r, n in ((rows, 1), (rows[::-1], 7))]
+    a, b = (K.starts(K.points_of(f, "features", "id"), [3, 3, 5], [1, 2, 1]) for f in frames)
+    assert [c.shape for c in a] == [(3, 2), (3, 2), (5, 2)]
+    assert all(np.allclose(p, q) for p, q in zip(a, b)) and not np.allclose(a[0], a[1])
+    few = spark.createDataFrame([(1, [0.0]), (2, [0.0]), (3, [1.0])], "id int, features array<double>")
+    fit = K.fit_many(few, [3], 2, 42)[3]
+    assert fit.cost == 0 and fit.rows.sum() == 3
+    with pytest.raises(ValueError):
+        K.fit_many(few.limit(0), [2], 1, 42)
+
+
+def test_shared_silhouette_equals_the_evaluator(spark):
+    x, _ = blobs(200, seed=3)
+    x = x + 1e5
+    df = spark.createDataFrame([(i, Vectors.dense(x[i])) for i in range(len(x))], ["id", "features"])
+    fits = K.fit_many(df, [2, 3, 6], 2, 42, id_col="id")
+    got = K.squared_silhouettes(K.points_of(df, "features", "id"), fits)
+    for k, fit in fits.items():
+        labelled = fit.transform(df)
+        assert np.bincount([r.cluster for r in labelled.collect()], minlength=k).tolist() == fit.rows.tolist()
+        assert got[k] == pytest.approx(S.silhouette(labelled, "id", ["cluster"], metric="squared").first().silhouette, abs=1e-6)
+
+
 def test_standardize_uses_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert sorted(map(tuple, S.standardize(df, ["a", "b"]).collect())) == [(-1.0, 0.0), (1.0, 0.0)]

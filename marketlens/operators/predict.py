@@ -5,17 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from typing import NamedTuple
 
-from pyspark.ml.regression import (
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import keep
+from . import forest
+from .forest import Forest
+from .kmeans import as_array
 from .segments import assemble
 
 SEED = 42
@@ -118,19 +117,92 @@ def prepare(df: DataFrame, scaling: Mapping[str, tuple[float, float]]) -> DataFr
     return assemble(impute_standardize(df, scaling), list(scaling))
 
 
-def fit_linear(train: DataFrame, target: str) -> LinearRegressionModel:
-    """Ordinary least squares with intercept."""
-    return LinearRegression(labelCol=target, solver="normal", regParam=0.0, standardization=False).fit(train)
+class Linear(NamedTuple):
+    """Least squares with intercept. ``kept`` are the features that entered, ``dropped`` the ones that others
+    determine; their coefficients are 0."""
+
+    coefficients: list[float]
+    intercept: float
+    kept: list[int]
+    dropped: list[int]
+    rows: int
+
+    def transform(self, df: DataFrame, features: str = "features", output: str = "prediction") -> DataFrame:
+        total = F.lit(self.intercept)
+        for j in self.kept:
+            total = total + F.get(F.col("_x_of_row"), F.lit(j)) * F.lit(self.coefficients[j])
+        value = F.when(F.col("_x_of_row").isNotNull(), total)
+        return df.withColumn("_x_of_row", as_array(df, features)).withColumn(output, value).drop("_x_of_row")
+
+
+def gram(df: DataFrame, target: str, features: str, center: Sequence[float] | None = None) -> tuple[int, np.ndarray]:
+    """Row count, and the matrix of products of (1, features, target) summed over the rows that have both.
+
+    One aggregation with a map-side step over the distinct products. ``center`` is taken off features and
+    target first.
+    """
+    rows = df.select(as_array(df, features).alias("x"), F.col(target).cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    if center is None:
+        width = (rows.select(F.max(F.size("x"))).first()[0] or 0) + 1
+        center = [0.0] * width
+    width = len(center)
+    one = lambda i: (F.get("x", F.lit(i)) if i < width - 1 else F.col("y")) - F.lit(center[i])
+    names = [f"v{i}" for i in range(width)]
+    narrow = rows.select(*[one(i).alias(n) for i, n in enumerate(names)])
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    found = narrow.agg(
+        F.count(F.lit(1)), *[F.sum(n) for n in names], *[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]
+    ).first()
+    out = np.zeros((width + 1, width + 1))
+    if found[0]:
+        out[0, 0], out[0, 1:] = found[0], found[1 : width + 1]
+        for (i, j), v in zip(pairs, found[width + 1 :]):
+            out[i + 1, j + 1] = v
+    return found[0], np.triu(out) + np.triu(out, 1).T
+
+
+def fit_linear(train: DataFrame, target: str, features: str = "features", tol: float = 1e-10) -> Linear:
+    """Ordinary least squares with intercept from sums of products, with pivoting.
+
+    Two aggregations: the means, then the products about them, which keeps the digits of columns far from 0.
+    The feature with the most variance left enters next; one whose variance is explained by those before it, down
+    to a share of ``tol``, is dropped and reported, so collinear features do no harm. Without rows there is nothing
+    to fit and an error is raised.
+    """
+    n, sums = gram(train, target, features)
+    if not n:
+        raise ValueError("no rows with features and target")
+    means = sums[0, 1:] / n
+    products = gram(train, target, features, means.tolist())[1]
+    drift = products[0, 1:] / n  # what the rounded means left
+    cov = products[1:, 1:] / n - np.outer(drift, drift)
+    means = means + drift
+    left, kept, dropped = cov.copy(), [], []
+    own = np.diag(cov)[:-1].copy()
+    todo = list(range(len(own)))
+    while todo:
+        share = [left[j, j] / own[j] if own[j] > 0 else 0.0 for j in todo]
+        j = todo.pop(int(np.argmax(share)))
+        if max(share) <= tol:
+            dropped.append(j)
+            continue
+        left = left - np.outer(left[:, j], left[j]) / left[j, j]
+        kept.append(j)
+    kept, dropped = sorted(kept), sorted(dropped)
+    coefficients = np.zeros(len(own))
+    if kept:
+        scale = np.sqrt(own[kept])  # equal scales, so that the solution is as good as the data allow
+        inner = cov[np.ix_(kept, kept)] / np.outer(scale, scale)
+        coefficients[kept] = np.linalg.solve(inner, cov[kept, -1] / scale) / scale
+    intercept = means[-1] - coefficients @ means[:-1]
+    return Linear(coefficients.tolist(), float(intercept), kept, dropped, int(n))
 
 
 def fit_forest(
-    train: DataFrame, target: str, seed: int = SEED, trees: int = 100, bootstrap: bool = True
-) -> RandomForestRegressionModel:
-    """Random forest; one tree without ``bootstrap`` is a plain regression tree."""
-    return RandomForestRegressor(
-        labelCol=target, numTrees=trees, maxDepth=8, minInstancesPerNode=5, featureSubsetStrategy="all", seed=seed,
-        bootstrap=bootstrap,
-    ).fit(train)
+    train: DataFrame, target: str, seed: int = SEED, trees: int = 100, bootstrap: bool = True, row_key: Sequence[str] | None = None
+) -> Forest:
+    """Random forest; one tree without ``bootstrap`` is a plain regression tree. See ``forest.fit``."""
+    return forest.fit(train, target, trees=trees, seed=seed, bootstrap=bootstrap, row_key=row_key)
 
 
 def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -168,8 +240,9 @@ def model_comparison(predictions: Mapping[str, DataFrame], target: str, digits:
     return out
 
 
-def feature_importance(model: RandomForestRegressionModel, features: Sequence[str], like: DataFrame) -> DataFrame:
+def feature_importance(model: Forest, features: Sequence[str], like: DataFrame) -> DataFrame:
     """Feature names and importances, highest first (one row per feature)."""
-    values = model.featureImportances.toArray().tolist()
-    rows = sorted(zip(features, map(float, values)), key=lambda r: (-r[1], r[0]))
+    found = model.importances.tolist()
+    values = found + [0.0] * (len(features) - len(found))
+    rows = sorted(zip(features, values), key=lambda r: (-r[1], r[0]))
     return like.sparkSession.createDataFrame(rows, "feature string, importance double")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.prices import price_band
 from ..functions.text import STAR_KEYS
+from ..operators import forest as T
 from ..operators import kmeans as K
 from ..operators import predict as M
 from ..operators import reports as R
@@ -325,6 +326,28 @@ def linear_fit(t):
     return rounded(rounded(fit, 4, "b_quantity"), 3, "b_discount", "intercept")
 
 
+_COLLINEAR = ["l_quantity", "l_discount", "twice", "same"]
+
+
+@query(
+    "linear_collinear",
+    """WITH m AS (SELECT covar_pop(l_extendedprice, l_quantity) AS c1, covar_pop(l_extendedprice, l_discount) AS c2,
+        var_pop(l_quantity) AS v1, var_pop(l_discount) AS v2, covar_pop(l_quantity, l_discount) AS c12,
+        avg(l_extendedprice) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2 FROM lineitem),
+      b AS (SELECT (c1 * v2 - c2 * c12) / (v1 * v2 - c12 * c12) AS b1, (c2 * v1 - c1 * c12) / (v1 * v2 - c12 * c12) AS b2, * FROM m),
+      p AS (SELECT l_extendedprice AS y, my + b1 * (l_quantity - m1) + b2 * (l_discount - m2) AS q FROM lineitem, b)
+      SELECT 2 AS dropped, round(avg(abs(y - q)), 3) AS mae, round(sqrt(avg((y - q) * (y - q))), 3) AS rmse,
+        round(1 - avg((y - q) * (y - q)) / var_pop(y), 6) AS r2 FROM p""",
+)
+def linear_collinear(t):
+    """Four features of which two follow from the others: two are dropped and the fit is that of the rest."""
+    rows = t.lineitem.select("l_quantity", "l_discount", (2 * F.col("l_quantity") + 5).alias("twice"), F.lit(3.0).alias("same"), "l_extendedprice")
+    rows = S.assemble(rows, _COLLINEAR)
+    model = M.fit_linear(rows, "l_extendedprice")
+    fit = M.regression_metrics(model.transform(rows), "l_extendedprice").withColumn("dropped", F.lit(len(model.dropped)))
+    return rounded(rounded(fit, 3, "mae", "rmse"), 6, "r2")
+
+
 _METRICS_SQL = """round(avg(abs(y - q)), 4) AS mae, round(sqrt(avg((y - q) * (y - q))), 4) AS rmse,
   round(1 - avg((y - q) * (y - q)) / var_pop(y), 4) AS r2"""
 
@@ -386,3 +409,60 @@ def forest_importance(t):
     """A feature that is the same in all rows has no importance; the other has all of it."""
     rows = S.assemble(_flagged(t), ["open", "same"])
     return M.feature_importance(M.fit_forest(rows, "y", trees=5), ["open", "same"], rows)
+
+
+_CUTS = [[10.0, 20.0, 30.0, 40.0], [0.02, 0.04, 0.06, 0.08], [0.01, 0.03, 0.05]]
+_TREE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _tree_sql() -> str:
+    """CTEs of a tree of depth 2 over ``_CUTS``: ``b0`` is the root's split, ``b1`` its children's."""
+    cuts = ", ".join(f"({j}, CAST({e} AS DOUBLE))" for j, edges in enumerate(_CUTS) for e in edges)
+    of = lambda f: "CASE " + f + " " + " ".join(f"WHEN {j} THEN {c}" for j, c in enumerate(_TREE_FEATURES)) + " END"
+    best = (
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, e) AS place FROM (SELECT *, "
+        "sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM (SELECT node, f, e, count(*) AS n, sum(y) AS s, "
+        "count(*) FILTER (WHERE v <= e) AS nl, sum(y) FILTER (WHERE v <= e) AS sl FROM (SELECT r.node, y, k.f, k.e, {v} AS v FROM {r} r, cuts k) "
+        "GROUP BY ALL) WHERE nl >= 5 AND n - nl >= 5)) WHERE place = 1"
+    )
+    down = "r.node * 2 + 1 + CAST({v} > b.e AS INTEGER)"
+    return f"""cuts(f, e) AS (VALUES {cuts}),
+      r0 AS (SELECT 0 AS node, {', '.join(_TREE_FEATURES)}, l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem) AS y, l_extendedprice AS target FROM lineitem),
+      b0 AS ({best.format(v=of('k.f'), r='r0')}),
+      r1 AS (SELECT r.* REPLACE ({down.format(v=of('b.f'))} AS node) FROM r0 r, b0 b),
+      b1 AS ({best.format(v=of('k.f'), r='r1')}),
+      r2 AS (SELECT r.* REPLACE ({down.format(v=of('b.f'))} AS node) FROM r1 r JOIN b1 b ON r.node = b.node)"""
+
+
+def _small_tree(t):
+    rows = S.assemble(t.lineitem.select(*_TREE_FEATURES, "l_extendedprice"), _TREE_FEATURES)
+    return T.fit(rows, "l_extendedprice", trees=1, depth=2, bootstrap=False, edges=_CUTS)
+
+
+@query(
+    "forest_depth_two",
+    f"""WITH {_tree_sql()}, every AS (SELECT node, target FROM r0 UNION ALL SELECT node, target FROM r1 UNION ALL SELECT node, target FROM r2)
+      SELECT e.node, coalesce(b.f, -1) AS feature, coalesce(b.e, -1) AS cut, count(*) AS n, round(avg(target), 4) AS value, round(coalesce(any_value(b.gain), 0) / 1e6, 2) AS gain
+      FROM every e LEFT JOIN (FROM b0 UNION ALL FROM b1) b ON e.node = b.node GROUP BY ALL""",
+)
+def forest_depth_two(t):
+    """Splits, counts and means of one tree of depth 2."""
+    forest = _small_tree(t)
+    rows = [
+        (i, int(forest.feature[0, i]), float(forest.cut[0, i]), int(forest.rows[0, i]), float(forest.value[0, i]), float(forest.gain[0, i]) / 1e6)
+        for i in range(7)
+        if forest.rows[0, i]
+    ]
+    found = t.spark.createDataFrame(rows, "node int, feature int, cut double, n long, value double, gain double")
+    return rounded(rounded(found, 4, "value"), 2, "gain")
+
+
+@query(
+    "forest_gain_shares",
+    f"""WITH {_tree_sql()}, g AS (SELECT f, gain FROM b0 UNION ALL SELECT f, gain FROM b1)
+      SELECT n.feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM g), 8) AS importance
+      FROM (VALUES {', '.join(f"({j}, '{c}')" for j, c in enumerate(_TREE_FEATURES))}) n(f, feature) LEFT JOIN g ON g.f = n.f GROUP BY n.feature""",
+)
+def forest_gain_shares(t):
+    """Importance is the share of the gains of a feature's splits."""
+    return rounded(M.feature_importance(_small_tree(t), _TREE_FEATURES, t.lineitem), 8, "importance")

@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from marketlens import schemas
+from marketlens.operators import forest as T
 from marketlens.operators import kmeans as K
 from marketlens.operators import predict as M
 from marketlens.operators import segments as S
@@ -243,3 +244,105 @@ def test_sales_models(spark):
     assert importance[0].feature == "product_price"
     assert {r.feature for r in importance} == set(schemas.MODEL_FEATURES) - {"rating_balance"}
     assert result.linear.select("asin").distinct().count() == 12
+
+
+# --- forest ----------------------------------------------------------------------------------
+
+
+def plain_tree(x, y, w, edges, depth, min_rows, node=0, out=None):
+    """node -> (feature, cut, weight, mean) by trying every cut."""
+    out = {} if out is None else out
+    n, s = w.sum(), (w * y).sum()
+    out[node] = (-1, -1.0, n, s / n)
+    best = (1e-6, None)
+    if depth:
+        for j, cuts in enumerate(edges):
+            for cut in cuts:
+                left = x[:, j] <= cut
+                a, b = w[left].sum(), w[~left].sum()
+                if min(a, b) >= min_rows:
+                    gain = (w * y)[left].sum() ** 2 / a + (w * y)[~left].sum() ** 2 / b - s * s / n
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (j, cut, left))
+    if best[1]:
+        j, cut, left = best[1]
+        out[node] = (j, cut, n, s / n)
+        for child, side in ((2 * node + 1, left), (2 * node + 2, ~left)):
+            plain_tree(x[side], y[side], w[side], edges, depth - 1, min_rows, child, out)
+    return out
+
+
+@pytest.mark.parametrize("budget", [None, 5000])
+def test_trees_against_all_cuts(spark, monkeypatch, budget):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.uniform(0, 10, (500, 3)))
+    y = np.where(x[:, 0] > 4, 10, 0) + np.where(x[:, 1] > 7, 5, 0) * (x[:, 2] < 3) + np.round(rng.normal(0, 1, 500))
+    x, y = np.vstack([x, x[:50]]), np.concatenate([y, y[:50]])  # repeated rows
+    rows = [(x[i].tolist(), float(y[i])) for i in range(len(x))] + [(None, 1.0), ([1.0, 1.0, 1.0], None)]
+    df = spark.createDataFrame(rows, "features array<double>, y double").repartition(3)
+    edges = [np.arange(0.0, 10), np.arange(0.0, 10, 2), np.arange(1.0, 9)]
+    if budget:
+        monkeypatch.setattr(T, "TASK_BYTES", budget)
+    scans = []
+    whole = T._best_splits
+    monkeypatch.setattr(T, "_best_splits", lambda *a: scans.append(len(a[3])) or whole(*a))
+    forest = T.fit(df, "y", trees=3, depth=4, min_rows=7, bootstrap=False, edges=edges)
+    assert budget or scans == [3] * 4
+    want = plain_tree(x, y, np.ones(len(y)), edges, 4, 7)
+    for t in range(3):
+        grown = {int(i) for i in np.flatnonzero(forest.rows[t])}
+        assert grown == set(want)
+        for i, (j, cut, n, mean) in want.items():
+            assert (forest.feature[t, i], forest.cut[t, i], forest.rows[t, i]) == (j, cut, n) and forest.value[t, i] == pytest.approx(mean)
+
+    def leaf(row):
+        i = 0
+        while want[i][0] >= 0:
+            i = 2 * i + 1 + (row[want[i][0]] > want[i][1])
+        return want[i][3]
+
+    got = {tuple(r.features): r.prediction for r in forest.transform(df.where("features IS NOT NULL")).collect()}
+    assert all(p == pytest.approx(leaf(f)) for f, p in got.items())
+
+
+def test_bootstrap_weights(spark):
+    rng = np.random.default_rng(8)
+    x = rng.uniform(0, 1, (4000, 2))
+    rows = [(i, x[i].tolist(), float(10 * x[i, 0])) for i in range(len(x))]
+    schema = "id int, features array<double>, y double"
+    a, b = (T.fit(spark.createDataFrame(r, schema).repartition(n), "y", trees=20, depth=3, row_key=["id"], edges=[np.arange(0, 1, 0.1)] * 2) for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert (a.feature == b.feature).all() and np.allclose(a.value, b.value) and np.allclose(a.rows, b.rows)
+    assert len(set(a.rows[:, 0])) > 10 and abs(a.rows[:, 0].mean() - 4000) < 4 * np.sqrt(4000 / 20)
+    # copies as one group: the sum of many Poisson counts of 1
+    for copies in (3, 40):
+        many = spark.createDataFrame(rows[:50], schema).crossJoin(spark.range(copies).select())
+        totals = T.fit(many, "y", trees=200, depth=1).rows[:, 0]
+        mean, spread = 50 * copies, np.sqrt(50 * copies)
+        assert abs(totals.mean() - mean) < 4 * spread / np.sqrt(200) and 0.8 * spread < totals.std() < 1.25 * spread
+    with pytest.raises(ValueError):
+        T.fit(spark.createDataFrame([], schema), "y")
+    flat = T.fit(spark.createDataFrame([(1, [1.0, 2.0], 5.0)] * 9, schema), "y", trees=2)
+    assert (flat.feature == -1).all() and flat.value[:, 0].tolist() == [5.0, 5.0] and flat.importances.sum() == 0
+
+
+# --- least squares ---------------------------------------------------------------------------
+
+
+def test_least_squares_with_collinear_features(spark):
+    rng = np.random.default_rng(12)
+    a, b = rng.normal(50, 3, 300), rng.normal(1e6, 2, 300)
+    x = np.column_stack([a, b, 2 * a - b + 7, np.full(300, 4.0), rng.normal(0, 1, 300)])
+    y = 3 * a - 0.5 * b + 2 * x[:, 4] + rng.normal(0, 0.1, 300)
+    rows = [(x[i].tolist(), float(y[i])) for i in range(300)] + [(None, 1.0), (x[0].tolist(), None)]
+    df = spark.createDataFrame(rows, "features array<double>, y double").repartition(4)
+    model = M.fit_linear(df, "y")
+    assert len(model.kept) == 3 and 3 in model.dropped and len(model.dropped) == 2 and model.rows == 300
+    design = np.column_stack([x - x.mean(0), np.ones(300)])
+    want = design @ np.linalg.lstsq(design, y, rcond=1e-9)[0]
+    got = {tuple(r.features): r.prediction for r in model.transform(df.where("y IS NOT NULL")).collect() if r.features}
+    assert np.allclose([got[tuple(r)] for r in x.tolist()], want, atol=1e-4)
+    assert [r.prediction for r in model.transform(df).where("features IS NULL").collect()] == [None]
+    flat = M.fit_linear(spark.createDataFrame([([1.0], 2.0), ([1.0], 4.0)], "features array<double>, y double"), "y")
+    assert (flat.kept, flat.dropped, flat.intercept, flat.coefficients) == ([], [0], 3.0, [0.0])
+    with pytest.raises(ValueError):
+        M.fit_linear(df.limit(0), "y")

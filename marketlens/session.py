@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +31,18 @@ def build_session(app: str = "marketlens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder that driver and executors share, for files that an operator writes and reads back.
+
+    It lies under ``spark.checkpoint.dir``, else under the warehouse; a temporary folder serves local mode only.
+    """
+    base = spark.conf.get(CHECKPOINT_KEY, None)
+    if not base:
+        local = spark.sparkContext.master.split("[")[0] == "local"
+        base = tempfile.mkdtemp(prefix="marketlens-") if local else spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 _CACHED: list[DataFrame] = []
 
 

@@ -16,8 +16,8 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Tru
     """CSV with a header row, quoted fields that may hold newlines, and an optional byte-order mark.
 
     The text ``NaN`` in a number column is read as null. Quoted newlines keep a file from being split,
-    so large inputs should land as many files; pass ``multi_line=False`` for files known to hold one
-    record per line.
+    so a large file is better read by ``csv_blocks.read_csv_blocks``; pass ``multi_line=False`` for files known to
+    hold one record per line.
     """
     rows = (
         spark.read.schema(schema)
@@ -36,10 +36,12 @@ def read_landed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
-    """CSV with a header row. ``bom`` puts a byte-order mark in front of each part file's header."""
+    """CSV with a header row; blanks at a text's ends stay. ``bom`` puts a byte-order mark in front of each part
+    file's header."""
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").option("header", True).option("escape", '"').options(**blanks).csv(path)
 
 
 def write_stage(df: DataFrame, path: str, by_month_of: str | None = None) -> None:
@@ -55,10 +57,12 @@ def write_stage(df: DataFrame, path: str, by_month_of: str | None = None) -> Non
     by_month.write.mode("overwrite").partitionBy("month").parquet(path)
 
 
-def load_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None) -> None:
-    """Replace the whole table. With ``jdbc`` options the target is an outside database."""
+def load_table(df: DataFrame, name: str, jdbc: dict[str, str] | None = None, path: str | None = None) -> None:
+    """Replace the whole table. With ``jdbc`` options the target is an outside database; with ``path`` the
+    table's files lie there instead of in the warehouse."""
     if jdbc is None:
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     else:
         df.write.format("jdbc").options(**jdbc, dbtable=name).mode("overwrite").save()
 

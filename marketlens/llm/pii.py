@@ -16,6 +16,7 @@ the driver is a table of counts whose size is bounded by the number of forms, no
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -125,8 +126,8 @@ class Graph:
         for i, (a, b) in enumerate(self.bounds):
             while at < len(base) and base[at][2] <= a:
                 at += 1
-            for start, kind, end in base[at : at + 8]:
-                if start < b and a < end:
+            for start, kind, end in itertools.takewhile(lambda s: s[0] < b, itertools.islice(base, at, None)):
+                if a < end:
                     self.seen[i] = kind
                     break
         follows = [i + 1 < n and self.bounds[i + 1][0] - self.bounds[i][1] <= 3 and text[self.bounds[i][1] : self.bounds[i + 1][0]].strip(_EDGE + " \t\n") == "" for i in range(n)]
@@ -158,9 +159,17 @@ class Graph:
     def unlabelled(self) -> set[int]:
         """Nodes outside base spans that skip edges tie to one inside: whether they are personal data is what
         is asked, so they teach nothing."""
-        tied = {i for e in self.skip for i in e if self.seen[i] == NONE and (self.seen[e[0]] != NONE or self.seen[e[1]] != NONE)}
-        while more := {i for e in self.skip if tied & set(e) for i in e if self.seen[i] == NONE} - tied:
-            tied |= more
+        near: dict[int, list[int]] = {}
+        for a, b in self.skip:
+            near.setdefault(a, []).append(b)
+            near.setdefault(b, []).append(a)
+        tied: set[int] = set()
+        todo = [i for i in near if self.seen[i] != NONE]
+        while todo:
+            for i in near[todo.pop()]:
+                if self.seen[i] == NONE and i not in tied:
+                    tied.add(i)
+                    todo.append(i)
         return tied
 
 
@@ -218,25 +227,33 @@ class Potentials:
         rounds = 100 + 4 * len(unary) if rounds is None else rounds
         far = graph.skip + graph.star
         pairs = np.array(graph.chain + far, int).reshape(-1, 2)
-        theta = np.concatenate([np.broadcast_to(self.chain, (len(graph.chain), LABELS, LABELS)), np.broadcast_to(self.skip, (len(far), LABELS, LABELS))])
+        if not len(pairs):
+            return self._softmax(unary)
         source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
-        theta = np.concatenate([theta, theta.transpose(0, 2, 1)])
-        back = (np.arange(len(source)) + len(pairs)) % max(len(source), 1)
+        back = (np.arange(len(source)) + len(pairs)) % len(source)
+        is_far = np.arange(len(source)) % len(pairs) >= len(graph.chain)
+        kinds = [(np.flatnonzero(at), np.exp(theta)) for at, theta in ((~is_far, self.chain), (is_far, self.skip)) if at.any()]  # both are symmetric
+        by = np.argsort(target, kind="stable")
+        held, first = np.unique(target[by], return_index=True)
         messages = np.zeros((len(source), LABELS))
-        for _ in range(rounds if len(pairs) else 0):
-            belief = unary.copy()
-            np.add.at(belief, target, messages)
-            out = (belief[source] - messages[back])[:, :, None] + theta
+
+        def beliefs() -> np.ndarray:
+            out = unary.copy()
+            out[held] += np.add.reduceat(messages[by], first, axis=0)
+            return out
+
+        for _ in range(rounds):
+            out = beliefs()[source] - messages[back]
             top = out.max(1, keepdims=True)
-            new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
+            weight, new = np.exp(out - top), np.empty_like(messages)
+            for at, kernel in kinds:
+                new[at] = np.log(weight[at] @ kernel)
             new = 0.5 * messages + 0.5 * (new - new.max(1, keepdims=True))
             settled = np.abs(new - messages).max() < 1e-6
             messages = new
             if settled:
                 break
-        belief = unary.copy()
-        np.add.at(belief, target, messages)
-        return self._softmax(belief)
+        return self._softmax(beliefs())
 
     def added(self, text: str, base: list[Span], sure: float = 0.9) -> list[Span]:
         graph = Graph(text, base)

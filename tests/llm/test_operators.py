@@ -342,12 +342,64 @@ def test_labels_reach_all_of_many_repeats(spark):
         assert len(added) == n and all(text[a:z] == "555-1007" for a, _, z in added)
 
 
+def test_a_hundred_thousand_repeats_take_seconds(spark):
+    import time
+
+    line = lambda i: f"call +1 (2{i:02d}) 555-{1000 + i} or mail user{i}@mail.example, box 77 on page {i}"
+    long = "call +1 (207) 555-1007 now " + "then 555-1007 more " * 100_000
+    rows = [(i, line(i) + (" and again 555-" + str(1000 + i) if i % 2 else "")) for i in range(60)] + [(99, long)]
+    start = time.time()
+    graph = pii.Graph(long, pii.base_spans(long))
+    assert len(graph.unlabelled()) == 100_000
+    potentials = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    added = potentials.added(long, pii.base_spans(long))
+    assert len(added) == 100_000 and time.time() - start < 40
+
+
+def test_messages_are_exact_on_a_tree():
+    """On a chain with a far edge and no loop, marginals equal the sums over all labellings."""
+    import itertools
+
+    text = "a1b2c 12345 x9 and far away 4444444 zz 4444444"
+    graph = pii.Graph(text, [])
+    graph.star = []
+    rng = np.random.default_rng(3)
+    potentials = pii.Potentials({(f, y): int(rng.integers(1, 9)) for f in graph.forms for y in range(pii.LABELS)}, {(0, 1): 5, (1, 1): 3}, {(1, 1): 4})
+    n, unary = len(graph.forms), potentials.unary(graph)
+    assert graph.skip and len(graph.chain) + len(graph.skip) < n
+    total = np.zeros((n, pii.LABELS))
+    for labels in itertools.product(range(pii.LABELS), repeat=n):
+        energy = sum(unary[i, y] for i, y in enumerate(labels)) + sum(potentials.chain[labels[a], labels[b]] for a, b in graph.chain)
+        weight = math.exp(energy + sum(potentials.skip[labels[a], labels[b]] for a, b in graph.skip))
+        for i, y in enumerate(labels):
+            total[i, y] += weight
+    assert np.allclose(potentials.marginals(graph), total / total.sum(1, keepdims=True), atol=1e-4)
+
+
 def test_redaction_leaves_no_base_span(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = pii.redact_documents(docs, pii.fit(docs)).collect()
     assert not any(pii.base_spans(r.text) for r in out) and all(r.n_chars == len(r.text) for r in out)
 
 
+def test_repeated_words_multiply_nothing(spark):
+    import time
+
+    con = duckdb.connect()
+    took = {}
+    for name, word in (("distinct", lambda i: f"w{i}"), ("one", lambda i: "na")):
+        text = " ".join(word(i) for i in range(4000))
+        rows = [(1, text), (2, "x " * 30 + text), (3, "nothing in common here"), (4, " ".join(word(i) for i in range(12)))]
+        items = [("a", text), ("b", " ".join(word(i) for i in range(100)) + " tail"), ("c", "na na na")]
+        docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+        start = time.time()
+        got = decontamination.contamination(docs, bench).drop("text_key").toPandas()
+        took[name] = time.time() - start
+        if name == "one":
+            assert {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in got.itertuples()} == {1: (4000, 4000, 3), 2: (4030, 4000, 3), 3: (4, 0, 0), 4: (12, 12, 1)}
+    assert took["one"] < 2 * took["distinct"] + 5
+
+
 # --- fingerprints ----------------------------------------------------------------------------
 
 

@@ -2,10 +2,10 @@
 
 A fingerprint is the smallest of ``window - k + 1`` neighbouring hashed word k-grams. Two texts that
 share ``window`` words in a row share all the k-grams of that span, hence its fingerprint, so joining
-fingerprints misses no such span. Hits are then extended in the documents that have one: all their
-k-grams are joined to the items', matches are put on diagonals (word place in the document minus place in
-the item), and a window occurs where all its k-grams match on one diagonal. Items shorter than a window
-are one window of their own length; those are found by joining the documents' word runs of that length.
+fingerprints misses no such span. Hits are then extended in the documents that have one: their word runs
+of a window's length are joined to the items' distinct ones, so a word that repeats costs no more than its places
+in the document, and the spans found are merged. Items shorter than a window are one window of their own
+length; those are found by joining the word runs of that length of all documents.
 """
 
 from __future__ import annotations
@@ -59,23 +59,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, k:
 
     items = keep(runs(hashed(items), "grams", k).select("item_id", "hashes", "grams").where(F.size("hashes") > 0))
     long_items = items.where(F.size("hashes") >= window)
-    places = long_items.select("item_id", F.posexplode_outer("grams").alias("item_at", "gram")).distinct()
     prints = winnow(long_items, "prints", over).select(F.explode_outer("prints").alias("print")).distinct()
 
     marked = keep(
         winnow(runs(hashed(docs), "grams", k), "prints", over).select(*key, F.size("words").alias("n_words"), "prints")
     )
     suspects = marked.select(*key, F.explode("prints").alias("print")).join(prints, "print", "left_semi").select(*key).distinct()
-    spans = _extend(_pick(docs, suspects), places, window, k)
+    spans = _occurrences(_pick(docs, suspects), long_items, window)
     lengths = [r[0] for r in items.where(F.size("hashes") < window).select(F.size("hashes")).distinct().collect()]  # under ``window`` values
     for n in sorted(lengths):
-        spans = spans.unionByName(_short(docs, items, n))
+        spans = spans.unionByName(_occurrences(hashed(docs), items.where(F.size("hashes") == n), n))
 
-    hits = (
-        spans.select(*key, "item_id", F.explode(F.sequence("first", "last")).alias("word_at"))
-        .groupBy(*key)
-        .agg(F.count_distinct("word_at").alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("items"))
-    )
+    found = F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    hits = spans.groupBy(*key).agg(_covered(F.collect_set(F.struct("first", "last"))).alias("n_hit"), found)
     out = marked.drop("prints").alias("m").join(hits.alias("h"), _same(key, "m", "h"), "left")
     n_hit, found = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
@@ -100,38 +96,31 @@ def _pick(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return hashed(picked)
 
 
-def _extend(suspects: DataFrame, places: DataFrame, window: int, k: int) -> DataFrame:
-    """Rows (doc_id, text_key, item_id, first, last): word spans of matching windows."""
-    over = window - k + 1
-    # The outer forms: the others make Spark test the size of the array first, which works out the words
-    # again for each place.
-    grams = runs(suspects, "grams", k).select("doc_id", "text_key", F.posexplode_outer("grams").alias("doc_at", "gram"))
-    diagonals = (
-        grams.join(places, "gram")
-        .groupBy("doc_id", "text_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"))
-        .agg(F.array_sort(F.collect_set("item_at")).alias("at"))  # an item's places at most
-        .where(F.size("at") >= over)
-    )
-    whole = lambda i: F.when(F.get("at", i + over - 1) == F.get("at", i) + over - 1, F.get("at", i))
-    starts = F.filter(F.transform(F.sequence(F.lit(0), F.size("at") - over), whole), lambda j: j.isNotNull())
-    found = diagonals.select("doc_id", "text_key", "item_id", "shift", F.explode(starts).alias("j"))
-    return found.select("doc_id", "text_key", "item_id", (F.col("shift") + F.col("j")).alias("first"), (F.col("shift") + F.col("j") + window - 1).alias("last"))
-
-
-def _short(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    """The same rows for items of ``n`` words, found by all the documents' runs of ``n`` words. Runs are
-    compared by two hashes of their words."""
-
-    def places(df: DataFrame) -> DataFrame:
+def _occurrences(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """Rows (doc_id, text_key, items, first, last): the places of runs of ``n`` words that items have, with all
+    items that have them. Runs are compared by two hashes of their words."""
+
+    def placed(df: DataFrame) -> DataFrame:
         last = F.size("hashes") - n
         at = lambda i, seed: F.xxhash64(F.lit(seed), *(F.get("hashes", i + j) for j in range(n)))
         both = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(at(i, 1).alias("a"), at(i, 2).alias("b")))
-        return df.withColumn("run", F.when(last >= 0, both))
+        # The outer form: the other makes Spark test the size of the array first, which works out the words again.
+        return df.withColumn("runs", F.when(last >= 0, both)).select("*", F.posexplode_outer("runs").alias("at", "run"))
+
+    whole = placed(items.select("item_id", "hashes")).groupBy("run").agg(F.collect_set("item_id").alias("items"))
+    hit = placed(docs.select("doc_id", "text_key", "hashes")).select("doc_id", "text_key", "at", "run").join(whole, "run")
+    return hit.select("doc_id", "text_key", "items", F.col("at").alias("first"), (F.col("at") + n - 1).alias("last"))
+
+
+def _covered(spans: Column) -> Column:
+    """How many words the spans (first, last) of a document cover together."""
+    start = F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n"))
+
+    def add(done: Column, span: Column) -> Column:
+        new = F.greatest(span["last"] - F.greatest(span["first"] - 1, done["end"]), F.lit(0))
+        return F.struct(F.greatest(done["end"], span["last"]).alias("end"), (done["n"] + new).alias("n"))
 
-    whole = places(items.where(F.size("hashes") == n)).select("item_id", F.col("run")[0].alias("run"))
-    placed = places(hashed(docs).select("doc_id", "text_key", "hashes")).select("doc_id", "text_key", F.posexplode_outer("run").alias("at", "run"))
-    hit = placed.join(whole, "run")
-    return hit.select("doc_id", "text_key", "item_id", F.col("at").alias("first"), (F.col("at") + n - 1).alias("last"))
+    return F.aggregate(F.array_sort(spans), start, add)["n"]
 
 
 def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,33 +11,38 @@ one stays. An empty table stays empty.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import decontamination, jaccard, packing, pii, quality
 from marketlens.llm.common import keep, table
-from marketlens.session import CHECKPOINT_KEY
+from marketlens.session import CHECKPOINT_KEY, remove_folder, shared_folder, tidy
+
+
+#: Verdicts that are sent to all tasks at most; more are joined by a shuffle.
+SENT_ROWS = 300_000
 
 
-def _only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose (doc_id, text_key) is in ``verdicts``; null ids match null ids."""
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, text_key) is not in ``gone``; null ids match null ids. Where few rows
+    go, their keys are sent to the texts, which then are not shuffled."""
+    gone = keep(gone.select("doc_id", "text_key"))
     same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.xxhash64(F.col("d.text")) == F.col("v.text_key"))
-    return docs.alias("d").join(verdicts.select("doc_id", "text_key").alias("v"), same, "left_semi")
+    side = F.broadcast(gone) if gone.limit(SENT_ROWS + 1).count() <= SENT_ROWS else gone
+    return docs.alias("d").join(side.alias("v"), same, "left_anti")
 
 
 def reject_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose perplexity lies beyond their language's quantiles."""
     found = quality.classify(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, found.where("NOT rejected"))
+    return _without(docs, found.where("rejected"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of linked documents: the one with the smallest id. Documents link when
     they share at least 0.8 of their shingles of five words."""
     classes = keep(jaccard.jaccard_classes(docs, width=5, num=80, den=100))
-    kept = _only(docs, classes.where("component_id IS NULL OR doc_id = component_id"))
+    kept = _without(docs, classes.where("component_id IS NOT NULL AND doc_id <> component_id"))
     repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id", "text_key").count().where("count > 1")
     if repeated.limit(1).count():  # rows that are the same in id and text
         kept = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id IS NULL"))
@@ -47,7 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents of which at least 5 % are passages of the benchmark."""
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.where("NOT contaminated"))
+    return _without(docs, found.where("contaminated"))
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,19 +76,23 @@ STAGES = [
 ORACLE_SQL = None  # a trained model decides in two stages; tests hold the result against a plain version
 
 
-def _written(df: DataFrame) -> DataFrame:
-    folder = df.sparkSession.conf.get(CHECKPOINT_KEY, None)
-    if not folder:
-        return keep(df)
-    path = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+def _written(df: DataFrame) -> tuple[DataFrame, str | None]:
+    """The rows as written to the shared folder, and where; kept without a folder if the session names none."""
+    spark = df.sparkSession
+    if not spark.conf.get(CHECKPOINT_KEY, None):
+        return keep(df), None
+    path = shared_folder(spark, "pipeline")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, at = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs = _written(docs)
+            read, (docs, at) = at, _written(docs)
+            if read:
+                remove_folder(spark, read)  # what the stage has read is not needed again
+            tidy(spark)
     return docs

@@ -64,6 +64,20 @@ def keep(df: DataFrame) -> DataFrame:
     return cached
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files and checkpoints that nothing refers to any more.
+
+    It learns of them when the driver's heap is collected, which a driver with memory to spare does rarely; work
+    with many small shuffles calls this between steps so that its files do not pile up."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that an operator has written and nobody reads any more, wherever Spark can reach it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_all() -> None:
     """Free what ``keep`` has cached so far: call it when the results that read it are written."""
     while _CACHED:

@@ -9,14 +9,12 @@ breaks. Of records with equal payloads one is the response; the others are revis
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.session import CHECKPOINT_KEY
+from marketlens.session import shared_folder
 
 from .common import private, table
 
@@ -167,18 +165,9 @@ def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
         at = stop + len(END)
 
 
-def archive_folder(spark: SparkSession) -> str:
-    """A new folder under the shared one that the session names; a temporary one only in local mode."""
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
-    if not shared:
-        local = spark.sparkContext.master.split("[")[0] == "local"
-        shared = tempfile.mkdtemp(prefix="archive-") if local else spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/warc-{uuid.uuid4().hex}"
-
-
 def op13_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` written as an archive and read back."""
-    folder = archive_folder(spark)
+    folder = shared_folder(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), folder)
     return read_archive(spark, folder).drop("header")
 

@@ -29,7 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, buckets_for, keep, mix, pieces, private, table, text_bytes, word_codes
+from marketlens.session import keep as hold
+from marketlens.session import tidy
+
+from .common import arrow_map, buckets_for, mix, pieces, private, table, text_bytes, word_codes
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 
@@ -175,6 +178,14 @@ def _keys(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
     return arrow_map(docs, run, "key long, doc_id long")
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Hold a result that several jobs read, and free what led to the ones before: some forty small tables are
+    made on the way to the links."""
+    kept = hold(df)
+    tidy(df.sparkSession)
+    return kept
+
+
 def _tiles(keys: DataFrame, partitions: int, block: int) -> DataFrame:
     """(tile, block, hub, members): documents with a key in common, at most ``block`` in a row. Keys are
     read in order, so a tile of any size takes no more memory than a block."""

@@ -205,7 +205,7 @@ def test_kneser_ney_probabilities_add_up_to_one(spark):
             points = np.array([*map(ord, context), c], np.uint32)
             total += math.exp(float(model.log_p(points)[0]))
         assert total == pytest.approx(1.0, abs=1e-4)
-    sizes, costs = model.score(["abracadabra", None, "", "qqqq"])
+    sizes, costs, _ = quality.Scorer(model, None, 4).score(["abracadabra", None, "", "qqqq"])
     assert sizes == [12, 0, 0, 5] and costs[0] / 12 < costs[3] / 5 and costs[1] == 0
 
 
@@ -216,6 +216,65 @@ def test_quality_rejects_junk_and_keeps_clean_documents(spark):
     assert clean.rejected.mean() <= 0.01 and junk.rejected.mean() >= 0.8
 
 
+def test_quality_rejects_toxic_documents(spark):
+    """English labels, where toxic texts hold toxic words; those not in the training half."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.classify(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", quality.in_sample(0.5).alias("taught")), "doc_id").toPandas()
+    held = got[(~got.taught) & (got.quality == 1)]
+    clean, toxic = held[held.toxic == 0], held[(held.toxic == 1) & (held.lang == "en")]
+    assert len(toxic) > 100 and toxic.rejected.mean() >= 0.95 and clean.rejected.mean() <= 0.01
+    print({x: round(held[(held.toxic == 1) & (held.lang == x)].rejected.mean(), 3) for x in ("en", "de", "fr", "es")}, clean.rejected.mean())
+
+
+def test_worst_stretch_is_whole(spark, monkeypatch):
+    df = spark.createDataFrame([("abcabcabd",), ("abdabd xyz",)], "text string")
+    a, b = (quality.Model(quality.smooth(quality.count_ngrams(df.where(F.col("text").contains(x)), 3), 3)) for x in ("abc", "xyz"))
+    text = "abc xyzabd" * 30
+    plain = b.log_p(quality.padded(text, 3)).astype(float) - a.log_p(quality.padded(text, 3))
+    want = max(plain[i : i + 7].sum() for i in range(len(plain) - 6))
+    for piece in (3, 10, 64, 10**6):
+        monkeypatch.setattr(quality, "_PIECE", piece)
+        sizes, costs, worst = quality.Scorer(a, b, 7).score(["", text, None, "ab", text])
+        assert sizes == [0, 301, 0, 3, 301] and worst[1] == pytest.approx(want) == worst[4] and worst[0] == 0.0
+        assert costs[1] == pytest.approx(-a.log_p(quality.padded(text, 3)).astype(float).sum(), rel=1e-5)
+    assert quality.Scorer(a, None, 7).score([text])[2] == [0.0]
+
+
+def test_smoothing_against_plain_kneser_ney(spark):
+    """Interpolated modified Kneser-Ney by the book, over a few texts."""
+    from collections import Counter
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcd ", k=rng.randrange(1, 40))) for _ in range(30)]
+    order = 3
+    pad = lambda t: "\x02" * (order - 1) + t + "\x03"
+    counts = [Counter(p[i : i + order] for p in map(pad, texts) for i in range(len(p) - order + 1))]
+    while len(counts) < order:
+        counts.insert(0, Counter(g[1:] for g in counts[0]))
+
+    def probability(gram):
+        if not gram:
+            return 1.0 / (len(counts[0]) + 1)
+        own = counts[len(gram) - 1]
+        spread = Counter(own.values())
+        n = [spread[i] for i in (1, 2, 3, 4)]
+        off = quality.discounts(n)
+        same = {g: c for g, c in own.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return probability(gram[1:])
+        take = lambda c: off[min(c, 3) - 1]
+        left = sum(map(take, same.values())) / sum(same.values())
+        held = same.get(gram, 0)
+        return (held - take(held) if held else 0.0) / sum(same.values()) + left * probability(gram[1:])
+
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = quality.Model(quality.smooth(quality.count_ngrams(df, order), order))
+    for text in [*texts[:5], "zz", "abz cd", "d" * 9]:
+        p = pad(text)
+        want = [math.log(probability(p[i - order + 1 : i + 1])) for i in range(order - 1, len(p))]
+        assert model.log_p(quality.padded(text, order)) == pytest.approx(want, rel=1e-4)
+
+
 def test_language_model_against_plain_counts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = {r.doc_id: r for r in queries()["op7_maxent_lm"](spark, SF).collect()}

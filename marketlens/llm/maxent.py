@@ -1,15 +1,22 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 The probability of a token is that of its class given what stands before it, times that of the word in
-its class. Classes are the most frequent words, each its own, and groups of words with a common ending.
-The class given its context is a softmax over sums of the weights of hashed features: the previous word,
-the pair of previous words, and a skip feature, the word before the previous one. The word given its
-class is by the corpus counts, with room for words not seen, so the probabilities of all words and of
-one unseen word in each ending group add up to one.
-
-Counting: documents are dealt into batches; each batch asks the count shards, which are dealt by word,
-for the words it holds, and is sent their counts. Weights are trained in rounds: the tasks of a round take
-gradient steps on their share of the learning documents, and the changes are averaged by tokens.
+its class given the word before it. Classes are groups of words with a common ending.
+
+* The class is a softmax over sums of the weights of hashed features: the previous word, the pair of
+  previous words, and a skip feature, the word before the previous one. Its table has a fixed size.
+* The word in its class is a softmax with one feature for each pair of neighbours in the corpus: over the
+  words seen after the previous one in this class, and "another", which draws from the class by corpus counts.
+  Seen ``n`` times, a pair has weight ``log(n - d)``; "another" has ``log(d * pairs)``. There the gradient
+  of the likelihood of pairs left out one at a time vanishes, with ``d`` from the pairs seen once and twice; so
+  these weights are set, not stepped to. Their table grows with the corpus: it lies in shards dealt by hash.
+
+So the probabilities of all words and of one unseen word in each class add up to one.
+
+Counting: documents are dealt into batches; each batch asks the count shards, which are dealt by word and by
+(previous word, class), for the words and pairs it holds, and is sent their counts. The class weights are trained
+in rounds: the tasks of a round take gradient steps on their share of the learning documents, and the changes are
+averaged by tokens.
 """
 
 from __future__ import annotations
@@ -23,43 +30,68 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, buckets_for, keep, mix, pieces, private, table, text_bytes, word_codes
 
-ENDINGS = 40  # groups of words by their last bytes
-HEADS = 24  # words that are classes of their own; the numbers up to CLASSES - 1
-CLASSES = ENDINGS + HEADS
-ROWS = 4096  # hashed features
+CLASSES = 64  # groups of words by their last bytes
+ROWS = 4096  # hashed features of the class
 STEP = 16384  # tokens in a gradient step
 LOW = np.uint64(63)
+WORD_BITS = np.uint64(24)  # of a pair's code; the others are of what stands before, and of the class
 
 
-#: Of the end token, which counts in ending group 0.
+#: Of the end token, which counts in class 0.
 END = np.uint64(0x9AE16A3B2F90404F & ~63)
 
 
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Token codes of all texts after one another, an end after each, and the number of tokens of each.
-    The last 6 bits of a word's code are the number of its ending group, by its last three bytes."""
+    The last 6 bits of a word's code are the number of its class, by its last three bytes."""
     codes, endings, counts = word_codes(texts)
-    codes = (codes & ~LOW) | mix(endings) % np.uint64(ENDINGS)
+    codes = (codes & ~LOW) | mix(endings) % np.uint64(CLASSES)
     return np.insert(codes, np.cumsum(counts), END), counts + 1
 
 
-def features(code: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Numbers (3 x tokens) of the features of each token; what lies before a text's start is 0. Number 0
-    is left for the bias."""
+def before(code: np.ndarray, sizes: np.ndarray, steps: int) -> np.ndarray:
+    """Of each token the code ``steps`` places before it; 0 before a text's start."""
     place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    back = [np.where(place >= k, np.concatenate([np.zeros(k, np.uint64), code])[: len(code)], np.uint64(0)) for k in (1, 2)]
+    return np.where(place >= steps, np.concatenate([np.zeros(steps, np.uint64), code])[: len(code)], np.uint64(0))
+
+
+def features(code: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers (3 x tokens) of the features of each token. Number 0 is left for the bias."""
+    back = [before(code, sizes, k) for k in (1, 2)]
     with np.errstate(over="ignore"):
         keys = (back[0] + np.uint64(1), back[1] + np.uint64(2), back[0] * np.uint64(3) + mix(back[1]))
         return np.stack([(mix(k) % np.uint64(ROWS - 1)).astype(np.uint16) + np.uint16(1) for k in keys])
 
 
-def classes_of(code: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Class of each token: its place among the sorted ``heads``, else its ending group."""
-    out = (code & LOW).astype(np.int32)
-    if len(heads):
-        at = np.minimum(np.searchsorted(heads, code), len(heads) - 1)
-        hit = heads[at] == code
-        out[hit] = ENDINGS + at[hit]
+def classes_of(code: np.ndarray) -> np.ndarray:
+    return (code & LOW).astype(np.int32)
+
+
+def pairs(code: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Code of each token with the one before it: a hash of that one and of the token's class, then a short hash
+    of the token."""
+    with np.errstate(over="ignore"):
+        stem = mix(before(code, sizes, 1) * np.uint64(3) + (code & LOW) + np.uint64(1))
+        return (stem >> WORD_BITS << WORD_BITS) | (mix(code) >> (np.uint64(64) - WORD_BITS))
+
+
+def dealt(codes: np.ndarray, what: np.ndarray, shards: int) -> tuple[np.ndarray, list[int]]:
+    """Places of ``codes`` by the shard of ``what``, and where shards begin among them; and their order is the same
+    for all who hold the same codes."""
+    shard = (mix(what) % np.uint64(shards)).astype(np.int64)
+    by = np.argsort(shard, kind="stable")
+    shard = shard[by]
+    return by, np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])).tolist() if len(by) else []
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Counts as a byte each, and those of 255 and more once again after them."""
+    return np.minimum(values, 255).astype(np.uint8).tobytes() + values[values >= 255].astype("<i8").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<i8", offset=n)
     return out
 
 
@@ -72,10 +104,10 @@ def scores(weights: np.ndarray, found: np.ndarray) -> np.ndarray:
     return z
 
 
-def gradient_steps(weights: np.ndarray, code: np.ndarray, sizes: np.ndarray, heads: np.ndarray, squares: np.ndarray, rate: float = 0.1) -> None:
+def gradient_steps(weights: np.ndarray, code: np.ndarray, sizes: np.ndarray, squares: np.ndarray, rate: float = 0.1) -> None:
     """One pass of minibatch steps over the tokens, in place; ``squares`` holds each feature's sum of
     squared gradients, which sets its rate."""
-    found, target = features(code, sizes), classes_of(code, heads)
+    found, target = features(code, sizes), classes_of(code)
     for a in range(0, len(code), STEP):
         f, y = found[:, a : a + STEP], target[a : a + STEP]
         g = np.exp(scores(weights, f))
@@ -99,99 +131,110 @@ def _batched(docs: DataFrame, held_out, batches: int) -> DataFrame:
     )
 
 
+def _whole(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """``tokens`` of a batch, worked out piece by piece."""
+    parts = [tokens(texts[a:z]) for a, z in pieces(texts)]
+    return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
+
+
 def _requests(batched: DataFrame, shards: int) -> DataFrame:
-    """(batch, shard, words, counts): the words of each batch and how often its learning texts hold them."""
+    """(batch, shard, codes, counts): the words and pairs of each batch and how often its learning texts hold
+    them. Shards of pairs have the numbers from ``shards`` on."""
 
     def run(group: pa.Table) -> pa.Table:
-        texts = group["text"].to_pylist()
-        parts = [tokens(texts[a:z]) for a, z in pieces(texts)]
-        code, sizes = (np.concatenate(x) for x in zip(*parts))
+        code, sizes = _whole(group["text"].to_pylist())
         learns = np.repeat(~np.asarray(group["held_out"].to_pylist(), bool), sizes)
-        found, which = np.unique(code, return_inverse=True)
-        n = np.bincount(which, weights=learns, minlength=len(found)).astype(np.int64)
-        shard = (mix(found) % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        found, n, shard = found[by], n[by], shard[by]
-        cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])).tolist()
-        ends = [*cuts[1:], len(shard)]
+        rows: list[tuple[int, bytes, bytes]] = []
+        for first, all_codes, of in ((0, code, lambda x: x), (shards, pairs(code, sizes), lambda x: x >> WORD_BITS)):
+            found, which = np.unique(all_codes, return_inverse=True)
+            n = np.bincount(which, weights=learns, minlength=len(found)).astype(np.int64)
+            by, cuts = dealt(found, of(found), shards)
+            for a, z in zip(cuts, [*cuts[1:], len(by)]):
+                at = by[a:z]
+                rows.append((first + int(mix(of(found[at[:1]]))[0] % np.uint64(shards)), found[at].tobytes(), packed(n[at])))
         return pa.table(
             {
-                "batch": pa.array([group["batch"][0].as_py()] * len(cuts), pa.int64()),
-                "shard": pa.array(shard[cuts], pa.int64()),
-                "words": pa.array([found[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-                "counts": pa.array([n[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+                "batch": pa.array([group["batch"][0].as_py()] * len(rows), pa.int64()),
+                "shard": pa.array([r[0] for r in rows], pa.int64()),
+                "codes": pa.array([r[1] for r in rows], pa.binary()),
+                "counts": pa.array([r[2] for r in rows], pa.binary()),
             }
         )
 
-    return batched.groupBy("batch").applyInArrow(run, "batch long, shard long, words binary, counts binary")
+    return batched.groupBy("batch").applyInArrow(run, "batch long, shard long, codes binary, counts binary")
 
 
-def _answers(requests: DataFrame) -> DataFrame:
-    """(batch, words, counts, totals, heads): counts over all batches for each request. The first row of
-    a shard also holds its totals by ending group (tokens, distinct words) and its most frequent words."""
+def _answers(requests: DataFrame, shards: int) -> DataFrame:
+    """(batch, shard, n, counts, totals): for each request of ``n`` codes their counts over all batches, in the order
+    of the request; for pairs these are followed by how often, and by how many words, what stands before is followed
+    in the class. The first row of a shard also holds its totals."""
 
     def run(group: pa.Table) -> pa.Table:
-        words = [np.frombuffer(x, np.uint64) for x in group["words"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()])
-        found, which = np.unique(np.concatenate(words), return_inverse=True)
+        codes = [np.frombuffer(x, np.uint64) for x in group["codes"].to_pylist()]
+        counts = np.concatenate([unpacked(x, len(c)) for x, c in zip(group["counts"].to_pylist(), codes)])
+        found, which = np.unique(np.concatenate(codes), return_inverse=True)
         total = np.zeros(len(found), np.int64)
         np.add.at(total, which, counts)
-        sent = np.split(total[which], np.cumsum([len(w) for w in words])[:-1])
         known = total > 0
-        ending = (found & LOW).astype(np.int64)
-        sums = np.zeros((2, ENDINGS), np.int64)
-        np.add.at(sums[0], ending[known], total[known])
-        np.add.at(sums[1], ending[known], 1)
-        top = np.argsort(-total, kind="stable")[:HEADS]
-        first = [sums.tobytes()] + [None] * (len(words) - 1)
-        most = [np.concatenate([found[top], total[top].view(np.uint64)]).tobytes()] + [None] * (len(words) - 1)
+        sums = np.zeros((2, CLASSES + 1), np.int64)
+        sent = [total]
+        if group["shard"][0].as_py() < shards:
+            kind = classes_of(found)
+            np.add.at(sums[0], kind[known], total[known])
+            np.add.at(sums[1], kind[known], 1)
+        else:
+            stem = found >> WORD_BITS
+            first = np.flatnonzero(np.concatenate([[True], stem[1:] != stem[:-1]]))
+            lengths = np.diff(np.append(first, len(stem)))
+            sent += [np.repeat(np.add.reduceat(x, first), lengths) for x in (total, known.astype(np.int64))]
+            sums[:, CLASSES] = (total == 1).sum(), (total == 2).sum()
+        ends = np.cumsum([len(c) for c in codes])
+        answers = [np.concatenate([x[w] for x in sent]) for w in np.split(which, ends[:-1])]
         return pa.table(
             {
-                "batch": group["batch"].cast(pa.int64()),
-                "words": group["words"].cast(pa.binary()),
-                "counts": pa.array([s.tobytes() for s in sent], pa.binary()),
-                "totals": pa.array(first, pa.binary()),
-                "heads": pa.array(most, pa.binary()),
+                "batch": group["batch"].cast(pa.int64()), "shard": group["shard"].cast(pa.int64()),
+                "n": pa.array([len(c) for c in codes], pa.int64()), "counts": pa.array([packed(x) for x in answers], pa.binary()),
+                "totals": pa.array([sums.tobytes()] + [None] * (len(codes) - 1), pa.binary()),
             }
-        )
+        )
 
-    return requests.groupBy("shard").applyInArrow(run, "batch long, words binary, counts binary, totals binary, heads binary")
+    return requests.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(run, "batch long, shard long, n long, counts binary, totals binary")
 
 
 class Counts:
-    """Totals of the corpus: tokens, distinct words, ``heads`` (sorted) and the size of each class."""
+    """Totals of the corpus: tokens, distinct words, the size of each class, and what is taken off a pair's count."""
 
     def __init__(self, answers: DataFrame):
         def add(group: pa.Table) -> pa.Table:
             sums = sum(np.frombuffer(x, np.int64) for x in group["totals"].to_pylist())
-            heads = np.concatenate([np.frombuffer(x, np.uint64).reshape(2, -1) for x in group["heads"].to_pylist()], axis=1)
-            heads = heads[:, np.lexsort((heads[0], -heads[1].view(np.int64)))[:HEADS]]
-            return pa.table({"totals": pa.array([np.asarray(sums).tobytes()], pa.binary()), "heads": pa.array([heads.tobytes()], pa.binary())})
-
-        firsts = answers.where("totals IS NOT NULL").select("totals", "heads", F.pmod(F.hash("batch", "heads"), F.lit(64)).alias("part"))
-        parts = firsts.groupBy("part").applyInArrow(add, "totals binary, heads binary").collect()  # 64 rows at most
-        sums = sum((np.frombuffer(r.totals, np.int64).reshape(2, ENDINGS) for r in parts), np.zeros((2, ENDINGS), np.int64))
-        self.tokens, self.distinct = int(sums[0].sum()), int(sums[1].sum())
-        found = [x for r in parts for x in np.frombuffer(r.heads, np.uint64).reshape(2, -1).T.tolist() if x[1] > 0]
-        found = sorted(sorted(found, key=lambda x: (-x[1], x[0]))[:HEADS])
-        self.heads = np.array([x[0] for x in found], np.uint64)
-        sizes = sums.astype(float)
-        for code, n in found:
-            sizes[0, code & 63] -= n
-            sizes[1, code & 63] -= 1
-        #: Of each class, what (count + 1) is divided by; the heads' words are sure in their class.
-        self.room = np.concatenate([sizes[0] + sizes[1] + 1, [n + 1.0 for _, n in found], np.ones(HEADS - len(found))])
-        prior = np.concatenate([sizes[0] + 1, [n + 1.0 for _, n in found], np.full(HEADS - len(found), 1e-6)])
+            return pa.table({"totals": pa.array([np.asarray(sums).tobytes()], pa.binary())})
+
+        firsts = answers.where("totals IS NOT NULL").select("totals", F.pmod("shard", F.lit(64)).alias("part"))
+        parts = firsts.groupBy("part").applyInArrow(add, "totals binary").collect()  # 64 rows at most
+        sums = sum((np.frombuffer(r.totals, np.int64).reshape(2, -1) for r in parts), np.zeros((2, CLASSES + 1), np.int64))
+        once, twice = sums[:, CLASSES].tolist()
+        self.off = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+        sizes = sums[:, :CLASSES]
+        self.tokens, self.distinct = int(sizes[0].sum()), int(sizes[1].sum())
+        #: Of each class, what (count + 1) is divided by.
+        self.room = sizes[0] + sizes[1] + 1.0
+        prior = sizes[0] + 1.0
         self.prior = np.log(prior / prior.sum()).astype(np.float32)
 
 
+def in_class(alone: np.ndarray, n: np.ndarray, total: np.ndarray, follow: np.ndarray, off: float) -> np.ndarray:
+    """Probability of each word in its class: ``alone`` by class counts, ``n`` times seen after the word before it,
+    after which the class was seen ``total`` times with ``follow`` words."""
+    whole = np.maximum(total, 1)
+    return np.where(total > 0, (np.maximum(n - off, 0) + off * follow * alone) / whole, alone)
+
+
 def train(docs: DataFrame, counts: Counts, rounds: int) -> np.ndarray:
     """Weights (CLASSES x ROWS). Each learning document belongs to one round; a round's tasks start from
     the same weights, and their changes are averaged, weighted by tokens, class by class."""
     spark = docs.sparkSession
     weights = np.zeros((CLASSES, ROWS), np.float32)
     weights[:, 0] = counts.prior
-    heads = counts.heads
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
@@ -200,7 +243,7 @@ def train(docs: DataFrame, counts: Counts, rounds: int) -> np.ndarray:
             for b in batches:
                 for a, z in pieces(b["text"], 1_000_000):
                     code, sizes = tokens(b["text"][a:z])
-                    gradient_steps(own, code, sizes, heads, squares)
+                    gradient_steps(own, code, sizes, squares)
                     seen += len(code)
             if seen:
                 change = (own - shared.value) * np.float32(seen)
@@ -222,42 +265,49 @@ def train(docs: DataFrame, counts: Counts, rounds: int) -> np.ndarray:
     return weights
 
 
-def score(batched: DataFrame, answers: DataFrame, counts: Counts, weights: np.ndarray) -> DataFrame:
+def score(batched: DataFrame, answers: DataFrame, shards: int, counts: Counts, weights: np.ndarray) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
-    model = batched.sparkSession.sparkContext.broadcast((weights, counts.heads, np.log10(counts.room), counts.tokens, counts.distinct))
+    model = batched.sparkSession.sparkContext.broadcast((weights, counts.room, counts.tokens, counts.distinct, counts.off))
     kind = dict(batched.dtypes)["doc_id"]
 
     def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
-        weights, heads, room, n, v = model.value
-        words = np.concatenate([np.frombuffer(x, np.uint64) for x in sent["words"].to_pylist()])
-        known = np.concatenate([np.frombuffer(x, np.int64) for x in sent["counts"].to_pylist()])
-        by = np.argsort(words)
-        words, known = words[by], known[by]
-        out = np.zeros((4, len(docs)))
+        weights, room, n, v, off = model.value
         texts = docs["text"].to_pylist()
-        for a, z in pieces(texts):
-            code, sizes = tokens(texts[a:z])
-            c = known[np.searchsorted(words, code)]
-            target, found, p = classes_of(code, heads), features(code, sizes), np.empty(len(code))
-            for i in range(0, len(code), 4096):
-                y = target[i : i + 4096]
-                logits = scores(weights, found[:, i : i + 4096])
-                p[i : i + 4096] = logits[y, np.arange(len(y))] - np.log(np.exp(logits).sum(axis=0))
-            word = np.log10(c + 1.0)
-            first = np.cumsum(sizes) - sizes
-            for k, x in enumerate((c > 0, word - np.log10(n + v + 1.0), p / np.log(10.0) + word - room[target])):
-                out[k + 1, a:z] = np.add.reduceat(x.astype(float), first)
-            out[0, a:z] = sizes
+        code, sizes = _whole(texts)
+        del texts
+        sent = sent.sort_by("shard")
+        shard, asked, data = (sent[c].to_pylist() for c in ("shard", "n", "counts"))
+        # answers come in the order in which the batch asked
+        found, which = np.unique(code, return_inverse=True)
+        by, _ = dealt(found, found, shards)
+        c = np.empty(len(found), np.int64)
+        c[by] = np.concatenate([unpacked(x, k) for s, k, x in zip(shard, asked, data) if s < shards])
+        c = c[which]
+        found, which = np.unique(pairs(code, sizes), return_inverse=True)
+        by, _ = dealt(found, found >> WORD_BITS, shards)
+        of_pairs = np.empty((3, len(found)), np.int64)
+        of_pairs[:, by] = np.concatenate([unpacked(x, 3 * k).reshape(3, k) for s, k, x in zip(shard, asked, data) if s >= shards], axis=1)
+        target, numbers, p = classes_of(code), features(code, sizes), np.empty(len(code))
+        word = np.log(in_class((c + 1.0) / room[target], *of_pairs[:, which], off))
+        for i in range(0, len(code), 4096):
+            y = target[i : i + 4096]
+            logits = scores(weights, numbers[:, i : i + 4096])
+            p[i : i + 4096] = logits[y, np.arange(len(y))] - np.log(np.exp(logits).sum(axis=0))
+        first = np.cumsum(sizes) - sizes
+        n_known, base, total = (
+            np.add.reduceat(x.astype(float), first) for x in (c > 0, np.log10(c + 1.0) - np.log10(n + v + 1.0), (p + word) / np.log(10.0))
+        )
         return pa.table(
             {
-                "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(out[0].astype(np.int64)),
-                "n_known": pa.array(out[1].astype(np.int64)), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
-                "base_score": pa.array(out[2]), "score": pa.array(out[3]),
+                "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(sizes.astype(np.int64)),
+                "n_known": pa.array(n_known.astype(np.int64)), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
+                "base_score": pa.array(base), "score": pa.array(total),
             }
         )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return batched.groupBy("batch").cogroup(answers.select("batch", "words", "counts").groupBy("batch")).applyInArrow(run, schema)
+    told = answers.select("batch", "shard", "n", "counts").repartition(shards, "batch")
+    return batched.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(run, schema)
 
 
 def score_texts(docs: DataFrame, held_out, *, rounds: int = 4, batch_bytes: int = 16_000_000) -> DataFrame:
@@ -271,11 +321,11 @@ def score_texts(docs: DataFrame, held_out, *, rounds: int = 4, batch_bytes: int
     spark = docs.sparkSession
     docs = private(docs, doc_id="doc_id", text="text")
     batches = buckets_for(spark, text_bytes(docs), batch_bytes)
-    batched = _batched(docs, held_out, batches)
-    answers = keep(_answers(_requests(batched, batches)))
+    batched = _batched(docs, held_out, batches).repartition(batches, "batch")
+    answers = keep(_answers(_requests(batched, batches), batches))
     counts = Counts(answers)
     weights = train(docs.where(~held_out), counts, rounds)
-    return score(batched, answers, counts, weights)
+    return score(batched, answers, batches, counts, weights)
 
 
 def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

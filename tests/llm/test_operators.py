@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -302,8 +303,7 @@ def test_language_model_gradient_and_normalisation():
     z = maxent.scores(weights, maxent.features(code, sizes))
     p = np.exp(z) / np.exp(z).sum(axis=0)
     assert p.sum(axis=0) == pytest.approx(np.ones(len(code)), abs=1e-4)
-    heads = np.sort(np.unique(code)[:2])
-    target = maxent.classes_of(code, heads)
+    target = maxent.classes_of(code)
 
     def loss(w):
         z = maxent.scores(w, maxent.features(code, sizes))
@@ -311,10 +311,74 @@ def test_language_model_gradient_and_normalisation():
 
     before, trained = loss(weights), weights.copy()
     for _ in range(5):
-        maxent.gradient_steps(trained, code, sizes, heads, np.ones(maxent.ROWS, np.float32))
+        maxent.gradient_steps(trained, code, sizes, np.ones(maxent.ROWS, np.float32))
     assert loss(trained) < before
 
 
+def test_language_model_against_plain_counts_and_softmax(spark):
+    """Every score again by dictionaries: counts of pairs by (word before, class), and the class softmax one token at a time."""
+    texts = ["a rose is a rose is a rose", "the rose is red the sky is blue", "a rose is blue", "", None, "the the the", "a rose was new"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    held = {3, 6}
+    got = {r.doc_id: r.score for r in maxent.score_texts(docs, F.col("doc_id").isin(*held), rounds=2).collect()}
+    batched = maxent._batched(docs, F.col("doc_id").isin(*held), 2)
+    counts = maxent.Counts(maxent._answers(maxent._requests(batched, 2), 2))
+    weights = maxent.train(docs.where(~F.col("doc_id").isin(*held)), counts, 2)
+    words = {i: maxent.tokens([(t or "").encode()])[0].tolist() for i, t in enumerate(texts)}
+    single, pair = Counter(), Counter()
+    for i, w in words.items():
+        if i not in held:
+            single.update(w)
+            pair.update(zip([0, *w], w))
+    once, twice = (sum(n == k for n in pair.values()) for k in (1, 2))
+    off = once / (once + 2 * twice)
+    assert (counts.tokens, counts.distinct, counts.off) == (sum(single.values()), len(single), pytest.approx(off))
+
+    def word(prev, w):
+        c = w & 63
+        mine = {x: n for x, n in single.items() if x & 63 == c}
+        alone = (single[w] + 1) / (sum(mine.values()) + len(mine) + 1)
+        after = [n for (a, b), n in pair.items() if a == prev and b & 63 == c]
+        return (max(pair[prev, w] - off, 0) + off * len(after) * alone) / sum(after) if after else alone
+
+    for i, w in words.items():
+        code, sizes = maxent.tokens([(texts[i] or "").encode()])
+        total = 0.0
+        for k, f in enumerate(maxent.features(code, sizes).T):
+            z = weights[:, 0] + sum(weights[:, j] for j in f)
+            total += float(z[w[k] & 63] - np.log(np.exp(z).sum())) + math.log(word(w[k - 1] if k else 0, w[k]))
+        assert got[i] == pytest.approx(total / math.log(10), abs=1e-3)
+    unseen = 1  # of class c, a word that the corpus does not hold
+    for prev in (0, *single):
+        for c in {x & 63 for x in single}:
+            mine = [x for x in single if x & 63 == c]
+            assert sum(word(prev, x) for x in mine) + word(prev, (unseen << 6) | c) == pytest.approx(1)
+
+
+def test_pair_weights_are_where_the_gradient_vanishes():
+    """The softmax over the words seen after another and "another", with the counts left out one at a time."""
+    n, off = np.array([5.0, 2.0, 1.0, 1.0]), 0.6
+    theta = np.log(np.append(n - off, off * len(n)))
+    p = np.exp(theta) / np.exp(theta).sum()
+    goal = np.append(n - off, off * len(n))
+    assert goal - goal.sum() * p == pytest.approx(np.zeros(5), abs=1e-9)
+    alone = np.array([0.1, 0.2, 0.05, 0.01])
+    found = maxent.in_class(alone, n, np.full(4, n.sum()), np.full(4, len(n)), off)
+    assert found == pytest.approx(p[:4] + p[4] * alone)
+
+
+def test_packed_counts_round_trip():
+    for values in ([], [0, 1, 254, 255, 256, 10**12, 3], [255] * 9):
+        x = np.array(values, np.int64)
+        assert maxent.unpacked(maxent.packed(x), len(x)).tolist() == values
+
+
+def test_language_model_gains_from_context(spark):
+    rows = queries()["op7_maxent_lm"](spark, "/root/testdata/sf0.01").where("held_out").collect()
+    tokens = sum(r.n_tokens for r in rows)
+    assert sum(r.score - r.base_score for r in rows) / tokens / math.log10(2) > 1  # bits a token
+
+
 def test_language_ids_on_held_out_documents(spark):
     langs = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     got = queries()["op8_rank_order_langid"](spark, "/root/testdata/sf0.01").collect()

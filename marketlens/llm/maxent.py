@@ -146,8 +146,10 @@ def _requests(batched: DataFrame, shards: int) -> DataFrame:
         learns = np.repeat(~np.asarray(group["held_out"].to_pylist(), bool), sizes)
         rows: list[tuple[int, bytes, bytes]] = []
         for first, all_codes, of in ((0, code, lambda x: x), (shards, pairs(code, sizes), lambda x: x >> WORD_BITS)):
-            found, which = np.unique(all_codes, return_inverse=True)
-            n = np.bincount(which, weights=learns, minlength=len(found)).astype(np.int64)
+            found = np.unique(all_codes)
+            own, times = np.unique(all_codes[learns], return_counts=True)
+            n = np.zeros(len(found), np.int64)
+            n[np.searchsorted(found, own)] = times
             by, cuts = dealt(found, of(found), shards)
             for a, z in zip(cuts, [*cuts[1:], len(by)]):
                 at = by[a:z]
@@ -273,6 +275,7 @@ def score(batched: DataFrame, answers: DataFrame, shards: int, counts: Counts, w
     def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
         weights, room, n, v, off = model.value
         texts = docs["text"].to_pylist()
+        bounds = list(pieces(texts))
         code, sizes = _whole(texts)
         del texts
         sent = sent.sort_by("shard")
@@ -280,28 +283,37 @@ def score(batched: DataFrame, answers: DataFrame, shards: int, counts: Counts, w
         # answers come in the order in which the batch asked
         found, which = np.unique(code, return_inverse=True)
         by, _ = dealt(found, found, shards)
-        c = np.empty(len(found), np.int64)
-        c[by] = np.concatenate([unpacked(x, k) for s, k, x in zip(shard, asked, data) if s < shards])
-        c = c[which]
-        found, which = np.unique(pairs(code, sizes), return_inverse=True)
+        times = np.empty(len(found), np.int64)
+        times[by] = np.concatenate([unpacked(x, k) for s, k, x in zip(shard, asked, data) if s < shards])
+        which = which.astype(np.int32)
+        found, which_pair = np.unique(pairs(code, sizes), return_inverse=True)
+        which_pair = which_pair.astype(np.int32)
         by, _ = dealt(found, found >> WORD_BITS, shards)
         of_pairs = np.empty((3, len(found)), np.int64)
-        of_pairs[:, by] = np.concatenate([unpacked(x, 3 * k).reshape(3, k) for s, k, x in zip(shard, asked, data) if s >= shards], axis=1)
-        target, numbers, p = classes_of(code), features(code, sizes), np.empty(len(code))
-        word = np.log(in_class((c + 1.0) / room[target], *of_pairs[:, which], off))
-        for i in range(0, len(code), 4096):
-            y = target[i : i + 4096]
-            logits = scores(weights, numbers[:, i : i + 4096])
-            p[i : i + 4096] = logits[y, np.arange(len(y))] - np.log(np.exp(logits).sum(axis=0))
-        first = np.cumsum(sizes) - sizes
-        n_known, base, total = (
-            np.add.reduceat(x.astype(float), first) for x in (c > 0, np.log10(c + 1.0) - np.log10(n + v + 1.0), (p + word) / np.log(10.0))
-        )
+        at = 0
+        for s, k, x in zip(shard, asked, data):
+            if s >= shards:
+                of_pairs[:, by[at : at + k]] = unpacked(x, 3 * k).reshape(3, k)
+                at += k
+        del found, by, sent, data
+        out = np.zeros((3, len(docs)))
+        ends = np.append(0, np.cumsum(sizes))
+        for a, z in bounds:  # whole texts, a few at a time
+            here = slice(ends[a], ends[z])
+            c, own = times[which[here]], code[here]
+            target, numbers, p = classes_of(own), features(own, sizes[a:z]), np.empty(len(own))
+            word = np.log(in_class((c + 1.0) / room[target], *of_pairs[:, which_pair[here]], off))
+            for i in range(0, len(own), 4096):
+                y = target[i : i + 4096]
+                logits = scores(weights, numbers[:, i : i + 4096])
+                p[i : i + 4096] = logits[y, np.arange(len(y))] - np.log(np.exp(logits).sum(axis=0))
+            for k, x in enumerate((c > 0, np.log10(c + 1.0) - np.log10(n + v + 1.0), (p + word) / np.log(10.0))):
+                out[k, a:z] = np.add.reduceat(x.astype(float), ends[a:z] - ends[a])
         return pa.table(
             {
                 "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(sizes.astype(np.int64)),
-                "n_known": pa.array(n_known.astype(np.int64)), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
-                "base_score": pa.array(base), "score": pa.array(total),
+                "n_known": pa.array(out[0].astype(np.int64)), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
+                "base_score": pa.array(out[1]), "score": pa.array(out[2]),
             }
         )
 

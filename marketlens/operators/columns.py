@@ -53,31 +53,33 @@ def to_flags(df: DataFrame, columns: Sequence[str] = BADGE_FLAGS) -> DataFrame:
 
 
 def expand_distribution(
-    df: DataFrame, col: str = "rating_distribution", keys: Sequence[str] | None = None, limit: int = 1000
+    df: DataFrame, col: str = "rating_distribution", keys: Sequence[str] | None = None, as_map: bool = False, limit: int = 1000
 ) -> DataFrame:
     """Add one share column ``pct_<key>stars`` per key of the counts written as text.
 
-    Without ``keys`` they are found in the data, and the usual five are there in any case. Above
-    ``limit`` keys the shares of all come as one map column ``pct_stars`` beside the usual five.
+    Without ``keys`` they are found in the data, and the usual five are there in any case; more than
+    ``limit`` of them are an error, as in a pivot. With ``as_map`` nothing is looked for: the shares of all
+    keys come as one map column ``pct_stars`` beside the usual five (or ``keys``), however many there are.
     Text that is not a mapping of numbers, or sums to zero, gives 0 for every key; so does a key
     that is absent. The text is parsed once per row, in its own projection.
     """
     parsed = df.withColumn("_counts", T.number_map(F.col(col))).withColumn("_total", T.map_total(F.col("_counts")))
-    if keys is None:
-        keys = discover_keys(df, col, limit)
-        if keys is None:
-            every = F.transform_values("_counts", lambda k, n: F.coalesce(n / F.col("_total"), F.lit(0.0)))
-            parsed, keys = parsed.withColumn("pct_stars", every), T.STAR_KEYS
-        keys = sorted({*keys, *T.STAR_KEYS})
+    if as_map:
+        parsed = parsed.withColumn("pct_stars", F.transform_values("_counts", lambda k, n: F.coalesce(n / F.col("_total"), F.lit(0.0))))
+        keys = T.STAR_KEYS if keys is None else keys
+    elif keys is None:
+        keys = sorted({*discover_keys(df, col, limit), *T.STAR_KEYS})
     shares = {f"pct_{k}stars": T.share(F.col("_counts"), F.col("_total"), k) for k in keys}
     return parsed.withColumns(shares).drop("_counts", "_total")
 
 
-def discover_keys(df: DataFrame, col: str = "rating_distribution", limit: int = 1000) -> list[str] | None:
-    """Keys that occur in the texts, for data-dependent share columns; None above ``limit`` of them."""
+def discover_keys(df: DataFrame, col: str = "rating_distribution", limit: int = 1000) -> list[str]:
+    """Keys that occur in the texts, for data-dependent share columns; more than ``limit`` are an error."""
     keys = df.select(F.explode(F.map_keys(T.number_map(F.col(col)))).alias("k")).distinct()
     found = [r.k for r in keys.limit(limit + 1).collect()]
-    return sorted(found) if len(found) <= limit else None
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} keys in {col}: name the keys, or take the shares as a map")
+    return sorted(found)
 
 
 def clean_catalog(df: DataFrame) -> DataFrame:

@@ -109,14 +109,17 @@ def crosstab_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
     return known.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence = ()) -> DataFrame:
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence = (), limit: int = 1000) -> DataFrame:
     """Counts of ``rows`` against **all** values of ``columns``, one column each; an absent pair is 0.
 
     ``values`` come first and are there even when they do not occur; the others are found in the data.
-    For a column of very many values use ``crosstab_counts``.
+    More than ``limit`` values in the data are an error, as in a pivot, and no more come to the driver;
+    ``crosstab_counts`` is the long form for any number of them.
     """
     counts = crosstab_counts(df, rows, columns)
-    found = [r[0] for r in counts.select(columns).distinct().collect()]
+    found = [r[0] for r in counts.select(columns).distinct().limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} values in {columns}: use crosstab_counts")
     names = [*values, *sorted(v for v in found if v not in set(values))]
     wide = counts.groupBy(rows).pivot(columns, names).agg(F.sum("n"))
     return wide.na.fill(0, [c for c in wide.columns if c != rows])

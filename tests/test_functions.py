@@ -39,7 +39,20 @@ def test_distribution(spark):
     for i in (1, 2, 3, 4, 5, 7):
         assert got[i] == (0, 0, 0, 0, 0)
     assert discover_keys(df) == ["1", "2", "3", "4", "5"]
-    assert discover_keys(df, limit=2) is None
+    with pytest.raises(ValueError, match="more than 2 keys"):
+        discover_keys(df, limit=2)
+
+
+def test_map_of_shares_has_the_same_columns_for_any_number_of_keys(spark):
+    many = "{" + ", ".join(f"'{k}': 1" for k in range(1, 2001)) + "}"
+    few = spark.createDataFrame([("{'1': 1, '9': 3}",), (None,)], "rating_distribution string")
+    df = spark.createDataFrame([(many,)], "rating_distribution string")
+    a, b = expand_distribution(few, as_map=True), expand_distribution(df, as_map=True)
+    assert a.columns == b.columns
+    row = b.first()
+    assert len(row.pct_stars) == 2000 and row.pct_1stars == 1 / 2000 == row.pct_stars["2000"]
+    with pytest.raises(ValueError, match="more than 1000 keys"):
+        expand_distribution(df)
 
 
 def test_star_keys_come_from_the_data(spark):
@@ -47,7 +60,7 @@ def test_star_keys_come_from_the_data(spark):
     got = expand_distribution(df)
     assert got.columns[1:] == [f"pct_{k}stars" for k in ("0", "1", "2", "3", "4", "5", "half")]
     assert [(r.pct_0stars, r.pct_5stars, r.pct_halfstars) for r in got.collect()] == [(0.25, 0.75, 0), (0, 0, 1), (0, 0, 0)]
-    many = expand_distribution(df, limit=2).collect()
+    many = expand_distribution(df, as_map=True).collect()
     assert many[0].pct_stars == {"0": 0.25, "5": 0.75} and many[0].pct_5stars == 0.75
 
 

@@ -229,6 +229,8 @@ def test_crosstab_counts_every_value(spark):
     df = spark.createDataFrame([("x", "a"), ("x", "c"), ("y", "c"), ("y", None), (None, "a")], "r string, c string")
     got = {r.r: r.asDict() for r in R.crosstab(df, "r", "c", ["b"]).collect()}
     assert got == {"x": {"r": "x", "b": 0, "a": 1, "c": 1}, "y": {"r": "y", "b": 0, "a": 0, "c": 1}}
+    with pytest.raises(ValueError, match="more than 1 values"):
+        R.crosstab(df, "r", "c", limit=1)
 
 
 @pytest.mark.parametrize("most_inside", [3, 1000])

@@ -3,9 +3,9 @@
 Each task tokenizes its documents and packs them as it goes. A document's full sequences are cut off
 first; what remains waits in a bounded pool. A bin is filled by the dot-product heuristic: of the
 pieces that fit in all dimensions, the one whose demand points most along what the bin has left.
-When no whole piece fits, one is cut to fill the bin. A bin that a limit other than tokens has closed,
-and the last ones of a task, are trimmed to a power of two, whose tail goes back to the pool: such
-sequences need no padding.
+When no whole piece fits, the one is cut that can give the bin most; where its loss-bearing tokens are used
+up, that is prompt. A bin that a limit other than tokens has closed, and the last ones of a task, are
+trimmed to a power of two, whose tail goes back to the pool: such sequences need no padding.
 """
 
 from __future__ import annotations
@@ -87,14 +87,19 @@ class Packer:
     def _fill(self, down_to: int) -> Iterator[tuple]:
         while len(self.waiting) > down_to:
             left, chosen = self.limit.copy(), []
-            while self.waiting and left.min() >= 1:
+            while self.waiting and left[:2].min() >= 1:
                 need = self.need[: len(self.waiting)]
                 fits = (need <= left).all(axis=1)
                 if fits.any():
                     along = (need / self.limit) @ (left / self.limit)
                     piece = self._take(int(np.argmax(np.where(fits, along, -1.0))))
                 else:
-                    piece = self._take(int(np.argmax(need[:, 0])))
+                    # what a piece can give: its prompt comes first, then as much as bears the loss that is left
+                    give = np.minimum(need[:, 0] - need[:, 2] + left[2], left[0])
+                    best = int(np.lexsort((need[:, 0], give))[-1])
+                    if give[best] < 1:
+                        break
+                    piece = self._take(best)
                     piece = self._cut(piece, self._end(piece[1], piece[1] + min(len(piece[2]), int(left[0])), piece[3], int(left[2])) - piece[1])
                 chosen.append(piece)
                 left -= (len(piece[2]), 1, self._loss(piece))
@@ -125,6 +130,7 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     loss_from_col: str | None = None,
+    prompt_chars_col: str | None = None,
     end_id: int = 1,
     max_tokens: int = 2048,
     max_segments: int = 256,
@@ -134,7 +140,8 @@ def pack_documents(
     """One row per piece (``PIECES``): which ids of which document lie where in which sequence.
 
     A document's ids are its text's ids and then ``end_id``; a null text counts as empty. With
-    ``loss_from_col`` the first so many ids of a document bear no loss (a prompt); else all do.
+    ``loss_from_col`` the first so many ids of a document bear no loss (a prompt), with ``prompt_chars_col``
+    as many as its first so many code points have by themselves; else all do. Null and negative counts are 0.
     ``max_loss`` is ``max_tokens`` if not given. Sequence ids are unique and hold the task's number in
     their upper bits; they have gaps between tasks. Repeated rows are packed once each. Columns other
     than the named ones are ignored. An empty table gives no pieces.
@@ -150,7 +157,9 @@ def pack_documents(
 
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text, skip in zip(batch["doc_id"], batch["text"], batch["loss_from"]):
+            for doc_id, text, skip, chars in zip(batch["doc_id"], batch["text"], batch["loss_from"], batch["prompt_chars"]):
+                if text and chars:
+                    skip = len(token_ids(text[:chars], vocabulary, end_id)) - 1
                 rows.extend(packer.add(doc_id, token_ids(text, vocabulary, end_id), skip))
                 if len(rows) >= 20_000:
                     yield frame(rows)
@@ -159,8 +168,9 @@ def pack_documents(
         if rows:
             yield frame(rows)
 
-    own = private(docs, doc_id=id_col, text=text_col) if not loss_from_col else private(docs, doc_id=id_col, text=text_col, loss_from=loss_from_col)
-    own = own.withColumn("loss_from", F.coalesce("loss_from", F.lit(0)) if loss_from_col else F.lit(0))
+    counts = {"loss_from": loss_from_col, "prompt_chars": prompt_chars_col}
+    own = private(docs, doc_id=id_col, text=text_col, **{k: c for k, c in counts.items() if c})
+    own = own.withColumns({k: F.greatest(F.coalesce(k, F.lit(0)), F.lit(0)) if c else F.lit(0) for k, c in counts.items()})
     schema = PIECES.replace("doc_id long", f"doc_id {dict(own.dtypes)['doc_id']}")
     return arrow_map(own, run, schema)
 
@@ -171,5 +181,14 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def pack_with_prompts(docs: DataFrame, vocabulary: str, **limits: int) -> DataFrame:
+    """``pack_documents`` of rows (doc_id, text) whose first line is the prompt, where a text has more lines than
+    one: at most 8 segments and 1,920 loss-bearing tokens among the 2,048 of a sequence, unless ``limits`` say otherwise."""
+    rows = private(docs, doc_id="doc_id", text="text")
+    rows = rows.withColumn("prompt_chars", F.greatest(F.instr("text", "\n") - 1, F.lit(0)))
+    return pack_documents(rows, vocabulary, prompt_chars_col="prompt_chars", **({"max_segments": 8, "max_loss": 1920} | limits))
+
+
 def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+    """All documents as pieces of sequences, their first lines as prompts; see ``pack_documents``."""
+    return pack_with_prompts(table(spark, sf_dir, "documents"), vocabulary_path())

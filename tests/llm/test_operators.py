@@ -191,6 +191,27 @@ def test_packing_query_holds_the_tokenizer_ids(spark):
         assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in parts[i])
 
 
+def test_each_limit_of_the_packing_query_closes_sequences(spark):
+    filled = {}
+    for r in queries()["op5_vector_packing"](spark, "/root/testdata/sf0.01").collect():
+        n = filled.setdefault(r.sequence_id, [0, 0, 0])
+        n[0], n[1], n[2] = n[0] + r.length, n[1] + 1, n[2] + r.loss_tokens
+    tokens, segments, loss = zip(*filled.values())
+    assert (max(tokens), max(segments), max(loss)) == (2048, 8, 1920)
+    assert sum(x == 1920 for x in loss) > 50 and sum(x == 8 for x in segments) > 1
+    assert all(n & (n - 1) == 0 for n in tokens) and np.mean([n == 2048 for n in tokens]) > 0.9
+
+
+def test_prompts_are_first_lines(spark):
+    rows = [(1, "one two three\nfour five"), (2, "no prompt"), (3, None), (4, ""), (5, "\nstarts empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bearing = {r.doc_id: r.doc_tokens - r.loss_tokens for r in packing.pack_with_prompts(df, packing.vocabulary_path()).collect()}
+    assert bearing == {1: 3, 2: 0, 3: 0, 4: 0, 5: 0}
+    odd = spark.createDataFrame([(1, "a b c", -4), (2, "a b c", None), (3, "a b c", 99)], "doc_id long, text string, skip int")
+    got = {r.doc_id: r.loss_tokens for r in packing.pack_documents(odd, packing.vocabulary_path(), loss_from_col="skip").collect()}
+    assert got == {1: 4, 2: 4, 3: 0}
+
+
 # --- quality, language model, language -------------------------------------------------------
 
 

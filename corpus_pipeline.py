@@ -61,8 +61,8 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of at most 2048 tokens."""
-    return packing.pack_documents(docs, packing.vocabulary_path())
+    """The pieces of all documents and their places in sequences of at most 2048 tokens, with limits on segments and loss."""
+    return packing.pack_with_prompts(docs, packing.vocabulary_path())
 
 
 STAGES = [

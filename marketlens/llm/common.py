@@ -29,15 +29,17 @@ def private(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(own) for own, source in columns.items()))
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str, rows: int | None = None) -> DataFrame:
     """``mapInArrow`` with batches as dicts of lists: nulls stay None and whole numbers stay whole.
 
-    ``fn`` turns an iterator of batches into one of batches, for a whole partition."""
+    ``fn`` turns an iterator of batches into one of batches, for a whole partition. ``rows`` cuts Spark's batches
+    into smaller ones, so that fewer texts are Python objects at a time."""
     fields = [c.split(" ", 1) for c in schema.split(", ")]
     out = pa.schema([(name, _ARROW[kind]) for name, kind in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in fn(b.to_pydict() for b in batches):
+        cut = (b.slice(i, rows or b.num_rows) for b in batches for i in range(0, b.num_rows, rows or b.num_rows or 1))
+        for found in fn(b.to_pydict() for b in cut):
             yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)

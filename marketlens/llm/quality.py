@@ -1,27 +1,34 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney model of character n-grams, trained on trusted
-text, scores every document; a document whose perplexity lies beyond its language's quantiles is rejected.
-A second model, trained on text labelled toxic, finds the stretch of a document that it explains better than the
-first by most; where that lies far beyond what trusted texts of the language have, the document is rejected too.
-
-Counting and smoothing are Spark joins: n-gram counts, continuation counts, context totals and lower-order
-probabilities are tables dealt by n-gram. The training sample is bounded in bytes, so the finished table
-is too; it goes to every task in shards by length, and a batch's n-grams are joined with one shard after the other.
-Scoring, and the quantiles, cover all documents and their whole texts.
+"""Quality by perplexity: interpolated modified Kneser-Ney models of character n-grams, trained on trusted
+text, score every document; a document whose perplexity lies beyond its language's quantiles is rejected.
+A model trained on text labelled toxic finds the stretch of a document that it explains better than the
+trusted one by most; where that lies far beyond what trusted texts of the language have, the document is rejected too.
+
+All labelled texts teach. The trusted ones teach two models, each half of the texts (by hash) one, and a document is
+scored by the model that its own text did not teach: so every trusted text also serves the quantiles, unseen.
+
+Counting, smoothing and the backing off are Spark joins over tables dealt by n-gram. The probability of a symbol
+follows from the n-gram that it ends, so documents are dealt into batches, each batch asks for its distinct n-grams,
+these are looked up once for all batches, and each batch is sent what it asked for. No table goes to the driver or to
+all tasks. Scoring, and the quantiles, cover all documents and their whole texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, keep, mix, private, table
+from ..session import tidy
+from .common import arrow_map, buckets_for, keep, mix, private, table, text_bytes
 
 START, END = 0x02, 0x03  # control characters stand for the ends of a text
 _A = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = 200_000
+TOXIC = 2  # number of the model of toxic text; 0 and 1 are the trusted ones
 
 
 def symbols(text: str) -> np.ndarray:
@@ -53,54 +60,149 @@ def finished(code: np.ndarray, length: int) -> np.ndarray:
         return mix(code + np.uint64(length)) | np.uint64(1)
 
 
+def gram_codes(grams: np.ndarray) -> np.ndarray:
+    """Finished codes of the rows of a matrix of symbols."""
+    length = grams.shape[1]
+    code, power = np.zeros(len(grams), np.uint64), np.uint64(1)
+    with np.errstate(over="ignore"):
+        for k in range(length):
+            code = code + grams[:, length - 1 - k].astype(np.uint64) * power
+            power = power * _A
+    return finished(code, length)
+
+
+def distinct_grams(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams (a row of symbols each) within padded arrays, and how often they occur."""
+    points = np.concatenate(parts)
+    present = np.zeros(int(points.max()) + 1, bool)
+    present[points] = True
+    letters = np.flatnonzero(present).astype(np.uint32)
+    if len(letters) ** order >= 1 << 63:  # too many letters for their numbers to fit one word
+        rows = np.ascontiguousarray(np.concatenate([np.lib.stride_tricks.sliding_window_view(p, order) for p in parts]))
+        found, n = np.unique(rows.view([("", np.uint32)] * order).ravel(), return_counts=True)
+        return found.view(np.uint32).reshape(-1, order), n
+    number = (np.cumsum(present) - 1)[points]
+    last = len(points) - order + 1
+    code = np.zeros(last, np.int64)
+    for k in range(order):
+        code = code * len(letters) + number[k : k + last]
+    own = np.ones(len(points), bool)  # n-grams that begin in one array and end in the next are none
+    ends = np.cumsum([len(p) for p in parts])
+    for k in range(1, order):
+        own[ends - k] = False
+    found, n = np.unique(code[own[:last]], return_counts=True)
+    grams = np.empty((len(found), order), np.uint32)
+    for k in range(order - 1, -1, -1):
+        found, digit = np.divmod(found, len(letters))
+        grams[:, k] = letters[digit]
+    return grams, n
+
+
+def as_text(grams: np.ndarray) -> str:
+    return np.ascontiguousarray(grams).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def from_text(text: str, order: int) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, order)
+
+
+def _strings(grams: np.ndarray) -> list[str]:
+    flat, order = as_text(grams), grams.shape[1]
+    return [flat[i : i + order] for i in range(0, len(flat), order)]
+
+
 def count_ngrams(texts: DataFrame, order: int) -> DataFrame:
-    """Rows (gram, n): the n-grams of the highest order in column ``text``, ends marked."""
+    """Rows (gram, n): the n-grams of the highest order in column ``text``, ends marked; with a column ``model``,
+    rows (model, gram, n)."""
+    keyed = "model" in texts.columns
 
     def count(batches: Iterator[dict]) -> Iterator[dict]:
+        waiting: dict[int, list[np.ndarray]] = {}
+        held: dict[int, int] = {}
+
+        def counted(model: int) -> dict:
+            grams, n = distinct_grams(waiting.pop(model), order)
+            held.pop(model)
+            return ({"model": [model] * len(n)} if keyed else {}) | {"gram": _strings(grams), "n": n}
+
         for batch in batches:
-            waiting, held = [], 0
-            for k, text in enumerate(batch["text"], 1):
+            for model, text in zip(batch["model"] if keyed else [0] * len(batch["text"]), batch["text"]):
                 if text:
                     p = padded(text, order)
-                    waiting.append(np.lib.stride_tricks.sliding_window_view(p, order))
-                    held += len(p)
-                if waiting and (held > _PIECE or k == len(batch["text"])):
-                    rows = np.ascontiguousarray(np.concatenate(waiting)).view([("", np.uint32)] * order).ravel()
-                    found, n = np.unique(rows, return_counts=True)
-                    flat = found.view(np.uint32).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-                    yield {"gram": [flat[i : i + order] for i in range(0, len(flat), order)], "n": n}
-                    waiting, held = [], 0
+                    waiting.setdefault(model, []).append(p)
+                    held[model] = held.get(model, 0) + len(p)
+                    if held[model] > 10 * _PIECE:
+                        yield counted(model)
+        for model in list(waiting):
+            yield counted(model)
 
-    return arrow_map(texts.select("text"), count, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    keys = ["model"] if keyed else []
+    schema = ("model int, " if keyed else "") + "gram string, n long"
+    return arrow_map(texts.select(*keys, "text"), count, schema, rows=500).groupBy(*keys, "gram").agg(F.sum("n").alias("n"))
 
 
 def smooth(counts: DataFrame, order: int) -> list[tuple[DataFrame, DataFrame]]:
     """For k = 1..order: (gram, p) with the interpolated probability of its last symbol, and (context, g)
-    with the weight left to the lower order."""
+    with the weight left to the lower order. With a column ``model``, which all tables then have, one model each."""
+    keys = [c for c in counts.columns if c == "model"]
     tables = [keep(counts)]
     for _ in range(order - 1):  # continuation counts: in how many ways a gram is preceded
-        tables.insert(0, keep(tables[0].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))))
+        tables.insert(0, keep(tables[0].groupBy(*keys, F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))))
     out: list[tuple[DataFrame, DataFrame]] = []
-    for k, grams in enumerate(tables, 1):
-        row = grams.agg(*(F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4))).first()
-        n = [x or 0 for x in row]
-        d = discounts(n)
-        off = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        keyed = grams.select("gram", "n", off.alias("off"), F.expr(f"substring(gram, 1, {k - 1})").alias("context"))
-        contexts = keep(keyed.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("g")))
-        joined = keyed.join(contexts, "context")
+    for k in range(1, order + 1):
+        grams = tables[k - 1]
+        many = [F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]
+        off, lower = F.lit(0.0), F.lit(0.0)
+        for row in grams.groupBy(*keys).agg(*many, F.count("*").alias("grams")).collect():  # one row a model
+            d = discounts([row[f"n{i}"] or 0 for i in (1, 2, 3, 4)])
+            mine = F.col("model") == row["model"] if keys else F.lit(True)
+            off = F.when(mine, F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])).otherwise(off)
+            lower = F.when(mine, F.lit(1.0 / (row["grams"] + 1))).otherwise(lower)
+        keyed = grams.select(*keys, "gram", "n", off.alias("off"), F.expr(f"substring(gram, 1, {k - 1})").alias("context"))
+        contexts = keep(keyed.groupBy(*keys, "context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("g")))
+        joined = keyed.join(contexts, [*keys, "context"])
         own = (F.col("n") - F.col("off")) / F.col("total")
         if k == 1:
-            lower = F.lit(1.0 / (grams.count() + 1))
-            probabilities = joined.select("gram", (own + F.col("g") * lower).alias("p"))
+            probabilities = joined.select(*keys, "gram", (own + F.col("g") * lower).alias("p"))
         else:
-            below = out[-1][0].select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
-            joined = joined.withColumn("suffix", F.expr("substring(gram, 2)")).join(below, "suffix")
-            probabilities = joined.select("gram", (own + F.col("g") * F.col("q")).alias("p"))
-        out.append((keep(probabilities), contexts.select("context", "g")))
+            below = out[-1][0].select(*keys, F.col("gram").alias("suffix"), F.col("p").alias("q"))
+            joined = joined.withColumn("suffix", F.expr("substring(gram, 2)")).join(below, [*keys, "suffix"])
+            probabilities = joined.select(*keys, "gram", (own + F.col("g") * F.col("q")).alias("p"))
+        out.append((keep(probabilities), keep(contexts.select(*keys, "context", "g"))))
+        del contexts, keyed, joined, probabilities, grams
+        tables[k - 1] = counts  # what is done with need not stay on disk
+        tidy(counts.sparkSession)
     return out
 
 
+def unseen_symbol(smoothed: list[tuple[DataFrame, DataFrame]]) -> dict[int, float]:
+    """Of each model that had any text, the natural log probability of a symbol that it has not seen."""
+    grams, contexts = smoothed[0]
+    sizes = grams.groupBy("model").agg(F.count("*").alias("grams"))
+    return {r.model: float(np.log(r.g / (r.grams + 1))) for r in contexts.join(sizes, "model").collect()}  # one row a model
+
+
+def log_probabilities(windows: DataFrame, smoothed: list[tuple[DataFrame, DataFrame]], unseen: dict[int, float]) -> DataFrame:
+    """(model, gram, p): natural log probability of the last symbol of each of the distinct (model, gram) in
+    ``windows``, n-grams of the highest order. A model without text, which ``unseen`` lacks, gives 0."""
+    spark, floor = windows.sparkSession, F.lit(0.0)
+    for model, p in unseen.items():
+        floor = F.when(F.col("model") == model, F.lit(p)).otherwise(floor)
+    todo = windows.select("model", "gram", F.col("gram").alias("suffix"), F.lit(0.0).alias("weight"))
+    found = []
+    for k in range(len(smoothed), 0, -1):  # what is not found at one length goes on to the next, with its context's weight
+        grams, contexts = smoothed[k - 1]
+        grams = grams.withColumnRenamed("gram", "suffix")
+        found.append(todo.join(grams, ["model", "suffix"]).select("model", "gram", (F.col("weight") + F.log("p")).alias("p")))
+        todo = todo.join(grams, ["model", "suffix"], "left_anti")
+        if k > 1:
+            todo = todo.withColumn("context", F.expr(f"substring(suffix, 1, {k - 1})")).join(contexts, ["model", "context"], "left")
+            todo = todo.select("model", "gram", F.expr("substring(suffix, 2)").alias("suffix"), (F.col("weight") + F.coalesce(F.log("g"), F.lit(0.0))).alias("weight"))
+        todo = keep(todo)
+        tidy(spark)
+    return reduce(DataFrame.unionAll, found, todo.select("model", "gram", (F.col("weight") + floor).alias("p")))
+
+
 def discounts(n: list[int]) -> tuple[float, float, float]:
     """What is taken off counts of 1, 2 and more, from the numbers of grams seen 1 to 4 times."""
     y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
@@ -122,7 +224,7 @@ class Shard:
 
     def join(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which codes are in the shard, and their values (0 for the others)."""
-        found, value = np.zeros(len(code), bool), np.zeros(len(code), np.float32)
+        found, value = np.zeros(len(code), bool), np.zeros(len(code), self.values.dtype)
         run = (code >> self.shift).astype(np.int64)
         at, end = self.starts[run], self.starts[run + 1]
         open_ = np.flatnonzero(at < end)
@@ -137,7 +239,8 @@ class Shard:
 
 
 class Model:
-    """The finished tables, one shard for each length of grams and of contexts."""
+    """The finished tables of a small model in memory, one shard for each length of grams and of contexts; whole
+    tables are scored with ``log_probabilities``, which gives the same."""
 
     def __init__(self, smoothed: list[tuple[DataFrame, DataFrame]]):
         self.order = len(smoothed)
@@ -154,14 +257,9 @@ class Model:
         def pack(batches: Iterator[dict]) -> Iterator[dict]:
             for b in batches:
                 grams, values = b.values()
-                points = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length).astype(np.uint64)
-                code, power = np.zeros(len(points), np.uint64), np.uint64(1)
-                with np.errstate(over="ignore"):
-                    for k in range(length):
-                        code = code + points[:, length - 1 - k] * power
-                        power = power * _A
-                if len(code):
-                    yield {"codes": [finished(code, length).tobytes()], "values": [np.log(np.array(values)).astype(np.float32).tobytes()]}
+                if len(grams):
+                    code = gram_codes(from_text("".join(grams), length))
+                    yield {"codes": [code.tobytes()], "values": [np.log(np.array(values)).astype(np.float32).tobytes()]}
 
         rows = arrow_map(df, pack, "codes binary, values binary").collect()
         return Shard(np.frombuffer(b"".join(r.codes for r in rows), np.uint64), np.frombuffer(b"".join(r["values"] for r in rows), np.float32))
@@ -196,11 +294,17 @@ class Scorer:
 
     def __init__(self, trusted: Model, toxic: Model | None, window: int):
         self.trusted, self.toxic, self.window = trusted, toxic, window
+        self.order = trusted.order
+
+    def both(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """Log probability of each symbol of a padded array, and the log ratio of the toxic one to it."""
+        p = self.trusted.log_p(points).astype(float)
+        return p, self.toxic.log_p(points) - p if self.toxic else None
 
     def score(self, texts: list[str | None]) -> tuple[list[int], list[float], list[float]]:
         """Symbols (the end counts), negative log probability, and the largest log ratio of the toxic to the trusted
         probability of ``window`` symbols in a row (0 at least), of each text, in bounded pieces."""
-        order = self.trusted.order
+        order = self.order
         sizes, costs, worst = [0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         waiting: list[tuple[int, np.ndarray]] = []
         held, ends = 0, {}
@@ -209,8 +313,7 @@ class Scorer:
             if not waiting:
                 return
             points = np.concatenate([x for _, x in waiting])
-            p = self.trusted.log_p(points).astype(float)
-            gain = self.toxic.log_p(points) - p if self.toxic else None
+            p, gain = self.both(points)
             at = 0
             for i, x in waiting:
                 n = len(x) - order + 1
@@ -238,34 +341,157 @@ class Scorer:
         return sizes, costs, worst
 
 
+class Told(Scorer):
+    """A scorer by n-grams whose log probabilities, and log ratios if there are any, have been sent."""
+
+    def __init__(self, grams: np.ndarray, p: np.ndarray, gain: np.ndarray | None, window: int):
+        self.order, self.window, self.p, self.gain = grams.shape[1], window, p, gain
+        self.places = Shard(gram_codes(grams), np.arange(len(grams), dtype=np.int32))
+
+    def both(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        _, at = self.places.join(finished(raw_codes(points, self.order)[-1], self.order))
+        return self.p[at], None if self.gain is None else self.gain[at]
+
+
 def in_sample(share: float) -> Column:
-    """Whether a text belongs to the training sample."""
+    """Whether a text belongs to a share of all, by its hash."""
     return F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * share)
 
 
-def train(docs: DataFrame, chosen: DataFrame, *, order: int = 5, sample_bytes: int = 16_000_000) -> tuple[Model, float]:
-    """Model from column ``text`` of the rows of ``docs`` whose id is in ``chosen``, and the share of texts
-    it was trained on: half of them, or, above twice ``sample_bytes`` of text, so many that about
-    ``sample_bytes`` are taken. The others are left for the quantiles."""
-    sizes = docs.select("doc_id", F.octet_length("text").alias("bytes")).join(chosen, "doc_id", "left_semi")
-    total = sizes.agg(F.sum("bytes")).first()[0] or 0
-    share = min(0.5, sample_bytes / total) if total else 0.5
-    texts = docs.where(in_sample(share) & (F.length("text") > 0)).join(chosen, "doc_id", "left_semi")
-    return Model(smooth(count_ngrams(texts, order), order)), share
+def lessons(docs: DataFrame, good: DataFrame, bad: DataFrame) -> DataFrame:
+    """(model, text): what each model learns from, all trusted texts and all toxic ones. A text labelled both
+    ways teaches nothing toxic."""
+    kinds = good.withColumn("bad", F.lit(False)).unionByName(bad.join(good, "doc_id", "left_anti").withColumn("bad", F.lit(True)))
+    model = F.when(F.col("bad"), TOXIC).otherwise(in_sample(0.5).cast("int")).alias("model")
+    return docs.where(F.length("text") > 0).join(kinds, "doc_id").select(model, "text")
+
 
+def _requests(batched: DataFrame, order: int, shards: int) -> DataFrame:
+    """(batch, model, shard, grams): the distinct n-grams of each batch, dealt by hash, one after the other."""
 
-def score(docs: DataFrame, scorer: Scorer, keep_columns: list[str]) -> DataFrame:
-    """``docs`` with ``symbols``, ``cost`` (nats) and ``worst`` instead of ``text``; 0 for null and empty texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    def run(group: pa.Table) -> pa.Table:
+        codes, grams = np.zeros(0, np.uint64), np.zeros((0, order), np.uint32)
+        parts: list[np.ndarray] = []
+        held = 0
 
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            sizes, costs, worst = shared.value.score(b.pop("text"))
-            yield {**b, "symbols": sizes, "cost": costs, "worst": worst}
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            more, _ = distinct_grams(parts, order)
+            every = np.concatenate([codes, gram_codes(more)])
+            found, first = np.unique(every, return_index=True)
+            return found, np.concatenate([grams, more])[first]
 
+        for text in group["text"]:
+            text = text.as_py()
+            if text:
+                points = padded(text, order)
+                for a in range(0, len(points) - order + 1, 5 * _PIECE):
+                    parts.append(points[a : a + 5 * _PIECE + order - 1])
+                    held += len(parts[-1])
+                    if held >= 5 * _PIECE:
+                        codes, grams = merged()
+                        parts, held = [], 0
+        if parts:
+            codes, grams = merged()
+        shard = (mix(codes) % np.uint64(shards)).astype(np.int64)
+        at, rows = [np.flatnonzero(shard == s) for s in range(shards)], []
+        for s, own in enumerate(at):
+            if len(own):
+                by = np.lexsort(grams[own].T[::-1])  # neighbours begin alike, which packs well
+                rows.append((s, as_text(grams[own[by]]).encode("utf-8", "surrogatepass")))
+        kind, batch = (group[c][0].as_py() for c in ("model", "batch"))
+        return pa.table(
+            {
+                "batch": pa.array([batch] * len(rows), pa.int64()), "model": pa.array([kind] * len(rows), pa.int32()),
+                "shard": pa.array([r[0] for r in rows], pa.int64()), "grams": pa.array([r[1] for r in rows], pa.binary()),
+            }
+        )
+
+    return batched.groupBy("batch").applyInArrow(run, "batch long, model int, shard long, grams binary")
+
+
+def _windows(requests: DataFrame, order: int) -> DataFrame:
+    """(model, shard, gram): what all batches ask for, each n-gram once a model."""
+
+    def run(group: pa.Table) -> pa.Table:
+        codes, grams = np.zeros(0, np.uint64), np.zeros((0, order), np.uint32)
+        for asked in group["grams"]:
+            more = from_text(asked.as_py().decode("utf-8", "surrogatepass"), order)
+            codes, first = np.unique(np.concatenate([codes, gram_codes(more)]), return_index=True)
+            grams = np.concatenate([grams, more])[first]
+        kind, shard = (group[c][0].as_py() for c in ("model", "shard"))
+        return pa.table(
+            {"model": pa.array([kind] * len(grams), pa.int32()), "shard": pa.array([shard] * len(grams), pa.int64()), "gram": pa.array(_strings(grams), pa.string())}
+        )
+
+    return requests.groupBy("model", "shard").applyInArrow(run, "model int, shard long, gram string")
+
+
+def _answers(requests: DataFrame, known: DataFrame, order: int) -> DataFrame:
+    """(batch, grams, p, gain): each request with the values of ``known`` (model, shard, gram, p, gain) in its order."""
+
+    def run(asked: pa.Table, told: pa.Table) -> pa.Table:
+        codes = gram_codes(from_text("".join(told["gram"].to_pylist()), order))
+        by = np.argsort(codes)
+        codes, values = codes[by], [told[c].to_numpy()[by].astype(np.float32) for c in ("p", "gain")]
+        sent: list[list[bytes]] = [[], []]
+        for grams in asked["grams"]:
+            at = np.searchsorted(codes, gram_codes(from_text(grams.as_py().decode("utf-8", "surrogatepass"), order)))
+            for out, v in zip(sent, values):
+                out.append(v[at].tobytes())
+        return pa.table(
+            {"batch": asked["batch"].cast(pa.int64()), "grams": asked["grams"].cast(pa.binary()), "p": pa.array(sent[0], pa.binary()), "gain": pa.array(sent[1], pa.binary())}
+        )
+
+    on = ["model", "shard"]
+    return requests.groupBy(*on).cogroup(known.groupBy(*on)).applyInArrow(run, "batch long, grams binary, p binary, gain binary")
+
+
+def score(docs: DataFrame, smoothed: list[tuple[DataFrame, DataFrame]], window: int, batch_bytes: int = 16_000_000) -> DataFrame:
+    """Rows (doc_id, lang, text_key, judged, symbols, cost, worst), one per row of ``docs``: number of symbols, nats, and
+    the largest gain of a stretch; 0 for null and empty texts. A text is scored by the trusted model that it did not
+    teach; where that had no text at all, ``judged`` is false and cost and gain are 0."""
+    spark, order = docs.sparkSession, len(smoothed)
+    unseen = unseen_symbol(smoothed)
+    size = text_bytes(docs)
+    batches, shards = buckets_for(spark, size, batch_bytes), buckets_for(spark, size, 16 * batch_bytes)
+    model = (1 - F.coalesce(in_sample(0.5), F.lit(False)).cast("int")).alias("model")
+    dealt = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("text_key"), model)
+    dealt = dealt.withColumn("batch", F.col("model") * batches + F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)))
+    dealt = dealt.repartition(batches, "batch")
+    requests = keep(_requests(dealt, order, shards))
+    tidy(spark)
+    windows = keep(_windows(requests, order))
+    asked = windows.select("model", "gram")
+    if TOXIC in unseen:
+        asked = asked.unionByName(asked.select(F.lit(TOXIC).alias("model"), "gram").distinct())
+    judged = [m for m in unseen if m != TOXIC]
+    found = log_probabilities(asked, smoothed, unseen)
+    found = found.groupBy("gram").agg(*[F.max(F.when(F.col("model") == m, F.col("p"))).alias(f"p{m}") for m in (0, 1, TOXIC)])
+    own = F.when(F.col("model") == 0, F.col("p0")).otherwise(F.col("p1"))
+    gain = F.when(F.col("model").isin(judged), F.col(f"p{TOXIC}") - own) if judged else F.lit(None).cast("double")
+    known = windows.join(found, "gram").select("model", "shard", "gram", own.alias("p"), F.coalesce(gain, F.lit(0.0)).alias("gain"))
+    answers = keep(_answers(requests, known, order))
+    del requests, windows, asked, found, known, smoothed
+    tidy(spark)
+    gains = TOXIC in unseen
     kinds = dict(docs.dtypes)
-    schema = ", ".join(f"{c} {kinds[c]}" for c in keep_columns) + ", symbols long, cost double, worst double"
-    return arrow_map(docs.select("text", *keep_columns), run, schema, rows=500)
+
+    def run(texts: pa.Table, sent: pa.Table) -> pa.Table:
+        grams = from_text(b"".join(sent["grams"].to_pylist()).decode("utf-8", "surrogatepass"), order)
+        p, gain = (np.frombuffer(b"".join(sent[c].to_pylist()), np.float32).astype(float) for c in ("p", "gain"))
+        told = Told(grams, p, gain if gains else None, window)
+        parts = [told.score(texts["text"].slice(a, 500).to_pylist()) for a in range(0, len(texts), 500)]
+        sizes, costs, worst = (np.concatenate(x) for x in zip(*parts))
+        return pa.table(
+            {
+                **{c: texts[c] for c in ("doc_id", "lang", "text_key")},
+                "judged": pa.array(np.isin(texts["model"].to_numpy(), judged)),
+                "symbols": pa.array(sizes.astype(np.int64)), "cost": pa.array(costs), "worst": pa.array(worst),
+            }
+        )
+
+    schema = f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, text_key long, judged boolean, symbols long, cost double, worst double"
+    return dealt.groupBy("batch").cogroup(answers.repartition(batches, "batch").groupBy("batch")).applyInArrow(run, schema)
 
 
 def _quantiles(rows: list, q: float) -> dict:
@@ -326,8 +552,7 @@ def _lookup(values: dict[str, float], otherwise: float) -> Column:
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, *, order: int = 5, sample_bytes: int = 16_000_000, prior: int = 200, beyond: float = 4.0, least: int = 50,
-    window: int = 16, beyond_worst: float = 2.0, toxic_bytes: int = 4_000_000,
+    docs: DataFrame, labels: DataFrame, *, order: int = 5, prior: int = 200, beyond: float = 4.0, least: int = 50, window: int = 16, beyond_worst: float = 2.0,
 ) -> DataFrame:
     """Rows (doc_id, lang, text_key, symbols, perplexity, threshold, worst, worst_limit, rejected), one per row of
     ``docs``. ``text_key`` is a hash of the text.
@@ -335,23 +560,18 @@ def classify(
     Trusted texts are those that ``labels`` calls of good quality and not toxic. ``perplexity`` is per
     symbol, drawn to the language's median by ``prior`` symbols so that short texts are not judged by a
     few letters. ``worst`` is the largest log ratio of the probabilities of ``window`` symbols in a row under the
-    model of texts labelled toxic, of whatever quality and about ``toxic_bytes`` of them, and the trusted one. A document is rejected when either lies
-    beyond its limit. A language with fewer than ``least`` trusted texts outside the sample, and a null one,
+    model of all texts labelled toxic, of whatever quality, and the trusted one. A document is rejected when either lies
+    beyond its limit. A language with fewer than ``least`` trusted texts, and a null one,
     use the quantiles of all languages. Null and empty texts have no perplexity and are rejected.
-    Without any trusted text nothing else is rejected; without toxic ones ``worst`` is 0. Repeated labels count once, null labels not at
-    all. Other columns are ignored.
+    Without any trusted text nothing else is rejected, nor where all trusted texts fall into one half; without toxic
+    ones ``worst`` is 0. Repeated labels count once, null labels not at all. Other columns are ignored.
     """
     docs = private(docs, doc_id="doc_id", text="text", lang="lang")
     labels = private(labels, doc_id="doc_id", quality="quality", toxic="toxic")
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").distinct()
     bad = labels.where("toxic = 1").select("doc_id").distinct()
-    model, share = train(docs, good, order=order, sample_bytes=sample_bytes)
-    # a text labelled both ways teaches nothing
-    toxic = train(docs, bad.join(good, "doc_id", "left_anti"), order=order, sample_bytes=toxic_bytes)[0]
-    scorer = Scorer(model, toxic if toxic.known and model.known else None, window)
-    marked = docs.withColumn("trained", F.coalesce(in_sample(share), F.lit(False))).withColumn("text_key", F.xxhash64("text"))
-    scored = keep(score(marked, scorer, ["doc_id", "lang", "text_key", "trained"]))
-    unseen = keep(scored.join(good, "doc_id", "left_semi").where("NOT trained"))
+    scored = keep(score(docs, smooth(count_ngrams(lessons(docs, good, bad), order), order), window))
+    unseen = keep(scored.join(good, "doc_id", "left_semi").where("judged"))
     by_lang, everything = thresholds(unseen, prior, beyond, least)
     middle = _lookup({k: v[0] for k, v in by_lang.items()}, everything[0])
     limit = F.exp(_lookup({k: v[1] for k, v in by_lang.items()}, everything[1]))

@@ -301,6 +301,35 @@ def test_smoothing_against_plain_kneser_ney(spark):
         assert model.log_p(quality.padded(text, order)) == pytest.approx(want, rel=1e-4)
 
 
+def test_all_labelled_texts_teach_and_none_judges_itself(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("abcdé 5", k=rng.randrange(1, 60))) for _ in range(120)] + ["", None, "\U0001f600 ab" * 30]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    good, bad = (docs.where(f"doc_id % 4 {x}").select("doc_id") for x in ("< 2", "= 2"))
+    order, window = 4, 5
+    taught = quality.lessons(docs, good, bad)
+    counts = quality.count_ngrams(taught, order)
+    want = sum(len(t) + 1 for i, t in enumerate(texts) if t and i % 4 < 3)
+    assert counts.groupBy().sum("n").first()[0] == want
+    models = [quality.Model(quality.smooth(quality.count_ngrams(taught.where(f"model = {m}").select("text"), order), order)) for m in range(3)]
+    assert all(m.known for m in models)
+    half = {r.doc_id: r.own for r in docs.select("doc_id", quality.in_sample(0.5).cast("int").alias("own")).collect()}
+    got = {r.doc_id: r for r in quality.score(docs, quality.smooth(counts, order), window, batch_bytes=700).collect()}
+    assert len(got) == len(texts) and all(r.judged for r in got.values())
+    for i, text in enumerate(texts):  # by the trusted model that the text did not teach
+        (size,), (cost,), (worst,) = quality.Scorer(models[1 - half[i]], models[quality.TOXIC], window).score([text])
+        assert got[i].symbols == size and got[i].cost == pytest.approx(cost, rel=1e-4) and got[i].worst == pytest.approx(worst, rel=1e-3, abs=1e-3)
+
+
+def test_grams_of_many_letters_are_counted_alike():
+    rng = random.Random(3)
+    parts = [quality.padded("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(9000)) * 2, 5), quality.padded("ab", 5)]
+    got = quality.distinct_grams(parts, 5)
+    few = quality.distinct_grams(parts[1:], 5)
+    assert int(got[1].sum()) == 18_001 + 3 and int(few[1].sum()) == 3
+    assert {tuple(x) for x in few[0].tolist()} == {tuple(parts[1][i : i + 5].tolist()) for i in range(3)} <= {tuple(x) for x in got[0].tolist()}
+
+
 def test_language_model_against_plain_counts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = {r.doc_id: r for r in queries()["op7_maxent_lm"](spark, SF).collect()}

@@ -88,18 +88,21 @@ def fit(
     seed: int = 42,
     bootstrap: bool = True,
     edges: Sequence[Sequence[float]] | None = None,
+    weight: str | None = None,
 ) -> Forest:
     """Fit ``trees`` trees on the rows with features and target.
 
     With ``row_key``, columns or a hash, rows stay single and its hash decides their bootstrap weights; rows with
     the same key have the same. Without it equal rows are grouped (counts from 16 up by the normal
-    approximation with its skewness term). ``edges`` are the cut values of each feature if not the quantiles. A
+    approximation with its skewness term); a row with ``weight`` n stands for n such rows. ``edges`` are the cut values of each feature if not the quantiles. A
     split has at least ``min_rows`` rows (bootstrap weights counted) on either side; among equal gains the first
     feature and lowest cut win. Without rows there is nothing to fit and an error is raised.
     """
     x, y = as_array(df, features), F.col(target).cast("double")
     if row_key is None:
-        rows = df.select(x.alias("x"), y.alias("y")).where("x IS NOT NULL AND y IS NOT NULL").groupBy("x", "y").agg(F.count(F.lit(1)).alias("m"))
+        alike = F.col(weight) if weight else F.lit(1)
+        rows = df.select(x.alias("x"), y.alias("y"), alike.cast("long").alias("m")).where("x IS NOT NULL AND y IS NOT NULL")
+        rows = rows.groupBy("x", "y").agg(F.sum("m").alias("m"))
         rows = keep(rows.select(F.xxhash64("x", "y").alias("h"), "x", "y", "m"))
     else:
         key = row_key if isinstance(row_key, Column) else F.xxhash64(*row_key)
@@ -159,13 +162,15 @@ def _best_splits(rows, feature, bin_cut, growing, level, cuts, bins, mean, min_r
         if (m == 1).all():
             return np.searchsorted(steps, u, side="right")
         out, many = np.zeros(len(m), np.int64), m >= 16
-        few = np.flatnonzero(~many)
-        term = np.exp(-m[few].astype(float))
-        below = term.copy()
-        for i in range(1, 64):
-            out[few] += u[few] > below
-            term = term * m[few] / i
-            below += term
+        for k in np.unique(m[~many]):  # by the cumulated probabilities of each mean
+            at = np.flatnonzero(m == k)
+            term = np.exp(np.array([-float(k)]))
+            below, sums = term.copy(), []
+            for i in range(1, 64):
+                sums.append(below[0])
+                term = term * k / i
+                below += term
+            out[at] = np.searchsorted(sums, u[at], side="left")
         z = np.sqrt(-2 * np.log(u[many])) * np.cos(2 * np.pi * hashed(h[many], salt ^ 0x5851F42D4C957F2D))
         out[many] = np.maximum(np.rint(m[many] + np.sqrt(m[many]) * z + (z * z - 1) / 6), 0)
         return out

@@ -135,23 +135,27 @@ class Linear(NamedTuple):
         return df.withColumn("_x_of_row", as_array(df, features)).withColumn(output, value).drop("_x_of_row")
 
 
-def gram(df: DataFrame, target: str, features: str, center: Sequence[float] | None = None) -> tuple[int, np.ndarray]:
+def gram(
+    df: DataFrame, target: str, features: str, center: Sequence[float] | None = None, weight: str | None = None
+) -> tuple[int, np.ndarray]:
     """Row count, and the matrix of products of (1, features, target) summed over the rows that have both.
 
     One aggregation with a map-side step over the distinct products. ``center`` is taken off features and
-    target first.
+    target first. A row with ``weight`` n stands for n rows.
     """
-    rows = df.select(as_array(df, features).alias("x"), F.col(target).cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    alike = F.col(weight) if weight else F.lit(1)
+    rows = df.select(as_array(df, features).alias("x"), F.col(target).cast("double").alias("y"), alike.cast("long").alias("w")).where("x IS NOT NULL AND y IS NOT NULL")
     if center is None:
         width = (rows.select(F.max(F.size("x"))).first()[0] or 0) + 1
         center = [0.0] * width
     width = len(center)
     one = lambda i: (F.get("x", F.lit(i)) if i < width - 1 else F.col("y")) - F.lit(center[i])
     names = [f"v{i}" for i in range(width)]
-    narrow = rows.select(*[one(i).alias(n) for i, n in enumerate(names)])
+    narrow = rows.select("w", *[one(i).alias(n) for i, n in enumerate(names)])
+    w = F.col("w")
     pairs = [(i, j) for i in range(width) for j in range(i, width)]
     found = narrow.agg(
-        F.count(F.lit(1)), *[F.sum(n) for n in names], *[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]
+        F.coalesce(F.sum(w), F.lit(0)), *[F.sum(F.col(n) * w) for n in names], *[F.sum(F.col(names[i]) * F.col(names[j]) * w) for i, j in pairs]
     ).first()
     out = np.zeros((width + 1, width + 1))
     if found[0]:
@@ -161,19 +165,19 @@ def gram(df: DataFrame, target: str, features: str, center: Sequence[float] | No
     return found[0], np.triu(out) + np.triu(out, 1).T
 
 
-def fit_linear(train: DataFrame, target: str, features: str = "features", tol: float = 1e-10) -> Linear:
+def fit_linear(train: DataFrame, target: str, features: str = "features", tol: float = 1e-10, weight: str | None = None) -> Linear:
     """Ordinary least squares with intercept from sums of products, with pivoting.
 
     Two aggregations: the means, then the products about them, which keeps the digits of columns far from 0.
     The feature with the most variance left enters next; one whose variance is explained by those before it, down
-    to a share of ``tol``, is dropped and reported, so collinear features do no harm. Without rows there is nothing
-    to fit and an error is raised.
+    to a share of ``tol``, is dropped and reported, so collinear features do no harm. A row with ``weight`` n
+    stands for n rows. Without rows there is nothing to fit and an error is raised.
     """
-    n, sums = gram(train, target, features)
+    n, sums = gram(train, target, features, weight=weight)
     if not n:
         raise ValueError("no rows with features and target")
     means = sums[0, 1:] / n
-    products = gram(train, target, features, means.tolist())[1]
+    products = gram(train, target, features, means.tolist(), weight)[1]
     drift = products[0, 1:] / n  # what the rounded means left
     cov = products[1:, 1:] / n - np.outer(drift, drift)
     means = means + drift
@@ -199,10 +203,11 @@ def fit_linear(train: DataFrame, target: str, features: str = "features", tol: f
 
 
 def fit_forest(
-    train: DataFrame, target: str, seed: int = SEED, trees: int = 100, bootstrap: bool = True, row_key: Sequence[str] | None = None
-) -> Forest:
+    train: DataFrame, target: str, seed: int = SEED, trees: int = 100, bootstrap: bool = True, row_key: Sequence[str] | None = None,
+    weight: str | None = None,
+) -> Forest:
     """Random forest; one tree without ``bootstrap`` is a plain regression tree. See ``forest.fit``."""
-    return forest.fit(train, target, trees=trees, seed=seed, bootstrap=bootstrap, row_key=row_key)
+    return forest.fit(train, target, trees=trees, seed=seed, bootstrap=bootstrap, row_key=row_key, weight=weight)
 
 
 def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -212,16 +217,24 @@ def ols_simple(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:
-    """Mean absolute error, root mean squared error and R squared in one pass.
+def regression_metrics(df: DataFrame, actual: str, predicted: str = "prediction", weight: str | None = None) -> DataFrame:
+    """Mean absolute error, root mean squared error and R squared in one pass; a row with ``weight`` n stands
+    for n rows, and takes a pass more for the mean.
 
     Constant actual values give R squared 1 when every prediction is right and 0 otherwise.
     """
     gap = F.col(actual) - F.col(predicted)
+    if weight is None:
+        mean, spread = F.avg, F.var_pop(actual)
+    else:
+        mean = lambda x: F.try_divide(F.sum(x * F.col(weight)), F.sum(F.when(x.isNotNull(), F.col(weight))))
+        middle = df.agg(mean(F.col(actual).cast("double"))).first()[0]
+        off = F.col(actual) - F.lit(middle).cast("double")
+        spread = F.when(F.min(actual) == F.max(actual), F.lit(0.0)).otherwise(mean(off * off))
     sums = df.agg(
-        F.avg(F.abs(gap)).alias("mae"),
-        F.avg(gap * gap).alias("_mse"),
-        F.var_pop(actual).alias("_var"),
+        mean(F.abs(gap)).alias("mae"),
+        mean(gap * gap).alias("_mse"),
+        spread.alias("_var"),
     )
     r2 = F.when(F.col("_var") > 0, 1 - F.try_divide(F.col("_mse"), F.col("_var"))).otherwise(
         F.when(F.col("_mse") == 0, 1.0).when(F.col("_mse").isNotNull(), 0.0)
@@ -229,11 +242,11 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str = "prediction"
     return sums.select("mae", F.sqrt("_mse").alias("rmse"), r2.alias("r2"))
 
 
-def model_comparison(predictions: Mapping[str, DataFrame], target: str, digits: int = 4) -> DataFrame:
+def model_comparison(predictions: Mapping[str, DataFrame], target: str, digits: int = 4, weight: str | None = None) -> DataFrame:
     """One row of rounded metrics per model."""
     out = None
     for name, frame in predictions.items():
-        row = regression_metrics(frame, target).select(
+        row = regression_metrics(frame, target, weight=weight).select(
             F.lit(name).alias("model"), *[F.round(c, digits).alias(c) for c in ("mae", "rmse", "r2")]
         )
         out = row if out is None else out.unionAll(row)

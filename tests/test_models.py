@@ -346,3 +346,39 @@ def test_least_squares_with_collinear_features(spark):
     assert (flat.kept, flat.dropped, flat.intercept, flat.coefficients) == ([], [0], 3.0, [0.0])
     with pytest.raises(ValueError):
         M.fit_linear(df.limit(0), "y")
+
+
+def test_weighted_rows_stand_for_repeated_ones(spark):
+    rng = np.random.default_rng(5)
+    few = [(list(map(float, x)), float(3 * x[0] - x[1] + e), n) for x, e, n in zip(rng.normal(size=(40, 2)), rng.normal(size=40), [1, 2, 7, 15, 16, 40, 3, 1] * 5)]
+    schema = "features array<double>, y double, n int"
+    weighted = spark.createDataFrame(few, schema)
+    repeated = spark.createDataFrame([r for r in few for _ in range(r[2])], schema)
+    a, b = M.fit_linear(weighted, "y", weight="n"), M.fit_linear(repeated, "y")
+    assert a.rows == b.rows and a.coefficients == pytest.approx(b.coefficients) and a.intercept == pytest.approx(b.intercept)
+    f, g = M.fit_forest(weighted, "y", trees=4, weight="n"), M.fit_forest(repeated, "y", trees=4)
+    assert (f.feature == g.feature).all() and (f.rows == g.rows).all() and np.allclose(f.value, g.value)
+    got = M.regression_metrics(f.transform(weighted), "y", weight="n").first()
+    assert tuple(got) == pytest.approx(tuple(M.regression_metrics(f.transform(repeated), "y").first()))
+    flat = spark.createDataFrame([(0.1, 0.1, 3), (0.1, 0.1, 7)], "y double, prediction double, n int")
+    assert M.regression_metrics(flat, "y", weight="n").first().r2 == 1.0
+
+
+def test_sales_model_fits_equal_rows_once(spark, monkeypatch):
+    from marketlens.plans import sales_model
+
+    seen = {}
+    plain = sales_model.M.fit_linear
+    monkeypatch.setattr(sales_model.M, "fit_linear", lambda df, *a, **k: seen.update(rows=df.count()) or plain(df, *a, **k))
+    rows = [(str(i), float(i % 7), float(i), float(i * i % 11)) for i in range(30)] * 20
+    found = sales_model.predict_sales(spark.createDataFrame(rows, "asin string, y double, a double, b double"), target="y", features=["a", "b"], trees=2)
+    assert seen["rows"] <= 30 and found.linear.count() == 6 * 20 and found.comparison.count() == 2
+
+
+def test_steps_without_squares_are_the_same(spark):
+    rng = np.random.default_rng(6)
+    points = spark.createDataFrame([(int(i), list(map(float, x))) for i, x in enumerate(rng.normal(size=(300, 3)))], "h long, x array<double>")
+    centers = [rng.normal(size=(k, 3)) for k in (2, 5)]
+    whole, short = (K.assigned_sums(points, centers, squared=s) for s in (True, False))
+    for (n, s, q), (n2, s2, q2) in zip(whole, short):
+        assert (n == n2).all() and (s == s2).all() and q.sum() > 0 and not q2.any()

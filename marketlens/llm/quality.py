@@ -571,7 +571,9 @@ def classify(
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id").distinct()
     bad = labels.where("toxic = 1").select("doc_id").distinct()
     scored = keep(score(docs, smooth(count_ngrams(lessons(docs, good, bad), order), order), window))
-    unseen = keep(scored.join(good, "doc_id", "left_semi").where("judged"))
+    taught = scored.join(bad.join(good, "doc_id", "left_anti"), "doc_id", "left_semi").select("text_key").distinct()
+    # a trusted text that is a copy of a toxic one is not unseen by the toxic model
+    unseen = keep(scored.where("judged").join(good, "doc_id", "left_semi").join(taught, "text_key", "left_anti"))
     by_lang, everything = thresholds(unseen, prior, beyond, least)
     middle = _lookup({k: v[0] for k, v in by_lang.items()}, everything[0])
     limit = F.exp(_lookup({k: v[1] for k, v in by_lang.items()}, everything[1]))

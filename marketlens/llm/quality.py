@@ -19,10 +19,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import tidy
+from ..session import CHECKPOINT_KEY, release, tidy
 from .common import arrow_map, buckets_for, keep, mix, private, table, text_bytes
 
 START, END = 0x02, 0x03  # control characters stand for the ends of a text
@@ -183,13 +184,14 @@ def unseen_symbol(smoothed: list[tuple[DataFrame, DataFrame]]) -> dict[int, floa
 
 
 def log_probabilities(windows: DataFrame, smoothed: list[tuple[DataFrame, DataFrame]], unseen: dict[int, float]) -> DataFrame:
-    """(model, gram, p): natural log probability of the last symbol of each of the distinct (model, gram) in
-    ``windows``, n-grams of the highest order. A model without text, which ``unseen`` lacks, gives 0."""
+    """(gram, p0, p1, p2): natural log probability, by the model of that number, of the last symbol of each n-gram of
+    the distinct (model, gram) in ``windows``. A model without text, which ``unseen`` lacks, gives 0."""
     spark, floor = windows.sparkSession, F.lit(0.0)
+    written = bool(spark.conf.get(CHECKPOINT_KEY, None))  # by ``keep``
     for model, p in unseen.items():
         floor = F.when(F.col("model") == model, F.lit(p)).otherwise(floor)
     todo = windows.select("model", "gram", F.col("gram").alias("suffix"), F.lit(0.0).alias("weight"))
-    found = []
+    found, cached = [], []
     for k in range(len(smoothed), 0, -1):  # what is not found at one length goes on to the next, with its context's weight
         grams, contexts = smoothed[k - 1]
         grams = grams.withColumnRenamed("gram", "suffix")
@@ -198,9 +200,15 @@ def log_probabilities(windows: DataFrame, smoothed: list[tuple[DataFrame, DataFr
         if k > 1:
             todo = todo.withColumn("context", F.expr(f"substring(suffix, 1, {k - 1})")).join(contexts, ["model", "context"], "left")
             todo = todo.select("model", "gram", F.expr("substring(suffix, 2)").alias("suffix"), (F.col("weight") + F.coalesce(F.log("g"), F.lit(0.0))).alias("weight"))
-        todo = keep(todo)
-        tidy(spark)
-    return reduce(DataFrame.unionAll, found, todo.select("model", "gram", (F.col("weight") + floor).alias("p")))
+        # packed in memory first; a checkpoint takes several times the space
+        todo = todo.persist(StorageLevel.MEMORY_AND_DISK) if written else keep(todo)
+        cached.append(todo)
+    every = reduce(DataFrame.unionAll, found, todo.select("model", "gram", (F.col("weight") + floor).alias("p")))
+    every = keep(every.groupBy("gram").agg(*[F.max(F.when(F.col("model") == m, F.col("p"))).alias(f"p{m}") for m in (0, 1, TOXIC)]))
+    if written:  # so nothing reads them any more
+        for frame in cached:
+            release(frame)
+    return every
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -466,12 +474,13 @@ def score(docs: DataFrame, smoothed: list[tuple[DataFrame, DataFrame]], window:
         asked = asked.unionByName(asked.select(F.lit(TOXIC).alias("model"), "gram").distinct())
     judged = [m for m in unseen if m != TOXIC]
     found = log_probabilities(asked, smoothed, unseen)
-    found = found.groupBy("gram").agg(*[F.max(F.when(F.col("model") == m, F.col("p"))).alias(f"p{m}") for m in (0, 1, TOXIC)])
+    del asked, smoothed
+    tidy(spark)
     own = F.when(F.col("model") == 0, F.col("p0")).otherwise(F.col("p1"))
     gain = F.when(F.col("model").isin(judged), F.col(f"p{TOXIC}") - own) if judged else F.lit(None).cast("double")
     known = windows.join(found, "gram").select("model", "shard", "gram", own.alias("p"), F.coalesce(gain, F.lit(0.0)).alias("gain"))
     answers = keep(_answers(requests, known, order))
-    del requests, windows, asked, found, known, smoothed
+    del requests, windows, found, known
     tidy(spark)
     gains = TOXIC in unseen
     kinds = dict(docs.dtypes)

@@ -102,7 +102,7 @@ def assigned_sums(
     points: DataFrame, centers: Sequence[np.ndarray], tasks: int = PARTIAL_ROWS, squared: bool = True
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, sums, squared distances) of the rows nearest to each centre of each model, from one scan. Without
-    ``squared`` the distances, about half of the work, are left at 0: steps need none.
+    ``squared`` the distances are left at 0: steps need none.
 
     With the number of ``tasks`` known to be small, their sums come back without a shuffle in between."""
     stack, sizes = _stacked(centers)

@@ -321,6 +321,47 @@ def test_all_labelled_texts_teach_and_none_judges_itself(spark):
         assert got[i].symbols == size and got[i].cost == pytest.approx(cost, rel=1e-4) and got[i].worst == pytest.approx(worst, rel=1e-3, abs=1e-3)
 
 
+def test_what_is_kept_for_quality_is_packed(spark, monkeypatch):
+    """No row an n-gram of the full length, in whatever is kept between the steps; pairs at most."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefgh ", k=200)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    longest, hold = [], quality.keep
+
+    def keep(df):
+        if "gram" in df.columns:
+            longest.append(df.agg(F.max(F.length("gram"))).first()[0])
+        return hold(df)
+
+    monkeypatch.setattr(quality, "keep", keep)
+    assert quality.classify(docs, labels).count() == 60
+    assert longest and max(x or 0 for x in longest) <= 2
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_shards_and_plain_tables_give_the_same_scores(spark, order):
+    rng = random.Random(order)
+    texts = ["".join(rng.choices("abcdé 5", k=rng.randrange(1, 60))) for _ in range(40)] + ["", None]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    good, bad = (docs.where(f"doc_id % 4 {x}").select("doc_id") for x in ("< 2", "= 2"))
+    taught = quality.lessons(docs, good, bad)
+    models = [quality.Model(quality.smooth(quality.count_ngrams(taught.where(f"model = {m}").select("text"), order), order)) for m in range(3)]
+    half = {r.doc_id: r.own for r in docs.select("doc_id", quality.in_sample(0.5).cast("int").alias("own")).collect()}
+    for r in quality.score(docs, quality.Lessons(taught, order), 5, batch_bytes=500).collect():
+        (size,), (cost,), (worst,) = quality.Scorer(models[1 - (half[r.doc_id] or 0)], models[quality.TOXIC], 5).score([texts[r.doc_id]])
+        assert (r.symbols, r.judged) == (size, True) and r.cost == pytest.approx(cost, rel=1e-4) and r.worst == pytest.approx(worst, rel=1e-3, abs=1e-3)
+
+
+def test_packed_numbers_come_back():
+    grams = np.arange(35, dtype=np.uint32).reshape(7, 5) * 77_777
+    assert (quality.unpack(quality.pack(grams), np.uint32, 5) == grams).all()
+    for kind in (np.int64, np.float32):
+        values = np.array([1, 2**33, 0, -5], kind)
+        assert (quality.unpack(quality.pack(values), kind, 1) == values).all()
+        assert len(quality.unpack(quality.pack(values[:0]), kind, 1)) == 0
+
+
 def test_grams_of_many_letters_are_counted_alike():
     rng = random.Random(3)
     parts = [quality.padded("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(9000)) * 2, 5), quality.padded("ab", 5)]

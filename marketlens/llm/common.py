@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marketlens.session import keep
 
-__all__ = ["arrow_map", "buckets_for", "keep", "mix", "pieces", "private", "table", "text_bytes", "token_ids", "word_codes"]
+__all__ = ["arrow_map", "buckets_for", "freed", "freeing", "keep", "mix", "pieces", "private", "table", "text_bytes", "token_ids", "word_codes"]
 
 _ARROW = {
     "int": pa.int32(), "long": pa.int64(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
@@ -29,6 +32,57 @@ def private(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{source}`").alias(own) for own, source in columns.items()))
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+_SLACK = 16_000_000
+_level, _at = 0, 0.0  # resident bytes after memory last went back, and when that was
+
+
+def resident() -> int:
+    """Bytes of memory that this process holds; 0 where the system does not tell."""
+    try:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    except OSError:
+        return 0
+
+
+def give_back() -> None:
+    """Hand memory that is free within this process back to the system, if it was not done a moment ago or there may
+    be much of it. Python workers outlive their tasks: an idle one would else hold the most that any of its tasks took,
+    beside whatever runs now."""
+    global _level, _at
+    if _TRIM and (time.monotonic() > _at + 1 or resident() > _level + _SLACK):
+        pa.default_memory_pool().release_unused()
+        _TRIM(0)
+        _level, _at = resident(), time.monotonic()
+
+
+def freeing(out: Iterator) -> Iterator:
+    """The same, and at its end memory goes back."""
+    try:
+        yield from out
+    finally:
+        give_back()
+
+
+def freed(fn: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """For ``applyInArrow``, a function of one or two tables: the same, and after each group memory goes back."""
+
+    def one(rows: pa.Table) -> pa.Table:
+        try:
+            return fn(rows)
+        finally:
+            give_back()
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return fn(left, right)
+        finally:
+            give_back()
+
+    return two if fn.__code__.co_argcount == 2 else one
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str, rows: int | None = None) -> DataFrame:
     """``mapInArrow`` with batches as dicts of lists: nulls stay None and whole numbers stay whole.
 
@@ -42,7 +96,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sch
         for found in fn(b.to_pydict() for b in cut):
             yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in out], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: freeing(run(batches)), schema)
 
 
 def text_bytes(docs: DataFrame) -> int:
@@ -76,7 +130,7 @@ def _powers(n: int) -> list[np.ndarray]:
     """Powers of ``_P`` and of its inverse, modulo 2^64, from 0 to at least ``n - 1``."""
     if len(_POWERS[0]) < n:
         for k, base in enumerate((_P, pow(_P, -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 20), base, np.uint64)
+            steps = np.full(max(n, 1 << 18), base, np.uint64)
             steps[0] = 1
             _POWERS[k] = np.multiply.accumulate(steps)
     return _POWERS

@@ -32,9 +32,12 @@ from pyspark.sql import functions as F
 from marketlens.session import keep as hold
 from marketlens.session import tidy
 
-from .common import arrow_map, buckets_for, mix, pieces, private, table, text_bytes, word_codes
+from .common import arrow_map, buckets_for, freed, mix, pieces, private, table, text_bytes, word_codes
 
 _A = np.uint64(0x9E3779B97F4A7C15)
+#: Texts, or pairs of bitmaps, and pairs of sets, that are Python objects at a time.
+TEXTS, PAIRS = 500, 100
+
 
 def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
     """For each text, the sorted distinct hashes of its word ``width``-grams; of the whole, when there are
@@ -151,7 +154,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             flat = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield {"doc_id": b["doc_id"], "text_key": b["text_key"], "n_shingles": sizes, "s1": flat[:, 0], "s2": flat[:, 1]}
 
-    return arrow_map(docs, run, "doc_id long, text_key long, n_shingles long, s1 long, s2 long")
+    return arrow_map(docs, run, "doc_id long, text_key long, n_shingles long, s1 long, s2 long", rows=TEXTS)
 
 
 def _keys(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -175,7 +178,7 @@ def _keys(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
             if held:
                 yield {"key": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(ids)}
 
-    return arrow_map(docs, run, "key long, doc_id long")
+    return arrow_map(docs, run, "key long, doc_id long", rows=TEXTS)
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -279,7 +282,7 @@ class _Verifier:
                 if out["rep"]:
                     yield out
 
-        rows = arrow_map(self.raw, run, f"rep long, s1 long, s2 long, n long, {name} binary")
+        rows = arrow_map(self.raw, run, f"rep long, s1 long, s2 long, n long, {name} binary", rows=TEXTS)
         # The digest tells a representative from other rows under its id. The few that pass the filter
         # unwanted meet nothing later, and a row that is there twice only repeats a link.
         return rows.join(self.reps, ["rep", "s1", "s2"], "left_semi").drop("s2")
@@ -301,9 +304,9 @@ class _Verifier:
 
         near = (F.col("a_n") * bands.den >= F.col("b_n") * bands.num) & (F.col("b_n") * bands.den >= F.col("a_n") * bands.num)
         likely = pairs.join(side(self.bits, "a", "bits"), "a").join(side(self.bits, "b", "bits"), "b").where(near)
-        likely = keep(arrow_map(likely, bound, "a long, b long"))
+        likely = keep(arrow_map(likely, bound, "a long, b long", rows=TEXTS))
         sets = self.shingles(likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct())
-        return arrow_map(likely.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b"), exact, "a long, b long")
+        return arrow_map(likely.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b"), exact, "a long, b long", rows=PAIRS)
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -365,7 +368,7 @@ def jaccard_links(docs: DataFrame, *, width: int = 4, num: int = 85, den: int =
         some = n > 0
         return pa.table({"rep": reps[some], "s1": half[some], "links": n[some]})
 
-    counted = shipped.groupBy("tile", "block1", "block2").applyInArrow(count, "rep long, s1 long, links long")
+    counted = shipped.groupBy("tile", "block1", "block2").applyInArrow(freed(count), "rep long, s1 long, links long")
     counted = counted.groupBy("rep", "s1").agg(F.sum("links").alias("links"))
     known = keep(copies.drop("n_shingles").join(counted, ["rep", "s1"], "left").select("rep", "s1", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = named.join(known, ["rep", "s1"], "left").join(labels, F.col("rep") == F.col("node"), "left")
@@ -457,10 +460,10 @@ def _between(members: DataFrame, labels: DataFrame, verify: _Verifier) -> DataFr
         found = join_classes(rows["rep"].to_pylist(), rows["class"].to_pylist(), [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()], bands)
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
-    near = _meet(apart, verify.bits, "bits", bands, 8_000_000).applyInArrow(possible, "tile long, rep long").distinct()
+    near = _meet(apart, verify.bits, "bits", bands, 8_000_000).applyInArrow(freed(possible), "tile long, rep long").distinct()
     near = keep(apart.join(near, ["tile", "rep"], "left_semi"))
     sets = verify.shingles(near.select("rep").distinct())
-    return _meet(near, sets, "shingles", bands, 500_000).applyInArrow(compare, "a long, b long")
+    return _meet(near, sets, "shingles", bands, 500_000).applyInArrow(freed(compare), "a long, b long")
 
 
 def _meet(members: DataFrame, sets: DataFrame, column: str, bands: Bands, shingles_per_block: int):

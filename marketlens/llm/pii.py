@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, private, table
+from .common import arrow_map, freeing, private, table
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -346,7 +346,7 @@ def redact_documents(docs: DataFrame, potentials: Potentials) -> DataFrame:
                 batch = batch.set_column(size, kind, pa.array(sizes, kind.type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: freeing(run(batches)), docs.schema)
 
 
 def op9_skipchain_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

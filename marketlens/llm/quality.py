@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import CHECKPOINT_KEY, release, tidy
-from .common import arrow_map, buckets_for, keep, mix, private, table, text_bytes
+from .common import arrow_map, buckets_for, freed, freeing, keep, mix, private, table, text_bytes
 
 START, END = 0x02, 0x03  # control characters stand for the ends of a text
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -513,7 +513,7 @@ def merge(dealt: DataFrame, order: int) -> DataFrame:
         return pa.table({k: pa.array([v], kind) for k, v, kind in zip(("shard", "model", "grams", "n", "low", "low_n", "seen"), row, kinds)})
 
     schema = "shard long, model int, grams binary, n binary, low binary, low_n binary, seen array<long>"
-    return dealt.groupBy("shard", "model").applyInArrow(run, schema)
+    return dealt.groupBy("shard", "model").applyInArrow(freed(run), schema)
 
 
 def low_counts(taught: DataFrame, low: int) -> DataFrame:
@@ -611,7 +611,7 @@ def _bundles(docs: DataFrame) -> DataFrame:
         if held:
             yield bundled(waiting)
 
-    return docs.mapInArrow(run, "batch long, rows binary")
+    return docs.mapInArrow(lambda batches: freeing(run(batches)), "batch long, rows binary")
 
 
 def _opened(bundles: pa.ChunkedArray) -> Iterator[pa.Table]:
@@ -655,7 +655,7 @@ def _requests(bundles: DataFrame, order: int, shards: int) -> DataFrame:
             }
         )
 
-    return bundles.groupBy("batch").applyInArrow(run, "batch long, model int, shard long, grams binary")
+    return bundles.groupBy("batch").applyInArrow(freed(run), "batch long, model int, shard long, grams binary")
 
 
 def _endings(packed: DataFrame, order: int) -> DataFrame:
@@ -670,7 +670,7 @@ def _endings(packed: DataFrame, order: int) -> DataFrame:
             ends = ends[np.unique(gram_codes(ends), return_index=True)[1]]
         return pa.table({"shard": pa.array([group["shard"][0].as_py()] * len(ends), pa.int64()), "gram": pa.array(_strings(ends), pa.string())})
 
-    return packed.select("shard", "grams").groupBy("shard").applyInArrow(run, "shard long, gram string")
+    return packed.select("shard", "grams").groupBy("shard").applyInArrow(freed(run), "shard long, gram string")
 
 
 def _answers(requests: DataFrame, taught: DataFrame, known: DataFrame, off: dict, order: int, judged: list[int], gains: bool) -> DataFrame:
@@ -703,7 +703,7 @@ def _answers(requests: DataFrame, taught: DataFrame, known: DataFrame, off: dict
     none = F.lit(None)
     rows = requests.select("shard", "batch", "model", "grams", none.cast("binary").alias("n"))
     rows = rows.unionByName(taught.select("shard", none.cast("long").alias("batch"), "model", "grams", "n"))
-    return rows.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(run, "batch long, grams binary, p binary, gain binary")
+    return rows.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(freed(run), "batch long, grams binary, p binary, gain binary")
 
 
 def score(docs: DataFrame, source: Lessons | Smoothed, window: int, batch_bytes: int = 16_000_000) -> DataFrame:
@@ -752,7 +752,7 @@ def score(docs: DataFrame, source: Lessons | Smoothed, window: int, batch_bytes:
         )
 
     schema = f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, text_key long, judged boolean, symbols long, cost double, worst double"
-    return dealt.groupBy("batch").cogroup(answers.repartition(2 * batches, "batch").groupBy("batch")).applyInArrow(run, schema)
+    return dealt.groupBy("batch").cogroup(answers.repartition(2 * batches, "batch").groupBy("batch")).applyInArrow(freed(run), schema)
 
 
 def _quantiles(rows: list, q: float) -> dict:
